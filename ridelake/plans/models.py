@@ -70,10 +70,16 @@ def quarantine_trips(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def transform_stations(raw: DataFrame, extracted_at=None) -> DataFrame:
-    """One row per station from station-information documents."""
-    ts = F.current_timestamp().cast("timestamp_ntz") if extracted_at is None \
-        else _ts_literal(extracted_at)
-    st = raw.select(F.explode("data.stations").alias("s"))
+    """One row per station from station-information documents.
+    ``extracted_at``: None = run time, ``"document"`` = the document's own
+    ``last_updated`` (epoch seconds), or a fixed instant."""
+    if extracted_at is None:
+        ts = F.current_timestamp().cast("timestamp_ntz")
+    elif isinstance(extracted_at, str) and extracted_at == "document":
+        ts = S.epoch_seconds_to_ts("last_updated")
+    else:
+        ts = _ts_literal(extracted_at)
+    st = raw.select(F.explode("data.stations").alias("s"), "last_updated")
     return st.select(
         F.trim(F.col("s.station_id").cast("string")).alias("station_id"),
         F.trim(F.col("s.name").cast("string")).alias("station_name"),

@@ -19,6 +19,13 @@ from ridelake.plans import models as M
 from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
+from ridelake.session import scratch_path
+from ridelake.sinks.writers import write_day_partitioned
+from ridelake.sources import adapters as A
+from ridelake.sources import landing as L
+from ridelake.sources.files import (parse_status_messages, read_station_snapshot_json,
+                                    read_trip_months, require_columns, split_malformed)
+from ridelake.streaming.status import start_latest_status_stream, start_status_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, QueryFn] = {}
@@ -259,6 +266,84 @@ def q_dq_gate(t: Tables) -> DataFrame:
     return summarize(check_results(t))
 
 
+# ------------------------------------------------------------------ sources, sinks, stream
+
+FIXED_INGESTION = "2024-02-01 00:00:00"
+
+
+@register("flatten_json_docs", O.FLAT_STATUS)
+def q_flatten_json(t: Tables) -> DataFrame:
+    """Feed payload strings -> parsed documents -> one row per station."""
+    docs = L.status_documents(A.table(t.spark, t.sf_dir, "events"))
+    parsed = require_columns(parse_status_messages(docs), ["data"])
+    good, _bad = split_malformed(parsed)
+    return M.flatten_status(good, FIXED_INGESTION)
+
+
+@register("stream_status_flatten", O.FLAT_STATUS)
+def q_stream_flatten(t: Tables) -> DataFrame:
+    """Land feed documents as files, run the status stream to completion
+    (bounded intake per micro-batch, checkpointed parquet sink), read the
+    bronze table back."""
+    landing = scratch_path(t.spark, "landing", "status")
+    L.write_json_lines(L.status_documents(A.table(t.spark, t.sf_dir, "events")), landing)
+    bronze = scratch_path(t.spark, "bronze", "status")
+    q = start_status_stream(t.spark, landing, bronze, scratch_path(t.spark, "checkpoints"),
+                            available_now=True, ingestion_at=FIXED_INGESTION)
+    q.awaitTermination()
+    return t.spark.read.parquet(bronze)
+
+
+@register("stream_latest_status")
+def q_stream_latest(t: Tables) -> DataFrame:
+    """Streaming latest-status-per-station state (stateful; no SQL oracle:
+    every row of one run shares the ingestion instant, so ties resolve by the
+    deterministic hash tiebreak)."""
+    landing = scratch_path(t.spark, "landing", "status")
+    L.write_json_lines(L.status_documents(A.table(t.spark, t.sf_dir, "events")), landing)
+    target = scratch_path(t.spark, "silver", "status_latest")
+    q = start_latest_status_stream(t.spark, landing, target, scratch_path(t.spark, "checkpoints"),
+                                   available_now=True, ingestion_at=FIXED_INGESTION)
+    q.awaitTermination()
+    return t.spark.read.parquet(target)
+
+
+@register("station_info_json", O.STATION_DOCS)
+def q_station_json(t: Tables) -> DataFrame:
+    """Station documents landed as JSON files, read back and flattened."""
+    landing = scratch_path(t.spark, "landing", "station_information")
+    L.write_json_lines(L.station_info_documents(t.snapshots), landing)
+    raw = read_station_snapshot_json(t.spark, landing, multi_line=False)
+    st = M.transform_stations(raw, extracted_at="document")
+    return st.select(*[F.col(c).cast("double").alias(c) if c == "capacity" else c
+                       for c in ("station_id", "station_name", "short_name", "lon", "lat",
+                                 "region_id", "capacity", "rental_uri_android",
+                                 "rental_uri_ios", "extracted_at")])
+
+
+@register("csv_trip_months", O.CSV_TRIPS)
+def q_csv_months(t: Tables) -> DataFrame:
+    """Monthly CSV landing folders read in one scan (month from the folder)."""
+    root = scratch_path(t.spark, "landing", "trips")
+    L.write_trip_csv_landing(t.trips_raw, root)
+    raw = read_trip_months(t.spark, root)
+    typed = M.transform_trips(raw, F.col("month"), FIXED_INGESTION)
+    return typed.drop("ingestion_at")
+
+
+@register("day_split_counts", O.DAY_SPLIT)
+def q_day_split(t: Tables) -> DataFrame:
+    """Typed trips written as one folder per day in a single job, read back
+    with the folder as a string partition column."""
+    typed = t.trips_raw.withColumn("date_str", S.day_key("started_at"))
+    path = scratch_path(t.spark, "bronze", "trips")
+    write_day_partitioned(typed, path, "date_str", ["start_station_id", "member_casual"],
+                          mode="overwrite_days")
+    back = t.spark.read.schema(typed.schema).parquet(path)
+    return back.groupBy("date_str").agg(F.count(F.lit(1)).alias("n_rows"),
+                                        F.count_distinct("ride_id").alias("n_rides"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_Q)
 
