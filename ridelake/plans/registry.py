@@ -20,7 +20,8 @@ from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
 from ridelake.session import scratch_path
-from ridelake.sinks.writers import write_day_partitioned
+from ridelake.plans import jobs as J
+from ridelake.sinks.writers import append_snapshot, write_day_partitioned
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
 from ridelake.sources.files import (parse_status_messages, read_station_snapshot_json,
@@ -344,6 +345,21 @@ def q_day_split(t: Tables) -> DataFrame:
                                         F.count_distinct("ride_id").alias("n_rides"))
 
 
+@register("layered_run_checks", O.dq_all_sql())
+def q_layered_run(t: Tables) -> DataFrame:
+    """End-to-end layered job on a scratch warehouse: land the three feeds,
+    build every layer as a table, run each layer's checks after it is written
+    (report mode, so every layer is built) and return all check results."""
+    wh = scratch_path(t.spark, "warehouse")
+    append_snapshot(t.snapshots, f"{wh}/{J.BRONZE}/station_snapshots")
+    t.status_raw.write.mode("append").parquet(f"{wh}/{J.BRONZE}/station_status")
+    J.load_trips_raw(t.trips_raw, wh)
+    report = J.build_station_models(t.spark, wh, on_error="report")
+    J.build_trip_models(t.spark, wh, on_error="report", report=report)
+    J.build_status_models(t.spark, wh, t.as_of, on_error="report", report=report)
+    return report.all_results()
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_Q)
 
