@@ -7,6 +7,16 @@ attribute differs from the previous snapshot under SQL three-valued ``!=``
 columns keep the values of the version's first snapshot. A version is
 valid on ``[valid_from, next version's valid_from)``; the last one is open
 (sentinel end, ``is_current = true``).
+
+Plan: change detection (``lag``) and validity end (``lead``) share one
+partitioning and ordering, so an ordinary key costs one Exchange + Sort.
+A key whose history exceeds ``hot_key_rows`` would put all of it into one
+window partition (one task); such *hot* keys are found by a cheap counting
+pass and their histories are cut into ``chunks`` time ranges of about equal
+row count (approximate percentiles of the timestamp). Each chunk is windowed
+on its own; the only cross-chunk facts needed -- the last snapshot before a
+chunk and the first version after it -- come from two small aggregates
+(at most hot keys x chunks rows, broadcast) joined back.
 """
 
 from __future__ import annotations
@@ -16,16 +26,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import open_end, surrogate_key
+from ridelake.functions.scalars import ntz_literal, open_end, surrogate_key
 
 _PREV = "__prev_"
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+DEFAULT_CHUNKS = 64
 
 
 def change_predicate(tracked: Sequence[str], prev_prefix: str = _PREV) -> Column:
     """``prev_first IS NULL OR a != prev_a OR ...`` with SQL NULL semantics;
     a NULL comparison counts as 'no change'."""
-    first = tracked[0]
-    cond = F.col(prev_prefix + first).isNull()
+    cond = F.col(prev_prefix + tracked[0]).isNull()
     for c in tracked:
         cond = cond | F.coalesce(F.col(c) != F.col(prev_prefix + c), F.lit(False))
     return cond
@@ -43,22 +54,82 @@ def finish_versions(versions: DataFrame, key: str, valid_from: str, sk_name: str
     )
 
 
+def _versions_one_window(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str,
+                         order: list[Column]) -> DataFrame:
+    w = Window.partitionBy(key).orderBy(*order)
+    with_prev = base.select("*", *[F.lag(c).over(w).alias(_PREV + c) for c in tracked])
+    changes = with_prev.filter(change_predicate(tracked)).select(*base.columns)
+    return changes.withColumn("__valid_to", F.lead(valid_from).over(w))
+
+
+def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str,
+                      order: list[Column], chunks: int) -> DataFrame:
+    """Same result as :func:`_versions_one_window` for keys with huge
+    histories, with per-task work bounded by about rows/chunks."""
+    pos = F.timestamp_diff("MICROSECOND", ntz_literal("1970-01-01 00:00:00"), F.col(valid_from))
+    pcts = [i / chunks for i in range(1, chunks)]
+    bounds = base.groupBy(key).agg(F.percentile_approx(pos, pcts, 10000).alias("__bounds"))
+    # chunk = number of boundaries at or before the row (NULL times -> chunk 0,
+    # consistent with NULLS FIRST ordering)
+    chunk = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= pos)), F.lit(0))
+    b = (base.join(F.broadcast(bounds), key).withColumn("__c", chunk).drop("__bounds"))
+    w = Window.partitionBy(key, "__c").orderBy(*order)
+    per_key = Window.partitionBy(key).orderBy("__c")
+    ordering = F.struct(*order)
+
+    # last snapshot of the previous non-empty chunk (input-side aggregate)
+    last = b.groupBy(key, "__c").agg(F.max_by(F.struct(*tracked), ordering).alias("__last"))
+    prev_last = last.select(key, "__c", F.lag("__last").over(per_key).alias("__pl"))
+    lagged = b.select("*", *[F.lag(c).over(w).alias(_PREV + c) for c in tracked],
+                      F.row_number().over(w).alias("__rn"))
+    fixed = lagged.join(F.broadcast(prev_last), [key, "__c"], "left").select(
+        *b.columns,
+        *[F.when(F.col("__rn") == 1, F.col("__pl")[c]).otherwise(F.col(_PREV + c)).alias(_PREV + c)
+          for c in tracked])
+    kept = fixed.filter(change_predicate(tracked)).select(*b.columns)
+
+    # first version of the next chunk that has one
+    firsts = kept.groupBy(key, "__c").agg(F.min(ordering).alias("__fk"))
+    next_first = firsts.select(key, "__c",
+                               F.lead(F.col("__fk")[valid_from]).over(per_key).alias("__nb"))
+    ver = kept.select("*", F.lead(valid_from).over(w).alias("__next"),
+                      F.lead(F.lit(1)).over(w).alias("__has_next"))
+    ver = ver.join(F.broadcast(next_first), [key, "__c"], "left")
+    valid_to = F.when(F.col("__has_next").isNotNull(), F.col("__next")).otherwise(F.col("__nb"))
+    return ver.select(*base.columns, valid_to.alias("__valid_to"))
+
+
 def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
          valid_from: str = "valid_from", sk_name: str = "sk",
-         tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """Versions of each ``key`` from snapshot history (one shuffle on ``key``:
-    the change-detection ``lag`` and the validity ``lead`` share the same
-    partitioning and ordering, so Spark plans a single Exchange + Sort).
-
-    For keys whose history may be a large share of all rows, use
-    :func:`ridelake.operators.ordered.scd2_chunked`, which gives the same
-    result while bounding per-task work.
+         tiebreak: Sequence[str] | None = None,
+         hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+         chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+    """Versions of each ``key`` from its snapshot history.
+
+    ``hot_key_rows=None`` skips hot-key detection (one window over every key;
+    use when the history per key is known to be small). Otherwise keys with
+    more snapshots than that are split as described in the module doc; the
+    hot-key list is bounded by total_rows / hot_key_rows, so broadcasting it
+    is safe. Detection runs one aggregate job when called; when no key is
+    hot the plan is exactly the single-window one.
     """
     payload = [c for c in snapshots.columns if c != ts]
     base = snapshots.withColumnRenamed(ts, valid_from)
-    order = [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])]
-    w = Window.partitionBy(key).orderBy(*order)
-    with_prev = base.select("*", *[F.lag(c).over(w).alias(_PREV + c) for c in tracked])
-    changes = with_prev.filter(change_predicate(tracked)).select(*base.columns)
-    versions = changes.withColumn("__valid_to", F.lead(valid_from).over(w))
-    return finish_versions(versions, key, valid_from, sk_name, [c for c in payload])
+    ties = [F.col(c) for c in (tiebreak or [])]
+    ties.append(F.xxhash64(*[F.col(c) for c in base.columns]))
+    order = [F.col(valid_from)] + ties
+    if hot_key_rows is None:
+        versions = _versions_one_window(base, key, tracked, valid_from, order)
+    else:
+        counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        hot_keys = counts.filter(F.col("__n") > hot_key_rows).select(key)
+        if hot_keys.isEmpty():  # one small aggregate job decides the plan
+            versions = _versions_one_window(base, key, tracked, valid_from, order)
+        else:
+            hot = F.broadcast(hot_keys)
+            cold = _versions_one_window(base.join(hot, key, "left_anti"), key, tracked,
+                                        valid_from, order)
+            hot_v = _versions_chunked(base.join(hot, key, "left_semi"), key, tracked,
+                                      valid_from, order, chunks)
+            versions = cold.unionByName(hot_v)
+    return finish_versions(versions, key, valid_from, sk_name, payload)

@@ -49,3 +49,21 @@ def test_absent_station_stays_current(spark):
 def test_surrogate_keys_unique(spark):
     v = versions(spark, [snap("x", d, cap=10 + d) for d in range(5)])
     assert len({r.station_sk for r in v}) == 5
+
+
+def test_hot_key_split_matches_single_window(spark):
+    from ridelake.operators.scd import scd2
+    from ridelake.plans.models import TRACKED_STATION_ATTRS
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for sid, n in (("hot", 400), ("warm", 60), ("cold", 5)):
+        for d in range(n):
+            rows.append(snap(sid, d, name=rnd.choice(["N", "N", None, "M"]),
+                             cap=rnd.choice([10, 10, 20, None]), lat=rnd.choice([1.0, 1.0, 2.0])))
+    df = spark.createDataFrame(rows, COLS)
+    args = (df, "station_id", TRACKED_STATION_ATTRS, "extracted_at")
+    one = scd2(*args, hot_key_rows=None)
+    for hk, ch in ((50, 7), (0, 3)):
+        split = scd2(*args, hot_key_rows=hk, chunks=ch)
+        assert one.exceptAll(split).count() == 0 and split.exceptAll(one).count() == 0
