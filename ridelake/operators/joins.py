@@ -10,7 +10,8 @@ Join strategy: the dimension side is NOT broadcast blindly. ``strategy``:
   join stays a shuffle join.
 * ``"broadcast"``: broadcast after an explicit, bounded row-count check
   (``max_broadcast_rows``); falls back to ``"auto"`` when the check fails.
-* ``"shuffle"``: force a sort-merge join (large dimensions).
+* ``"shuffle"``: force a sort-merge join (large dimensions); rows that can
+  never match are salted so NULL keys do not pile onto one reducer.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
     the left row) restricts which rows may match at all."""
     right = dim.select(*[F.col(v).alias(prefix + "k_" + v) for v in on.values()],
                        *[F.col(src).alias(dst) for src, dst in take.items()])
+    if strategy == "shuffle":
+        return _salted_lookup(left, right, on, guard, prefix)
     cond = None
     for lk, rk in on.items():
         c = left[lk] == right[prefix + "k_" + rk]
@@ -59,6 +62,32 @@ def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
     return out.drop(*[prefix + "k_" + v for v in on.values()])
 
 
+SALT_BUCKETS = 1024
+
+
+def _salted_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
+                   guard: Column | None, prefix: str) -> DataFrame:
+    """Sort-merge LEFT lookup that cannot pile rows onto one reducer: rows
+    that can never match (NULL key or guard false) get a NULL key plus a
+    salt spreading them over ``SALT_BUCKETS`` partitions; matchable rows use
+    salt 0, which is the only salt on the dimension side."""
+    can = F.lit(True) if guard is None else guard
+    for lk in on:
+        can = can & F.col(lk).isNotNull()
+    salt = F.when(can, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALT_BUCKETS)) + 1)
+    lkeys = {lk: F.when(can, F.col(lk)) for lk in on}
+    l2 = left.select("*", *[e.alias(prefix + "lk_" + lk) for lk, e in lkeys.items()],
+                     salt.alias(prefix + "salt"))
+    r2 = right.withColumn(prefix + "rsalt", F.lit(0))
+    cond = l2[prefix + "salt"] == r2[prefix + "rsalt"]
+    for lk, rk in on.items():
+        cond = cond & (l2[prefix + "lk_" + lk] == r2[prefix + "k_" + rk])
+    out = l2.join(r2.hint("merge"), cond, "left")
+    return out.drop(*[prefix + "k_" + v for v in on.values()],
+                    *[prefix + "lk_" + lk for lk in on], prefix + "salt", prefix + "rsalt")
+
+
 def current_versions(dim: DataFrame, columns: Sequence[str],
                      flag: str = "is_current") -> DataFrame:
     return dim.filter(F.col(flag)).select(*columns)
@@ -91,17 +120,47 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
 
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                  ts: str, take: Mapping[str, str], valid_from: str = "valid_from",
-                 valid_to: str = "valid_to", strategy: str = "auto") -> DataFrame:
+                 valid_to: str = "valid_to", strategy: str = "auto",
+                 time_bucket: str | None = None) -> DataFrame:
     """Point-in-time LEFT join: the dimension version whose half-open validity
     ``[valid_from, valid_to)`` contains the fact's ``ts`` (a boundary instant
-    matches exactly one version). Planned as an equi-join on the key with a
-    range residual."""
+    matches exactly one version).
+
+    Planned as an equi-join on the key with a range residual. With
+    ``time_bucket`` ("month" or "day") the time becomes part of the equi-key:
+    each version is repeated for the buckets it overlaps *within the facts'
+    time span* (one small min/max job), so a fact only meets the versions of
+    its own bucket instead of a key's whole history -- the residual no longer
+    scans every version of a hot key.
+    """
     right = dim.select(F.col(dim_key).alias("__pit_k"), F.col(valid_from).alias("__pit_from"),
                        F.col(valid_to).alias("__pit_to"),
                        *[F.col(s).alias(d) for s, d in take.items()])
     cond = ((facts[fact_key] == right["__pit_k"])
             & (facts[ts] >= right["__pit_from"]) & (facts[ts] < right["__pit_to"]))
-    return facts.join(sized(right, strategy), cond, "left").drop("__pit_k", "__pit_from", "__pit_to")
+    if time_bucket is None:
+        return facts.join(sized(right, strategy), cond, "left").drop("__pit_k", "__pit_from", "__pit_to")
+
+    def bucket(c: Column) -> Column:
+        d = F.to_date(c)
+        return F.trunc(d, "month") if time_bucket == "month" else d
+
+    step = F.expr("INTERVAL 1 MONTH") if time_bucket == "month" else F.expr("INTERVAL 1 DAY")
+    lo, hi = facts.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:  # no fact has a time: nothing can match
+        return facts.join(sized(right, strategy).limit(0), cond, "left").drop(
+            "__pit_k", "__pit_from", "__pit_to")
+    # literals from text: independent of driver and session time zones
+    lo_c, hi_c = (F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz") for v in (lo, hi))
+    live = right.filter((F.col("__pit_to") > lo_c) & (F.col("__pit_from") <= hi_c))
+    first_b = bucket(F.greatest(F.col("__pit_from"), lo_c))
+    last_b = bucket(F.least(F.col("__pit_to"), hi_c))
+    spread = live.withColumn("__pit_b", F.explode(F.sequence(first_b, last_b, step)))
+    f2 = facts.withColumn("__pit_fb", bucket(F.col(ts)))
+    cond_b = ((f2[fact_key] == spread["__pit_k"]) & (f2["__pit_fb"] == spread["__pit_b"])
+              & (f2[ts] >= spread["__pit_from"]) & (f2[ts] < spread["__pit_to"]))
+    return f2.join(sized(spread, strategy), cond_b, "left").drop(
+        "__pit_k", "__pit_from", "__pit_to", "__pit_b", "__pit_fb")
 
 
 def orphans(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:

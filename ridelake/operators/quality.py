@@ -93,9 +93,14 @@ def unique_combination(df: DataFrame, model: str, keys: Sequence[str],
 
 def relationships(child: DataFrame, model: str, col: str, parent: DataFrame, field_: str,
                   severity: str = WARN) -> DataFrame:
-    """Child rows whose non-NULL ``col`` has no matching ``parent[field_]``."""
-    bad = orphans(child.select(col), col, parent.select(field_), field_)
-    return bad.agg(*_one(model, "relationships", f"{col}->{field_}", severity, F.count(F.lit(1))))
+    """Child rows whose non-NULL ``col`` has no matching ``parent[field_]``.
+    The child side is pre-aggregated to (value, rows) first, so the anti join
+    only moves distinct values and a hot value is combined map-side."""
+    per_value = (child.filter(F.col(col).isNotNull()).groupBy(col)
+                 .agg(F.count(F.lit(1)).alias("__rows")))
+    bad = orphans(per_value, col, parent.select(field_), field_)
+    return bad.agg(*_one(model, "relationships", f"{col}->{field_}", severity,
+                         F.coalesce(F.sum("__rows"), F.lit(0))))
 
 
 @dataclass

@@ -199,14 +199,15 @@ def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") ->
 
 
 def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
-                        ts: str = "started_at", strategy: str = "auto") -> DataFrame:
+                        ts: str = "started_at", strategy: str = "auto",
+                        time_bucket: str | None = "month") -> DataFrame:
     """Point-in-time variant: attach the station version that was valid at
     the trip's start (by station code)."""
     take = {"station_sk": f"{end}_station_sk", "station_name": f"{end}_version_name",
             "lat": f"{end}_version_lat", "lon": f"{end}_version_lng",
             "valid_from": f"{end}_version_valid_from"}
     return enrich_as_of(trips, dim, f"{end}_station_id", "short_name", ts, take,
-                        strategy=strategy)
+                        strategy=strategy, time_bucket=time_bucket)
 
 
 def hourly_traffic(enriched: DataFrame) -> DataFrame:

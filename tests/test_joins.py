@@ -63,3 +63,38 @@ def test_broadcast_strategy_checks_size(spark):
     assert out.count() == 100
     from helpers import plan_text
     assert "BroadcastHashJoin" in plan_text(out)
+
+
+def test_shuffle_strategy_matches_broadcast(spark):
+    from ridelake.plans.tables import Tables
+    from ridelake.plans import models as M
+    t = Tables(spark, "/root/testdata/sf0.001")
+    a = M.trips_enriched(t.int_trips, t.dim_station, strategy="shuffle")
+    b = M.trips_enriched(t.int_trips, t.dim_station, strategy="broadcast")
+    assert a.count() == 1000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from helpers import plan_text
+    assert "SortMergeJoin" in plan_text(a)
+
+
+def test_as_of_time_buckets_match_plain(spark):
+    from ridelake.plans.tables import Tables
+    from ridelake.plans import models as M
+    t = Tables(spark, "/root/testdata/sf0.01")
+    plain = M.trips_station_as_of(t.int_trips, t.dim_station, time_bucket=None)
+    for b in ("month", "day"):
+        got = M.trips_station_as_of(t.int_trips, t.dim_station, time_bucket=b)
+        assert got.count() == 10000
+        assert plain.exceptAll(got).count() == 0 and got.exceptAll(plain).count() == 0
+    assert plain.filter("start_station_sk IS NOT NULL").count() == 8457
+
+
+def test_as_of_boundary_with_buckets(spark):
+    b = datetime(2024, 2, 1)
+    dim = _dim(spark, [("u1", "Old", "A1", 1.0, 1.0, datetime(2023, 12, 15), b, False),
+                       ("u1", "New", "A1", 2.0, 2.0, b, OPEN, True)])
+    facts = spark.createDataFrame([("f1", "A1", b), ("f3", "A1", datetime(2024, 1, 31, 23)),
+                                   ("f4", "A1", None)], "id string, code string, ts timestamp_ntz")
+    out = {r.id: r.name for r in enrich_as_of(facts, dim, "code", "short_name", "ts",
+                                               {"station_name": "name"}, time_bucket="month").collect()}
+    assert out == {"f1": "New", "f3": "Old", "f4": None}
