@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # These labels and bounds must equal the reference's output.
@@ -29,6 +30,7 @@ SOURCE_DATA_BATCH = "Batch"
 # ---------------------------------------------------------------------------
 
 _EPOCH = "1970-01-01 00:00:00"
+_INTERVAL_SECOND = T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND, T.DayTimeIntervalType.SECOND)
 
 
 def col_(c: Column | str) -> Column:
@@ -45,6 +47,19 @@ def open_end() -> Column:
     return ntz_literal(OPEN_END_TEXT)
 
 
+def utc_now() -> Column:
+    """Current instant as UTC wall-clock TIMESTAMP_NTZ (one value per query)."""
+    return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+
+
+def _seconds_between(start: Column, end: Column) -> Column:
+    """``end - start`` of two TIMESTAMP_NTZ values as an INTERVAL SECOND.
+    NTZ subtraction is pure wall-clock arithmetic; unlike ``timestampdiff``
+    and ``date_format`` it never passes through the session time zone (which
+    would shift values that fall into a daylight-saving gap)."""
+    return (end - start).cast(_INTERVAL_SECOND)
+
+
 def epoch_seconds_to_ts(c: Column | str) -> Column:
     """Epoch seconds -> TIMESTAMP_NTZ in UTC wall-clock, independent of the
     session zone (``timestamp_seconds`` + cast would depend on it)."""
@@ -52,14 +67,32 @@ def epoch_seconds_to_ts(c: Column | str) -> Column:
 
 
 def ts_to_epoch_seconds(c: Column | str) -> Column:
-    """TIMESTAMP_NTZ (UTC wall-clock) -> whole epoch seconds (floor)."""
-    return F.timestamp_diff("SECOND", ntz_literal(_EPOCH), col_(c))
+    """TIMESTAMP_NTZ (UTC wall-clock) -> whole epoch seconds (truncated)."""
+    return _seconds_between(ntz_literal(_EPOCH), col_(c)).cast("bigint")
+
+
+def ts_to_epoch_micros(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> epoch microseconds (monotone in the timestamp)."""
+    secs = _seconds_between(ntz_literal(_EPOCH), col_(c)).cast("decimal(24,6)")
+    return (secs * F.lit(1000000)).cast("bigint")
 
 
 def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
     """Whole elapsed seconds, truncated toward zero, sign kept
     (0.9 s -> 2.1 s is 1 second, not 2)."""
-    return F.timestamp_diff("SECOND", col_(start), col_(end))
+    return _seconds_between(col_(start), col_(end)).cast("bigint")
+
+
+def ts_text(c: Column | str, micros: bool = False) -> Column:
+    """'yyyy-MM-dd HH:mm:ss[.SSSSSS]' text of a TIMESTAMP_NTZ, built from the
+    zone-free string cast (``date_format`` converts through the session
+    zone)."""
+    text = col_(c).cast("string")
+    head = F.substring(text, 1, 19)
+    if not micros:
+        return head
+    frac = F.regexp_extract(text, r"\.(\d+)$", 1)
+    return F.concat(head, F.lit("."), F.rpad(frac, 6, "0"))
 
 
 def minutes_2dp(seconds: Column | str) -> Column:
@@ -69,8 +102,8 @@ def minutes_2dp(seconds: Column | str) -> Column:
 
 
 def weekday_name(ts: Column | str) -> Column:
-    """Full English weekday name (Monday ... Sunday)."""
-    return F.date_format(col_(ts), "EEEE")
+    """Full English weekday name (Monday ... Sunday), from the date part."""
+    return F.date_format(F.to_date(col_(ts)), "EEEE")
 
 
 def is_weekend(ts: Column | str) -> Column:
@@ -90,12 +123,12 @@ def time_of_day(hour: Column | str) -> Column:
 
 def year_month(ts: Column | str) -> Column:
     """yyyyMM label of a timestamp's date."""
-    return F.date_format(col_(ts), "yyyyMM")
+    return F.date_format(F.to_date(col_(ts)), "yyyyMM")
 
 
 def day_key(ts: Column | str) -> Column:
     """yyyyMMdd routing key of a timestamp."""
-    return F.date_format(col_(ts), "yyyyMMdd")
+    return F.date_format(F.to_date(col_(ts)), "yyyyMMdd")
 
 
 def safe_divide(num: Column | str, den: Column | str) -> Column:
@@ -106,8 +139,7 @@ def safe_divide(num: Column | str, den: Column | str) -> Column:
 def surrogate_key(key: Column | str, ts: Column | str) -> Column:
     """Hex md5 of key text + microsecond timestamp text; NULL if either part is
     NULL. The timestamp text format is fixed so the key is engine-independent."""
-    return F.md5(F.concat(col_(key).cast("string"),
-                          F.date_format(col_(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    return F.md5(F.concat(col_(key).cast("string"), ts_text(ts, micros=True)))
 
 
 def data_quality_flag(start_id, start_lat, start_lng, end_id, end_lat, end_lng,

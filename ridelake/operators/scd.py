@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import ntz_literal, open_end, surrogate_key
+from ridelake.functions.scalars import open_end, surrogate_key, ts_to_epoch_micros
 
 _PREV = "__prev_"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
@@ -66,7 +66,7 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
                       order: list[Column], chunks: int) -> DataFrame:
     """Same result as :func:`_versions_one_window` for keys with huge
     histories, with per-task work bounded by about rows/chunks."""
-    pos = F.timestamp_diff("MICROSECOND", ntz_literal("1970-01-01 00:00:00"), F.col(valid_from))
+    pos = ts_to_epoch_micros(valid_from)
     pcts = [i / chunks for i in range(1, chunks)]
     bounds = base.groupBy(key).agg(F.percentile_approx(pos, pcts, 10000).alias("__bounds"))
     # chunk = number of boundaries at or before the row (NULL times -> chunk 0,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators.quality import ERROR, RESULT_SCHEMA, run_model_checks
+from ridelake.functions.scalars import day_key
 from ridelake.plans import models as M
 from ridelake.plans.checks import model_checks
 from ridelake.sinks.writers import (append_snapshot, materialize_table, write_day_partitioned)
@@ -80,7 +81,7 @@ def load_trip_files(spark: SparkSession, landing_root: str, warehouse: str,
 
 def load_trips_raw(df: DataFrame, warehouse: str, mode: str = "append") -> None:
     """Append an already-typed bronze frame (e.g. another feed adapter)."""
-    write_day_partitioned(df.withColumn("date_str", F.date_format("started_at", "yyyyMMdd")),
+    write_day_partitioned(df.withColumn("date_str", day_key("started_at")),
                           f"{warehouse}/{BRONZE}/trips_raw", "date_str", TRIP_CLUSTER, mode=mode)
 
 

@@ -42,7 +42,7 @@ def transform_trips(raw: DataFrame, month: str | Column, ingestion_at=None) -> D
     coordinates become NULL (never an error); ``date_str`` is the day routing
     key (NULL when ``started_at`` is unparsable: see :func:`quarantine_trips`)."""
     month_col = month if isinstance(month, Column) else F.lit(str(month))
-    ingest = F.current_timestamp().cast("timestamp_ntz") if ingestion_at is None \
+    ingest = S.utc_now() if ingestion_at is None \
         else _ts_literal(ingestion_at)
     started = F.col("started_at").try_cast("timestamp_ntz")
     ended = F.col("ended_at").try_cast("timestamp_ntz")
@@ -74,7 +74,7 @@ def transform_stations(raw: DataFrame, extracted_at=None) -> DataFrame:
     ``extracted_at``: None = run time, ``"document"`` = the document's own
     ``last_updated`` (epoch seconds), or a fixed instant."""
     if extracted_at is None:
-        ts = F.current_timestamp().cast("timestamp_ntz")
+        ts = S.utc_now()
     elif isinstance(extracted_at, str) and extracted_at == "document":
         ts = S.epoch_seconds_to_ts("last_updated")
     else:
@@ -97,7 +97,7 @@ def transform_stations(raw: DataFrame, extracted_at=None) -> DataFrame:
 def flatten_status(raw: DataFrame, ingestion_at=None) -> DataFrame:
     """One row per station per status document; works unchanged on a
     streaming DataFrame (stateless: explode + projection)."""
-    ts = F.current_timestamp().cast("timestamp_ntz") if ingestion_at is None \
+    ts = S.utc_now() if ingestion_at is None \
         else _ts_literal(ingestion_at)
     st = raw.select(F.col("last_updated").alias("feed_last_updated"),
                     F.explode("data.stations").alias("s"))

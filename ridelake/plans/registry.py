@@ -43,7 +43,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _text_ts(col: str) -> F.Column:
-    return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss").alias(col)
+    return S.ts_text(col).alias(col)
 
 
 # ------------------------------------------------------------------ trips slice

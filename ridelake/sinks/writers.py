@@ -16,13 +16,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import ntz_literal
+from ridelake.functions.scalars import ntz_literal, utc_now
 
 
 def add_run_timestamp(df: DataFrame, col: str, ts: datetime | str | None = None) -> DataFrame:
     """Constant load-run instant on every row (one value per query)."""
     if ts is None:
-        value: Column = F.current_timestamp().cast("timestamp_ntz")
+        value: Column = utc_now()
     else:
         value = ntz_literal(ts.strftime("%Y-%m-%d %H:%M:%S") if isinstance(ts, datetime) else ts)
     return df.withColumn(col, value)

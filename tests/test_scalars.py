@@ -73,3 +73,19 @@ def test_epoch_round_trip(spark):
     df = spark.createDataFrame([(1706616000,)], "e long")
     r = df.select(S.epoch_seconds_to_ts("e").alias("t")).select("t", S.ts_to_epoch_seconds("t")).first()
     assert r[0] == datetime(2024, 1, 30, 12, 0, 0) and r[1] == 1706616000
+
+
+def test_zone_independent_at_dst_gap(spark):
+    """Wall-clock NTZ arithmetic must not move through the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2022, 3, 13, 1, 30), datetime(2022, 3, 13, 2, 45, 45, 120000))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(S.elapsed_seconds("a", "b"), S.ts_to_epoch_seconds("b"),
+                      S.ts_text("b", micros=True), S.ts_text("b"), S.day_key("b")).first()
+        assert r[0] == 4545 and r[1] == 1647139545
+        assert r[2] == "2022-03-13 02:45:45.120000" and r[3] == "2022-03-13 02:45:45"
+        assert r[4] == "20220313"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
