@@ -99,6 +99,20 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     return ver.select(*base.columns, valid_to.alias("__valid_to"))
 
 
+_HOT_DECISIONS: dict[tuple, bool] = {}
+
+
+def _has_hot_keys(hot_keys: DataFrame) -> bool:
+    """One small aggregate job decides the plan. The answer only selects a
+    plan (both plans return identical rows), so it is remembered per logical
+    plan and exact input file list: new or changed files trigger a fresh
+    decision."""
+    sig = (hot_keys.semanticHash(), tuple(sorted(hot_keys.inputFiles())))
+    if sig not in _HOT_DECISIONS:
+        _HOT_DECISIONS[sig] = not hot_keys.isEmpty()
+    return _HOT_DECISIONS[sig]
+
+
 def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
          valid_from: str = "valid_from", sk_name: str = "sk",
          tiebreak: Sequence[str] | None = None,
@@ -123,7 +137,7 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     else:
         counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
         hot_keys = counts.filter(F.col("__n") > hot_key_rows).select(key)
-        if hot_keys.isEmpty():  # one small aggregate job decides the plan
+        if not _has_hot_keys(hot_keys):
             versions = _versions_one_window(base, key, tracked, valid_from, order)
         else:
             hot = F.broadcast(hot_keys)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions import scalars as S
 from ridelake.operators.joins import fanout_keys
+from ridelake.operators.rollup import distinct_values
 from ridelake.operators.quality import only, run_model_checks, summarize
 from ridelake.plans import models as M
 from ridelake.plans import oracle as O
@@ -345,6 +346,21 @@ def q_day_split(t: Tables) -> DataFrame:
                                         F.count_distinct("ride_id").alias("n_rides"))
 
 
+@register("distinct_days", O.DISTINCT_DAYS)
+def q_distinct_days(t: Tables) -> DataFrame:
+    """Day routing keys present in a load (NULL start times excluded)."""
+    return distinct_values(t.trips_raw.select(S.day_key("started_at").alias("date_str")), "date_str")
+
+
+@register("run_cardinality", O.RUN_CARDINALITY)
+def q_run_cardinality(t: Tables) -> DataFrame:
+    """Run-report counts: rows, distinct days, months and load runs."""
+    return t.trips_raw.agg(F.count(F.lit(1)).alias("n_rows"),
+                           F.count_distinct(S.day_key("started_at")).alias("n_days"),
+                           F.count_distinct("source_month").alias("n_months"),
+                           F.count_distinct("ingestion_at").alias("n_loads"))
+
+
 @register("layered_run_checks", O.dq_all_sql())
 def q_layered_run(t: Tables) -> DataFrame:
     """End-to-end layered job on a scratch warehouse: land the three feeds,
