@@ -1,17 +1,16 @@
 """Dimension lookups, point-in-time join, and join-integrity detectors.
 
-Join strategy: the dimension side is NOT broadcast blindly. ``strategy``:
-
-* ``"auto"`` (default): no hint. Catalyst broadcasts the side only when its
-  size estimate (derived from file sizes; filters, projections and windows
-  never raise it) is under ``spark.sql.autoBroadcastJoinThreshold``; AQE can
-  still demote a sort-merge join to a broadcast at runtime from the measured
-  shuffle size, and splits skewed partitions (hot or NULL keys) when the
-  join stays a shuffle join.
-* ``"broadcast"``: broadcast after an explicit, bounded row-count check
-  (``max_broadcast_rows``); falls back to ``"auto"`` when the check fails.
-* ``"shuffle"``: force a sort-merge join (large dimensions); rows that can
-  never match are salted so NULL keys do not pile onto one reducer.
+Join strategy for the dimension side (``strategy``):
+
+* ``"checked"`` (default): a bounded row count of the *actual* lookup side
+  (``limit(max_rows + 1).count()``, remembered per plan and input files)
+  decides: broadcast when it is at most ``max_rows``, otherwise a sort-merge
+  join with salting of rows that can never match. Catalyst's own size
+  estimate is not used for this decision because for a filtered/windowed
+  dimension (e.g. the current versions of a long SCD history) it reflects the
+  whole history, not the few current rows.
+* ``"auto"``: no hint; Catalyst + AQE decide from statistics.
+* ``"shuffle"``: always the salted sort-merge join.
 """
 
 from __future__ import annotations
@@ -21,36 +20,52 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
+_FITS: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows' worth of
-    result, never the whole side."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """Bounded size check: counts at most ``max_rows + 1`` rows, never the
+    whole side. The answer is remembered per logical plan and input file
+    list (it only selects a join strategy; both strategies give the same
+    rows)."""
+    sig = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if sig not in _FITS:
+        _FITS[sig] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[sig]
 
 
-def sized(dim: DataFrame, strategy: str = "auto",
+def _plan(strategy: str, dim: DataFrame, max_rows: int) -> str:
+    """Resolve a strategy to 'broadcast', 'shuffle' or 'auto'."""
+    if strategy == "checked":
+        return "broadcast" if fits_broadcast(dim, max_rows) else "shuffle"
+    if strategy in ("auto", "shuffle"):
+        return strategy
+    raise ValueError(f"unknown join strategy {strategy!r}")
+
+
+def sized(dim: DataFrame, strategy: str = "checked",
           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Apply the join strategy to the dimension side."""
-    if strategy == "broadcast":
-        return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    if strategy == "shuffle":
+    """Apply the join strategy to a dimension side used in a plain join."""
+    plan = _plan(strategy, dim, max_rows)
+    if plan == "broadcast":
+        return F.broadcast(dim)
+    if plan == "shuffle":
         return dim.hint("merge")
-    if strategy != "auto":
-        raise ValueError(f"unknown join strategy {strategy!r}")
     return dim
 
 
 def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
            take: Mapping[str, str], guard: Column | None = None,
-           strategy: str = "auto", prefix: str = "__d_") -> DataFrame:
+           strategy: str = "checked", prefix: str = "__d_",
+           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """LEFT lookup of ``take`` columns (dim column -> output name) on
     ``left[k] = dim[v]`` for each ``k: v`` in ``on``; ``guard`` (a predicate on
     the left row) restricts which rows may match at all."""
     right = dim.select(*[F.col(v).alias(prefix + "k_" + v) for v in on.values()],
                        *[F.col(src).alias(dst) for src, dst in take.items()])
-    if strategy == "shuffle":
+    plan = _plan(strategy, dim, max_rows)
+    if plan == "shuffle":
         return _salted_lookup(left, right, on, guard, prefix)
     cond = None
     for lk, rk in on.items():
@@ -58,7 +73,7 @@ def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
         cond = c if cond is None else cond & c
     if guard is not None:
         cond = guard & cond
-    out = left.join(sized(right, strategy), cond, "left")
+    out = left.join(F.broadcast(right) if plan == "broadcast" else right, cond, "left")
     return out.drop(*[prefix + "k_" + v for v in on.values()])
 
 
@@ -93,7 +108,7 @@ def current_versions(dim: DataFrame, columns: Sequence[str],
     return dim.filter(F.col(flag)).select(*columns)
 
 
-def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
+def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
                    ends: Sequence[str] = ("start", "end")) -> DataFrame:
     """Fill trip-end station id/name/coordinates from the *current* station
     versions: own value first, then a match on the station code, then (only
@@ -120,7 +135,7 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
 
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                  ts: str, take: Mapping[str, str], valid_from: str = "valid_from",
-                 valid_to: str = "valid_to", strategy: str = "auto",
+                 valid_to: str = "valid_to", strategy: str = "checked",
                  time_bucket: str | None = None) -> DataFrame:
     """Point-in-time LEFT join: the dimension version whose half-open validity
     ``[valid_from, valid_to)`` contains the fact's ``ts`` (a boundary instant

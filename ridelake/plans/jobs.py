@@ -107,7 +107,7 @@ def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "s
 
 
 def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
-                      report: RunReport | None = None, strategy: str = "auto") -> RunReport:
+                      report: RunReport | None = None, strategy: str = "checked") -> RunReport:
     """Bronze trips -> stg (checked) -> int (table, checked) -> enriched
     (table, checked) -> hourly traffic (table, checked). Needs dim_station."""
     report = report or RunReport()
@@ -135,7 +135,7 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
 
 def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | str,
                         on_error: str = "stop", report: RunReport | None = None,
-                        strategy: str = "auto") -> RunReport:
+                        strategy: str = "checked") -> RunReport:
     """Bronze status -> stg (checked) -> status_current (table, checked) ->
     demand_vs_supply at ``as_of`` (table, checked)."""
     report = report or RunReport()

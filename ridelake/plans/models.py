@@ -188,7 +188,7 @@ ENRICHED_COLUMNS = [
 ]
 
 
-def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
+def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "checked") -> DataFrame:
     """Trips with station gaps filled from current station versions and a
     row-level quality flag (evaluated on the filled values)."""
     filled = enrich_current(trips, dim, strategy=strategy).select(*ENRICHED_COLUMNS)
@@ -199,7 +199,7 @@ def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") ->
 
 
 def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
-                        ts: str = "started_at", strategy: str = "auto",
+                        ts: str = "started_at", strategy: str = "checked",
                         time_bucket: str | None = "month") -> DataFrame:
     """Point-in-time variant: attach the station version that was valid at
     the trip's start (by station code)."""
@@ -240,7 +240,7 @@ def historical_demand(hourly: DataFrame, hour: int | Column | None = None,
                      "started_day_name").agg(F.avg("total_trips").alias("avg_historical_trips"))
 
 
-def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
+def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "checked") -> DataFrame:
     """Latest status per station plus its current station attributes."""
     latest = latest_per_key(stg, ["station_id"], "ingestion_at")
     cur = current_versions(dim, ["station_id", "station_name", "short_name", "lat", "lon"])
@@ -255,7 +255,7 @@ def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "auto") -> Da
 
 
 def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
-                     as_of: datetime | str | Column, strategy: str = "auto") -> DataFrame:
+                     as_of: datetime | str | Column, strategy: str = "checked") -> DataFrame:
     """Current bikes/docks per station against the historical mean demand for
     the weekday and hour of ``as_of`` (a fixed instant, so reruns agree)."""
     now = _ts_literal(as_of)
@@ -265,9 +265,11 @@ def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
     bridge = current_versions(dim, ["station_id", "short_name"])
     with_code = lookup(current, bridge, {"station_id": "station_id"},
                        {"short_name": "__bridge_code"}, strategy=strategy, prefix="__br")
+    # both sides here are station-sized aggregates: let the planner choose
+    # (a size check would run the whole trip rollup once more just to count)
     with_hist = lookup(with_code, hist, {"__bridge_code": "short_name"},
                        {"avg_historical_trips": "avg_historical_trips"},
-                       strategy=strategy, prefix="__hd")
+                       strategy="auto", prefix="__hd")
     return with_hist.select(
         "station_id", "station_name", "num_bikes_available", "num_docks_available",
         cur_hour.alias("current_hour"), cur_day.alias("current_day_name"),

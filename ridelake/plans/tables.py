@@ -19,7 +19,7 @@ DEFAULT_AS_OF = datetime(2024, 1, 30, 12, 0, 0)  # a Tuesday, hour 12
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "auto",
+    def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "checked",
                  as_of: datetime | str = DEFAULT_AS_OF):
         self.spark, self.sf_dir, self.strategy, self.as_of = spark, sf_dir, strategy, as_of
 

@@ -59,7 +59,7 @@ def test_orphans_skip_null_children(spark):
 def test_broadcast_strategy_checks_size(spark):
     left = spark.range(100).withColumn("k", F.col("id") % 10)
     dim = spark.range(10).withColumnRenamed("id", "k2").withColumn("v", F.col("k2") * 2)
-    out = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="broadcast")
+    out = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked")
     assert out.count() == 100
     from helpers import plan_text
     assert "BroadcastHashJoin" in plan_text(out)
@@ -70,7 +70,7 @@ def test_shuffle_strategy_matches_broadcast(spark):
     from ridelake.plans import models as M
     t = Tables(spark, "/root/testdata/sf0.001")
     a = M.trips_enriched(t.int_trips, t.dim_station, strategy="shuffle")
-    b = M.trips_enriched(t.int_trips, t.dim_station, strategy="broadcast")
+    b = M.trips_enriched(t.int_trips, t.dim_station, strategy="checked")
     assert a.count() == 1000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     from helpers import plan_text
@@ -98,3 +98,15 @@ def test_as_of_boundary_with_buckets(spark):
     out = {r.id: r.name for r in enrich_as_of(facts, dim, "code", "short_name", "ts",
                                                {"station_name": "name"}, time_bucket="month").collect()}
     assert out == {"f1": "New", "f3": "Old", "f4": None}
+
+
+def test_checked_strategy_falls_back_to_salted_shuffle(spark):
+    from ridelake.operators import joins as J
+    left = spark.range(200).withColumn("k", F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 10))
+    dim = spark.range(10).withColumnRenamed("id", "k2").withColumn("v", F.col("k2") * 2)
+    small = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked")
+    big = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked", max_rows=5)
+    from helpers import plan_text
+    assert "BroadcastHashJoin" in plan_text(small) and "SortMergeJoin" in plan_text(big)
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+    assert big.filter("v IS NULL").count() == 50
