@@ -70,3 +70,21 @@ def test_status_messages(spark):
     import pytest
     with pytest.raises(ValueError):
         require_columns(spark.createDataFrame([(1,)], "x int"), ["data"])
+
+
+def test_view_run_timestamp_and_layout(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from ridelake.sinks.writers import add_run_timestamp, as_view, layout, materialize_table
+    df = spark.createDataFrame([("20240102", "b", 1), ("20240101", "a", 2), ("20240101", "c", 3)],
+                               "day string, k string, v int")
+    stamped = add_run_timestamp(df, "loaded_at", "2024-02-01 00:00:00")
+    assert {r.loaded_at.isoformat() for r in stamped.collect()} == {"2024-02-01T00:00:00"}
+    now = add_run_timestamp(df, "loaded_at")
+    assert now.select(F.count_distinct("loaded_at")).first()[0] == 1   # one instant per query
+    as_view(df, "ridelake_view_test")
+    assert spark.sql("SELECT sum(v) FROM ridelake_view_test").first()[0] == 6
+    out = layout(df, "day", ["k"], partitions=2)
+    assert out.rdd.getNumPartitions() == 2
+    materialize_table(df, f"{tmp_dir}/t", "day", ["k"])
+    back = spark.read.schema("k string, v int, day string").parquet(f"{tmp_dir}/t")
+    assert back.filter("day = '20240101'").count() == 2
