@@ -108,28 +108,47 @@ def current_versions(dim: DataFrame, columns: Sequence[str],
     return dim.filter(F.col(flag)).select(*columns)
 
 
+def station_lookup_table(cur: DataFrame) -> DataFrame:
+    """One lookup relation for both match rules: every current version is
+    listed under ``c:<code>`` and under ``n:<name>`` (one pass, explode)."""
+    keys = F.array(F.concat(F.lit("c:"), F.col("short_name")),
+                   F.concat(F.lit("n:"), F.col("station_name")))
+    return cur.select(F.explode(keys).alias("__lk"), "short_name", "station_name", "lat", "lon")
+
+
+def trip_end_key(station_id: str, station_name: str) -> Column:
+    """The code when the trip carries one, else its name: the two match
+    rules are mutually exclusive per row, so one lookup per trip end does
+    the work of a code join plus a guarded name join."""
+    return (F.when(F.col(station_id).isNotNull(), F.concat(F.lit("c:"), F.col(station_id)))
+            .otherwise(F.concat(F.lit("n:"), F.col(station_name))))
+
+
 def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
-                   ends: Sequence[str] = ("start", "end")) -> DataFrame:
+                   ends: Sequence[str] = ("start", "end"),
+                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Fill trip-end station id/name/coordinates from the *current* station
     versions: own value first, then a match on the station code, then (only
-    when the trip carries no code) a match on the station name."""
-    cur = current_versions(dim, ["station_id", "station_name", "short_name", "lat", "lon"])
+    when the trip carries no code) a match on the station name.
+
+    Plan: one join per trip end against a single lookup relation, so the
+    dimension is computed once and (when small) broadcast once -- the second
+    end reuses the exchange. Duplicate current codes or names fan out exactly
+    as two separate left joins would."""
+    table = station_lookup_table(
+        current_versions(dim, ["station_name", "short_name", "lat", "lon"]))
     out = trips
     fills = {}
     for end in ends:
         sid, sname = f"{end}_station_id", f"{end}_station_name"
-        by_code = {"short_name": f"__{end}_c_code", "station_name": f"__{end}_c_name",
-                   "lat": f"__{end}_c_lat", "lon": f"__{end}_c_lon"}
-        by_name = {"short_name": f"__{end}_n_code", "station_name": f"__{end}_n_name",
-                   "lat": f"__{end}_n_lat", "lon": f"__{end}_n_lon"}
-        out = lookup(out, cur, {sid: "short_name"}, by_code, strategy=strategy,
-                     prefix=f"__{end}_c")
-        out = lookup(out, cur, {sname: "station_name"}, by_name,
-                     guard=F.col(sid).isNull(), strategy=strategy, prefix=f"__{end}_n")
-        for own, dim_col, suffix in ((sid, "short_name", "code"), (sname, "station_name", "name"),
-                                     (f"{end}_lat", "lat", "lat"), (f"{end}_lng", "lon", "lon")):
-            fills[own] = F.coalesce(F.col(own), F.col(f"__{end}_c_{suffix}"),
-                                    F.col(f"__{end}_n_{suffix}")).alias(own)
+        key = f"__{end}_lk"
+        take = {"short_name": f"__{end}_m_code", "station_name": f"__{end}_m_name",
+                "lat": f"__{end}_m_lat", "lon": f"__{end}_m_lon"}
+        out = lookup(out.withColumn(key, trip_end_key(sid, sname)), table, {key: "__lk"}, take,
+                     strategy=strategy, prefix=f"__{end}_", max_rows=max_rows)
+        for own, suffix in ((sid, "code"), (sname, "name"), (f"{end}_lat", "lat"),
+                            (f"{end}_lng", "lon")):
+            fills[own] = F.coalesce(F.col(own), F.col(f"__{end}_m_{suffix}")).alias(own)
     return out.select(*[fills.get(c, F.col(c)) for c in trips.columns])
 
 

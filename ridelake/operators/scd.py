@@ -128,10 +128,11 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     hot the plan is exactly the single-window one.
     """
     payload = [c for c in snapshots.columns if c != ts]
-    base = snapshots.withColumnRenamed(ts, valid_from)
-    ties = [F.col(c) for c in (tiebreak or [])]
-    ties.append(F.xxhash64(*[F.col(c) for c in base.columns]))
-    order = [F.col(valid_from)] + ties
+    renamed = snapshots.withColumnRenamed(ts, valid_from)
+    # the final tiebreak is a real column, so lag and lead see the same sort
+    # key and Spark sorts once for both windows
+    base = renamed.withColumn("__tb", F.xxhash64(*[F.col(c) for c in renamed.columns]))
+    order = [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])] + [F.col("__tb")]
     if hot_key_rows is None:
         versions = _versions_one_window(base, key, tracked, valid_from, order)
     else:
