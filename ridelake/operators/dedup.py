@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import col_, year_month
+from ridelake.functions.scalars import col_, year_month_sql
 
 _RN = "__rn"
 
@@ -22,7 +22,7 @@ _RN = "__rn"
 def row_fingerprint(df: DataFrame) -> Column:
     """Deterministic final tiebreak: identical rows tie, and then it does not
     matter which one is kept."""
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    return F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in df.columns) + ")")
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -44,7 +44,7 @@ def dedup_priority(df: DataFrame, keys: Sequence[str], priority: Column,
 def month_match_priority(month_col: str = "source_month", ts_col: str = "started_at") -> Column:
     """0 when the delivering file's month equals the event's month, else 1
     (also 1 when the event time is NULL)."""
-    return F.when(F.col(month_col).cast("string") == year_month(ts_col), 0).otherwise(1)
+    return F.expr(f"CASE WHEN CAST({month_col} AS STRING) = {year_month_sql(ts_col)} THEN 0 ELSE 1 END")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str,

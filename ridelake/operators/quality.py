@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridelake.functions.scalars import sql_str, sql_value
 from ridelake.operators.joins import orphans
 
 RESULT_SCHEMA = T.StructType([
@@ -36,38 +37,44 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A per-row failure predicate (NULL counts as 'not failing')."""
+    """A per-row failure predicate, as SQL text or a Column (NULL counts as
+    'not failing')."""
     check: str
     target: str
-    failing: Column
+    failing: Column | str
     severity: str = ERROR
 
 
 def not_null(col: str, severity: str = ERROR) -> RowCheck:
-    return RowCheck("not_null", col, F.col(col).isNull(), severity)
+    return RowCheck("not_null", col, f"`{col}` IS NULL", severity)
 
 
 def accepted_values(col: str, values: Sequence, severity: str = ERROR) -> RowCheck:
     """NULL passes; anything else outside ``values`` fails."""
-    c = F.col(col)
-    return RowCheck("accepted_values", col, c.isNotNull() & ~c.isin(list(values)), severity)
+    listed = ", ".join(sql_value(v) for v in values)
+    return RowCheck("accepted_values", col, f"`{col}` IS NOT NULL AND `{col}` NOT IN ({listed})",
+                    severity)
 
 
-def expression(name: str, failing: Column, severity: str = ERROR) -> RowCheck:
+def expression(name: str, failing: Column | str, severity: str = ERROR) -> RowCheck:
     return RowCheck("expression", name, failing, severity)
 
 
+def _failures(c: RowCheck) -> Column:
+    if isinstance(c.failing, str):
+        return F.expr(f"count_if(coalesce(({c.failing}), false))")
+    return F.count_if(F.coalesce(c.failing, F.lit(False)))
+
+
 def row_checks(df: DataFrame, model: str, checks: Sequence[RowCheck]) -> DataFrame:
     """All row-level checks of one table in a single scan + one global
     aggregate (each map task emits one partial row)."""
-    aggs = [F.count_if(F.coalesce(c.failing, F.lit(False))).alias(f"c{i}")
-            for i, c in enumerate(checks)]
-    counts = df.agg(*aggs)
-    rows = [F.struct(F.lit(model).alias("model"), F.lit(c.check).alias("check_name"),
-                     F.lit(c.target).alias("target"), F.lit(c.severity).alias("severity"),
-                     F.col(f"c{i}").cast("long").alias("failures"))
-            for i, c in enumerate(checks)]
-    return counts.select(F.inline(F.array(*rows)))
+    counts = df.agg(*[_failures(c).alias(f"c{i}") for i, c in enumerate(checks)])
+    rows = ", ".join(
+        f"named_struct('model', {sql_str(model)}, 'check_name', {sql_str(c.check)}, "
+        f"'target', {sql_str(c.target)}, 'severity', {sql_str(c.severity)}, "
+        f"'failures', CAST(c{i} AS BIGINT))" for i, c in enumerate(checks))
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def _one(model: str, check: str, target: str, severity: str, failures: Column) -> list[Column]:
@@ -84,7 +91,7 @@ def unique(df: DataFrame, model: str, col: str, severity: str = ERROR) -> DataFr
 
 
 def unique_combination(df: DataFrame, model: str, keys: Sequence[str],
-                       severity: str = ERROR, where: Column | None = None) -> DataFrame:
+                       severity: str = ERROR, where: Column | str | None = None) -> DataFrame:
     """Key combinations (NULLs included) that occur more than once."""
     src = df if where is None else df.filter(where)
     dup = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -109,7 +116,7 @@ class ModelChecks:
     model: str
     rows: list[RowCheck] = field(default_factory=list)
     unique: list[str] = field(default_factory=list)
-    combos: list[tuple[tuple[str, ...], Column | None]] = field(default_factory=list)
+    combos: list[tuple[tuple[str, ...], Column | str | None]] = field(default_factory=list)
     relations: list[tuple[str, str, str]] = field(default_factory=list)  # (col, parent model, field)
 
 

@@ -35,11 +35,10 @@ DEFAULT_CHUNKS = 64
 
 def change_predicate(tracked: Sequence[str], prev_prefix: str = _PREV) -> Column:
     """``prev_first IS NULL OR a != prev_a OR ...`` with SQL NULL semantics;
-    a NULL comparison counts as 'no change'."""
-    cond = F.col(prev_prefix + tracked[0]).isNull()
-    for c in tracked:
-        cond = cond | F.coalesce(F.col(c) != F.col(prev_prefix + c), F.lit(False))
-    return cond
+    a NULL comparison counts as 'no change' (a WHERE keeps only TRUE)."""
+    arms = [f"`{prev_prefix}{tracked[0]}` IS NULL"]
+    arms += [f"`{c}` != `{prev_prefix}{c}`" for c in tracked]
+    return F.expr("coalesce(" + " OR ".join(arms) + ", false)")
 
 
 def finish_versions(versions: DataFrame, key: str, valid_from: str, sk_name: str,
@@ -131,7 +130,8 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     renamed = snapshots.withColumnRenamed(ts, valid_from)
     # the final tiebreak is a real column, so lag and lead see the same sort
     # key and Spark sorts once for both windows
-    base = renamed.withColumn("__tb", F.xxhash64(*[F.col(c) for c in renamed.columns]))
+    base = renamed.withColumn(
+        "__tb", F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in renamed.columns) + ")"))
     order = [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])] + [F.col("__tb")]
     if hot_key_rows is None:
         versions = _versions_one_window(base, key, tracked, valid_from, order)

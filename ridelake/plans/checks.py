@@ -4,8 +4,6 @@ expression-consistency checks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ridelake.functions import scalars as S
 from ridelake.operators.quality import ModelChecks, accepted_values, expression, not_null
 
@@ -16,20 +14,15 @@ def _nn(*cols: str):
     return [not_null(c) for c in cols]
 
 
-def _duration_mismatch():
+def _duration_mismatch() -> str:
     """Stored minutes disagree with seconds/60 by more than 0.01."""
-    expected = F.round(F.col("trip_duration_seconds") / F.lit(60.0), 2)
-    return F.abs(F.col("trip_duration_minutes") - expected) > 0.01
+    return "abs(trip_duration_minutes - round(trip_duration_seconds / 60.0D, 2)) > 0.01"
 
 
-def _time_of_day_mismatch():
-    h, t = F.col("started_hour"), F.col("time_of_day")
+def _time_of_day_mismatch() -> str:
     bands = S.TIME_OF_DAY_BANDS + [(19, 23, S.TIME_OF_DAY_OTHER)]
-    cond = None
-    for lo, hi, label in bands:
-        c = h.between(lo, hi) & (t != label)
-        cond = c if cond is None else cond | c
-    return cond
+    return " OR ".join(f"(started_hour BETWEEN {lo} AND {hi} AND time_of_day != {S.sql_str(label)})"
+                       for lo, hi, label in bands)
 
 
 def model_checks() -> dict[str, ModelChecks]:
@@ -61,7 +54,7 @@ def model_checks() -> dict[str, ModelChecks]:
             "dim_station",
             rows=_nn("station_sk", "station_id", "valid_from", "is_current"),
             unique=["station_sk"],
-            combos=[(("station_id",), F.col("is_current"))]),
+            combos=[(("station_id",), "is_current")]),
         "trips_enriched": ModelChecks(
             "trips_enriched",
             rows=_nn("ride_id", "data_quality_flag")

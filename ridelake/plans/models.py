@@ -148,18 +148,17 @@ def stg_status(status_raw: DataFrame) -> DataFrame:
 
 def add_time_dims(trips: DataFrame) -> DataFrame:
     """Duration and calendar attributes of each trip (projection only)."""
-    secs = S.elapsed_seconds("started_at", "ended_at")
-    hour = F.hour("started_at")
-    return trips.select(
+    secs = S.elapsed_seconds_sql("started_at", "ended_at")
+    return trips.selectExpr(
         "ingestion_at", "source_month", "source_data", "ride_id", "rideable_type",
         "started_at", "ended_at",
-        S.minutes_2dp(secs).alias("trip_duration_minutes"),
-        secs.alias("trip_duration_seconds"),
-        F.to_date("started_at").alias("started_date"),
-        hour.alias("started_hour"),
-        S.weekday_name("started_at").alias("started_day_name"),
-        S.is_weekend("started_at").alias("is_weekend"),
-        S.time_of_day(hour).alias("time_of_day"),
+        f"{S.minutes_2dp_sql(secs)} AS trip_duration_minutes",
+        f"{secs} AS trip_duration_seconds",
+        "to_date(started_at) AS started_date",
+        "hour(started_at) AS started_hour",
+        f"{S.weekday_name_sql('started_at')} AS started_day_name",
+        f"{S.is_weekend_sql('started_at')} AS is_weekend",
+        f"{S.time_of_day_sql('hour(started_at)')} AS time_of_day",
         "start_station_id", "start_station_name", "end_station_id", "end_station_name",
         "start_lat", "start_lng", "end_lat", "end_lng", "member_casual")
 
@@ -255,11 +254,11 @@ def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "checked") ->
 
 
 def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
-                     as_of: datetime | str | Column, strategy: str = "checked") -> DataFrame:
+                     as_of: datetime | str, strategy: str = "checked") -> DataFrame:
     """Current bikes/docks per station against the historical mean demand for
     the weekday and hour of ``as_of`` (a fixed instant, so reruns agree)."""
-    now = _ts_literal(as_of)
-    cur_hour = F.hour(now)
+    now = S.ntz_sql(as_of.strftime("%Y-%m-%d %H:%M:%S") if isinstance(as_of, datetime) else as_of)
+    cur_hour = F.expr(f"hour({now})")
     cur_day = S.weekday_name(now)
     hist = historical_demand(hourly, cur_hour, cur_day).select("short_name", "avg_historical_trips")
     bridge = current_versions(dim, ["station_id", "short_name"])

@@ -10,18 +10,17 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import SOURCE_DATA_BATCH, ntz_literal, ts_to_epoch_seconds
+from ridelake.functions.scalars import SOURCE_DATA_BATCH, ntz_sql, sql_str, ts_to_epoch_seconds_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _code(num) -> "F.Column":
+def _code_sql(num: str) -> str:
     """'S' + five-digit zero-padded number (station short code)."""
-    return F.concat(F.lit("S"), F.lpad(num.cast("string"), 5, "0"))
+    return f"concat('S', lpad(CAST({num} AS STRING), 5, '0'))"
 
 
 def trips_raw_from_events(events: DataFrame) -> DataFrame:
@@ -29,44 +28,36 @@ def trips_raw_from_events(events: DataFrame) -> DataFrame:
     re-deliveries (a later month's file and a re-run of January) for some ids,
     so priority dedup has real work. Built with one scan and a generator
     instead of a three-way UNION, which would read the source three times."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    ms = (F.when(eid % 50 == 0, F.lit(0))
-          .when(eid % 50 == 1, F.lit(-30000))
-          .when(eid % 50 == 2, F.lit(172800000))
-          .otherwise((eid * 7919) % 3600000)).cast("int")
-    end_code = (uid * 7 + eid) % 120
-    deliveries = F.array(
-        F.struct(F.lit(True).alias("keep"), F.lit("202401").alias("source_month"),
-                 ntz_literal("2024-02-01 00:00:00").alias("ingestion_at")),
-        F.struct((eid % 10 == 0).alias("keep"), F.lit("202402").alias("source_month"),
-                 ntz_literal("2024-03-01 00:00:00").alias("ingestion_at")),
-        F.struct((eid % 15 == 0).alias("keep"), F.lit("202401").alias("source_month"),
-                 ntz_literal("2024-02-15 00:00:00").alias("ingestion_at")),
+    end_code = "((user_id * 7 + event_id) % 120)"
+    deliveries = (
+        "inline(filter(array("
+        f"named_struct('keep', true, 'source_month', '202401', 'ingestion_at', {ntz_sql('2024-02-01 00:00:00')}), "
+        f"named_struct('keep', event_id % 10 = 0, 'source_month', '202402', 'ingestion_at', {ntz_sql('2024-03-01 00:00:00')}), "
+        f"named_struct('keep', event_id % 15 = 0, 'source_month', '202401', 'ingestion_at', {ntz_sql('2024-02-15 00:00:00')})"
+        "), d -> d.keep))")
+    ended_ms = ("CAST(CASE WHEN event_id % 50 = 0 THEN 0 WHEN event_id % 50 = 1 THEN -30000 "
+                "WHEN event_id % 50 = 2 THEN 172800000 ELSE (event_id * 7919) % 3600000 END AS INT)")
+    trips = events.selectExpr(
+        "concat('R', CAST(event_id AS STRING)) AS ride_id",
+        "CASE WHEN event_id % 3 = 0 THEN 'classic_bike' ELSE 'electric_bike' END AS rideable_type",
+        "ts AS started_at",
+        f"timestampadd(MILLISECOND, {ended_ms}, ts) AS ended_at",
+        f"CASE WHEN event_id % 7 = 0 THEN NULL ELSE {_code_sql('user_id')} END AS start_station_id",
+        "CASE WHEN event_id % 21 = 0 THEN NULL "
+        "ELSE concat('Station ', CAST(user_id AS STRING)) END AS start_station_name",
+        f"CASE WHEN event_id % 33 = 0 THEN 'X99999' WHEN event_id % 13 = 0 THEN NULL "
+        f"ELSE {_code_sql(end_code)} END AS end_station_id",
+        f"CASE WHEN event_id % 13 = 0 AND event_id % 26 != 0 "
+        f"THEN concat('Station ', CAST({end_code} AS STRING)) END AS end_station_name",
+        "CASE WHEN event_id % 7 = 0 THEN NULL ELSE 40.0D + user_id / 1000.0D END AS start_lat",
+        "CASE WHEN event_id % 11 = 0 THEN NULL ELSE 40.5D END AS end_lat",
+        "CASE WHEN event_id % 7 = 0 THEN NULL ELSE -74.0D - user_id / 1000.0D END AS start_lng",
+        "CASE WHEN event_id % 11 = 0 THEN NULL ELSE -74.5D END AS end_lng",
+        "CASE WHEN event_type IN ('view', 'click') THEN 'casual' ELSE 'member' END AS member_casual",
+        deliveries,
     )
-    trips = events.select(
-        F.concat(F.lit("R"), eid.cast("string")).alias("ride_id"),
-        F.when(eid % 3 == 0, "classic_bike").otherwise("electric_bike").alias("rideable_type"),
-        F.col("ts").alias("started_at"),
-        F.timestamp_add("MILLISECOND", ms, F.col("ts")).alias("ended_at"),
-        F.when(eid % 7 == 0, F.lit(None).cast("string")).otherwise(_code(uid)).alias("start_station_id"),
-        F.when(eid % 21 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("Station "), uid.cast("string"))).alias("start_station_name"),
-        F.when(eid % 33 == 0, F.lit("X99999"))
-         .when(eid % 13 == 0, F.lit(None).cast("string"))
-         .otherwise(_code(end_code)).alias("end_station_id"),
-        F.when((eid % 13 == 0) & (eid % 26 != 0),
-               F.concat(F.lit("Station "), end_code.cast("string"))).alias("end_station_name"),
-        F.when(eid % 7 == 0, F.lit(None).cast("double"))
-         .otherwise(F.lit(40.0) + uid / F.lit(1000.0)).alias("start_lat"),
-        F.when(eid % 11 == 0, F.lit(None).cast("double")).otherwise(F.lit(40.5)).alias("end_lat"),
-        F.when(eid % 7 == 0, F.lit(None).cast("double"))
-         .otherwise(F.lit(-74.0) - uid / F.lit(1000.0)).alias("start_lng"),
-        F.when(eid % 11 == 0, F.lit(None).cast("double")).otherwise(F.lit(-74.5)).alias("end_lng"),
-        F.when(F.col("event_type").isin("view", "click"), "casual").otherwise("member").alias("member_casual"),
-        F.inline(F.filter(deliveries, lambda d: d["keep"])),
-    )
-    return trips.select(
-        "ingestion_at", "source_month", F.lit(SOURCE_DATA_BATCH).alias("source_data"),
+    return trips.selectExpr(
+        "ingestion_at", "source_month", f"{sql_str(SOURCE_DATA_BATCH)} AS source_data",
         "ride_id", "rideable_type", "started_at", "ended_at", "start_station_id",
         "start_station_name", "end_station_id", "end_station_name", "start_lat",
         "end_lat", "start_lng", "end_lng", "member_casual",
@@ -76,25 +67,19 @@ def trips_raw_from_events(events: DataFrame) -> DataFrame:
 def station_snapshots_from_orders(orders: DataFrame) -> DataFrame:
     """Station-information snapshots: one per order, the customer is the
     station; the order date (shifted into 2020..2026) is the extraction time."""
-    k = F.col("o_custkey")
-    capacity = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
-                .when(F.col("o_orderstatus") == "F", F.lit(10))
-                .when(F.col("o_orderstatus") == "O", F.lit(20))
-                .when(F.col("o_orderstatus") == "P", F.lit(30))).cast("int")
-    extracted = F.timestamp_add(
-        "SECOND", F.col("o_orderkey") % 86400,
-        F.timestamp_add("DAY", F.lit(9131), F.col("o_orderdate").cast("timestamp_ntz")))
-    return orders.select(
-        F.concat(F.lit("uuid-"), k.cast("string")).alias("station_id"),
-        F.concat(F.lit("Station "), k.cast("string")).alias("station_name"),
-        _code(k).alias("short_name"),
-        (F.lit(-74.0) - k / F.lit(1000.0)).alias("lon"),
-        (F.lit(40.0) + k / F.lit(1000.0)).alias("lat"),
-        (k % 5).cast("string").alias("region_id"),
-        capacity.alias("capacity"),
-        F.lit("app://station/android").alias("rental_uri_android"),
-        F.lit("app://station/ios").alias("rental_uri_ios"),
-        extracted.alias("extracted_at"),
+    return orders.selectExpr(
+        "concat('uuid-', CAST(o_custkey AS STRING)) AS station_id",
+        "concat('Station ', CAST(o_custkey AS STRING)) AS station_name",
+        f"{_code_sql('o_custkey')} AS short_name",
+        "-74.0D - o_custkey / 1000.0D AS lon",
+        "40.0D + o_custkey / 1000.0D AS lat",
+        "CAST(o_custkey % 5 AS STRING) AS region_id",
+        "CAST(CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus = 'F' THEN 10 "
+        "WHEN o_orderstatus = 'O' THEN 20 WHEN o_orderstatus = 'P' THEN 30 END AS INT) AS capacity",
+        "'app://station/android' AS rental_uri_android",
+        "'app://station/ios' AS rental_uri_ios",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) + INTERVAL '9131' DAY "
+        "+ (o_orderkey % 86400) * INTERVAL '1' SECOND AS extracted_at",
     )
 
 
@@ -102,25 +87,22 @@ def station_status_from_events(events: DataFrame) -> DataFrame:
     """Bronze status rows (already flattened): the user is the station, the
     event time is both the poll time and the report time (epoch seconds, as
     the feed carries them)."""
-    eid = F.col("event_id")
-    epoch = ts_to_epoch_seconds(F.col("ts"))
-    zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    return events.select(
-        F.col("ts").alias("ingestion_at"),
-        epoch.alias("feed_last_updated"),
-        F.concat(F.lit("uuid-"), F.col("user_id").cast("string")).alias("station_id"),
-        (eid % 5).cast("bigint").alias("num_bikes_available"),
-        zero.alias("num_bikes_disabled"),
-        (eid % 7).cast("bigint").alias("num_docks_available"),
-        zero.alias("num_docks_disabled"),
-        one.alias("is_installed"),
-        one.alias("is_renting"),
-        one.alias("is_returning"),
-        epoch.alias("last_reported"),
-        zero.alias("num_ebikes_available"),
-        zero.alias("num_scooters_available"),
-        zero.alias("num_scooters_unavailable"),
+    epoch = ts_to_epoch_seconds_sql("ts")
+    return events.selectExpr(
+        "ts AS ingestion_at",
+        f"{epoch} AS feed_last_updated",
+        "concat('uuid-', CAST(user_id AS STRING)) AS station_id",
+        "CAST(event_id % 5 AS BIGINT) AS num_bikes_available",
+        "CAST(0 AS BIGINT) AS num_bikes_disabled",
+        "CAST(event_id % 7 AS BIGINT) AS num_docks_available",
+        "CAST(0 AS BIGINT) AS num_docks_disabled",
+        "CAST(1 AS BIGINT) AS is_installed",
+        "CAST(1 AS BIGINT) AS is_renting",
+        "CAST(1 AS BIGINT) AS is_returning",
+        f"{epoch} AS last_reported",
+        "CAST(0 AS BIGINT) AS num_ebikes_available",
+        "CAST(0 AS BIGINT) AS num_scooters_available",
+        "CAST(0 AS BIGINT) AS num_scooters_unavailable",
     )
 
 

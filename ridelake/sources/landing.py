@@ -24,7 +24,7 @@ def status_documents(events: DataFrame, block: int = STATUS_BLOCK) -> DataFrame:
     as JSON strings (column ``value``), one per block of event ids; the
     document time is the newest report it carries."""
     eid = F.col("event_id")
-    epoch = ts_to_epoch_seconds(F.col("ts"))
+    epoch = ts_to_epoch_seconds("ts")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     counters = {
         "num_bikes_available": (eid % 5).cast("bigint"), "num_bikes_disabled": zero,
