@@ -31,6 +31,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     rows)."""
     sig = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     if sig not in _FITS:
+        if len(_FITS) >= 256:
+            _FITS.clear()
         _FITS[sig] = df.limit(max_rows + 1).count() <= max_rows
     return _FITS[sig]
 

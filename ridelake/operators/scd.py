@@ -108,6 +108,8 @@ def _has_hot_keys(hot_keys: DataFrame) -> bool:
     decision."""
     sig = (hot_keys.semanticHash(), tuple(sorted(hot_keys.inputFiles())))
     if sig not in _HOT_DECISIONS:
+        if len(_HOT_DECISIONS) >= 256:
+            _HOT_DECISIONS.clear()
         _HOT_DECISIONS[sig] = not hot_keys.isEmpty()
     return _HOT_DECISIONS[sig]
 
