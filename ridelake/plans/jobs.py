@@ -133,9 +133,9 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     return report
 
 
-def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | str,
+def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | str | None,
                         on_error: str = "stop", report: RunReport | None = None,
-                        strategy: str = "checked") -> RunReport:
+                        strategy: str = "checked", tz: str | None = None) -> RunReport:
     """Bronze status -> stg (checked) -> status_current (table, checked) ->
     demand_vs_supply at ``as_of`` (table, checked)."""
     report = report or RunReport()
@@ -148,7 +148,7 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
     if not _check(report, cur, "status_current", {"dim_station": dim}, on_error):
         return report
     hourly = read_table(spark, warehouse, GOLD, "hourly_traffic")
-    materialize_table(M.demand_vs_supply(cur, hourly, dim, as_of, strategy),
+    materialize_table(M.demand_vs_supply(cur, hourly, dim, as_of, strategy, tz),
                       f"{warehouse}/{GOLD}/demand_vs_supply")
     dvs = read_table(spark, warehouse, GOLD, "demand_vs_supply")
     _check(report, dvs, "demand_vs_supply", {}, on_error)

@@ -254,10 +254,20 @@ def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "checked") ->
 
 
 def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
-                     as_of: datetime | str, strategy: str = "checked") -> DataFrame:
+                     as_of: datetime | str | None = None, strategy: str = "checked",
+                     tz: str | None = None) -> DataFrame:
     """Current bikes/docks per station against the historical mean demand for
-    the weekday and hour of ``as_of`` (a fixed instant, so reruns agree)."""
-    now = S.ntz_sql(as_of.strftime("%Y-%m-%d %H:%M:%S") if isinstance(as_of, datetime) else as_of)
+    the weekday and hour of ``as_of``.
+
+    ``as_of`` is a fixed instant (UTC wall-clock) so reruns agree; ``None``
+    means the query's current time. ``tz`` reads the current hour/weekday on
+    that zone's clock instead of UTC (trip hours stay as recorded)."""
+    if as_of is None:
+        now = "convert_timezone('UTC', CAST(current_timestamp() AS TIMESTAMP_NTZ))"
+    else:
+        now = S.ntz_sql(as_of.strftime("%Y-%m-%d %H:%M:%S") if isinstance(as_of, datetime) else as_of)
+    if tz:
+        now = f"convert_timezone('UTC', {S.sql_str(tz)}, {now})"
     cur_hour = F.expr(f"hour({now})")
     cur_day = S.weekday_name(now)
     hist = historical_demand(hourly, cur_hour, cur_day).select("short_name", "avg_historical_trips")
