@@ -50,12 +50,26 @@ def get_spark(master: str | None = None, app: str = "ridelake",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on sessions that do not expose one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``
     (or one already given to ``setCheckpointDir``)."""
-    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        try:
+            return spark.conf.get("spark.checkpoint.dir", None) or None
+        except Exception:  # noqa: BLE001
+            return None
+    value = sc.getConf().get("spark.checkpoint.dir", None)
     if not value:
-        value = spark.sparkContext.getCheckpointDir()
+        value = sc.getCheckpointDir()
     return value or None
 
 
@@ -68,8 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if root is None:
         root = tempfile.mkdtemp(prefix="ridelake-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
