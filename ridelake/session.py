@@ -27,7 +27,8 @@ SESSION_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "ridelake",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the package's settings.
 
     On a cluster the master comes from spark-submit; ``master`` is only for
@@ -42,6 +43,8 @@ def get_spark(master: str | None = None, app: str = "ridelake",
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if driver_memory:  # only effective when this call starts the JVM (local runs)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
