@@ -47,7 +47,7 @@ class RunReport:
 
 def _check(report: RunReport, df: DataFrame, model: str, parents: dict[str, DataFrame],
            on_error: str) -> bool:
-    """Run the model's checks; return False when the pipeline must stop.
+    """Run the model's checks; return False when the run must stop.
     The results are one small row per check, so they are collected once and
     kept as a tiny local frame."""
     res = run_model_checks(df, model_checks()[model], parents)

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ridelake.functions.scalars import ntz_literal, utc_now
 

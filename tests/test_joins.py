@@ -101,7 +101,7 @@ def test_as_of_boundary_with_buckets(spark):
 
 
 def test_checked_strategy_falls_back_to_salted_shuffle(spark):
-    from ridelake.operators import joins as J
+
     left = spark.range(200).withColumn("k", F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 10))
     dim = spark.range(10).withColumnRenamed("id", "k2").withColumn("v", F.col("k2") * 2)
     small = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked")

@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from ridelake.functions import scalars as S
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from ridelake.operators.dedup import latest_per_key
 from ridelake.plans.models import flatten_status
