@@ -1,7 +1,7 @@
 """Command-line runner (``spark-submit -m``-style entry point).
 
   python -m ridelake.run stations      --landing DIR --warehouse DIR [--multi-line] [--extracted-at document]
-  python -m ridelake.run trips         --landing DIR --warehouse DIR [--months 202401,202402] [--mode append|overwrite_days]
+  python -m ridelake.run trips         --landing DIR --warehouse DIR [--months 202401,202402] [--mode append|overwrite_days] [--incremental]
   python -m ridelake.run status-stream --landing DIR --warehouse DIR [--checkpoint DIR] [--trigger "300 seconds" | --available-now]
   python -m ridelake.run status        --warehouse DIR [--as-of "2024-01-30 12:00:00"] [--tz ZONE]
 
@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--as-of")
     ap.add_argument("--tz")
     ap.add_argument("--report-only", action="store_true")
+    ap.add_argument("--incremental", action="store_true",
+                    help="trips: rebuild only the days present in this load")
     a = ap.parse_args(argv)
     on_error = "report" if a.report_only else "stop"
     spark = get_spark(app=f"ridelake-{a.command}")
@@ -55,8 +57,9 @@ def main(argv: list[str] | None = None) -> int:
         return _report(J.build_station_models(spark, a.warehouse, on_error))
     if a.command == "trips":
         months = [m for m in a.months.split(",") if m] or None
-        J.load_trip_files(spark, a.landing, a.warehouse, months, mode=a.mode)
-        return _report(J.build_trip_models(spark, a.warehouse, on_error))
+        days = J.load_trip_files(spark, a.landing, a.warehouse, months, mode=a.mode)
+        return _report(J.build_trip_models(spark, a.warehouse, on_error,
+                                           days=days if a.incremental else None))
     if a.command == "status-stream":
         ckpt = a.checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ridelake", "status-stream")
         q = start_status_stream(spark, a.landing, f"{a.warehouse}/{J.BRONZE}/station_status", ckpt,

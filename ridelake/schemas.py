@@ -30,6 +30,28 @@ TRIPS_RAW_COLUMNS = [
     "end_lng", "member_casual",
 ]
 
+# Bronze trips as written by the loaders (``date_str`` is the day folder; the
+# schema keeps it a string instead of letting partition discovery make it INT).
+TRIPS_BRONZE = T.StructType([
+    T.StructField("ingestion_at", T.TimestampNTZType()),
+    T.StructField("source_month", T.StringType()),
+    T.StructField("source_data", T.StringType()),
+    T.StructField("ride_id", T.StringType()),
+    T.StructField("rideable_type", T.StringType()),
+    T.StructField("started_at", T.TimestampNTZType()),
+    T.StructField("ended_at", T.TimestampNTZType()),
+    T.StructField("start_station_id", T.StringType()),
+    T.StructField("start_station_name", T.StringType()),
+    T.StructField("end_station_id", T.StringType()),
+    T.StructField("end_station_name", T.StringType()),
+    T.StructField("start_lat", T.DoubleType()),
+    T.StructField("end_lat", T.DoubleType()),
+    T.StructField("start_lng", T.DoubleType()),
+    T.StructField("end_lng", T.DoubleType()),
+    T.StructField("member_casual", T.StringType()),
+    T.StructField("date_str", T.StringType()),
+])
+
 STATION_INFO_DOC = T.StructType([
     T.StructField("last_updated", T.LongType()),
     T.StructField("data", T.StructType([

@@ -62,12 +62,18 @@ def append_snapshot(df: DataFrame, path: str) -> None:
 
 
 def materialize_table(df: DataFrame, path: str, day_col: str | None = None,
-                      cluster_cols: Sequence[str] = (), partitions: int | None = None) -> None:
+                      cluster_cols: Sequence[str] = (), partitions: int | None = None,
+                      replace_days: bool = False) -> None:
     """Full rebuild of a model table (optionally day-partitioned + clustered).
-    Writing the layer is also what cuts the lineage for the next layer."""
+    With ``replace_days`` only the day folders present in ``df`` are replaced
+    (incremental rebuild; other days untouched). Writing the layer is also
+    what cuts the lineage for the next layer."""
     if day_col:
         out = layout(df, day_col, cluster_cols, partitions)
-        out.write.mode("overwrite").partitionBy(day_col).parquet(path)
+        writer = out.write.mode("overwrite").partitionBy(day_col)
+        if replace_days:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
