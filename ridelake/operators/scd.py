@@ -12,11 +12,11 @@ Plan: change detection (``lag``) and validity end (``lead``) share one
 partitioning and ordering, so an ordinary key costs one Exchange + Sort.
 A key whose history exceeds ``hot_key_rows`` would put all of it into one
 window partition (one task); such *hot* keys are found by a cheap counting
-pass and their histories are cut into ``chunks`` time ranges of about equal
-row count (approximate percentiles of the timestamp). Each chunk is windowed
-on its own; the only cross-chunk facts needed -- the last snapshot before a
-chunk and the first version after it -- come from two small aggregates
-(at most hot keys x chunks rows, broadcast) joined back.
+pass and their rows are range-partitioned on (key, time) into contiguous
+chunks of about ``hot_key_rows`` rows (sampled range bounds). Each chunk is
+windowed on its own; the only cross-chunk facts needed -- the last snapshot
+before a chunk and the first version after it -- come from two small
+aggregates (one row per key and chunk, broadcast) joined back.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.scalars import open_end, surrogate_key, ts_to_epoch_micros
+from ridelake.functions.scalars import open_end, surrogate_key
 
 _PREV = "__prev_"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-DEFAULT_CHUNKS = 64
+DEFAULT_MAX_CHUNKS = 20000
 
 
 def change_predicate(tracked: Sequence[str], prev_prefix: str = _PREV) -> Column:
@@ -64,14 +64,13 @@ def _versions_one_window(base: DataFrame, key: str, tracked: Sequence[str], vali
 def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str,
                       order: list[Column], chunks: int) -> DataFrame:
     """Same result as :func:`_versions_one_window` for keys with huge
-    histories, with per-task work bounded by about rows/chunks."""
-    pos = ts_to_epoch_micros(valid_from)
-    pcts = [i / chunks for i in range(1, chunks)]
-    bounds = base.groupBy(key).agg(F.percentile_approx(pos, pcts, 10000).alias("__bounds"))
-    # chunk = number of boundaries at or before the row (NULL times -> chunk 0,
-    # consistent with NULLS FIRST ordering)
-    chunk = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= pos)), F.lit(0))
-    b = (base.join(F.broadcast(bounds), key).withColumn("__c", chunk).drop("__bounds"))
+    histories. The hot keys' rows are range-partitioned on (key, time) into
+    ``chunks`` contiguous, sample-balanced ranges (Spark computes the range
+    bounds once per shuffle, so retried tasks see the same assignment); the
+    range is the chunk id, so per-task work is about rows/chunks however
+    skewed a single key is."""
+    b = (base.repartitionByRange(chunks, F.col(key), *order)
+         .withColumn("__c", F.spark_partition_id()))
     w = Window.partitionBy(key, "__c").orderBy(*order)
     per_key = Window.partitionBy(key).orderBy("__c")
     ordering = F.struct(*order)
@@ -98,19 +97,20 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     return ver.select(*base.columns, valid_to.alias("__valid_to"))
 
 
-_HOT_DECISIONS: dict[tuple, bool] = {}
+_HOT_DECISIONS: dict[tuple, tuple[int, int]] = {}
 
 
-def _has_hot_keys(hot_keys: DataFrame) -> bool:
-    """One small aggregate job decides the plan. The answer only selects a
-    plan (both plans return identical rows), so it is remembered per logical
-    plan and exact input file list: new or changed files trigger a fresh
-    decision."""
-    sig = (hot_keys.semanticHash(), tuple(sorted(hot_keys.inputFiles())))
+def _hot_stats(hot_counts: DataFrame) -> tuple[int, int]:
+    """(hot keys, rows of hot keys) from one small aggregate job. The answer
+    only selects a plan (every plan returns identical rows), so it is
+    remembered per logical plan and exact input file list: new or changed
+    files trigger a fresh decision."""
+    sig = (hot_counts.semanticHash(), tuple(sorted(hot_counts.inputFiles())))
     if sig not in _HOT_DECISIONS:
         if len(_HOT_DECISIONS) >= 256:
             _HOT_DECISIONS.clear()
-        _HOT_DECISIONS[sig] = not hot_keys.isEmpty()
+        row = hot_counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+        _HOT_DECISIONS[sig] = (int(row[0]), int(row[1]))
     return _HOT_DECISIONS[sig]
 
 
@@ -118,15 +118,16 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
          valid_from: str = "valid_from", sk_name: str = "sk",
          tiebreak: Sequence[str] | None = None,
          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-         chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+         max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
     """Versions of each ``key`` from its snapshot history.
 
     ``hot_key_rows=None`` skips hot-key detection (one window over every key;
     use when the history per key is known to be small). Otherwise keys with
-    more snapshots than that are split as described in the module doc; the
-    hot-key list is bounded by total_rows / hot_key_rows, so broadcasting it
-    is safe. Detection runs one aggregate job when called; when no key is
-    hot the plan is exactly the single-window one.
+    more snapshots than that are split as described in the module doc into
+    about hot_rows / hot_key_rows chunks (at most ``max_chunks``); the hot-key
+    list is bounded by total_rows / hot_key_rows, so broadcasting it is safe.
+    Detection runs one aggregate job when called; when no key is hot the plan
+    is exactly the single-window one.
     """
     payload = [c for c in snapshots.columns if c != ts]
     renamed = snapshots.withColumnRenamed(ts, valid_from)
@@ -139,14 +140,16 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
         versions = _versions_one_window(base, key, tracked, valid_from, order)
     else:
         counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        hot_keys = counts.filter(F.col("__n") > hot_key_rows).select(key)
-        if not _has_hot_keys(hot_keys):
+        hot_counts = counts.filter(F.col("__n") > hot_key_rows)
+        n_hot, hot_rows = _hot_stats(hot_counts)
+        if n_hot == 0:
             versions = _versions_one_window(base, key, tracked, valid_from, order)
         else:
-            hot = F.broadcast(hot_keys)
+            hot = F.broadcast(hot_counts.select(key))
+            n_chunks = int(min(max_chunks, max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1)))
             cold = _versions_one_window(base.join(hot, key, "left_anti"), key, tracked,
                                         valid_from, order)
             hot_v = _versions_chunked(base.join(hot, key, "left_semi"), key, tracked,
-                                      valid_from, order, chunks)
+                                      valid_from, order, n_chunks)
             versions = cold.unionByName(hot_v)
     return finish_versions(versions, key, valid_from, sk_name, payload)

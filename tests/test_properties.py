@@ -62,7 +62,7 @@ def brute_scd(rows, tracked_idx):
 def test_scd2_brute_force(spark, rows, hot):
     df = spark.createDataFrame([(k, T0 + timedelta(days=d), n, c) for k, d, n, c in rows],
                                "k string, ts timestamp_ntz, name string, cap int")
-    res = scd2(df, "k", ["name", "cap"], "ts", hot_key_rows=hot, chunks=3).collect()
+    res = scd2(df, "k", ["name", "cap"], "ts", hot_key_rows=hot, max_chunks=3).collect()
     got = sorted([(r.k, (r.valid_from - T0).days,
                    None if r.is_current else (r.valid_to - T0).days, r.name, r.cap) for r in res],
                  key=repr)

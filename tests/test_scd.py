@@ -65,5 +65,5 @@ def test_hot_key_split_matches_single_window(spark):
     args = (df, "station_id", TRACKED_STATION_ATTRS, "extracted_at")
     one = scd2(*args, hot_key_rows=None)
     for hk, ch in ((50, 7), (0, 3)):
-        split = scd2(*args, hot_key_rows=hk, chunks=ch)
+        split = scd2(*args, hot_key_rows=hk, max_chunks=ch)
         assert one.exceptAll(split).count() == 0 and split.exceptAll(one).count() == 0
