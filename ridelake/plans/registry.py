@@ -21,7 +21,7 @@ from ridelake.plans import models as M
 from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
-from ridelake.session import scratch_path
+from ridelake.session import ensure_checkpoint_dir, scratch_path
 from ridelake.plans import jobs as J
 from ridelake.sinks.writers import append_snapshot, write_day_partitioned
 from ridelake.sources import adapters as A
@@ -217,9 +217,18 @@ _CHECKED_MODELS = ["stg_trips", "stg_stations", "stg_status", "int_trips", "dim_
                    "trips_enriched", "hourly_traffic", "status_current", "demand_vs_supply"]
 
 
-def check_results(t: Tables, kinds=None, check: str | None = None) -> DataFrame:
-    """Union of the selected checks over every model (each model is built once
-    per query plan; row-level checks of a model share one scan)."""
+def check_results(t: Tables, kinds=None, check: str | None = None,
+                  shared: tuple[str, ...] = ()) -> DataFrame:
+    """Union of the selected checks over every model.
+
+    ``shared`` names models that several checks (and downstream models)
+    consume; each is computed once and checkpointed (reliable storage under
+    the checkpoint directory, lineage cut) instead of being recomputed by
+    every branch of the union. Upstream models must come first."""
+    if shared:
+        ensure_checkpoint_dir(t.spark)
+    for name in shared:
+        t.__dict__[name] = t.model(name).checkpoint(eager=True)
     specs = model_checks()
     parents = {"dim_station": t.dim_station}
     parts = []
@@ -233,14 +242,18 @@ def check_results(t: Tables, kinds=None, check: str | None = None) -> DataFrame:
     return out
 
 
+# models reused by several checks / downstream models, in build order
+_ALL_SHARED = ("dim_station", "int_trips", "trips_enriched", "hourly_traffic", "status_current")
+
+
 @register("dq_not_null", O.dq_sql(O.dq_not_null_rows()))
 def q_dq_not_null(t: Tables) -> DataFrame:
-    return check_results(t, ["row"], "not_null")
+    return check_results(t, ["row"], "not_null", shared=_ALL_SHARED)
 
 
 @register("dq_accepted_values", O.dq_sql(O.dq_accepted_rows()))
 def q_dq_accepted(t: Tables) -> DataFrame:
-    return check_results(t, ["row"], "accepted_values")
+    return check_results(t, ["row"], "accepted_values", shared=_ALL_SHARED)
 
 
 @register("dq_expression", O.dq_sql(O.dq_expression_rows()))
@@ -250,22 +263,23 @@ def q_dq_expression(t: Tables) -> DataFrame:
 
 @register("dq_unique", O.dq_sql(O.dq_unique_rows()))
 def q_dq_unique(t: Tables) -> DataFrame:
-    return check_results(t, ["unique"])
+    return check_results(t, ["unique"], shared=("dim_station",))
 
 
 @register("dq_relationships", O.dq_sql(O.dq_relationship_rows()))
 def q_dq_relationships(t: Tables) -> DataFrame:
-    return check_results(t, ["relationships"])
+    return check_results(t, ["relationships"],
+                         shared=("dim_station", "trips_enriched"))
 
 
 @register("dq_unique_combination", O.dq_sql(O.dq_combo_rows()))
 def q_dq_combos(t: Tables) -> DataFrame:
-    return check_results(t, ["unique_combination"])
+    return check_results(t, ["unique_combination"], shared=_ALL_SHARED)
 
 
 @register("dq_gate_summary", O.dq_summary_sql())
 def q_dq_gate(t: Tables) -> DataFrame:
-    return summarize(check_results(t))
+    return summarize(check_results(t, shared=_ALL_SHARED))
 
 
 # ------------------------------------------------------------------ sources, sinks, stream
