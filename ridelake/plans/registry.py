@@ -242,18 +242,19 @@ def check_results(t: Tables, kinds=None, check: str | None = None,
     return out
 
 
-# models reused by several checks / downstream models, in build order
+# models reused by many checks / downstream models, in build order; worth
+# materializing once when every check runs (the summary), not for one kind
 _ALL_SHARED = ("dim_station", "int_trips", "trips_enriched", "hourly_traffic", "status_current")
 
 
 @register("dq_not_null", O.dq_sql(O.dq_not_null_rows()))
 def q_dq_not_null(t: Tables) -> DataFrame:
-    return check_results(t, ["row"], "not_null", shared=_ALL_SHARED)
+    return check_results(t, ["row"], "not_null")
 
 
 @register("dq_accepted_values", O.dq_sql(O.dq_accepted_rows()))
 def q_dq_accepted(t: Tables) -> DataFrame:
-    return check_results(t, ["row"], "accepted_values", shared=_ALL_SHARED)
+    return check_results(t, ["row"], "accepted_values")
 
 
 @register("dq_expression", O.dq_sql(O.dq_expression_rows()))
@@ -263,18 +264,17 @@ def q_dq_expression(t: Tables) -> DataFrame:
 
 @register("dq_unique", O.dq_sql(O.dq_unique_rows()))
 def q_dq_unique(t: Tables) -> DataFrame:
-    return check_results(t, ["unique"], shared=("dim_station",))
+    return check_results(t, ["unique"])
 
 
 @register("dq_relationships", O.dq_sql(O.dq_relationship_rows()))
 def q_dq_relationships(t: Tables) -> DataFrame:
-    return check_results(t, ["relationships"],
-                         shared=("dim_station", "trips_enriched"))
+    return check_results(t, ["relationships"])
 
 
 @register("dq_unique_combination", O.dq_sql(O.dq_combo_rows()))
 def q_dq_combos(t: Tables) -> DataFrame:
-    return check_results(t, ["unique_combination"], shared=_ALL_SHARED)
+    return check_results(t, ["unique_combination"])
 
 
 @register("dq_gate_summary", O.dq_summary_sql())
