@@ -310,16 +310,16 @@ def q_stream_flatten(t: Tables) -> DataFrame:
     return t.spark.read.parquet(bronze)
 
 
-@register("stream_latest_status")
+@register("stream_latest_status", O.STREAM_LATEST)
 def q_stream_latest(t: Tables) -> DataFrame:
-    """Streaming latest-status-per-station state (stateful; no SQL oracle:
-    every row of one run shares the ingestion instant, so ties resolve by the
-    deterministic hash tiebreak)."""
+    """Streaming latest-status-per-station state. Each document's own time is
+    its ingestion time, so the newest report per station is well defined."""
     landing = scratch_path(t.spark, "landing", "status")
     L.write_json_lines(L.status_documents(A.table(t.spark, t.sf_dir, "events")), landing)
     target = scratch_path(t.spark, "silver", "status_latest")
     q = start_latest_status_stream(t.spark, landing, target, scratch_path(t.spark, "checkpoints"),
-                                   available_now=True, ingestion_at=FIXED_INGESTION)
+                                   available_now=True,
+                                   ingestion_at=S.epoch_seconds_to_ts("feed_last_updated"))
     q.awaitTermination()
     return t.spark.read.parquet(target)
 

@@ -63,11 +63,12 @@ def start_status_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
 
 def latest_status_state(flat: DataFrame, key: str = "station_id",
                         ts: str = "ingestion_at") -> DataFrame:
-    """Newest row per station as a streaming (or batch) aggregation.
-    ``max_by`` with a (ts, counters...) ordering struct: NULL timestamps sort
-    lowest, and remaining ties resolve deterministically."""
+    """Newest row per station as a streaming (or batch) aggregation:
+    ``max_by`` over an ordering struct (ts, then every other column in
+    order), i.e. ``ORDER BY ts DESC, ... DESC NULLS LAST`` -- deterministic,
+    and rows that tie on everything are identical anyway."""
     payload = [c for c in flat.columns if c != key]
-    order = F.struct(F.col(ts), F.xxhash64(*[F.col(c) for c in flat.columns]))
+    order = F.struct(F.col(ts), *[F.col(c) for c in payload])
     latest = F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("latest")
     return flat.groupBy(key).agg(latest).select(key, *[F.col(f"latest.{c}").alias(c) for c in payload])
 
@@ -78,9 +79,9 @@ def start_latest_status_stream(spark: SparkSession, landing_dir: str, target_pat
                                max_files_per_trigger: int = DEFAULT_MAX_FILES,
                                ingestion_at: Column | str | None = None) -> StreamingQuery:
     """Maintain the latest-status-per-station table. The state store holds
-    one row per station; each micro-batch rewrites the (station-sized)
-    snapshot table from the complete state, keyed by batch id so a replayed
-    batch overwrites its own output."""
+    one row per station; each micro-batch overwrites the (station-sized)
+    snapshot table with the complete state, so replaying a batch after a
+    failure is idempotent."""
     docs = valid_documents(stream_status(spark, landing_dir, max_files_per_trigger))
     state = latest_status_state(flat=flatten_status(docs, ingestion_at))
 
