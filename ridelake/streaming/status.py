@@ -14,6 +14,9 @@ whole history each cycle.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -91,3 +94,24 @@ def start_latest_status_stream(spark: SparkSession, landing_dir: str, target_pat
     writer = (state.writeStream.outputMode("complete").foreachBatch(publish)
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger, available_now).start()
+
+
+def run_with_restarts(start: Callable[[], StreamingQuery], max_restarts: int = 3,
+                      backoff_seconds: float = 30.0,
+                      log: Callable[[str], None] = print) -> int:
+    """Run a streaming query until it ends; when it fails, report and start
+    it again from its checkpoint (committed offsets make the restart resume
+    exactly where the failed batch began), up to ``max_restarts`` times.
+    Returns the number of restarts used."""
+    restarts = 0
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return restarts
+        except Exception as exc:  # noqa: BLE001 - any query failure is reported
+            restarts += 1
+            log(f"stream failed: {exc!s:.300}; restart {restarts}/{max_restarts} from checkpoint")
+            if restarts > max_restarts:
+                raise
+            time.sleep(backoff_seconds)

@@ -41,3 +41,27 @@ def test_latest_state_matches_batch(spark, tmp_dir):
     by_state = latest_status_state(flat).select("station_id", "ingestion_at")
     by_window = latest_per_key(flat, ["station_id"], "ingestion_at").select("station_id", "ingestion_at")
     assert by_state.exceptAll(by_window).count() == 0 and by_window.exceptAll(by_state).count() == 0
+
+
+def test_run_with_restarts_reports_and_resumes():
+    import pytest
+
+    from ridelake.streaming.status import run_with_restarts
+
+    class FakeQuery:
+        def __init__(self, fail):
+            self.fail = fail
+
+        def awaitTermination(self):
+            if self.fail:
+                raise RuntimeError("source hiccup")
+
+    outcomes = iter([True, True, False])
+    logs = []
+    used = run_with_restarts(lambda: FakeQuery(next(outcomes)), max_restarts=3,
+                             backoff_seconds=0, log=logs.append)
+    assert used == 2 and len(logs) == 2 and "restart 1/3" in logs[0]
+    always = iter([True] * 5)
+    with pytest.raises(RuntimeError):
+        run_with_restarts(lambda: FakeQuery(next(always)), max_restarts=1, backoff_seconds=0,
+                          log=logs.append)
