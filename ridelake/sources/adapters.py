@@ -14,8 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ridelake.functions.scalars import SOURCE_DATA_BATCH, ntz_sql, sql_str, ts_to_epoch_seconds_sql
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table. Its footer-inferred schema is remembered per path and
+    modification time, so repeated reads skip schema inference."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else None)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _code_sql(num: str) -> str:
