@@ -64,19 +64,19 @@ def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
     """LEFT lookup of ``take`` columns (dim column -> output name) on
     ``left[k] = dim[v]`` for each ``k: v`` in ``on``; ``guard`` (a predicate on
     the left row) restricts which rows may match at all."""
-    right = dim.select(*[F.col(v).alias(prefix + "k_" + v) for v in on.values()],
-                       *[F.col(src).alias(dst) for src, dst in take.items()])
+    right = dim.selectExpr(*[f"`{v}` AS `{prefix}k_{v}`" for v in on.values()],
+                           *[f"`{src}` AS `{dst}`" for src, dst in take.items()])
     plan = _plan(strategy, dim, max_rows)
     if plan == "shuffle":
         return _salted_lookup(left, right, on, guard, prefix)
     cond = None
     for lk, rk in on.items():
-        c = left[lk] == right[prefix + "k_" + rk]
+        c = left[lk] == right[f"{prefix}k_{rk}"]
         cond = c if cond is None else cond & c
     if guard is not None:
         cond = guard & cond
     out = left.join(F.broadcast(right) if plan == "broadcast" else right, cond, "left")
-    return out.drop(*[prefix + "k_" + v for v in on.values()])
+    return out.drop(*[f"{prefix}k_{v}" for v in on.values()])
 
 
 SALT_BUCKETS = 1024
@@ -113,17 +113,17 @@ def current_versions(dim: DataFrame, columns: Sequence[str],
 def station_lookup_table(cur: DataFrame) -> DataFrame:
     """One lookup relation for both match rules: every current version is
     listed under ``c:<code>`` and under ``n:<name>`` (one pass, explode)."""
-    keys = F.array(F.concat(F.lit("c:"), F.col("short_name")),
-                   F.concat(F.lit("n:"), F.col("station_name")))
-    return cur.select(F.explode(keys).alias("__lk"), "short_name", "station_name", "lat", "lon")
+    return cur.selectExpr(
+        "explode(array(concat('c:', short_name), concat('n:', station_name))) AS __lk",
+        "short_name", "station_name", "lat", "lon")
 
 
-def trip_end_key(station_id: str, station_name: str) -> Column:
+def trip_end_key_sql(station_id: str, station_name: str) -> str:
     """The code when the trip carries one, else its name: the two match
     rules are mutually exclusive per row, so one lookup per trip end does
     the work of a code join plus a guarded name join."""
-    return (F.when(F.col(station_id).isNotNull(), F.concat(F.lit("c:"), F.col(station_id)))
-            .otherwise(F.concat(F.lit("n:"), F.col(station_name))))
+    return (f"CASE WHEN `{station_id}` IS NOT NULL THEN concat('c:', `{station_id}`) "
+            f"ELSE concat('n:', `{station_name}`) END")
 
 
 def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
@@ -139,19 +139,18 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
     as two separate left joins would."""
     table = station_lookup_table(
         current_versions(dim, ["station_name", "short_name", "lat", "lon"]))
-    out = trips
+    out = trips.selectExpr("*", *[f"{trip_end_key_sql(f'{e}_station_id', f'{e}_station_name')}"
+                                  f" AS `__{e}_lk`" for e in ends])
     fills = {}
     for end in ends:
-        sid, sname = f"{end}_station_id", f"{end}_station_name"
-        key = f"__{end}_lk"
         take = {"short_name": f"__{end}_m_code", "station_name": f"__{end}_m_name",
                 "lat": f"__{end}_m_lat", "lon": f"__{end}_m_lon"}
-        out = lookup(out.withColumn(key, trip_end_key(sid, sname)), table, {key: "__lk"}, take,
-                     strategy=strategy, prefix=f"__{end}_", max_rows=max_rows)
-        for own, suffix in ((sid, "code"), (sname, "name"), (f"{end}_lat", "lat"),
-                            (f"{end}_lng", "lon")):
-            fills[own] = F.coalesce(F.col(own), F.col(f"__{end}_m_{suffix}")).alias(own)
-    return out.select(*[fills.get(c, F.col(c)) for c in trips.columns])
+        out = lookup(out, table, {f"__{end}_lk": "__lk"}, take, strategy=strategy,
+                     prefix=f"__{end}_", max_rows=max_rows)
+        for own, suffix in ((f"{end}_station_id", "code"), (f"{end}_station_name", "name"),
+                            (f"{end}_lat", "lat"), (f"{end}_lng", "lon")):
+            fills[own] = f"coalesce(`{own}`, `__{end}_m_{suffix}`) AS `{own}`"
+    return out.selectExpr(*[fills.get(c, f"`{c}`") for c in trips.columns])
 
 
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
