@@ -88,3 +88,14 @@ def test_view_run_timestamp_and_layout(spark, tmp_dir):
     materialize_table(df, f"{tmp_dir}/t", "day", ["k"])
     back = spark.read.schema("k string, v int, day string").parquet(f"{tmp_dir}/t")
     assert back.filter("day = '20240101'").count() == 2
+
+
+def test_layout_splits_a_hot_cluster_value(spark):
+    from pyspark.sql import functions as F
+    from ridelake.sinks.writers import layout
+    hot = spark.range(4000).select(F.lit("20240101").alias("day"), F.lit("S1").alias("k"),
+                                   F.col("id").alias("v"))
+    out = layout(hot, "day", ["k"], partitions=4)
+    sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000       # one key, yet spread over tasks
+    assert out.count() == 4000
