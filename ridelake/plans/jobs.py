@@ -188,3 +188,36 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
     dvs = read_table(spark, warehouse, GOLD, "demand_vs_supply")
     _check(report, dvs, "demand_vs_supply", {}, on_error)
     return report
+
+
+LAYER_TABLES = {
+    BRONZE: ["trips_raw", "station_snapshots", "station_status"],
+    SILVER: ["int_trips"],
+    GOLD: ["dim_station", "trips_enriched", "hourly_traffic", "status_current",
+           "demand_vs_supply"],
+}
+
+
+def register_views(spark: SparkSession, warehouse: str) -> list[str]:
+    """Expose every built layer table (plus the staging models, which are
+    views by nature) as session views, so analyses can be plain
+    ``spark.sql``. Returns the view names created."""
+    import os
+
+    names = []
+    for layer, tables in LAYER_TABLES.items():
+        for name in tables:
+            path = f"{warehouse}/{layer}/{name}"
+            if not os.path.exists(path) and "://" not in path:
+                continue
+            df = read_bronze_trips(spark, warehouse) if name == "trips_raw" \
+                else read_table(spark, warehouse, layer, name)
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    staging = {"stg_trips": ("trips_raw", M.stg_trips), "stg_stations": ("station_snapshots", M.stg_stations),
+               "stg_status": ("station_status", M.stg_status)}
+    for view, (src, model) in staging.items():
+        if src in names:
+            model(spark.table(src)).createOrReplaceTempView(view)
+            names.append(view)
+    return names

@@ -64,3 +64,20 @@ def test_incremental_day_rebuild_equals_full(spark, tmp_dir):
         ref = spark.read.parquet(f"{full}/{J.GOLD}/{n}").select(*df.columns)
         assert df.exceptAll(ref).count() == 0 and ref.exceptAll(df).count() == 0, n
     assert inc["trips_enriched"].count() == 1000
+
+
+def test_register_views_and_sql_analysis(spark, tmp_dir):
+    t = Tables(spark, SF)
+    append_snapshot(t.snapshots, f"{tmp_dir}/{J.BRONZE}/station_snapshots")
+    t.status_raw.write.parquet(f"{tmp_dir}/{J.BRONZE}/station_status")
+    J.load_trips_raw(t.trips_raw, tmp_dir)
+    rep = J.build_station_models(spark, tmp_dir, on_error="report")
+    J.build_trip_models(spark, tmp_dir, on_error="report", report=rep)
+    names = J.register_views(spark, tmp_dir)
+    assert {"trips_enriched", "hourly_traffic", "dim_station", "stg_trips"} <= set(names)
+    dist = spark.sql("""
+        SELECT data_quality_flag, count(*) AS trip_count,
+               round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct_of_total
+        FROM trips_enriched GROUP BY data_quality_flag ORDER BY trip_count DESC""").collect()
+    assert dist[0].data_quality_flag == "valid" and dist[0].trip_count == 836
+    assert spark.sql("SELECT count(*) FROM stg_trips").first()[0] == 1000
