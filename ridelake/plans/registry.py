@@ -1,4 +1,4 @@
-"""Registered queries: name -> (Spark callable, oracle SQL or None).
+"""Registered queries: name -> Spark callable, plus the oracle SQL of each.
 
 Every query reads the full driver tables of ``sf_dir`` (or data Spark derives
 from them); none subsets rows. Timestamps that may hold the open-end sentinel
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from ridelake.functions import scalars as S
 from ridelake.operators.dedup import latest_per_key
 from ridelake.operators.joins import fanout_keys
-from ridelake.operators.rollup import distinct_values
 from ridelake.operators.quality import only, run_model_checks, summarize
+from ridelake.operators.rollup import distinct_values
+from ridelake.plans import jobs as J
 from ridelake.plans import models as M
 from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
 from ridelake.session import ensure_checkpoint_dir, scratch_path
-from ridelake.plans import jobs as J
 from ridelake.sinks.writers import append_snapshot, write_day_partitioned
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
