@@ -36,14 +36,18 @@ def read_multi_part_csv(spark: SparkSession, month_dir: str) -> DataFrame:
 
 def read_trip_months(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
     """All months under ``root/month=YYYYMM/`` in ONE scan (no driver loop).
-    The month is a partition column typed as string by the schema, and a
-    month filter prunes directories before any file is opened."""
-    schema = T.StructType(TRIP_CSV.fields + [T.StructField(MONTH_PARTITION, T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
-          .option("basePath", root).csv(root))
-    if months:
-        df = df.filter(F.col(MONTH_PARTITION).isin([str(m) for m in months]))
-    return df
+
+    Only the requested month folders are listed (directory pruning), each is
+    read recursively so an archive that unpacked into several parts or
+    sub-folders is read whole, and the month comes from the file's folder
+    name as a string."""
+    paths = [os.path.join(root, f"{MONTH_PARTITION}={m}") for m in months] if months else [root]
+    df = (spark.read.schema(TRIP_CSV).option("header", True).option("mode", "PERMISSIVE")
+          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+          .csv(paths))
+    path = F.col("_metadata.file_path")
+    return (df.filter(~path.contains("/__MACOSX/"))
+            .withColumn(MONTH_PARTITION, F.regexp_extract(path, MONTH_PARTITION + r"=([0-9]{6})", 1)))
 
 
 def read_station_snapshot_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

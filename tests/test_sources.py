@@ -99,3 +99,15 @@ def test_layout_splits_a_hot_cluster_value(spark):
     sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000       # one key, yet spread over tasks
     assert out.count() == 4000
+
+
+def test_month_folder_with_nested_parts(spark, tmp_dir):
+    _write(f"{tmp_dir}/month=202403/archive/part_1.csv", HEADER
+           + "r1,classic_bike,2024-03-05 08:00:00,2024-03-05 08:30:00,A,S1,B,S2,40.1,-74.1,40.2,-74.2,member\n")
+    _write(f"{tmp_dir}/month=202403/archive/part_2.csv", HEADER
+           + "r2,classic_bike,2024-03-06 08:00:00,2024-03-06 08:30:00,A,S1,B,S2,40.1,-74.1,40.2,-74.2,member\n")
+    _write(f"{tmp_dir}/month=202404/x.csv", HEADER
+           + "r3,classic_bike,2024-04-06 08:00:00,2024-04-06 08:30:00,A,S1,B,S2,40.1,-74.1,40.2,-74.2,member\n")
+    got = read_trip_months(spark, tmp_dir, ["202403"]).collect()
+    assert sorted((r.ride_id, r.month) for r in got) == [("r1", "202403"), ("r2", "202403")]
+    assert read_trip_months(spark, tmp_dir).count() == 3
