@@ -75,6 +75,10 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     per_key = Window.partitionBy(key).orderBy("__c")
     ordering = F.struct(*order)
 
+    # Both boundary tables below have one row per (key, chunk) pair present in
+    # the hot rows: chunks are contiguous (key, time) ranges, so there are at
+    # most chunks + hot keys such pairs -- a bound independent of row counts,
+    # which is what makes broadcasting them safe.
     # last snapshot of the previous non-empty chunk (input-side aggregate)
     last = b.groupBy(key, "__c").agg(F.max_by(F.struct(*tracked), ordering).alias("__last"))
     prev_last = last.select(key, "__c", F.lag("__last").over(per_key).alias("__pl"))

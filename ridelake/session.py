@@ -85,9 +85,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting is provided and always wins.
     """
     root = checkpoint_root(spark)
+    sc = _context(spark)
     if root is None:
+        master = sc.master if sc is not None else ""
+        if master and not master.startswith("local"):
+            # executors cannot see a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="ridelake-ckpt-")
-    sc = _context(spark)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
