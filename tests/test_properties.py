@@ -94,3 +94,60 @@ def test_as_of_brute_force(spark, versions, facts, bucket):
         assert len(m) <= 1
         want[i] = m[0] if m else None
     assert got == want
+
+
+def brute_enrich(trips, cur):
+    """The four LEFT JOINs + coalesces, literally (row multiset)."""
+    out = []
+    for t in trips:
+        (rid, sid, sname, slat, slng, eid, ename, elat, elng) = t
+
+        def matches(pred):
+            m = [d for d in cur if pred(d)]
+            return m or [None]
+
+        rows = []
+        for a in matches(lambda d: sid is not None and d[1] == sid):
+            for b in matches(lambda d: eid is not None and d[1] == eid):
+                for c in matches(lambda d: sid is None and sname is not None and d[0] == sname):
+                    for e in matches(lambda d: eid is None and ename is not None and d[0] == ename):
+                        def co(own, *ds_idx):
+                            if own is not None:
+                                return own
+                            for d, i in ds_idx:
+                                if d is not None and d[i] is not None:
+                                    return d[i]
+                            return None
+                        rows.append((rid, co(sid, (a, 1), (c, 1)), co(sname, (a, 0), (c, 0)),
+                                     co(slat, (a, 2), (c, 2)), co(slng, (a, 3), (c, 3)),
+                                     co(eid, (b, 1), (e, 1)), co(ename, (b, 0), (e, 0)),
+                                     co(elat, (b, 2), (e, 2)), co(elng, (b, 3), (e, 3))))
+        out += rows
+    return sorted(out, key=repr)
+
+
+names = st.sampled_from(["Alpha", "Beta", "Gamma", None])
+codes = st.sampled_from(["A1", "B1", "C1", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(names, codes, maybe(st.sampled_from([1.0, 2.0])),
+                          maybe(st.sampled_from([3.0, 4.0]))), min_size=0, max_size=5),
+       st.lists(st.tuples(codes, names, maybe(st.just(9.0)), codes, names, maybe(st.just(8.0))),
+                min_size=1, max_size=12),
+       st.sampled_from(["checked", "shuffle"]))
+def test_enrich_current_brute_force(spark, cur, trips, strategy):
+    from ridelake.operators.joins import enrich_current
+    dim_rows = [(f"u{i}", n, c, lat, lon, T0, datetime(9999, 12, 31, 23, 59, 59), True)
+                for i, (n, c, lat, lon) in enumerate(cur)]
+    dim = spark.createDataFrame(dim_rows, "station_id string, station_name string, short_name string, "
+                                "lat double, lon double, valid_from timestamp_ntz, "
+                                "valid_to timestamp_ntz, is_current boolean")
+    trip_rows = [(f"t{i}", sid, sname, lat, lat, eid, ename, elat, elat)
+                 for i, (sid, sname, lat, eid, ename, elat) in enumerate(trips)]
+    tdf = spark.createDataFrame(trip_rows, "ride_id string, start_station_id string, "
+                                "start_station_name string, start_lat double, start_lng double, "
+                                "end_station_id string, end_station_name string, end_lat double, "
+                                "end_lng double")
+    got = sorted([tuple(r) for r in enrich_current(tdf, dim, strategy=strategy).collect()], key=repr)
+    assert got == brute_enrich(trip_rows, [(n, c, lat, lon) for n, c, lat, lon in cur])
