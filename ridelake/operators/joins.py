@@ -161,7 +161,11 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     ``[valid_from, valid_to)`` contains the fact's ``ts`` (a boundary instant
     matches exactly one version).
 
-    Planned as an equi-join on the key with a range residual. With
+    ``strategy``: ``"checked"`` broadcasts the versions after a bounded
+    count, and beyond the bound uses the sort-based as-of join
+    (:mod:`ridelake.operators.asof`); ``"sorted"`` forces the latter.
+
+    Broadcast plan: an equi-join on the key with a range residual. With
     ``time_bucket`` ("month" or "day") the time becomes part of the equi-key:
     each version is repeated for the buckets it overlaps *within the facts'
     time span* (one small min/max job), so a fact only meets the versions of
@@ -171,6 +175,11 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     right = dim.select(F.col(dim_key).alias("__pit_k"), F.col(valid_from).alias("__pit_from"),
                        F.col(valid_to).alias("__pit_to"),
                        *[F.col(s).alias(d) for s, d in take.items()])
+    if strategy == "sorted" or (strategy == "checked" and not fits_broadcast(right)):
+        # too many versions to broadcast: sort-based as-of join, O(n log n)
+        # and skew-safe, instead of a shuffled range join
+        from ridelake.operators.asof import asof_join_sorted
+        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
     cond = ((facts[fact_key] == right["__pit_k"])
             & (facts[ts] >= right["__pit_from"]) & (facts[ts] < right["__pit_to"]))
     if time_bucket is None:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.functions.scalars import open_end, surrogate_key
+from ridelake.session import ensure_checkpoint_dir
 
 _PREV = "__prev_"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
@@ -69,8 +70,13 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     bounds once per shuffle, so retried tasks see the same assignment); the
     range is the chunk id, so per-task work is about rows/chunks however
     skewed a single key is."""
+    # several branches read the chunk id: checkpoint once so all of them see
+    # the same range bounds (separately planned range exchanges could sample
+    # different bounds), which also cuts the lineage of the hot rows
+    ensure_checkpoint_dir(base.sparkSession)
     b = (base.repartitionByRange(chunks, F.col(key), *order)
-         .withColumn("__c", F.spark_partition_id()))
+         .withColumn("__c", F.spark_partition_id())
+         .checkpoint(eager=True))
     w = Window.partitionBy(key, "__c").orderBy(*order)
     per_key = Window.partitionBy(key).orderBy("__c")
     ordering = F.struct(*order)

@@ -124,13 +124,16 @@ def q_enrich_current(t: Tables) -> DataFrame:
     return t.trips_enriched.select("ride_id", "started_at", "ended_at", *_FILLED)
 
 
-@register("enrich_as_of", O.with_(*O.TRIPS_CHAIN, *O.DIM_CHAIN) + """
+_AS_OF_SQL = O.with_(*O.TRIPS_CHAIN, *O.DIM_CHAIN) + """
 SELECT t.ride_id, t.started_at, t.ended_at, t.start_station_id,
   d.station_sk AS start_station_sk, d.station_name AS start_version_name,
   d.lat AS start_version_lat, d.lon AS start_version_lng,
   d.valid_from AS start_version_valid_from
 FROM int_trips t LEFT JOIN dim_station d
-  ON t.start_station_id = d.short_name AND t.started_at >= d.valid_from AND t.started_at < d.valid_to""")
+  ON t.start_station_id = d.short_name AND t.started_at >= d.valid_from AND t.started_at < d.valid_to"""
+
+
+@register("enrich_as_of", _AS_OF_SQL)
 def q_enrich_as_of(t: Tables) -> DataFrame:
     pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy=t.strategy)
     return pit.select("ride_id", "started_at", "ended_at", "start_station_id", "start_station_sk",
@@ -138,6 +141,16 @@ def q_enrich_as_of(t: Tables) -> DataFrame:
                       "start_version_valid_from")
 
 
+@register("enrich_as_of_sorted", _AS_OF_SQL)
+def q_enrich_as_of_sorted(t: Tables) -> DataFrame:
+    """Same point-in-time join through the sort-based, skew-safe as-of plan
+    (what large version histories use)."""
+    pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy="sorted")
+    return pit.select("ride_id", "started_at", "ended_at", "start_station_id", "start_station_sk",
+                      "start_version_name", "start_version_lat", "start_version_lng",
+                      "start_version_valid_from")
+
+
 @register("enriched_flags", O.with_(*O.ENRICHED_CHAIN) + "SELECT * FROM trips_enriched")
 def q_enriched(t: Tables) -> DataFrame:
     return t.trips_enriched

@@ -151,3 +151,32 @@ def test_enrich_current_brute_force(spark, cur, trips, strategy):
                                 "end_lng double")
     got = sorted([tuple(r) for r in enrich_current(tdf, dim, strategy=strategy).collect()], key=repr)
     assert got == brute_enrich(trip_rows, [(n, c, lat, lon) for n, c, lat, lon in cur])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 90)), min_size=1,
+                max_size=8, unique_by=lambda r: r),
+       st.lists(st.tuples(st.sampled_from(["A", "B", None]), maybe(st.integers(-5, 100))),
+                min_size=1, max_size=25),
+       st.sampled_from([1, 3, 7]))
+def test_sorted_as_of_brute_force(spark, versions, facts, slices):
+    from ridelake.operators.asof import asof_join_sorted
+    open_end = datetime(9999, 12, 31, 23, 59, 59)
+    vrows = []
+    for k in {v[0] for v in versions}:
+        starts = sorted(d for kk, d in versions if kk == k)
+        for i, d in enumerate(starts):
+            end = T0 + timedelta(days=starts[i + 1]) if i + 1 < len(starts) else open_end
+            vrows.append((k, f"{k}{d}", T0 + timedelta(days=d), end))
+    dim = spark.createDataFrame(vrows, "code string, label string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    frows = [(i, k, None if d is None else T0 + timedelta(days=d, hours=(i % 3) * 12))
+             for i, (k, d) in enumerate(facts)]
+    fdf = spark.createDataFrame(frows, "id int, code string, ts timestamp_ntz")
+    out = asof_join_sorted(fdf, dim, "code", "ts", "code", {"label": "label"}, slices=slices).collect()
+    got = {r.id: r.label for r in out}
+    assert len(out) == len(frows)
+    want = {}
+    for i, k, ts in frows:
+        m = [v[1] for v in vrows if k is not None and ts is not None and v[0] == k and v[2] <= ts < v[3]]
+        want[i] = m[0] if m else None
+    assert got == want
