@@ -200,6 +200,10 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     first_b = bucket(F.greatest(F.col("__pit_from"), lo_c))
     last_b = bucket(F.least(F.col("__pit_to"), hi_c))
     spread = live.withColumn("__pit_b", F.explode(F.sequence(first_b, last_b, step)))
+    if strategy == "checked" and not fits_broadcast(spread):
+        # the month/day expansion outgrew the broadcast bound
+        from ridelake.operators.asof import asof_join_sorted
+        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
     f2 = facts.withColumn("__pit_fb", bucket(F.col(ts)))
     cond_b = ((f2[fact_key] == spread["__pit_k"]) & (f2["__pit_fb"] == spread["__pit_b"])
               & (f2[ts] >= spread["__pit_from"]) & (f2[ts] < spread["__pit_to"]))
