@@ -87,7 +87,12 @@ def _salted_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
     """Sort-merge LEFT lookup that cannot pile rows onto one reducer: rows
     that can never match (NULL key or guard false) get a NULL key plus a
     salt spreading them over ``SALT_BUCKETS`` partitions; matchable rows use
-    salt 0, which is the only salt on the dimension side."""
+    salt 0, which is the only salt on the dimension side. A *matchable* hot
+    key (one station with a large share of trips) is split at runtime by
+    AQE's skew-join handling (``spark.sql.adaptive.skewJoin.enabled``, set
+    by the session settings): the oversized left partition is cut into
+    several tasks that each read the small matching dimension partition --
+    sized by measured bytes, which a fixed replication factor cannot match."""
     can = F.lit(True) if guard is None else guard
     for lk in on:
         can = can & F.col(lk).isNotNull()
