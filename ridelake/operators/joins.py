@@ -98,16 +98,17 @@ def _salted_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
         can = can & F.col(lk).isNotNull()
     salt = F.when(can, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALT_BUCKETS)) + 1)
-    lkeys = {lk: F.when(can, F.col(lk)) for lk in on}
-    l2 = left.select("*", *[e.alias(prefix + "lk_" + lk) for lk, e in lkeys.items()],
-                     salt.alias(prefix + "salt"))
-    r2 = right.withColumn(prefix + "rsalt", F.lit(0))
-    cond = l2[prefix + "salt"] == r2[prefix + "rsalt"]
-    for lk, rk in on.items():
-        cond = cond & (l2[prefix + "lk_" + lk] == r2[prefix + "k_" + rk])
-    out = l2.join(r2.hint("merge"), cond, "left")
-    return out.drop(*[prefix + "k_" + v for v in on.values()],
-                    *[prefix + "lk_" + lk for lk in on], prefix + "salt", prefix + "rsalt")
+    # the salt travels inside a struct join key: a bare "salt = 0" condition
+    # against a constant would be folded into a residual filter and drop out
+    # of the hash partitioning
+    lkey = F.struct(*[F.when(can, F.col(lk)).alias(f"k{i}") for i, lk in enumerate(on)],
+                    salt.alias("s"))
+    rkey = F.struct(*[F.col(prefix + "k_" + rk).alias(f"k{i}") for i, rk in enumerate(on.values())],
+                    F.lit(0).cast("long").alias("s"))
+    l2 = left.withColumn(prefix + "lkey", lkey)
+    r2 = right.withColumn(prefix + "rkey", rkey)
+    out = l2.join(r2.hint("merge"), l2[prefix + "lkey"] == r2[prefix + "rkey"], "left")
+    return out.drop(*[prefix + "k_" + v for v in on.values()], prefix + "lkey", prefix + "rkey")
 
 
 def current_versions(dim: DataFrame, columns: Sequence[str],
