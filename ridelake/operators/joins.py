@@ -3,9 +3,10 @@
 Join strategy for the dimension side (``strategy``):
 
 * ``"checked"`` (default): a bounded row count of the *actual* lookup side
-  (``limit(max_rows + 1).count()``, remembered per plan and input files)
-  decides: broadcast when it is at most ``max_rows``, otherwise a sort-merge
-  join with salting of rows that can never match. Catalyst's own size
+  (``limit(n + 1).count()``, remembered per plan and input files) decides:
+  broadcast when it holds at most ``n`` rows -- ``n`` = ``max_rows`` capped by
+  a byte budget (``BROADCAST_BYTES``) over the estimated row width --
+  otherwise a sort-merge join with salting of rows that can never match. Catalyst's own size
   estimate is not used for this decision because for a filtered/windowed
   dimension (e.g. the current versions of a long SCD history) it reflects the
   whole history, not the few current rows.
@@ -19,21 +20,40 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 _FITS: dict[tuple, bool] = {}
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Rough in-memory width of one row (strings counted at 32 bytes)."""
+    def width(dt: T.DataType) -> int:
+        if isinstance(dt, T.StructType):
+            return sum(width(f.dataType) for f in dt.fields)
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            return 32
+        if isinstance(dt, (T.ArrayType, T.MapType)):
+            return 64
+        if isinstance(dt, T.BooleanType):
+            return 1
+        return 8
+    return 16 + width(schema)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows, never the
-    whole side. The answer is remembered per logical plan and input file
-    list (it only selects a join strategy; both strategies give the same
-    rows)."""
-    sig = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    """Bounded size check: counts at most ``n + 1`` rows, never the whole
+    side, where ``n`` is ``max_rows`` capped so that n rows of this schema
+    stay within ``BROADCAST_BYTES``. The answer is remembered per logical
+    plan and input file list (it only selects a join strategy; both
+    strategies give the same rows)."""
+    n = min(max_rows, BROADCAST_BYTES // row_bytes(df.schema))
+    sig = (df.semanticHash(), tuple(sorted(df.inputFiles())), n)
     if sig not in _FITS:
         if len(_FITS) >= 256:
             _FITS.clear()
-        _FITS[sig] = df.limit(max_rows + 1).count() <= max_rows
+        _FITS[sig] = df.limit(n + 1).count() <= n
     return _FITS[sig]
 
 
