@@ -21,7 +21,8 @@ import sys
 
 from ridelake.plans import jobs as J
 from ridelake.session import ensure_checkpoint_dir, get_spark
-from ridelake.streaming.status import run_with_restarts, start_status_stream
+from ridelake.streaming.status import (run_with_restarts, start_quarantine_stream,
+                                       start_status_stream)
 
 
 def _report(rep: J.RunReport) -> int:
@@ -44,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--trigger", default="300 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--max-restarts", type=int, default=3)
+    ap.add_argument("--quarantine", action="store_true",
+                    help="status-stream: also keep malformed documents in a quarantine table")
     ap.add_argument("--as-of")
     ap.add_argument("--tz")
     ap.add_argument("--report-only", action="store_true")
@@ -63,9 +66,16 @@ def main(argv: list[str] | None = None) -> int:
                                            days=days if a.incremental else None))
     if a.command == "status-stream":
         ckpt = a.checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ridelake", "status-stream")
+        side = None
+        if a.quarantine:
+            side = start_quarantine_stream(spark, a.landing, f"{a.warehouse}/{J.QUARANTINE}/station_status",
+                                           ckpt + "-quarantine", trigger=a.trigger,
+                                           available_now=a.available_now)
         run_with_restarts(lambda: start_status_stream(
             spark, a.landing, f"{a.warehouse}/{J.BRONZE}/station_status", ckpt,
             trigger=a.trigger, available_now=a.available_now), max_restarts=a.max_restarts)
+        if side is not None:
+            side.awaitTermination()
         return 0
     return _report(J.build_status_models(spark, a.warehouse, a.as_of, on_error, tz=a.tz))
 

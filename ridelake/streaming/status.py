@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.plans.models import flatten_status
@@ -37,6 +38,27 @@ def stream_status(spark: SparkSession, landing_dir: str,
             .json(landing_dir))
 
 
+def start_quarantine_stream(spark: SparkSession, landing_dir: str, quarantine_path: str,
+                            checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
+                            available_now: bool = False,
+                            max_files_per_trigger: int = DEFAULT_MAX_FILES) -> StreamingQuery:
+    """Companion query over the same landed files: documents without a
+    ``data`` section (including lines that are not JSON at all, kept as raw
+    text) go to a quarantine table instead of disappearing. A separate,
+    separately checkpointed query, so the bronze sink stays exactly-once."""
+    schema = T.StructType(STATUS_DOC.fields + [T.StructField("_corrupt_record", T.StringType())])
+    docs = (spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .json(landing_dir))
+    bad = docs.filter(F.col("data").isNull()).select(
+        "last_updated", F.col("_corrupt_record").alias("raw"),
+        F.col("_metadata.file_path").alias("source_file"))
+    writer = (bad.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint).option("path", quarantine_path))
+    return _trigger(writer, trigger, available_now).start()
+
+
 def valid_documents(docs: DataFrame) -> DataFrame:
     """Drop documents without a ``data`` section (malformed messages)."""
     return docs.filter(F.col("data").isNotNull())

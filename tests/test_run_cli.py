@@ -31,7 +31,7 @@ def test_cli_end_to_end(spark, tmp_dir):
     assert run.main(["trips", "--landing", f"{land}/trips", "--warehouse", wh]) == 0
     assert spark.read.parquet(f"{wh}/{J.GOLD}/trips_enriched").count() == 1000
     assert run.main(["status-stream", "--landing", f"{land}/status", "--warehouse", wh,
-                     "--checkpoint", f"{tmp_dir}/ckpt", "--available-now"]) == 0
+                     "--checkpoint", f"{tmp_dir}/ckpt", "--available-now", "--quarantine"]) == 0
     assert spark.read.parquet(f"{wh}/{J.BRONZE}/station_status").count() == 1000
     assert run.main(["status", "--warehouse", wh, "--as-of", "2024-01-30 12:00:00"]) == 0
     dvs = spark.read.parquet(f"{wh}/{J.GOLD}/demand_vs_supply")

@@ -65,3 +65,24 @@ def test_run_with_restarts_reports_and_resumes():
     with pytest.raises(RuntimeError):
         run_with_restarts(lambda: FakeQuery(next(always)), max_restarts=1, backoff_seconds=0,
                           log=logs.append)
+
+
+def test_quarantine_stream_keeps_malformed_documents(spark, tmp_dir):
+    import json
+    import os
+    from ridelake.streaming.status import start_quarantine_stream, start_status_stream
+    os.makedirs(f"{tmp_dir}/landing")
+    with open(f"{tmp_dir}/landing/a.json", "w") as f:
+        f.write(json.dumps({"last_updated": 1, "data": {"stations": [{"station_id": "u1"}]}}) + "\n")
+        f.write(json.dumps({"last_updated": 2}) + "\n")
+        f.write("this is not json\n")
+    q1 = start_status_stream(spark, f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/c1",
+                             available_now=True, ingestion_at="2024-01-01 00:00:00")
+    q2 = start_quarantine_stream(spark, f"{tmp_dir}/landing", f"{tmp_dir}/quarantine", f"{tmp_dir}/c2",
+                                 available_now=True)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/bronze").count() == 1
+    bad = spark.read.parquet(f"{tmp_dir}/quarantine").collect()
+    assert len(bad) == 2
+    assert any(r.raw == "this is not json" for r in bad)
