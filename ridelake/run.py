@@ -20,7 +20,7 @@ import os
 import sys
 
 from ridelake.plans import jobs as J
-from ridelake.session import ensure_checkpoint_dir, get_spark
+from ridelake.session import apply_conf, cluster_conf, ensure_checkpoint_dir, get_spark
 from ridelake.streaming.status import (run_with_restarts, start_quarantine_stream,
                                        start_status_stream)
 
@@ -50,11 +50,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--as-of")
     ap.add_argument("--tz")
     ap.add_argument("--report-only", action="store_true")
+    ap.add_argument("--input-gb", type=float,
+                    help="approximate input size: sizes scan/shuffle partitions (cluster_conf)")
     ap.add_argument("--incremental", action="store_true",
                     help="trips: rebuild only the days present in this load")
     a = ap.parse_args(argv)
     on_error = "report" if a.report_only else "stop"
     spark = get_spark(app=f"ridelake-{a.command}")
+    if a.input_gb:
+        apply_conf(spark, cluster_conf(int(a.input_gb * 2 ** 30),
+                                       spark.sparkContext.defaultParallelism))
 
     if a.command == "stations":
         J.load_station_files(spark, a.landing, a.warehouse, a.extracted_at, multi_line=a.multi_line)

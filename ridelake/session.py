@@ -28,6 +28,36 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a large run, so every task's share fits executor
+    memory and spills rarely.
+
+    * scans split files into ``target_partition_bytes`` pieces;
+    * the initial shuffle width is input / target (at least 2 waves of the
+      cluster's cores, at most 200k); AQE then coalesces small partitions to
+      the same advisory size and splits skewed join partitions above 4x it;
+    * the broadcast threshold stays Spark's default -- the operators decide
+      broadcasts with explicit bounded checks anyway.
+    """
+    width = max(2 * total_cores, min(200_000, -(-input_bytes // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Apply runtime SQL settings (all of ``cluster_conf`` are runtime)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def get_spark(master: str | None = None, app: str = "ridelake",
               shuffle_partitions: int | None = None,
               driver_memory: str | None = None) -> SparkSession:

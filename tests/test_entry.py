@@ -25,3 +25,15 @@ def test_oracle_matches_at_sf0001(spark):
         want = con.execute(E.oracle_sql()[name]).df()
         assert sorted(got.columns) == sorted(want.columns), name
         assert len(got) == len(want), name
+
+
+def test_cluster_conf_sizes_partitions(spark):
+    from ridelake.session import apply_conf, cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == "200000"   # 100 TB / 256 MB, capped
+    small = cluster_conf(1024 ** 3, total_cores=64)
+    assert small["spark.sql.shuffle.partitions"] == "128"     # at least two waves
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_conf(spark, {"spark.sql.shuffle.partitions": "12"})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "12"
+    spark.conf.set("spark.sql.shuffle.partitions", old)
