@@ -128,7 +128,7 @@ def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "s
 def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
                       report: RunReport | None = None, strategy: str = "checked",
                       days: list[str] | None = None) -> RunReport:
-    """Bronze trips -> stg (checked) -> int (table, checked) -> enriched
+    """Bronze trips -> stg (table, checked) -> int (table, checked) -> enriched
     (table, checked) -> hourly traffic (table, checked). Needs dim_station.
 
     ``days`` rebuilds only those days: every copy of a trip shares its start
@@ -138,7 +138,14 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     day folders are read and only those output day folders are replaced."""
     report = report or RunReport()
     part = days is not None
-    stg = M.stg_trips(read_bronze_trips(spark, warehouse, days))
+    # the priority dedup is the one full shuffle of the trip history: run it
+    # once, write the staging model as a day-partitioned table, and let its
+    # checks and the next layer read that table
+    deduped = M.stg_trips(read_bronze_trips(spark, warehouse, days))
+    materialize_table(deduped.withColumn("started_date", F.to_date("started_at")),
+                      f"{warehouse}/{STAGING}/stg_trips", "started_date", TRIP_CLUSTER,
+                      replace_days=part)
+    stg = _day_slice(read_table(spark, warehouse, STAGING, "stg_trips"), days).drop("started_date")
     if not _check(report, stg, "stg_trips", {}, on_error):
         return report
     materialize_table(M.int_trips(stg), f"{warehouse}/{SILVER}/int_trips", "started_date",
@@ -192,6 +199,7 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
 
 LAYER_TABLES = {
     BRONZE: ["trips_raw", "station_snapshots", "station_status"],
+    STAGING: ["stg_trips"],
     SILVER: ["int_trips"],
     GOLD: ["dim_station", "trips_enriched", "hourly_traffic", "status_current",
            "demand_vs_supply"],
@@ -214,7 +222,7 @@ def register_views(spark: SparkSession, warehouse: str) -> list[str]:
                 else read_table(spark, warehouse, layer, name)
             df.createOrReplaceTempView(name)
             names.append(name)
-    staging = {"stg_trips": ("trips_raw", M.stg_trips), "stg_stations": ("station_snapshots", M.stg_stations),
+    staging = {"stg_stations": ("station_snapshots", M.stg_stations),
                "stg_status": ("station_status", M.stg_status)}
     for view, (src, model) in staging.items():
         if src in names:
