@@ -62,6 +62,14 @@ def _versions_one_window(base: DataFrame, key: str, tracked: Sequence[str], vali
     return changes.withColumn("__valid_to", F.lead(valid_from).over(w))
 
 
+def _join_on_key_chunk(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """LEFT join a (key, chunk) boundary table; NULL keys are a real group
+    (as in a window partition), so the key comparison is null-safe."""
+    s = small.withColumnRenamed(key, "__bk").withColumnRenamed("__c", "__bc")
+    cond = rows[key].eqNullSafe(s["__bk"]) & (rows["__c"] == s["__bc"])
+    return rows.join(F.broadcast(s), cond, "left").drop("__bk", "__bc")
+
+
 def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str,
                       order: list[Column], chunks: int) -> DataFrame:
     """Same result as :func:`_versions_one_window` for keys with huge
@@ -90,7 +98,7 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     prev_last = last.select(key, "__c", F.lag("__last").over(per_key).alias("__pl"))
     lagged = b.select("*", *[F.lag(c).over(w).alias(_PREV + c) for c in tracked],
                       F.row_number().over(w).alias("__rn"))
-    fixed = lagged.join(F.broadcast(prev_last), [key, "__c"], "left").select(
+    fixed = _join_on_key_chunk(lagged, prev_last, key).select(
         *b.columns,
         *[F.when(F.col("__rn") == 1, F.col("__pl")[c]).otherwise(F.col(_PREV + c)).alias(_PREV + c)
           for c in tracked])
@@ -102,7 +110,7 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
                                F.lead(F.col("__fk")[valid_from]).over(per_key).alias("__nb"))
     ver = kept.select("*", F.lead(valid_from).over(w).alias("__next"),
                       F.lead(F.lit(1)).over(w).alias("__has_next"))
-    ver = ver.join(F.broadcast(next_first), [key, "__c"], "left")
+    ver = _join_on_key_chunk(ver, next_first, key)
     valid_to = F.when(F.col("__has_next").isNotNull(), F.col("__next")).otherwise(F.col("__nb"))
     return ver.select(*base.columns, valid_to.alias("__valid_to"))
 
@@ -155,11 +163,12 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
         if n_hot == 0:
             versions = _versions_one_window(base, key, tracked, valid_from, order)
         else:
-            hot = F.broadcast(hot_counts.select(key))
+            hot = F.broadcast(hot_counts.select(F.col(key).alias("__hk")))
+            is_hot = base[key].eqNullSafe(hot["__hk"])  # a NULL key can be hot too
             n_chunks = int(min(max_chunks, max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1)))
-            cold = _versions_one_window(base.join(hot, key, "left_anti"), key, tracked,
+            cold = _versions_one_window(base.join(hot, is_hot, "left_anti"), key, tracked,
                                         valid_from, order)
-            hot_v = _versions_chunked(base.join(hot, key, "left_semi"), key, tracked,
+            hot_v = _versions_chunked(base.join(hot, is_hot, "left_semi"), key, tracked,
                                       valid_from, order, n_chunks)
             versions = cold.unionByName(hot_v)
     return finish_versions(versions, key, valid_from, sk_name, payload)

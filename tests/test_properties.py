@@ -55,7 +55,7 @@ def brute_scd(rows, tracked_idx):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.integers(0, 60),
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.integers(0, 60),
                           maybe(st.sampled_from(["N", "M"])), maybe(st.sampled_from([10, 20]))),
                 min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1])),
        st.sampled_from([None, 0, 5]))
