@@ -28,7 +28,8 @@ from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
 from ridelake.sources.files import (parse_status_messages, read_station_snapshot_json,
                                     read_trip_months, require_columns, split_malformed)
-from ridelake.streaming.status import start_latest_status_stream, start_status_stream
+from ridelake.streaming.status import (await_bounded, start_latest_status_stream,
+                                       start_status_stream)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, QueryFn] = {}
@@ -319,7 +320,7 @@ def q_stream_flatten(t: Tables) -> DataFrame:
     bronze = scratch_path(t.spark, "bronze", "status")
     q = start_status_stream(t.spark, landing, bronze, scratch_path(t.spark, "checkpoints"),
                             available_now=True, ingestion_at=FIXED_INGESTION)
-    q.awaitTermination()
+    await_bounded(q)
     return t.spark.read.parquet(bronze)
 
 
@@ -333,7 +334,7 @@ def q_stream_latest(t: Tables) -> DataFrame:
     q = start_latest_status_stream(t.spark, landing, target, scratch_path(t.spark, "checkpoints"),
                                    available_now=True,
                                    ingestion_at=S.epoch_seconds_to_ts("feed_last_updated"))
-    q.awaitTermination()
+    await_bounded(q)
     return t.spark.read.parquet(target)
 
 

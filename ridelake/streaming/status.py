@@ -137,3 +137,13 @@ def run_with_restarts(start: Callable[[], StreamingQuery], max_restarts: int = 3
             if restarts > max_restarts:
                 raise
             time.sleep(backoff_seconds)
+
+
+def await_bounded(query: StreamingQuery, timeout_seconds: float = 3600.0) -> None:
+    """Wait for a (typically ``availableNow``) query to finish; stop it and
+    fail loudly instead of hanging when it does not end in time."""
+    finished = query.awaitTermination(timeout_seconds)
+    if not finished:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish "
+                           f"within {timeout_seconds:.0f}s")
