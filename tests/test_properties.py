@@ -180,3 +180,39 @@ def test_sorted_as_of_brute_force(spark, versions, facts, slices):
         m = [v[1] for v in vrows if k is not None and ts is not None and v[0] == k and v[2] <= ts < v[3]]
         want[i] = m[0] if m else None
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2", None]), maybe(st.integers(0, 5)),
+                          st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=25))
+def test_latest_state_brute_force(spark, rows):
+    from ridelake.streaming.status import latest_status_state
+    df = spark.createDataFrame([(s, None if d is None else T0 + timedelta(hours=d), a, b)
+                                for s, d, a, b in rows],
+                               "station_id string, ingestion_at timestamp_ntz, bikes long, docks long")
+    got = {r.station_id: (r.ingestion_at, r.bikes, r.docks) for r in latest_status_state(df).collect()}
+    want = {}
+    for s in {r[0] for r in rows}:
+        grp = [(None if d is None else T0 + timedelta(hours=d), a, b) for ss, d, a, b in rows if ss == s]
+        # ORDER BY ts DESC NULLS LAST, bikes DESC, docks DESC
+        grp.sort(key=lambda g: (g[0] is not None, g[0] or T0, g[1], g[2]), reverse=True)
+        want[s] = grp[0]
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from(["a", "b", "c", None]), min_size=1, max_size=40))
+def test_distribution_brute_force(spark, values):
+    from ridelake.operators.rollup import distribution
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r.v: (r.n, r.pct) for r in distribution(df, "v").collect()}
+    from decimal import ROUND_HALF_UP, Decimal
+    total = len(values)
+
+    def half_up(x):  # Spark rounds the double's decimal text half-up
+        return float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+    want = {v: (values.count(v), half_up(values.count(v) * 100.0 / total)) for v in set(values)}
+    assert got == want
+    tie = spark.createDataFrame([("a",)] + [("b",)] * 31, "v string")   # 1/32 = 3.125 %
+    assert {r.v: r.pct for r in distribution(tie, "v").collect()}["a"] == 3.13
