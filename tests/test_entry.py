@@ -37,3 +37,15 @@ def test_cluster_conf_sizes_partitions(spark):
     apply_conf(spark, {"spark.sql.shuffle.partitions": "12"})
     assert spark.conf.get("spark.sql.shuffle.partitions") == "12"
     spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_entry_loads_by_path_from_elsewhere(spark, tmp_dir, monkeypatch):
+    import importlib.util
+    import os
+    monkeypatch.chdir(tmp_dir)
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(here, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    df = mod.entry(spark)
+    assert df.count() == 945 and len(mod.queries()) == len(mod.oracle_sql())
