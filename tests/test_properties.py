@@ -216,3 +216,23 @@ def test_distribution_brute_force(spark, values):
     assert got == want
     tie = spark.createDataFrame([("a",)] + [("b",)] * 31, "v string")   # 1/32 = 3.125 %
     assert {r.v: r.pct for r in distribution(tie, "v").collect()}["a"] == 3.13
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])),
+                min_size=1, max_size=30),
+       st.lists(st.sampled_from(["a", "c", None]), min_size=0, max_size=5))
+def test_key_checks_brute_force(spark, rows, parent_keys):
+    from collections import Counter
+
+    from ridelake.operators.quality import relationships, unique, unique_combination
+    df = spark.createDataFrame(rows, "k string, j int")
+    parent = spark.createDataFrame([(p,) for p in parent_keys] or [(None,)], "p string")
+    ks = Counter(r[0] for r in rows if r[0] is not None)
+    assert unique(df, "m", "k").first().failures == sum(1 for c in ks.values() if c > 1)
+    combos = Counter(rows)
+    assert unique_combination(df, "m", ["k", "j"]).first().failures == \
+        sum(1 for c in combos.values() if c > 1)
+    parents = {p for p in parent_keys if p is not None}
+    assert relationships(df, "m", "k", parent, "p").first().failures == \
+        sum(1 for r in rows if r[0] is not None and r[0] not in parents)
