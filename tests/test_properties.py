@@ -236,3 +236,31 @@ def test_key_checks_brute_force(spark, rows, parent_keys):
     parents = {p for p in parent_keys if p is not None}
     assert relationships(df, "m", "k", parent, "p").first().failures == \
         sum(1 for r in rows if r[0] is not None and r[0] not in parents)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(maybe(st.sampled_from(["r1", "r2"])), st.sampled_from(["S1", "S2", None]),
+                          maybe(st.integers(-10, 100)), st.sampled_from(["valid", "zero_duration"])),
+                min_size=1, max_size=30))
+def test_hourly_rollup_brute_force(spark, rows):
+    from datetime import date
+    from ridelake.plans.models import HOURLY_KEYS, hourly_traffic
+    cols = ("started_date date, started_hour int, started_day_name string, is_weekend boolean, "
+            "time_of_day string, start_station_id string, start_station_name string, "
+            "member_casual string, rideable_type string, ride_id string, "
+            "trip_duration_seconds long, data_quality_flag string")
+    data = [(date(2024, 1, 2), 8, "Tuesday", False, "Morning", sid, "N", "member", "classic_bike",
+             rid, dur, flag) for rid, sid, dur, flag in rows]
+    got = {r.start_station_id: (r.total_trips, r.total_trip_duration_seconds,
+                                r.avg_trip_duration_seconds, r.valid_trips_count, r.flagged_trips_count)
+           for r in hourly_traffic(spark.createDataFrame(data, cols)).collect()}
+    want = {}
+    for sid in {r[1] for r in rows if r[1] is not None}:
+        g = [r for r in rows if r[1] == sid]
+        n = sum(1 for r in g if r[0] is not None)
+        durs = [r[2] for r in g if r[2] is not None]
+        total = sum(durs) if durs else None
+        want[sid] = (n, total, (total / n) if (total is not None and n) else None,
+                     sum(1 for r in g if r[3] == "valid"), sum(1 for r in g if r[3] != "valid"))
+    assert got == want
+    assert len(HOURLY_KEYS) == 9
