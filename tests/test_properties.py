@@ -264,3 +264,38 @@ def test_hourly_rollup_brute_force(spark, rows):
                      sum(1 for r in g if r[3] == "valid"), sum(1 for r in g if r[3] != "valid"))
     assert got == want
     assert len(HOURLY_KEYS) == 9
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.datetimes(min_value=datetime(2021, 3, 13), max_value=datetime(2021, 3, 15)),
+                          st.integers(-100_000_000, 200_000_000)), min_size=1, max_size=20))
+def test_time_dims_brute_force_any_zone(spark, rows):
+    """Around a daylight-saving change, under a New York session zone."""
+    from decimal import ROUND_HALF_UP, Decimal
+    from ridelake.plans.models import add_time_dims
+    from ridelake.schemas import TRIPS_RAW_COLUMNS
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        recs = []
+        for i, (start, micros) in enumerate(rows):
+            end = start + timedelta(microseconds=micros)
+            rec = {c: None for c in TRIPS_RAW_COLUMNS}
+            rec.update(ride_id=f"r{i}", started_at=start, ended_at=end)
+            recs.append(tuple(rec[c] for c in TRIPS_RAW_COLUMNS))
+        schema = ", ".join(f"{c} {'timestamp_ntz' if c in ('ingestion_at', 'started_at', 'ended_at') else 'double' if c.endswith(('_lat', '_lng')) else 'string'}"
+                           for c in TRIPS_RAW_COLUMNS)
+        got = {r.ride_id: r for r in add_time_dims(spark.createDataFrame(recs, schema)).collect()}
+        bands = [(0, 5, "Late Night"), (6, 10, "Morning"), (11, 15, "Afternoon"), (16, 18, "Evening")]
+        for i, (start, micros) in enumerate(rows):
+            r = got[f"r{i}"]
+            secs = int(micros / 1_000_000) if micros >= 0 else -int(-micros / 1_000_000)
+            assert r.trip_duration_seconds == secs
+            mins = float((Decimal(secs) / Decimal(60)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+            assert r.trip_duration_minutes == mins
+            assert r.started_hour == start.hour and r.started_date == start.date()
+            assert r.started_day_name == start.strftime("%A")
+            assert r.is_weekend == (start.weekday() >= 5)
+            assert r.time_of_day == next((lab for lo, hi, lab in bands if lo <= start.hour <= hi), "Night")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
