@@ -299,3 +299,43 @@ def test_time_dims_brute_force_any_zone(spark, rows):
             assert r.time_of_day == next((lab for lo, hi, lab in bands if lo <= start.hour <= hi), "Night")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), st.integers(0, 50), st.integers(0, 2),
+                          st.integers(0, 2)), min_size=1, max_size=12, unique_by=lambda r: (r[0], r[1])),
+       st.lists(st.tuples(st.sampled_from(["S1", "S2", "S9"]), st.sampled_from([11, 12]),
+                          st.sampled_from(["Tuesday", "Monday"]), st.integers(0, 5)),
+                min_size=0, max_size=15))
+def test_demand_vs_supply_brute_force(spark, status, hourly):
+    from ridelake.plans.models import demand_vs_supply, status_current
+    open_end = datetime(9999, 12, 31, 23, 59, 59)
+    dim_rows = [("u1", "One", "S1", 1.0, 1.0, T0, open_end, True),
+                ("u2", "Two", "S2", 2.0, 2.0, T0, open_end, True)]   # u3 has no station version
+    dim = spark.createDataFrame(dim_rows, "station_id string, station_name string, short_name string, "
+                                "lat double, lon double, valid_from timestamp_ntz, "
+                                "valid_to timestamp_ntz, is_current boolean")
+    stg = spark.createDataFrame(
+        [(T0 + timedelta(minutes=m), T0, sid, bikes, 0, docks, 0, 1, 1, 1, T0, 0, 0, 0)
+         for sid, m, bikes, docks in status],
+        "ingestion_at timestamp_ntz, feed_last_updated timestamp_ntz, station_id string, "
+        "num_bikes_available long, num_bikes_disabled long, num_docks_available long, "
+        "num_docks_disabled long, is_installed long, is_renting long, is_returning long, "
+        "last_reported timestamp_ntz, num_ebikes_available long, num_scooters_available long, "
+        "num_scooters_unavailable long")
+    hdf = spark.createDataFrame([(code, h, day, n) for code, h, day, n in hourly] or [("S0", 0, "x", 0)],
+                                "start_station_id string, started_hour int, started_day_name string, "
+                                "total_trips long")
+    out = demand_vs_supply(status_current(stg, dim), hdf, dim, "2024-01-30 12:00:00")
+    got = {r.station_id: (r.num_bikes_available, r.num_docks_available, r.avg_historical_trips,
+                          r.supply_status, r.current_hour, r.current_day_name) for r in out.collect()}
+    codes = {"u1": "S1", "u2": "S2"}
+    want = {}
+    for sid in {s[0] for s in status}:
+        latest = max((s for s in status if s[0] == sid), key=lambda s: s[1])
+        cells = [n for code, h, day, n in hourly if code == codes.get(sid) and h == 12 and day == "Tuesday"]
+        avg = sum(cells) / len(cells) if cells else None
+        label = ("empty" if latest[2] == 0 else "full" if latest[3] == 0
+                 else "no_historical_data" if avg is None else "normal")
+        want[sid] = (latest[2], latest[3], avg, label, 12, "Tuesday")
+    assert got == want
