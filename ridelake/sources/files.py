@@ -14,21 +14,23 @@ from pyspark.sql import types as T
 from ridelake.schemas import STATION_INFO_DOC, STATUS_DOC, TRIP_CSV
 
 MONTH_PARTITION = "month"
+# Trip files follow RFC 4180: fields with commas are quoted and a quote inside
+# a field is doubled; Spark's reader escapes with a backslash unless told.
 
 
 def read_trips_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Header CSV scan of one monthly trip file or a directory of parts.
     Only ``*.csv`` files are read; Spark's listing already skips hidden and
     ``_``-prefixed entries such as archive-tool metadata folders."""
-    reader = (spark.read.schema(TRIP_CSV).option("header", True).option("mode", "PERMISSIVE")
-              .option("pathGlobFilter", "*.csv"))
+    reader = (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
+              .option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv"))
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
 def read_multi_part_csv(spark: SparkSession, month_dir: str) -> DataFrame:
     """Every CSV part anywhere under one month's landing folder (archives
     that unpack into several parts or sub-folders)."""
-    return (spark.read.schema(TRIP_CSV).option("header", True)
+    return (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
             .csv(month_dir)
             .filter(~F.col("_metadata.file_path").contains("/__MACOSX/")))
@@ -42,8 +44,9 @@ def read_trip_months(spark: SparkSession, root: str, months: Sequence[str] | Non
     sub-folders is read whole, and the month comes from the file's folder
     name as a string."""
     paths = [os.path.join(root, f"{MONTH_PARTITION}={m}") for m in months] if months else [root]
-    df = (spark.read.schema(TRIP_CSV).option("header", True).option("mode", "PERMISSIVE")
-          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    df = (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
+          .option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+          .option("pathGlobFilter", "*.csv")
           .csv(paths))
     path = F.col("_metadata.file_path")
     return (df.filter(~path.contains("/__MACOSX/"))

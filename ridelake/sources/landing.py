@@ -76,4 +76,4 @@ def trip_csv_columns(trips_raw: DataFrame) -> DataFrame:
 def write_trip_csv_landing(trips_raw: DataFrame, root: str) -> None:
     """``root/month=YYYYMM/part-*.csv`` with header, one folder per month."""
     (trip_csv_columns(trips_raw).write.mode("overwrite").partitionBy("month")
-     .option("header", True).csv(root))
+     .option("header", True).option("escape", '"').csv(root))

@@ -111,3 +111,12 @@ def test_month_folder_with_nested_parts(spark, tmp_dir):
     got = read_trip_months(spark, tmp_dir, ["202403"]).collect()
     assert sorted((r.ride_id, r.month) for r in got) == [("r1", "202403"), ("r2", "202403")]
     assert read_trip_months(spark, tmp_dir).count() == 3
+
+
+def test_csv_rfc4180_quoting(spark, tmp_dir):
+    _write(f"{tmp_dir}/month=202401/a.csv", HEADER
+           + 'r1,classic_bike,2024-01-05 08:00:00,2024-01-05 08:30:00,"Broadway & W 58 St, North",'
+             '"6948.10","The ""Hub"" Plaza",5329.03,40.1,-74.1,40.2,-74.2,member\n')
+    r = read_trip_months(spark, tmp_dir).first()
+    assert r.start_station_name == "Broadway & W 58 St, North"
+    assert r.end_station_name == 'The "Hub" Plaza' and r.start_station_id == "6948.10"
