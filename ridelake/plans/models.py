@@ -20,7 +20,7 @@ from ridelake.operators.dedup import dedup_priority, latest_per_key, month_match
 from ridelake.operators.joins import current_versions, enrich_as_of, enrich_current, lookup
 from ridelake.operators.rollup import count_where, distribution, rollup
 from ridelake.operators.scd import scd2
-from ridelake.schemas import SNAPSHOT_COLUMNS, TRIPS_RAW_COLUMNS
+from ridelake.schemas import SNAPSHOT_COLUMNS, STATUS_FLAGS, TRIPS_RAW_COLUMNS
 
 TRIP_KEY = ["ride_id", "started_at", "ended_at"]
 TRACKED_STATION_ATTRS = ["station_name", "short_name", "lon", "lat", "region_id", "capacity"]
@@ -101,11 +101,18 @@ def flatten_status(raw: DataFrame, ingestion_at=None) -> DataFrame:
         else _ts_literal(ingestion_at)
     st = raw.select(F.col("last_updated").alias("feed_last_updated"),
                     F.explode("data.stations").alias("s"))
+
+    def field(c: str) -> Column:
+        if c in STATUS_FLAGS:  # 0/1 or true/false in the feed -> 0/1
+            return F.expr(f"CASE lower(CAST(s.{c} AS STRING)) WHEN '1' THEN 1 WHEN 'true' THEN 1 "
+                          f"WHEN '0' THEN 0 WHEN 'false' THEN 0 END").cast("bigint").alias(c)
+        return F.col(f"s.{c}").alias(c)
+
     return st.select(
         ts.alias("ingestion_at"),
         "feed_last_updated",
         F.col("s.station_id").alias("station_id"),
-        *[F.col(f"s.{c}").alias(c) for c in (
+        *[field(c) for c in (
             "num_bikes_available", "num_bikes_disabled", "num_docks_available",
             "num_docks_disabled", "is_installed", "is_renting", "is_returning",
             "last_reported", "num_ebikes_available", "num_scooters_available",

@@ -83,12 +83,17 @@ STATUS_COUNTERS = [
     "num_scooters_unavailable",
 ]
 
+# 0/1 flags: older feed versions send numbers, newer ones JSON booleans; read
+# as text so both survive parsing, then normalized to 0/1 when flattened.
+STATUS_FLAGS = ["is_installed", "is_renting", "is_returning"]
+
 STATUS_DOC = T.StructType([
     T.StructField("last_updated", T.LongType()),
     T.StructField("data", T.StructType([
         T.StructField("stations", T.ArrayType(T.StructType(
             [T.StructField("station_id", T.StringType())]
-            + [T.StructField(c, T.LongType()) for c in STATUS_COUNTERS]
+            + [T.StructField(c, T.StringType() if c in STATUS_FLAGS else T.LongType())
+               for c in STATUS_COUNTERS]
         ))),
     ])),
 ])

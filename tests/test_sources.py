@@ -120,3 +120,17 @@ def test_csv_rfc4180_quoting(spark, tmp_dir):
     r = read_trip_months(spark, tmp_dir).first()
     assert r.start_station_name == "Broadway & W 58 St, North"
     assert r.end_station_name == 'The "Hub" Plaza' and r.start_station_id == "6948.10"
+
+
+def test_status_flags_numbers_or_booleans(spark):
+    import json
+    from ridelake.plans.models import flatten_status
+    from ridelake.sources.files import parse_status_messages
+    docs = [json.dumps({"last_updated": 1, "data": {"stations": [
+        {"station_id": "a", "is_installed": 1, "is_renting": 0, "is_returning": 1},
+        {"station_id": "b", "is_installed": True, "is_renting": False, "is_returning": None}]}})]
+    flat = flatten_status(parse_status_messages(spark.createDataFrame([(d,) for d in docs], "value string")),
+                          "2024-01-01 00:00:00")
+    got = {r.station_id: (r.is_installed, r.is_renting, r.is_returning) for r in flat.collect()}
+    assert got == {"a": (1, 0, 1), "b": (1, 0, None)}
+    assert dict(flat.dtypes)["is_installed"] == "bigint"
