@@ -134,3 +134,13 @@ def test_status_flags_numbers_or_booleans(spark):
     got = {r.station_id: (r.is_installed, r.is_renting, r.is_returning) for r in flat.collect()}
     assert got == {"a": (1, 0, 1), "b": (1, 0, None)}
     assert dict(flat.dtypes)["is_installed"] == "bigint"
+
+
+def test_short_csv_rows_are_kept_with_nulls(spark, tmp_dir):
+    _write(f"{tmp_dir}/month=202401/a.csv", HEADER
+           + "r1,classic_bike,2024-01-05 08:00:00,2024-01-05 08:30:00,A,S1,B,S2,40.1,-74.1,40.2,-74.2,member\n"
+           + "r2,classic_bike\n")
+    typed = transform_trips(read_trip_months(spark, tmp_dir), "202401", "2024-02-01 00:00:00")
+    ok, bad = quarantine_trips(typed)
+    assert [r.ride_id for r in ok.collect()] == ["r1"]
+    assert [(r.ride_id, r.started_at, r.member_casual) for r in bad.collect()] == [("r2", None, None)]
