@@ -12,7 +12,7 @@ WITH parted AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
 ), numbered AS (
   SELECT doc_id, i AS place, parts[i] AS line,
-         coalesce(list_sum(list_transform(parts[1:i - 1], p -> length(p) + 1)), 0)::BIGINT AS start_at,
+         coalesce(list_sum(list_transform(parts[1:i - 1], lambda p: length(p) + 1)), 0)::BIGINT AS start_at,
          trim(regexp_replace(translate(parts[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
   FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM parted)
@@ -35,8 +35,8 @@ NEIGHBOURS = """
 WITH usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
