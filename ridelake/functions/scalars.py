@@ -100,6 +100,15 @@ def epoch_seconds_to_ts_sql(c: str) -> str:
     return f"{EPOCH_SQL} + ({c}) * INTERVAL '1' SECOND"
 
 
+def text_to_utc(col: str) -> Column:
+    """Timestamp text -> UTC wall clock (NTZ); NULL when malformed. An offset or
+    ``Z`` in the text is honoured, text without one is taken as it stands."""
+    return F.expr(
+        f"CASE WHEN CAST({col} AS STRING) RLIKE ':[0-9]{{2}}([.][0-9]+)? ?(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$' "
+        f"THEN timestampadd(MICROSECOND, unix_micros(try_cast({col} AS TIMESTAMP)), TIMESTAMP_NTZ'1970-01-01 00:00:00') "
+        f"ELSE try_cast({col} AS TIMESTAMP_NTZ) END")
+
+
 def epoch_seconds_to_ts(c: str) -> Column:
     """Epoch seconds -> TIMESTAMP_NTZ (UTC wall-clock)."""
     return F.expr(epoch_seconds_to_ts_sql(c))
@@ -114,11 +123,6 @@ def ts_to_epoch_seconds(c: str) -> Column:
     return F.expr(ts_to_epoch_seconds_sql(c))
 
 
-def ts_to_epoch_micros(c: str) -> Column:
-    """TIMESTAMP_NTZ -> epoch microseconds (monotone in the timestamp)."""
-    secs = f"CAST({seconds_between_sql(EPOCH_SQL, c)} AS DECIMAL(24,6))"
-    return F.expr(f"CAST({secs} * 1000000 AS BIGINT)")
-
 
 def minutes_2dp_sql(seconds: str) -> str:
     """round(seconds / 60, 2) in exact decimal arithmetic, as double."""

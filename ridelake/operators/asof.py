@@ -13,8 +13,7 @@ rows, and joining it on (key, slice) reuses the window's partitioning, so
 the facts are not shuffled again. Work is O(n log n) however many versions
 a key has -- no fact is ever compared with all versions of its key.
 
-Requires versions of one key not to overlap (true for SCD2 output, where
-each version ends where the next begins).
+Requires versions of one key not to overlap (:func:`one_line` sees to that).
 """
 
 from __future__ import annotations
@@ -27,6 +26,24 @@ from pyspark.sql import functions as F
 from ridelake.session import ensure_checkpoint_dir
 
 
+def one_line(versions: DataFrame, dim_key: str, valid_from: str = "valid_from",
+             valid_to: str = "valid_to") -> DataFrame:
+    """Versions of which at most one is valid for a key at any instant: empty
+    ones go, of several that start together the longest (then one by the hash
+    of the row) stays, and a version ends where the key's next one starts. The
+    key need not be the one the versions were built for, so two stations that
+    share a code are one line, in which the newer start wins."""
+    real = (versions.filter(F.col(dim_key).isNotNull() & F.col(valid_from).isNotNull()
+                            & (F.col(valid_from) < F.col(valid_to)))
+            .withColumn("__tie", F.xxhash64(*[F.col(c) for c in versions.columns])))
+    start = Window.partitionBy(dim_key, valid_from).orderBy(F.desc(valid_to), "__tie")
+    first = real.withColumn("__n", F.row_number().over(start)).filter("__n = 1")
+    following = F.lead(valid_from).over(Window.partitionBy(dim_key).orderBy(valid_from))
+    return (first.withColumn("__next", following)
+            .withColumn(valid_to, F.least(F.col(valid_to), F.coalesce("__next", valid_to)))
+            .drop("__tie", "__n", "__next"))
+
+
 def asof_join_sorted(facts: DataFrame, versions: DataFrame, fact_key: str, ts: str,
                      dim_key: str, take: Mapping[str, str], valid_from: str = "valid_from",
                      valid_to: str = "valid_to", slices: int | None = None) -> DataFrame:

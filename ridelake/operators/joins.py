@@ -198,6 +198,8 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     its own bucket instead of a key's whole history -- the residual no longer
     scans every version of a hot key.
     """
+    from ridelake.operators.asof import one_line
+    dim = one_line(dim, dim_key, valid_from, valid_to)  # both plans below see the same line
     right = dim.select(F.col(dim_key).alias("__pit_k"), F.col(valid_from).alias("__pit_from"),
                        F.col(valid_to).alias("__pit_to"),
                        *[F.col(s).alias(d) for s, d in take.items()])

@@ -119,6 +119,12 @@ class ModelChecks:
     combos: list[tuple[tuple[str, ...], Column | str | None]] = field(default_factory=list)
     relations: list[tuple[str, str, str]] = field(default_factory=list)  # (col, parent model, field)
 
+    def covers(self, kinds: Sequence[str] | None = None) -> bool:
+        """Whether any check of these kinds (all, if None) is attached."""
+        lists = {"row": self.rows, "unique": self.unique, "unique_combination": self.combos,
+                 "relationships": self.relations}
+        return any(found for kind, found in lists.items() if kinds is None or kind in kinds)
+
 
 def run_model_checks(df: DataFrame, spec: ModelChecks,
                      parents: dict[str, DataFrame] | None = None,
@@ -143,8 +149,9 @@ def run_model_checks(df: DataFrame, spec: ModelChecks,
     return out
 
 
-def only(results: DataFrame, check: str) -> DataFrame:
-    return results.filter(F.col("check_name") == check)
+def only(spec: ModelChecks, check: str) -> ModelChecks:
+    """The spec with the row checks of one name; what it leaves out is never planned."""
+    return ModelChecks(spec.model, rows=[c for c in spec.rows if c.check == check])
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from ridelake.functions.scalars import day_key
 from ridelake.plans import models as M
 from ridelake.plans.checks import model_checks
 from ridelake.schemas import TRIPS_BRONZE
+from ridelake.session import path_exists
 from ridelake.sinks.writers import (append_snapshot, materialize_table, write_day_partitioned)
 from ridelake.sources.files import read_station_snapshot_json, read_table, read_trip_months
 
@@ -82,8 +83,13 @@ def load_trip_files(spark: SparkSession, landing_root: str, warehouse: str,
     raw = read_trip_months(spark, landing_root, months)
     typed = M.transform_trips(raw, F.col("month"), ingestion_at)
     ok, bad = M.quarantine_trips(typed)
-    write_day_partitioned(ok, f"{warehouse}/{BRONZE}/trips_raw", "date_str", TRIP_CLUSTER, mode=mode)
-    bad.write.mode("append").parquet(f"{warehouse}/{QUARANTINE}/trips_raw")
+    write_day_partitioned(ok, f"{warehouse}/{BRONZE}/trips_raw", "date_str", TRIP_CLUSTER, mode=mode,
+                          load_col="source_month")
+    # by month as well: a reload replaces its own rejects and adds none twice
+    rejects = bad.write.partitionBy("source_month")
+    rejects = (rejects.mode("append") if mode == "append"
+               else rejects.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
+    rejects.parquet(f"{warehouse}/{QUARANTINE}/trips_raw")
     return _days(ok)
 
 
@@ -92,7 +98,7 @@ def load_trips_raw(df: DataFrame, warehouse: str, mode: str = "append") -> list[
     returns the day keys it touched."""
     typed = df.withColumn("date_str", day_key("started_at"))
     write_day_partitioned(typed, f"{warehouse}/{BRONZE}/trips_raw", "date_str", TRIP_CLUSTER,
-                          mode=mode)
+                          mode=mode, load_col="source_month")
     return _days(typed)
 
 
@@ -210,13 +216,11 @@ def register_views(spark: SparkSession, warehouse: str) -> list[str]:
     """Expose every built layer table (plus the staging models, which are
     views by nature) as session views, so analyses can be plain
     ``spark.sql``. Returns the view names created."""
-    import os
-
     names = []
     for layer, tables in LAYER_TABLES.items():
         for name in tables:
             path = f"{warehouse}/{layer}/{name}"
-            if not os.path.exists(path) and "://" not in path:
+            if not path_exists(spark, path):
                 continue
             df = read_bronze_trips(spark, warehouse) if name == "trips_raw" \
                 else read_table(spark, warehouse, layer, name)

@@ -44,8 +44,7 @@ def transform_trips(raw: DataFrame, month: str | Column, ingestion_at=None) -> D
     month_col = month if isinstance(month, Column) else F.lit(str(month))
     ingest = S.utc_now() if ingestion_at is None \
         else _ts_literal(ingestion_at)
-    started = F.col("started_at").try_cast("timestamp_ntz")
-    ended = F.col("ended_at").try_cast("timestamp_ntz")
+    started, ended = S.text_to_utc("started_at"), S.text_to_utc("ended_at")
     typed = raw.select(
         ingest.alias("ingestion_at"),
         month_col.cast("string").alias("source_month"),
@@ -103,9 +102,10 @@ def flatten_status(raw: DataFrame, ingestion_at=None) -> DataFrame:
                     F.explode("data.stations").alias("s"))
 
     def field(c: str) -> Column:
-        if c in STATUS_FLAGS:  # 0/1 or true/false in the feed -> 0/1
-            return F.expr(f"CASE lower(CAST(s.{c} AS STRING)) WHEN '1' THEN 1 WHEN 'true' THEN 1 "
-                          f"WHEN '0' THEN 0 WHEN 'false' THEN 0 END").cast("bigint").alias(c)
+        if c in STATUS_FLAGS:  # true/false -> 1/0; any other value stays for the checks (-1: no number)
+            return F.expr(f"CASE lower(CAST(s.{c} AS STRING)) WHEN 'true' THEN 1 WHEN 'false' THEN 0 "
+                          f"ELSE CASE WHEN s.{c} IS NOT NULL THEN coalesce(try_cast(s.{c} AS BIGINT), -1) END END"
+                          ).cast("bigint").alias(c)
         return F.col(f"s.{c}").alias(c)
 
     return st.select(
@@ -141,8 +141,10 @@ def stg_stations(snapshots: DataFrame) -> DataFrame:
 
 def stg_status(status_raw: DataFrame) -> DataFrame:
     """Typed status rows: epoch seconds become timestamps."""
+    text = dict(status_raw.dtypes)["ingestion_at"] == "string"
+    ingestion = S.text_to_utc("ingestion_at") if text else F.col("ingestion_at").cast("timestamp_ntz")
     return status_raw.select(
-        F.col("ingestion_at").cast("timestamp_ntz").alias("ingestion_at"),
+        ingestion.alias("ingestion_at"),
         S.epoch_seconds_to_ts("feed_last_updated").alias("feed_last_updated"),
         "station_id", "num_bikes_available", "num_bikes_disabled",
         "num_docks_available", "num_docks_disabled", "is_installed", "is_renting",
@@ -292,7 +294,3 @@ def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
         "avg_historical_trips",
         S.supply_status("num_bikes_available", "num_docks_available",
                         "avg_historical_trips").alias("supply_status"))
-
-
-def trips_raw_columns(df: DataFrame) -> DataFrame:
-    return df.select(*TRIPS_RAW_COLUMNS)

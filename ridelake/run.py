@@ -16,12 +16,11 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 
 from ridelake.plans import jobs as J
-from ridelake.session import apply_conf, cluster_conf, ensure_checkpoint_dir, get_spark
-from ridelake.streaming.status import (run_with_restarts, start_quarantine_stream,
+from ridelake.session import apply_conf, cluster_conf, get_spark
+from ridelake.streaming.status import (DEFAULT_MAX_FILES, run_with_restarts, start_quarantine_stream,
                                        start_status_stream)
 
 
@@ -45,8 +44,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--trigger", default="300 seconds")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--max-restarts", type=int, default=3)
-    ap.add_argument("--quarantine", action="store_true",
-                    help="status-stream: also keep malformed documents in a quarantine table")
+    ap.add_argument("--quarantine", action="store_true", help="status-stream: accepted; it is the default")
+    ap.add_argument("--no-quarantine", action="store_true",
+                    help="status-stream: do not keep malformed documents in a quarantine table")
+    ap.add_argument("--max-files", type=int, default=DEFAULT_MAX_FILES,
+                    help="status-stream: files taken in by a micro-batch")
     ap.add_argument("--as-of")
     ap.add_argument("--tz")
     ap.add_argument("--report-only", action="store_true")
@@ -70,15 +72,18 @@ def main(argv: list[str] | None = None) -> int:
         return _report(J.build_trip_models(spark, a.warehouse, on_error,
                                            days=days if a.incremental else None))
     if a.command == "status-stream":
-        ckpt = a.checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ridelake", "status-stream")
+        # beside the table it belongs to: one checkpoint a warehouse, kept over restarts
+        ckpt = a.checkpoint or f"{a.warehouse}/_checkpoints/status-stream"
         side = None
-        if a.quarantine:
+        if not a.no_quarantine:
             side = start_quarantine_stream(spark, a.landing, f"{a.warehouse}/{J.QUARANTINE}/station_status",
                                            ckpt + "-quarantine", trigger=a.trigger,
-                                           available_now=a.available_now)
+                                           available_now=a.available_now,
+                                           max_files_per_trigger=a.max_files)
         run_with_restarts(lambda: start_status_stream(
             spark, a.landing, f"{a.warehouse}/{J.BRONZE}/station_status", ckpt,
-            trigger=a.trigger, available_now=a.available_now), max_restarts=a.max_restarts)
+            trigger=a.trigger, available_now=a.available_now,
+            max_files_per_trigger=a.max_files), max_restarts=a.max_restarts)
         if side is not None:
             side.awaitTermination()
         return 0

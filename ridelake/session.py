@@ -21,7 +21,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Let the local-shuffle reader turn a runtime-small side into a broadcast.
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     # delete checkpoint files once the checkpointed data is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -35,12 +34,12 @@ def cluster_conf(input_bytes: int, total_cores: int,
 
     * scans split files into ``target_partition_bytes`` pieces;
     * the initial shuffle width is input / target (at least 2 waves of the
-      cluster's cores, at most 200k); AQE then coalesces small partitions to
+      cluster's cores); AQE then coalesces small partitions to
       the same advisory size and splits skewed join partitions above 4x it;
     * the broadcast threshold stays Spark's default -- the operators decide
       broadcasts with explicit bounded checks anyway.
     """
-    width = max(2 * total_cores, min(200_000, -(-input_bytes // target_partition_bytes)))
+    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": size,
@@ -127,6 +126,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that Spark would read it from."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint root (never a local tmp dir
     when the cluster names one)."""

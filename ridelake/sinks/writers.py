@@ -46,16 +46,18 @@ def layout(df: DataFrame, day_col: str, cluster_cols: Sequence[str] = (),
 
 def write_day_partitioned(df: DataFrame, path: str, day_col: str = "date_str",
                           cluster_cols: Sequence[str] = (), mode: str = "append",
-                          partitions: int | None = None) -> None:
+                          partitions: int | None = None, load_col: str | None = None) -> None:
     """Write one directory per day in a single job.
 
     ``mode="append"`` adds files (re-running a month appends duplicates that
     staging dedup removes later); ``mode="overwrite_days"`` replaces only the
-    day directories present in ``df`` (dynamic partition overwrite:
-    idempotent reloads, other days untouched).
+    directories present in ``df`` (dynamic partition overwrite: idempotent
+    reloads, other days untouched). With ``load_col`` (the delivery a row came
+    from) the directories are (load, day) pairs, so reloading one delivery
+    never touches rows that another delivered for the same day.
     """
     out = layout(df, day_col, cluster_cols, partitions)
-    writer = out.write.partitionBy(day_col)
+    writer = out.write.partitionBy(*([load_col] if load_col else []), day_col)
     if mode == "overwrite_days":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "append":
@@ -80,9 +82,8 @@ def materialize_table(df: DataFrame, path: str, day_col: str | None = None,
     if day_col:
         out = layout(df, day_col, cluster_cols, partitions)
         writer = out.write.mode("overwrite").partitionBy(day_col)
-        if replace_days:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(path)
+        # said either way, so the session's own setting never decides
+        writer.option("partitionOverwriteMode", "dynamic" if replace_days else "static").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 

@@ -9,11 +9,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridelake.schemas import STATION_INFO_DOC, STATUS_DOC, TRIP_CSV
 
 MONTH_PARTITION = "month"
+# ``enforceSchema=false``: a file whose header names other columns, or these in
+# another order, fails the read instead of filling the wrong columns.
 # Trip files follow RFC 4180: fields with commas are quoted and a quote inside
 # a field is doubled; Spark's reader escapes with a backslash unless told.
 
@@ -22,7 +23,7 @@ def read_trips_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Header CSV scan of one monthly trip file or a directory of parts.
     Only ``*.csv`` files are read; Spark's listing already skips hidden and
     ``_``-prefixed entries such as archive-tool metadata folders."""
-    reader = (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
+    reader = (spark.read.schema(TRIP_CSV).option("header", True).option("enforceSchema", False).option("escape", '"')
               .option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv"))
     return reader.csv(path if isinstance(path, str) else list(path))
 
@@ -30,7 +31,7 @@ def read_trips_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def read_multi_part_csv(spark: SparkSession, month_dir: str) -> DataFrame:
     """Every CSV part anywhere under one month's landing folder (archives
     that unpack into several parts or sub-folders)."""
-    return (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
+    return (spark.read.schema(TRIP_CSV).option("header", True).option("enforceSchema", False).option("escape", '"')
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
             .csv(month_dir)
             .filter(~F.col("_metadata.file_path").contains("/__MACOSX/")))
@@ -44,7 +45,7 @@ def read_trip_months(spark: SparkSession, root: str, months: Sequence[str] | Non
     sub-folders is read whole, and the month comes from the file's folder
     name as a string."""
     paths = [os.path.join(root, f"{MONTH_PARTITION}={m}") for m in months] if months else [root]
-    df = (spark.read.schema(TRIP_CSV).option("header", True).option("escape", '"')
+    df = (spark.read.schema(TRIP_CSV).option("header", True).option("enforceSchema", False).option("escape", '"')
           .option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
           .option("pathGlobFilter", "*.csv")
           .csv(paths))
@@ -64,10 +65,6 @@ def parse_status_messages(df: DataFrame, col: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(col), STATUS_DOC).alias("doc")).select("doc.*")
 
 
-def parse_json_docs(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    return df.select(F.from_json(F.col(col), schema).alias("doc")).select("doc.*")
-
-
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Structural check on a parsed batch (driver-side, schema only)."""
     missing = [c for c in columns if c not in df.columns]

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.plans.models import flatten_status
 from ridelake.schemas import STATUS_DOC
+from ridelake.session import path_exists
 
 DEFAULT_TRIGGER = "300 seconds"
 DEFAULT_MAX_FILES = 10
@@ -60,7 +61,8 @@ def start_quarantine_stream(spark: SparkSession, landing_dir: str, quarantine_pa
 
 
 def valid_documents(docs: DataFrame) -> DataFrame:
-    """Drop documents without a ``data`` section (malformed messages)."""
+    """Documents with a ``data`` section; the others belong to the quarantine
+    stream, which the command line runs beside this one unless told not to."""
     return docs.filter(F.col("data").isNotNull())
 
 
@@ -78,7 +80,12 @@ def start_status_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
     """Feed files -> flattened rows -> append to the bronze parquet table.
 
     ``ingestion_at`` defaults to the micro-batch's processing time (constant
-    within a batch)."""
+    within a batch). A table that an earlier stream wrote keeps that stream's
+    batch numbers; with another checkpoint its first batches would be taken for
+    written and lost, so that is refused."""
+    if path_exists(spark, f"{bronze_path}/_spark_metadata") and not path_exists(spark, f"{checkpoint}/commits"):
+        raise ValueError(f"{bronze_path} was written by a stream with another checkpoint than {checkpoint}; "
+                         "go on with that checkpoint or write to another table")
     docs = valid_documents(stream_status(spark, landing_dir, max_files_per_trigger))
     flat = flatten_status(docs, ingestion_at)
     writer = (flat.writeStream.format("parquet").outputMode("append")
