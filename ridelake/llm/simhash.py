@@ -159,8 +159,8 @@ class Forest:
 
 
 def _compare(homes: np.ndarray, others: np.ndarray, max_bits: int, forest: Forest) -> list[tuple[int, int]]:
-    """Links that join up what is near: each near other to one home, and homes
-    that share a near other to each other (once)."""
+    """Links that join up what is near: each near other to one home, and, where
+    that joins two parts of the forest, to further homes."""
     links = []
     step = max(1, (1 << 20) // max(1, len(homes)))
     for at in range(0, len(others), step):
@@ -172,8 +172,8 @@ def _compare(homes: np.ndarray, others: np.ndarray, max_bits: int, forest: Fores
                 last, first = i, j
                 if some[i] != homes[j]:
                     links.append((int(some[i]), int(homes[j])))
-            elif forest.join(first, j):
-                links.append((int(homes[first]), int(homes[j])))
+            elif forest.join(first, j) and some[i] != homes[j]:
+                links.append((int(some[i]), int(homes[j])))
     return links
 
 
