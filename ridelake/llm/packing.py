@@ -37,8 +37,8 @@ from ridelake.llm.common import map_arrow, partition_id
 CAPACITY = 2048
 SLACK = 12          # tokens a bin may leave empty before a piece is cut
 END_ID = 1
-CACHE_WORDS = 300_000
-STEP_BYTES = 32 << 20
+CACHE_WORDS = 200_000
+STEP_BYTES = 16 << 20
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
