@@ -44,9 +44,10 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 HEX_BITS, MIXED_BITS = 3.0, 3.9
 # What is long and varied but no secret: digit runs and dates, UUIDs, named
-# digests, lower-case words joined by signs, one character over and over.
+# digests, one character over and over. (Words joined by signs alone hold no
+# digit, so they are no candidates to begin with.)
 ALLOWED = (r"^[0-9+/_=-]+$|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-           r"|^(sha(1|224|256|384|512)|md5)[-_=]|^[A-Za-z]+([-_/=+]+[A-Za-z]+)*[-_/=+]*$"
+           r"|^(sha(1|224|256|384|512)|md5)[-_=]"
            r"|(.)\4{7,}|(?i:example|placeholder|changeme)")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "entropy")
@@ -87,10 +88,13 @@ def best_entropy(value: Column, window: int = WINDOW) -> Column:
     def term(count: Column) -> Column:
         return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
-    steps = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.struct(
-        F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))).alias("enters"),
-        F.when(i > window, F.instr(F.lit(ALPHABET), F.substring(value, i - window, F.lit(1)))).otherwise(F.lit(0)).alias("leaves"),
-        i.alias("n")))
+    # the places in the alphabet, found once: a lambda's argument isn't computed again
+    def steps(places: Column) -> Column:
+        return F.transform(places, lambda p, i: F.struct(
+            p.alias("enters"), F.when(i >= window, F.get(places, i - window)).otherwise(F.lit(0)).alias("leaves"),
+            (i + 1).alias("n")))
+
+    found = F.array(F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c)))
     start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"),
                      F.lit(float("inf")).cast("double").alias("least"))
 
@@ -105,8 +109,8 @@ def best_entropy(value: Column, window: int = WINDOW) -> Column:
         return F.struct(counts.alias("counts"), total.alias("sum"),
                         F.when(s["n"] >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
 
-    return F.aggregate(steps, start, step,
-                       lambda acc: F.log2(F.lit(float(window))) - acc["least"] / F.lit(float(window)))
+    return F.get(F.transform(found, lambda places: F.aggregate(
+        steps(places), start, step, lambda acc: F.log2(F.lit(float(window))) - acc["least"] / F.lit(float(window)))), F.lit(0))
 
 
 def _of_kind(name: str, keep: Callable[[Column], Column] | None = None) -> Column:
