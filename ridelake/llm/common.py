@@ -20,6 +20,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 import ridelake
 from ridelake.session import scratch_path
@@ -51,12 +52,22 @@ def _ship(spark: SparkSession) -> None:
     sc._ridelake_shipped = True
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package importable in the tasks."""
     _ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as the struct ``row``, whatever characters their names hold."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
+def carrying(df: DataFrame, rest: str) -> StructType:
+    """The column ``row`` of ``df`` and the columns of ``rest`` (DDL), as a schema."""
+    return StructType([StructField("row", df.schema["row"].dataType), *StructType.fromDDL(rest).fields])
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """16 bytes that identify a document row by its id and its whole text."""
     named = F.concat_ws(

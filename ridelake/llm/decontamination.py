@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import fresh, map_arrow, materialize, texts
+from ridelake.llm.common import carrying, fresh, map_arrow, materialize, texts, whole_row
 
 WINDOW = 10
 SHINGLE = 5
@@ -193,8 +193,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     ``hits``, or a longer name where that is taken)."""
     sc = docs.sparkSession.sparkContext
     name = fresh(docs.columns, "hits")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if docs.columns else F.struct(F.lit(1))
-    base = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"))
+    base = docs.select(whole_row(docs), F.col("text").cast("string").alias("text"))
     blocks = _blocks(benchmark, window, shingle, block_windows)
     first, second = next(blocks), next(blocks, None)
 
@@ -231,9 +230,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         return scan
 
     SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-    row_type = base.schema["row"].dataType.simpleString()
     if second is None:
-        flagged = map_arrow(base, scanner(first, False), f"row {row_type}, result struct<{_struct(RESULT)}>")
+        flagged = map_arrow(base, scanner(first, False), carrying(base, f"result struct<{_struct(RESULT)}>"))
         return flagged.select("row.*", F.col("result").alias(name))
 
     # more blocks than one: the hits of each, merged by text
@@ -255,7 +253,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
                                              names=["row", "n_words", "digest"])
 
     keyed = map_arrow(
-        base.withColumn("digest", F.unhex(F.sha2("text", 256))), count, f"row {row_type}, n_words long, digest binary")
+        base.withColumn("digest", F.unhex(F.sha2("text", 256))), count, carrying(base, "n_words long, digest binary"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +266,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             yield pa.RecordBatch.from_arrays([batch.column(0), result], names=["row", "result"])
 
     joined = keyed.join(merged, "digest", "left").select("row", "n_words", "spans", "items")
-    return (map_arrow(joined, finish, f"row {row_type}, result struct<{_struct(RESULT)}>")
+    return (map_arrow(joined, finish, carrying(base, f"result struct<{_struct(RESULT)}>"))
             .select("row.*", F.col("result").alias(name)))
 
 

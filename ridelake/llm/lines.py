@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import map_arrow, materialize, row_key, texts
+from ridelake.llm.common import carrying, map_arrow, materialize, row_key, texts, whole_row
 
 WINDOW = 2
 DIVISOR = 2
@@ -130,7 +130,7 @@ def _mark(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFra
     shape = (window, divisor, min_lines)
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        whole_row(docs))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "place")
     digests = map_arrow(keyed.select("doc_id", "key", "text"), _digests(shape),
                         "doc_id long, key binary, place long, digest binary")
@@ -144,9 +144,8 @@ def _mark(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFra
         bytes_equal.groupBy(F.xxhash64("raw").alias("hash"), "raw").agg(F.min(rank).alias("first"))
         .groupBy("first.key").agg(F.collect_list("first.place").alias("keeps")), "chunk-keepers")
     both = joined.join(kept, "key", "left")
-    row_type = keyed.schema["row"].dataType.simpleString()
     return map_arrow(both.select("row", "text", "alone", "keeps"), _apply(shape),
-                     f"row {row_type}, text string, n_removed long")
+                     carrying(both, "text string, n_removed long"))
 
 
 def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,

@@ -14,8 +14,8 @@ text is then scored in one pass, without a shuffle.
 
 Defined results: null and empty texts are one empty passage and get a score;
 every row is scored by its text alone, so repeated rows agree; labels without
-id or value are not learned from, and of several labels of one id the smallest
-value counts; without any usable label every score is 0.5.
+id or value are not learned from, of several labels of one id the smallest
+value counts, and of several rows of one id one is learned from; without any usable label every score is 0.5.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import fresh, map_arrow, texts
+from ridelake.llm.common import carrying, fresh, map_arrow, row_key, texts, whole_row
 
 PASSAGE = 64
 BUCKETS = 8192
@@ -202,10 +202,16 @@ def training_labels(labels: DataFrame, value: str, sample: int, seed: int = SEED
     return once.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
 
 
+def one_an_id(rows: DataFrame, mark: str) -> DataFrame:
+    """doc_id, ``mark`` and the text of one row of each (the one with the smallest
+    key), so that an id on any number of rows is learned from once."""
+    return rows.groupBy("doc_id", mark).agg(F.min_by("text", row_key()).alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> GatedAttention | None:
     chosen = training_labels(labels, "quality", sample)  # at most ``sample`` rows
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    rows = one_an_id(own.join(F.broadcast(chosen), "doc_id"), "label")
     found = map_arrow(rows, _features, "doc_id long, label int, buckets binary, first binary, stats binary").collect()
     if not found:
         return None
@@ -234,9 +240,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epoc
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score_texts(sent.value, texts(batch)))], names=["row", "score"])
 
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    base = docs.select(whole_row(docs),
                        F.col("text").cast("string").alias("text"))
-    scored = map_arrow(base, run, f"row {base.schema['row'].dataType.simpleString()}, score double")
+    scored = map_arrow(base, run, carrying(base, "score double"))
     return scored.select("row.*", F.col("score").alias(name))
 
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import map_arrow, materialize, row_key, texts
+from ridelake.llm.common import map_arrow, materialize, row_key, texts, whole_row
 from ridelake.llm.components import components
 
 SHINGLE = 4
@@ -266,7 +266,7 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     found = simhash_components(docs, **options)
     keepers = found.groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")).select("first.key")
-    with_key = docs.select(row_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    with_key = docs.select(row_key().alias("key"), whole_row(docs))
     kept = with_key.join(keepers, "key", "left_semi")
     # rows that are repeated as a whole share a key: one of them stays
     return kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")

@@ -20,8 +20,8 @@ held-out fold. Every whole text is then scored in one pass, without a shuffle.
 
 Defined results: null, empty and wordless texts hold no word and get the
 scorer's base score; every row is scored by its text alone; labels without id or
-value are not learned from, and of several labels of one id the smallest value
-counts; without a confirmed document every score is 0.
+value are not learned from, of several labels of one id the smallest value
+counts, and of several rows of one id one is learned from; without a confirmed document every score is 0.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import fresh, map_arrow, texts
-from ridelake.llm.quality import held_out, training_labels
+from ridelake.llm.common import carrying, fresh, map_arrow, texts, whole_row
+from ridelake.llm.quality import held_out, one_an_id, training_labels
 
 BUCKETS = 1 << 20
 STEMS = (4, 5, 6)  # bytes of a longer word's beginning
@@ -145,11 +145,11 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     if not prior:
         return None
     prior = min(0.9, prior)
-    some = (own.filter(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id")
+    some = (own.filter(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").distinct()
             .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(unlabelled))  # at most ``unlabelled`` rows
     marked = confirmed.select("doc_id", F.lit(1).alias("positive")).unionByName(some.select("doc_id", F.lit(0).alias("positive")))
     chosen = spark.createDataFrame(marked.collect(), "doc_id long, positive int")
-    rows = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
+    rows = one_an_id(own.join(F.broadcast(chosen), "doc_id"), "positive")
     found = map_arrow(rows, _features, "doc_id long, positive int, buckets binary").collect()
     found.sort(key=lambda r: (r["doc_id"], r["positive"], bytes(r["buckets"])))
     sets = {k: [np.frombuffer(r["buckets"], np.int32) for r in found if r["positive"] == k] for k in (0, 1)}
@@ -167,9 +167,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             scores = [scorer.score(t) if scorer else 0.0 for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    base = docs.select(whole_row(docs),
                        F.col("text").cast("string").alias("text"))
-    scored = map_arrow(base, run, f"row {base.schema['row'].dataType.simpleString()}, score double")
+    scored = map_arrow(base, run, carrying(base, "score double"))
     return scored.select("row.*", F.col("score").alias(name))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import fresh, map_arrow, materialize, row_key, texts
+from ridelake.llm.common import carrying, fresh, map_arrow, materialize, row_key, texts, whole_row
 
 MIN_WORDS = 5
 BREAKS = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n(?:[ \t\r]*\n)+")}
@@ -105,7 +105,7 @@ def remove_repeated_units(docs: DataFrame, unit: str = "line", min_words: int =
     if unit not in BREAKS:
         raise ValueError(f"unit must be one of {sorted(BREAKS)}")
     name = fresh(docs.columns, "units")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    keyed = docs.select(whole_row(docs),
                         F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"),
                         F.col("text").cast("string").alias("text"))
     digests = map_arrow(keyed.select("doc_id", "key", "text"), _digests(unit, min_words),
@@ -114,10 +114,9 @@ def remove_repeated_units(docs: DataFrame, unit: str = "line", min_words: int =
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "place")).alias("first"))
     keepers = materialize(earliest.groupBy("first.key").agg(F.collect_list("first.place").alias("keeps")), "unit-keepers")
     joined = keyed.join(keepers, "key", "left").select("row", "text", "keeps")
-    row_type = keyed.schema["row"].dataType.simpleString()
     spans = "array<struct<start:bigint,end:bigint>>"
     done = map_arrow(joined, _spans(unit, min_words),
-                     f"row {row_type}, result struct<text:string,n_units:bigint,removed:{spans},kept:{spans}>")
+                     carrying(joined, f"result struct<text:string,n_units:bigint,removed:{spans},kept:{spans}>"))
     return done.select("row.*", F.col("result").alias(name))
 
 
