@@ -31,7 +31,6 @@ from ridelake.session import ensure_checkpoint_dir
 
 _PREV = "__prev_"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-DEFAULT_MAX_CHUNKS = 20000
 
 
 def change_predicate(tracked: Sequence[str], prev_prefix: str = _PREV) -> Column:
@@ -136,13 +135,13 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
          valid_from: str = "valid_from", sk_name: str = "sk",
          tiebreak: Sequence[str] | None = None,
          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-         max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+         max_chunks: int | None = None) -> DataFrame:
     """Versions of each ``key`` from its snapshot history.
 
     ``hot_key_rows=None`` skips hot-key detection (one window over every key;
     use when the history per key is known to be small). Otherwise keys with
     more snapshots than that are split as described in the module doc into
-    about hot_rows / hot_key_rows chunks (at most ``max_chunks``); the hot-key
+    about hot_rows / hot_key_rows chunks (at most ``max_chunks``, where given); the hot-key
     list is bounded by total_rows / hot_key_rows, so broadcasting it is safe.
     Detection runs one aggregate job when called; when no key is hot the plan
     is exactly the single-window one.
@@ -165,7 +164,8 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
         else:
             hot = F.broadcast(hot_counts.select(F.col(key).alias("__hk")))
             is_hot = base[key].eqNullSafe(hot["__hk"])  # a NULL key can be hot too
-            n_chunks = int(min(max_chunks, max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1)))
+            n_chunks = int(max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1))
+            n_chunks = n_chunks if max_chunks is None else min(max_chunks, n_chunks)
             cold = _versions_one_window(base.join(hot, is_hot, "left_anti"), key, tracked,
                                         valid_from, order)
             hot_v = _versions_chunked(base.join(hot, is_hot, "left_semi"), key, tracked,

@@ -17,6 +17,7 @@ from ridelake.operators.dedup import latest_per_key
 from ridelake.operators.joins import fanout_keys
 from ridelake.operators.quality import only, run_model_checks, summarize
 from ridelake.operators.rollup import distinct_values
+from ridelake.plans import faults
 from ridelake.plans import jobs as J
 from ridelake.plans import models as M
 from ridelake.plans import oracle as O
@@ -402,6 +403,10 @@ def q_layered_run(t: Tables) -> DataFrame:
     return report.all_results()
 
 
+for _name, (_fn, _sql) in faults.FOUND.items():
+    register(_name, _sql)(_fn)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_Q)
 

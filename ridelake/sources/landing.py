@@ -16,7 +16,7 @@ from ridelake.functions.scalars import ts_to_epoch_seconds
 from ridelake.schemas import STATUS_COUNTERS
 
 STATUS_BLOCK = 100
-STATION_BUCKETS = 64
+STATION_BLOCK = 500
 
 
 def status_documents(events: DataFrame, block: int = STATUS_BLOCK) -> DataFrame:
@@ -41,10 +41,12 @@ def status_documents(events: DataFrame, block: int = STATUS_BLOCK) -> DataFrame:
     return docs.select("doc_id", F.to_json(doc).alias("value"))
 
 
-def station_info_documents(snapshots: DataFrame, buckets: int = STATION_BUCKETS) -> DataFrame:
+def station_info_documents(snapshots: DataFrame, block: int = STATION_BLOCK) -> DataFrame:
     """Station-information documents, one per fetch time and station hash
-    bucket, so one fetch is spread over ``buckets`` documents (coordinates
-    and capacity travel as text, as feeds often do)."""
+    bucket of about ``block`` stations, however many a fetch holds
+    (coordinates and capacity travel as text, as feeds often do)."""
+    fetches = snapshots.groupBy("extracted_at").agg(F.count(F.lit(1)).alias("n"))
+    buckets = max(1, -(-(fetches.agg(F.max("n")).first()[0] or 0) // block))
     st = F.struct(
         F.col("station_id"), F.col("station_name").alias("name"), F.col("short_name"),
         F.col("lon").cast("string").alias("lon"), F.col("lat").cast("string").alias("lat"),
