@@ -1,17 +1,15 @@
 """Dimension lookups, point-in-time join, and join-integrity detectors.
 
-Join strategy for the dimension side (``strategy``):
-
-* ``"checked"`` (default): a bounded row count of the *actual* lookup side
-  (``limit(n + 1).count()``, remembered per plan and input files) decides:
-  broadcast when it holds at most ``n`` rows -- ``n`` = ``max_rows`` capped by
-  a byte budget (``BROADCAST_BYTES``) over the estimated row width --
-  otherwise a sort-merge join with salting of rows that can never match. Catalyst's own size
-  estimate is not used for this decision because for a filtered/windowed
-  dimension (e.g. the current versions of a long SCD history) it reflects the
-  whole history, not the few current rows.
-* ``"auto"``: no hint; Catalyst + AQE decide from statistics.
-* ``"shuffle"``: always the salted sort-merge join.
+Join strategy (``strategy``):
+
+* ``"auto"`` (default): no hint and no job of its own. Spark broadcasts the
+  dimension side when its statistics (a written dimension table) or, during the
+  run, its measured shuffle size are within ``autoBroadcastJoinThreshold``, and
+  joins by sort and merge otherwise.
+* ``"shuffle"``: always sort and merge.
+
+Either way rows that can never match are salted (see :func:`_spread`), so the
+plan that Spark chooses is safe from a pile of NULL keys.
 """
 
 from __future__ import annotations
@@ -20,92 +18,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-_FITS: dict[tuple, bool] = {}
-
-
-def row_bytes(schema: T.StructType) -> int:
-    """Rough in-memory width of one row (strings counted at 32 bytes)."""
-    def width(dt: T.DataType) -> int:
-        if isinstance(dt, T.StructType):
-            return sum(width(f.dataType) for f in dt.fields)
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            return 32
-        if isinstance(dt, (T.ArrayType, T.MapType)):
-            return 64
-        if isinstance(dt, T.BooleanType):
-            return 1
-        return 8
-    return 16 + width(schema)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Bounded size check: counts at most ``n + 1`` rows, never the whole
-    side, where ``n`` is ``max_rows`` capped so that n rows of this schema
-    stay within ``BROADCAST_BYTES``. The answer is remembered per logical
-    plan and input file list (it only selects a join strategy; both
-    strategies give the same rows)."""
-    n = min(max_rows, BROADCAST_BYTES // row_bytes(df.schema))
-    sig = (df.semanticHash(), tuple(sorted(df.inputFiles())), n)
-    if sig not in _FITS:
-        if len(_FITS) >= 256:
-            _FITS.clear()
-        _FITS[sig] = df.limit(n + 1).count() <= n
-    return _FITS[sig]
-
-
-def _plan(strategy: str, dim: DataFrame, max_rows: int) -> str:
-    """Resolve a strategy to 'broadcast', 'shuffle' or 'auto'."""
-    if strategy == "checked":
-        return "broadcast" if fits_broadcast(dim, max_rows) else "shuffle"
-    if strategy in ("auto", "shuffle"):
-        return strategy
-    raise ValueError(f"unknown join strategy {strategy!r}")
-
 
-def sized(dim: DataFrame, strategy: str = "checked",
-          max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Apply the join strategy to a dimension side used in a plain join."""
-    plan = _plan(strategy, dim, max_rows)
-    if plan == "broadcast":
-        return F.broadcast(dim)
-    if plan == "shuffle":
-        return dim.hint("merge")
-    return dim
+SALT_BUCKETS = 1024
 
 
-def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
-           take: Mapping[str, str], guard: Column | None = None,
-           strategy: str = "checked", prefix: str = "__d_",
-           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """LEFT lookup of ``take`` columns (dim column -> output name) on
-    ``left[k] = dim[v]`` for each ``k: v`` in ``on``; ``guard`` (a predicate on
-    the left row) restricts which rows may match at all."""
-    right = dim.selectExpr(*[f"`{v}` AS `{prefix}k_{v}`" for v in on.values()],
-                           *[f"`{src}` AS `{dst}`" for src, dst in take.items()])
-    plan = _plan(strategy, dim, max_rows)
-    if plan == "shuffle":
-        return _salted_lookup(left, right, on, guard, prefix)
-    cond = None
-    for lk, rk in on.items():
-        c = left[lk] == right[f"{prefix}k_{rk}"]
-        cond = c if cond is None else cond & c
-    if guard is not None:
-        cond = guard & cond
-    out = left.join(F.broadcast(right) if plan == "broadcast" else right, cond, "left")
-    return out.drop(*[f"{prefix}k_{v}" for v in on.values()])
-
+def _hinted(dim: DataFrame, strategy: str) -> DataFrame:
+    if strategy == "auto":
+        return dim
+    if strategy == "shuffle":
+        return dim.hint("merge")
+    raise ValueError(f"unknown join strategy {strategy!r}")
 
-SALT_BUCKETS = 1024
 
+def _spread(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+            guard: Column | None, name: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a struct join key ``name`` + l/r, and their equality.
 
-def _salted_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
-                   guard: Column | None, prefix: str) -> DataFrame:
-    """Sort-merge LEFT lookup that cannot pile rows onto one reducer: rows
-    that can never match (NULL key or guard false) get a NULL key plus a
+    Rows that can never match (NULL key or guard false) get a NULL key plus a
     salt spreading them over ``SALT_BUCKETS`` partitions; matchable rows use
     salt 0, which is the only salt on the dimension side. A *matchable* hot
     key (one station with a large share of trips) is split at runtime by
@@ -114,21 +43,33 @@ def _salted_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
     several tasks that each read the small matching dimension partition --
     sized by measured bytes, which a fixed replication factor cannot match."""
     can = F.lit(True) if guard is None else guard
-    for lk in on:
+    for lk, _ in on:
         can = can & F.col(lk).isNotNull()
+    can = F.coalesce(can, F.lit(False))
     salt = F.when(can, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALT_BUCKETS)) + 1)
     # the salt travels inside a struct join key: a bare "salt = 0" condition
     # against a constant would be folded into a residual filter and drop out
     # of the hash partitioning
-    lkey = F.struct(*[F.when(can, F.col(lk)).alias(f"k{i}") for i, lk in enumerate(on)],
+    lkey = F.struct(*[F.when(can, F.col(lk)).alias(f"k{i}") for i, (lk, _) in enumerate(on)],
                     salt.alias("s"))
-    rkey = F.struct(*[F.col(prefix + "k_" + rk).alias(f"k{i}") for i, rk in enumerate(on.values())],
+    rkey = F.struct(*[F.col(rk).alias(f"k{i}") for i, (_, rk) in enumerate(on)],
                     F.lit(0).cast("long").alias("s"))
-    l2 = left.withColumn(prefix + "lkey", lkey)
-    r2 = right.withColumn(prefix + "rkey", rkey)
-    out = l2.join(r2.hint("merge"), l2[prefix + "lkey"] == r2[prefix + "rkey"], "left")
-    return out.drop(*[prefix + "k_" + v for v in on.values()], prefix + "lkey", prefix + "rkey")
+    l2, r2 = left.withColumn(name + "l", lkey), right.withColumn(name + "r", rkey)
+    return l2, r2, l2[name + "l"] == r2[name + "r"]
+
+
+def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
+           take: Mapping[str, str], guard: Column | None = None,
+           strategy: str = "auto", prefix: str = "__d_") -> DataFrame:
+    """LEFT lookup of ``take`` columns (dim column -> output name) on
+    ``left[k] = dim[v]`` for each ``k: v`` in ``on``; ``guard`` (a predicate on
+    the left row) restricts which rows may match at all."""
+    right = dim.selectExpr(*[f"`{v}` AS `{prefix}k_{v}`" for v in on.values()],
+                           *[f"`{src}` AS `{dst}`" for src, dst in take.items()])
+    l2, r2, same = _spread(left, right, [(k, f"{prefix}k_{v}") for k, v in on.items()], guard, prefix + "key_")
+    out = l2.join(_hinted(r2, strategy), same, "left")
+    return out.drop(*[f"{prefix}k_{v}" for v in on.values()], prefix + "key_l", prefix + "key_r")
 
 
 def current_versions(dim: DataFrame, columns: Sequence[str],
@@ -152,9 +93,8 @@ def trip_end_key_sql(station_id: str, station_name: str) -> str:
             f"ELSE concat('n:', `{station_name}`) END")
 
 
-def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
-                   ends: Sequence[str] = ("start", "end"),
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
+                   ends: Sequence[str] = ("start", "end")) -> DataFrame:
     """Fill trip-end station id/name/coordinates from the *current* station
     versions: own value first, then a match on the station code, then (only
     when the trip carries no code) a match on the station name.
@@ -172,7 +112,7 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
         take = {"short_name": f"__{end}_m_code", "station_name": f"__{end}_m_name",
                 "lat": f"__{end}_m_lat", "lon": f"__{end}_m_lon"}
         out = lookup(out, table, {f"__{end}_lk": "__lk"}, take, strategy=strategy,
-                     prefix=f"__{end}_", max_rows=max_rows)
+                     prefix=f"__{end}_")
         for own, suffix in ((f"{end}_station_id", "code"), (f"{end}_station_name", "name"),
                             (f"{end}_lat", "lat"), (f"{end}_lng", "lon")):
             fills[own] = f"coalesce(`{own}`, `__{end}_m_{suffix}`) AS `{own}`"
@@ -181,62 +121,50 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "checked",
 
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                  ts: str, take: Mapping[str, str], valid_from: str = "valid_from",
-                 valid_to: str = "valid_to", strategy: str = "checked",
-                 time_bucket: str | None = None) -> DataFrame:
+                 valid_to: str = "valid_to", strategy: str = "auto",
+                 time_bucket: str | None = None, span: DataFrame | None = None) -> DataFrame:
     """Point-in-time LEFT join: the dimension version whose half-open validity
     ``[valid_from, valid_to)`` contains the fact's ``ts`` (a boundary instant
     matches exactly one version).
 
-    ``strategy``: ``"checked"`` broadcasts the versions after a bounded
-    count, and beyond the bound uses the sort-based as-of join
-    (:mod:`ridelake.operators.asof`); ``"sorted"`` forces the latter.
-
-    Broadcast plan: an equi-join on the key with a range residual. With
-    ``time_bucket`` ("month" or "day") the time becomes part of the equi-key:
-    each version is repeated for the buckets it overlaps *within the facts'
-    time span* (one small min/max job), so a fact only meets the versions of
-    its own bucket instead of a key's whole history -- the residual no longer
-    scans every version of a hot key.
+    An equi-join on the key with a range residual (``strategy`` as for
+    :func:`lookup`). With ``time_bucket`` ("month" or "day") the time becomes
+    part of the equi-key: each version is repeated for the buckets it overlaps
+    *within the facts' time span*, so a fact only meets the versions of its own
+    bucket instead of a key's whole history. The span is a scalar subquery, part
+    of the one plan; ``span`` names a cheaper frame with a ``ts`` column to take
+    it from (the raw scan), which must cover the facts.
+
+    ``strategy="sorted"`` takes the sort-based as-of join
+    (:mod:`ridelake.operators.asof`) instead, for keys with very many versions
+    inside one bucket. All plans give the same rows.
     """
-    from ridelake.operators.asof import one_line
-    dim = one_line(dim, dim_key, valid_from, valid_to)  # both plans below see the same line
+    from ridelake.operators.asof import asof_join_sorted, one_line
+    dim = one_line(dim, dim_key, valid_from, valid_to)  # all plans below see the same line
+    if strategy == "sorted":
+        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
     right = dim.select(F.col(dim_key).alias("__pit_k"), F.col(valid_from).alias("__pit_from"),
                        F.col(valid_to).alias("__pit_to"),
                        *[F.col(s).alias(d) for s, d in take.items()])
-    if strategy == "sorted" or (strategy == "checked" and not fits_broadcast(right)):
-        # too many versions to broadcast: sort-based as-of join, O(n log n)
-        # and skew-safe, instead of a shuffled range join
-        from ridelake.operators.asof import asof_join_sorted
-        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
-    cond = ((facts[fact_key] == right["__pit_k"])
-            & (facts[ts] >= right["__pit_from"]) & (facts[ts] < right["__pit_to"]))
-    if time_bucket is None:
-        return facts.join(sized(right, strategy), cond, "left").drop("__pit_k", "__pit_from", "__pit_to")
-
-    def bucket(c: Column) -> Column:
-        d = F.to_date(c)
-        return F.trunc(d, "month") if time_bucket == "month" else d
-
-    step = F.expr("INTERVAL 1 MONTH") if time_bucket == "month" else F.expr("INTERVAL 1 DAY")
-    lo, hi = facts.agg(F.min(ts), F.max(ts)).first()
-    if lo is None:  # no fact has a time: nothing can match
-        return facts.join(sized(right, strategy).limit(0), cond, "left").drop(
-            "__pit_k", "__pit_from", "__pit_to")
-    # literals from text: independent of driver and session time zones
-    lo_c, hi_c = (F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz") for v in (lo, hi))
-    live = right.filter((F.col("__pit_to") > lo_c) & (F.col("__pit_from") <= hi_c))
-    first_b = bucket(F.greatest(F.col("__pit_from"), lo_c))
-    last_b = bucket(F.least(F.col("__pit_to"), hi_c))
-    spread = live.withColumn("__pit_b", F.explode(F.sequence(first_b, last_b, step)))
-    if strategy == "checked" and not fits_broadcast(spread):
-        # the month/day expansion outgrew the broadcast bound
-        from ridelake.operators.asof import asof_join_sorted
-        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
-    f2 = facts.withColumn("__pit_fb", bucket(F.col(ts)))
-    cond_b = ((f2[fact_key] == spread["__pit_k"]) & (f2["__pit_fb"] == spread["__pit_b"])
-              & (f2[ts] >= spread["__pit_from"]) & (f2[ts] < spread["__pit_to"]))
-    return f2.join(sized(spread, strategy), cond_b, "left").drop(
-        "__pit_k", "__pit_from", "__pit_to", "__pit_b", "__pit_fb")
+    left, on = facts, [(fact_key, "__pit_k")]
+    if time_bucket is not None:
+        def bucket(c: Column) -> Column:
+            d = F.to_date(c)
+            return F.trunc(d, "month") if time_bucket == "month" else d
+
+        step = F.expr("INTERVAL 1 MONTH") if time_bucket == "month" else F.expr("INTERVAL 1 DAY")
+        times = (facts if span is None else span).select(F.col(ts).alias("__t"))
+        lo, hi = times.agg(F.min("__t")).scalar(), times.agg(F.max("__t")).scalar()
+        bounded = right.select("*", lo.alias("__lo"), hi.alias("__hi")).filter("__pit_to > __lo AND __pit_from <= __hi")
+        first = bucket(F.greatest(F.col("__pit_from"), F.col("__lo")))
+        last = bucket(F.least(F.col("__pit_to"), F.col("__hi")))
+        right = bounded.withColumn("__pit_b", F.explode(F.sequence(first, last, step))).drop("__lo", "__hi")
+        left = facts.withColumn("__pit_fb", bucket(F.col(ts)))
+        on = [*on, ("__pit_fb", "__pit_b")]
+    l2, r2, same = _spread(left, right, on, F.col(ts).isNotNull(), "__pit_key_")
+    inside = (l2[ts] >= r2["__pit_from"]) & (l2[ts] < r2["__pit_to"])
+    return l2.join(_hinted(r2, strategy), same & inside, "left").drop(
+        "__pit_k", "__pit_from", "__pit_to", "__pit_b", "__pit_fb", "__pit_key_l", "__pit_key_r")
 
 
 def orphans(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:

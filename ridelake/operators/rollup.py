@@ -9,8 +9,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.session import ensure_checkpoint_dir
-
 
 def rollup(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     """``GROUP BY keys`` with named measures (name -> aggregate expression)."""
@@ -26,16 +24,14 @@ def distribution(df: DataFrame, col: str, count_name: str = "n",
                  pct_name: str = "pct", decimals: int = 2) -> DataFrame:
     """Count per value and its percentage of all rows, largest first.
 
-    The per-value counts are computed once and checkpointed (reliable
-    storage under the checkpoint directory; one row per value), then the
-    grand total is a small aggregate over them -- a single number brought to
-    the driver -- so no window or join has to see all values in one task,
-    whatever the column's cardinality, and the input is read only once.
+    The grand total is a scalar subquery over the same per-value counts (Spark
+    reuses their exchange), so the input is read once, nothing runs before the
+    action, and no window or join has to see all values in one task, whatever
+    the column's cardinality.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name)).checkpoint(eager=True)
-    total = counts.agg(F.sum(count_name)).first()[0] or 0
-    pct = F.round(F.col(count_name) * F.lit(100.0) / F.lit(total), decimals) if total else F.lit(None)
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
+    total = counts.agg(F.sum(count_name)).scalar()
+    pct = F.round(F.col(count_name) * F.lit(100.0) / total, decimals)
     return counts.select(col, count_name, pct.cast("double").alias(pct_name)) \
         .orderBy(F.col(count_name).desc())
 

@@ -16,7 +16,7 @@ pass and their rows are range-partitioned on (key, time) into contiguous
 chunks of about ``hot_key_rows`` rows (sampled range bounds). Each chunk is
 windowed on its own; the only cross-chunk facts needed -- the last snapshot
 before a chunk and the first version after it -- come from two small
-aggregates (one row per key and chunk, broadcast) joined back.
+aggregates (one row per key and chunk) joined back.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def _join_on_key_chunk(rows: DataFrame, small: DataFrame, key: str) -> DataFrame
     (as in a window partition), so the key comparison is null-safe."""
     s = small.withColumnRenamed(key, "__bk").withColumnRenamed("__c", "__bc")
     cond = rows[key].eqNullSafe(s["__bk"]) & (rows["__c"] == s["__bc"])
-    return rows.join(F.broadcast(s), cond, "left").drop("__bk", "__bc")
+    return rows.join(s, cond, "left").drop("__bk", "__bc")
 
 
 def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str,
@@ -90,8 +90,7 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
 
     # Both boundary tables below have one row per (key, chunk) pair present in
     # the hot rows: chunks are contiguous (key, time) ranges, so there are at
-    # most chunks + hot keys such pairs -- a bound independent of row counts,
-    # which is what makes broadcasting them safe.
+    # most chunks + hot keys such pairs. Spark decides by their size how to join them.
     # last snapshot of the previous non-empty chunk (input-side aggregate)
     last = b.groupBy(key, "__c").agg(F.max_by(F.struct(*tracked), ordering).alias("__last"))
     prev_last = last.select(key, "__c", F.lag("__last").over(per_key).alias("__pl"))
@@ -114,21 +113,21 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     return ver.select(*base.columns, valid_to.alias("__valid_to"))
 
 
-_HOT_DECISIONS: dict[tuple, tuple[int, int]] = {}
+ROW_BYTES = 16
+
+
+def _may_be_hot(base: DataFrame, hot_key_rows: int) -> bool:
+    """False when the planner's size estimate of the whole history leaves no
+    room for more than ``hot_key_rows`` rows, so that no key needs counting
+    (both plans give the same rows)."""
+    size = base._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) // ROW_BYTES > hot_key_rows
 
 
 def _hot_stats(hot_counts: DataFrame) -> tuple[int, int]:
-    """(hot keys, rows of hot keys) from one small aggregate job. The answer
-    only selects a plan (every plan returns identical rows), so it is
-    remembered per logical plan and exact input file list: new or changed
-    files trigger a fresh decision."""
-    sig = (hot_counts.semanticHash(), tuple(sorted(hot_counts.inputFiles())))
-    if sig not in _HOT_DECISIONS:
-        if len(_HOT_DECISIONS) >= 256:
-            _HOT_DECISIONS.clear()
-        row = hot_counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
-        _HOT_DECISIONS[sig] = (int(row[0]), int(row[1]))
-    return _HOT_DECISIONS[sig]
+    """(hot keys, rows of hot keys) from one aggregate job."""
+    row = hot_counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    return int(row[0]), int(row[1])
 
 
 def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
@@ -141,10 +140,10 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     ``hot_key_rows=None`` skips hot-key detection (one window over every key;
     use when the history per key is known to be small). Otherwise keys with
     more snapshots than that are split as described in the module doc into
-    about hot_rows / hot_key_rows chunks (at most ``max_chunks``, where given); the hot-key
-    list is bounded by total_rows / hot_key_rows, so broadcasting it is safe.
-    Detection runs one aggregate job when called; when no key is hot the plan
-    is exactly the single-window one.
+    about hot_rows / hot_key_rows chunks (at most ``max_chunks``, where given).
+    Detection runs one aggregate job when called, but only for a history whose
+    estimated size leaves room for a hot key; when no key is hot the plan is
+    exactly the single-window one.
     """
     payload = [c for c in snapshots.columns if c != ts]
     renamed = snapshots.withColumnRenamed(ts, valid_from)
@@ -153,7 +152,7 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     base = renamed.withColumn(
         "__tb", F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in renamed.columns) + ")"))
     order = [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])] + [F.col("__tb")]
-    if hot_key_rows is None:
+    if hot_key_rows is None or not _may_be_hot(base, hot_key_rows):
         versions = _versions_one_window(base, key, tracked, valid_from, order)
     else:
         counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
@@ -162,7 +161,7 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
         if n_hot == 0:
             versions = _versions_one_window(base, key, tracked, valid_from, order)
         else:
-            hot = F.broadcast(hot_counts.select(F.col(key).alias("__hk")))
+            hot = hot_counts.select(F.col(key).alias("__hk"))
             is_hot = base[key].eqNullSafe(hot["__hk"])  # a NULL key can be hot too
             n_chunks = int(max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1))
             n_chunks = n_chunks if max_chunks is None else min(max_chunks, n_chunks)

@@ -21,7 +21,7 @@ from ridelake.functions.scalars import day_key
 from ridelake.plans import models as M
 from ridelake.plans.checks import model_checks
 from ridelake.schemas import TRIPS_BRONZE
-from ridelake.session import path_exists
+from ridelake.session import path_exists, scratch_path
 from ridelake.sinks.writers import (append_snapshot, materialize_table, write_day_partitioned)
 from ridelake.sources.files import read_station_snapshot_json, read_table, read_trip_months
 
@@ -79,10 +79,15 @@ def load_trip_files(spark: SparkSession, landing_root: str, warehouse: str,
                     mode: str = "append") -> list[str]:
     """Monthly CSV landing folders -> typed bronze trips, one folder per day.
     Rows whose start time cannot be parsed go to a quarantine table instead
-    of being dropped silently. Returns the day keys loaded."""
+    of being dropped silently. Returns the day keys loaded.
+
+    The text is parsed once, into a scratch table; the samples for the range
+    layout, both writes and the list of days read that."""
     raw = read_trip_months(spark, landing_root, months)
     typed = M.transform_trips(raw, F.col("month"), ingestion_at)
-    ok, bad = M.quarantine_trips(typed)
+    parsed = scratch_path(spark, "parsed", "trips")
+    typed.write.parquet(parsed)
+    ok, bad = M.quarantine_trips(spark.read.schema(typed.schema).parquet(parsed))
     write_day_partitioned(ok, f"{warehouse}/{BRONZE}/trips_raw", "date_str", TRIP_CLUSTER, mode=mode,
                           load_col="source_month")
     # by month as well: a reload replaces its own rejects and adds none twice
@@ -132,7 +137,7 @@ def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "s
 
 
 def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
-                      report: RunReport | None = None, strategy: str = "checked",
+                      report: RunReport | None = None, strategy: str = "auto",
                       days: list[str] | None = None) -> RunReport:
     """Bronze trips -> stg (table, checked) -> int (table, checked) -> enriched
     (table, checked) -> hourly traffic (table, checked). Needs dim_station.
@@ -141,49 +146,54 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     time, so dedup, time dimensions and the hourly rollup are day-local and
     the slice result equals the full rebuild for those days (enrichment uses
     the dimension as of this run, as a full rebuild would). Only those bronze
-    day folders are read and only those output day folders are replaced."""
+    day folders are read and only those output day folders are replaced (or
+    removed, where a day has no rows any more)."""
     report = report or RunReport()
-    part = days is not None
+    dates = None if days is None else [_iso(d) for d in days]
     # the priority dedup is the one full shuffle of the trip history: run it
     # once, write the staging model as a day-partitioned table, and let its
     # checks and the next layer read that table
     deduped = M.stg_trips(read_bronze_trips(spark, warehouse, days))
     materialize_table(deduped.withColumn("started_date", F.to_date("started_at")),
                       f"{warehouse}/{STAGING}/stg_trips", "started_date", TRIP_CLUSTER,
-                      replace_days=part)
+                      days=dates)
     stg = _day_slice(read_table(spark, warehouse, STAGING, "stg_trips"), days).drop("started_date")
     if not _check(report, stg, "stg_trips", {}, on_error):
         return report
+    # a projection of the table just laid out: written as it lies
     materialize_table(M.int_trips(stg), f"{warehouse}/{SILVER}/int_trips", "started_date",
-                      TRIP_CLUSTER, replace_days=part)
+                      TRIP_CLUSTER, days=dates, laid_out=True)
     it = _day_slice(read_table(spark, warehouse, SILVER, "int_trips"), days)
     if not _check(report, it, "int_trips", {}, on_error):
         return report
     dim = read_table(spark, warehouse, GOLD, "dim_station")
     materialize_table(M.trips_enriched(it, dim, strategy), f"{warehouse}/{GOLD}/trips_enriched",
-                      "started_date", TRIP_CLUSTER, replace_days=part)
+                      "started_date", TRIP_CLUSTER, days=dates)
     enr = _day_slice(read_table(spark, warehouse, GOLD, "trips_enriched"), days)
     if not _check(report, enr, "trips_enriched", {"dim_station": dim}, on_error):
         return report
     materialize_table(M.hourly_traffic(enr), f"{warehouse}/{GOLD}/hourly_traffic", "started_date",
-                      TRIP_CLUSTER, replace_days=part)
+                      TRIP_CLUSTER, days=dates)
     hourly = _day_slice(read_table(spark, warehouse, GOLD, "hourly_traffic"), days)
     _check(report, hourly, "hourly_traffic", {"dim_station": dim}, on_error)
     return report
 
 
+def _iso(day: str) -> str:
+    return f"{day[:4]}-{day[4:6]}-{day[6:]}"
+
+
 def _day_slice(df: DataFrame, days: list[str] | None) -> DataFrame:
     """Rows of the given yyyyMMdd days from a ``started_date``-partitioned
     table (partition pruning)."""
     if days is None:
         return df
-    dates = [f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in days]
-    return df.filter(F.col("started_date").cast("string").isin(dates))
+    return df.filter(F.col("started_date").cast("string").isin([_iso(d) for d in days]))
 
 
 def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | str | None,
                         on_error: str = "stop", report: RunReport | None = None,
-                        strategy: str = "checked", tz: str | None = None) -> RunReport:
+                        strategy: str = "auto", tz: str | None = None) -> RunReport:
     """Bronze status -> stg (checked) -> status_current (table, checked) ->
     demand_vs_supply at ``as_of`` (table, checked)."""
     report = report or RunReport()

@@ -196,7 +196,7 @@ ENRICHED_COLUMNS = [
 ]
 
 
-def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "checked") -> DataFrame:
+def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
     """Trips with station gaps filled from current station versions and a
     row-level quality flag (evaluated on the filled values)."""
     filled = enrich_current(trips, dim, strategy=strategy).select(*ENRICHED_COLUMNS)
@@ -207,15 +207,16 @@ def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "checked")
 
 
 def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
-                        ts: str = "started_at", strategy: str = "checked",
-                        time_bucket: str | None = "month") -> DataFrame:
+                        ts: str = "started_at", strategy: str = "auto",
+                        time_bucket: str | None = "month", span: DataFrame | None = None) -> DataFrame:
     """Point-in-time variant: attach the station version that was valid at
-    the trip's start (by station code)."""
+    the trip's start (by station code). ``span``: raw trips, from whose times
+    the months to cover are taken."""
     take = {"station_sk": f"{end}_station_sk", "station_name": f"{end}_version_name",
             "lat": f"{end}_version_lat", "lon": f"{end}_version_lng",
             "valid_from": f"{end}_version_valid_from"}
     return enrich_as_of(trips, dim, f"{end}_station_id", "short_name", ts, take,
-                        strategy=strategy, time_bucket=time_bucket)
+                        strategy=strategy, time_bucket=time_bucket, span=span)
 
 
 def hourly_traffic(enriched: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def historical_demand(hourly: DataFrame, hour: int | Column | None = None,
                      "started_day_name").agg(F.avg("total_trips").alias("avg_historical_trips"))
 
 
-def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "checked") -> DataFrame:
+def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
     """Latest status per station plus its current station attributes."""
     latest = latest_per_key(stg, ["station_id"], "ingestion_at")
     cur = current_versions(dim, ["station_id", "station_name", "short_name", "lat", "lon"])
@@ -263,7 +264,7 @@ def status_current(stg: DataFrame, dim: DataFrame, strategy: str = "checked") ->
 
 
 def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
-                     as_of: datetime | str | None = None, strategy: str = "checked",
+                     as_of: datetime | str | None = None, strategy: str = "auto",
                      tz: str | None = None) -> DataFrame:
     """Current bikes/docks per station against the historical mean demand for
     the weekday and hour of ``as_of``.
@@ -283,11 +284,9 @@ def demand_vs_supply(current: DataFrame, hourly: DataFrame, dim: DataFrame,
     bridge = current_versions(dim, ["station_id", "short_name"])
     with_code = lookup(current, bridge, {"station_id": "station_id"},
                        {"short_name": "__bridge_code"}, strategy=strategy, prefix="__br")
-    # both sides here are station-sized aggregates: let the planner choose
-    # (a size check would run the whole trip rollup once more just to count)
     with_hist = lookup(with_code, hist, {"__bridge_code": "short_name"},
                        {"avg_historical_trips": "avg_historical_trips"},
-                       strategy="auto", prefix="__hd")
+                       strategy=strategy, prefix="__hd")
     return with_hist.select(
         "station_id", "station_name", "num_bikes_available", "num_docks_available",
         cur_hour.alias("current_hour"), cur_day.alias("current_day_name"),

@@ -24,7 +24,7 @@ from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
 from ridelake.session import ensure_checkpoint_dir, scratch_path
-from ridelake.sinks.writers import append_snapshot, write_day_partitioned
+from ridelake.sinks.writers import append_snapshot, read_version, write_day_partitioned
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
 from ridelake.sources.files import (parse_status_messages, read_station_snapshot_json,
@@ -137,7 +137,7 @@ FROM int_trips t LEFT JOIN dim_station d
 
 @register("enrich_as_of", _AS_OF_SQL)
 def q_enrich_as_of(t: Tables) -> DataFrame:
-    pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy=t.strategy)
+    pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy=t.strategy, span=t.trips_raw)
     return pit.select("ride_id", "started_at", "ended_at", "start_station_id", "start_station_sk",
                       "start_version_name", "start_version_lat", "start_version_lng",
                       "start_version_valid_from")
@@ -322,7 +322,7 @@ def q_stream_latest(t: Tables) -> DataFrame:
                                    available_now=True,
                                    ingestion_at=S.epoch_seconds_to_ts("feed_last_updated"))
     await_bounded(q)
-    return t.spark.read.parquet(target)
+    return read_version(t.spark, target)
 
 
 @register("station_info_json", O.STATION_DOCS)

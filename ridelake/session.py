@@ -36,8 +36,8 @@ def cluster_conf(input_bytes: int, total_cores: int,
     * the initial shuffle width is input / target (at least 2 waves of the
       cluster's cores); AQE then coalesces small partitions to
       the same advisory size and splits skewed join partitions above 4x it;
-    * the broadcast threshold stays Spark's default -- the operators decide
-      broadcasts with explicit bounded checks anyway.
+    * sides of a join up to 64 MB, by statistics or as measured during the
+      run, are broadcast; the operators give no hints of their own.
     """
     width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     size = str(target_partition_bytes)
@@ -48,6 +48,8 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 
 
@@ -126,11 +128,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in the file system that Spark would read it from."""
+def _file_system(spark: SparkSession, path: str):
+    """The file system that Spark would read ``path`` from, and the path there."""
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, none if it is not there."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.functions.scalars import ntz_literal, utc_now
+from ridelake.session import list_names, path_exists, remove_path
 
 
 def add_run_timestamp(df: DataFrame, col: str, ts: datetime | str | None = None) -> DataFrame:
@@ -74,18 +75,55 @@ def append_snapshot(df: DataFrame, path: str) -> None:
 
 def materialize_table(df: DataFrame, path: str, day_col: str | None = None,
                       cluster_cols: Sequence[str] = (), partitions: int | None = None,
-                      replace_days: bool = False) -> None:
+                      replace_days: bool = False, days: Sequence[str] | None = None,
+                      laid_out: bool = False) -> None:
     """Full rebuild of a model table (optionally day-partitioned + clustered).
     With ``replace_days`` only the day folders present in ``df`` are replaced
-    (incremental rebuild; other days untouched). Writing the layer is also
+    (incremental rebuild; other days untouched), and of ``days`` (yyyy-MM-dd),
+    where given, those that ``df`` no longer has rows for are removed. Which days
+    were written is observed by the writing job itself. ``laid_out`` says that
+    ``df`` comes row by row from a table of the same layout, so it is only sorted
+    within its partitions and not shuffled once more. Writing the layer is also
     what cuts the lineage for the next layer."""
-    if day_col:
-        out = layout(df, day_col, cluster_cols, partitions)
-        writer = out.write.mode("overwrite").partitionBy(day_col)
-        # said either way, so the session's own setting never decides
-        writer.option("partitionOverwriteMode", "dynamic" if replace_days else "static").parquet(path)
-    else:
+    if not day_col:
         df.write.mode("overwrite").parquet(path)
+        return
+    out = df.sortWithinPartitions(day_col, *cluster_cols) if laid_out else layout(df, day_col, cluster_cols, partitions)
+    written = Observation()
+    if days is not None:
+        out = out.observe(written, F.collect_set(F.col(day_col).cast("string")).alias("days"))
+    # said either way, so the session's own setting never decides
+    mode = "static" if not replace_days and days is None else "dynamic"
+    out.write.mode("overwrite").partitionBy(day_col).option("partitionOverwriteMode", mode).parquet(path)
+    if days is not None:
+        for day in sorted(set(days) - set(written.get.get("days", []))):
+            remove_path(df.sparkSession, f"{path}/{day_col}={day}")
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions below ``root``, oldest first."""
+    names = [n for n in list_names(spark, root) if n.startswith("version=")]
+    return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{root}/{n}/_SUCCESS"))
+
+
+def publish_version(df: DataFrame, root: str) -> None:
+    """Write ``df`` as the next version of the table at ``root``. Readers
+    (:func:`read_version`) see the version before until this one is complete, and
+    a failed write leaves that one in place. The last two versions are kept, so
+    a reader that has just chosen the older one can finish."""
+    spark = df.sparkSession
+    done = _versions(spark, root)
+    df.write.mode("overwrite").parquet(f"{root}/version={done[-1] + 1 if done else 0}")
+    for old in done[:-1]:
+        remove_path(spark, f"{root}/version={old}")
+
+
+def read_version(spark: SparkSession, root: str) -> DataFrame:
+    """The newest complete version of a table that ``publish_version`` writes."""
+    done = _versions(spark, root)
+    if not done:
+        raise FileNotFoundError(f"no version has been published at {root}")
+    return spark.read.parquet(f"{root}/version={done[-1]}")
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ridelake.plans.models import flatten_status
 from ridelake.schemas import STATUS_DOC
 from ridelake.session import path_exists
+from ridelake.sinks.writers import publish_version
 
 DEFAULT_TRIGGER = "300 seconds"
 DEFAULT_MAX_FILES = 10
@@ -111,14 +112,15 @@ def start_latest_status_stream(spark: SparkSession, landing_dir: str, target_pat
                                max_files_per_trigger: int = DEFAULT_MAX_FILES,
                                ingestion_at: Column | str | None = None) -> StreamingQuery:
     """Maintain the latest-status-per-station table. The state store holds
-    one row per station; each micro-batch overwrites the (station-sized)
-    snapshot table with the complete state, so replaying a batch after a
-    failure is idempotent."""
+    one row per station; each micro-batch publishes the complete state as the
+    next version of the (station-sized) table, so a reader
+    (:func:`~ridelake.sinks.writers.read_version`) always finds a whole one and
+    replaying a batch after a failure changes nothing."""
     docs = valid_documents(stream_status(spark, landing_dir, max_files_per_trigger))
     state = latest_status_state(flat=flatten_status(docs, ingestion_at))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target_path)
+        publish_version(batch, target_path)
 
     writer = (state.writeStream.outputMode("complete").foreachBatch(publish)
               .option("checkpointLocation", checkpoint))

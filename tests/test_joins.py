@@ -56,10 +56,10 @@ def test_orphans_skip_null_children(spark):
     assert [r.c for r in orphans(child, "c", parent, "p").collect()] == ["Z"]
 
 
-def test_broadcast_strategy_checks_size(spark):
+def test_small_side_is_broadcast_without_a_hint(spark):
     left = spark.range(100).withColumn("k", F.col("id") % 10)
     dim = spark.range(10).withColumnRenamed("id", "k2").withColumn("v", F.col("k2") * 2)
-    out = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked")
+    out = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="auto")
     assert out.count() == 100
     from helpers import plan_text
     assert "BroadcastHashJoin" in plan_text(out)
@@ -68,9 +68,10 @@ def test_broadcast_strategy_checks_size(spark):
 def test_shuffle_strategy_matches_broadcast(spark):
     from ridelake.plans.tables import Tables
     from ridelake.plans import models as M
+    spark.catalog.clearCache()  # a frame cached by another test would answer for both plans
     t = Tables(spark, "/root/testdata/sf0.001")
     a = M.trips_enriched(t.int_trips, t.dim_station, strategy="shuffle")
-    b = M.trips_enriched(t.int_trips, t.dim_station, strategy="checked")
+    b = M.trips_enriched(t.int_trips, t.dim_station, strategy="auto")
     assert a.count() == 1000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     from helpers import plan_text
@@ -100,13 +101,29 @@ def test_as_of_boundary_with_buckets(spark):
     assert out == {"f1": "New", "f3": "Old", "f4": None}
 
 
-def test_checked_strategy_falls_back_to_salted_shuffle(spark):
+def test_planner_choice_and_salted_shuffle_agree(spark):
 
     left = spark.range(200).withColumn("k", F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 10))
     dim = spark.range(10).withColumnRenamed("id", "k2").withColumn("v", F.col("k2") * 2)
-    small = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked")
-    big = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="checked", max_rows=5)
+    small = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="auto")
+    big = lookup(left, dim, {"k": "k2"}, {"v": "v"}, strategy="shuffle")
     from helpers import plan_text
     assert "BroadcastHashJoin" in plan_text(small) and "SortMergeJoin" in plan_text(big)
     assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
     assert big.filter("v IS NULL").count() == 50
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    """Size checks, spans and totals are part of the plan, not jobs before it."""
+    from ridelake.plans.registry import queries
+    tracker = spark.sparkContext.statusTracker()
+    names = ["enriched_flags", "enrich_as_of", "scd2_stations", "flag_distribution", "status_current",
+             "demand_vs_supply", "hourly_traffic", "dq_relationships", "join_fanout"]
+    found = {}
+    for name in names:
+        spark.sparkContext.setJobGroup(f"plan-{name}", name)
+        queries()[name](spark, "/root/testdata/sf0.001")
+        found[name] = len(tracker.getJobIdsForGroup(f"plan-{name}"))
+    spark.sparkContext.setJobGroup("tests", "tests")
+    # opening a Parquet table without a schema reads one footer in a job of its own
+    assert max(found.values()) <= 3, found

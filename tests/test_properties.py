@@ -135,7 +135,7 @@ codes = st.sampled_from(["A1", "B1", "C1", None])
                           maybe(st.sampled_from([3.0, 4.0]))), min_size=0, max_size=5),
        st.lists(st.tuples(codes, names, maybe(st.just(9.0)), codes, names, maybe(st.just(8.0))),
                 min_size=1, max_size=12),
-       st.sampled_from(["checked", "shuffle"]))
+       st.sampled_from(["auto", "shuffle"]))
 def test_enrich_current_brute_force(spark, cur, trips, strategy):
     from ridelake.operators.joins import enrich_current
     dim_rows = [(f"u{i}", n, c, lat, lon, T0, datetime(9999, 12, 31, 23, 59, 59), True)

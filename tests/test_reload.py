@@ -107,6 +107,16 @@ def test_both_as_of_plans_agree_on_shared_codes_and_ties(spark):
     facts = spark.sql("""SELECT id, code, to_timestamp_ntz(ts) AS ts FROM VALUES (1, 'A', '2024-01-15'), (2, 'A', '2024-01-25'),
       (3, 'A', '2024-01-10'), (4, 'B', '2024-01-05'), (5, 'B', '2024-01-04'), (6, NULL, '2024-01-15'), (7, 'A', '2024-01-02') AS v(id, code, ts)""")
     got = [sorted((r.id, r.sk) for r in enrich_as_of(facts, dim, "code", "code", "ts", {"sk": "sk"}, strategy=s).collect())
-           for s in ("checked", "sorted")]
+           for s in ("auto", "shuffle", "sorted")]
     assert got[0] == got[1] == [(1, "sk2"), (2, None), (3, "sk2"), (4, "y"), (5, None), (6, None), (7, "sk1")]
     assert one_line(dim, "code").count() == 3
+
+
+def test_a_day_without_rows_any_more_is_removed(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")], "v int, day string")
+    rows = rows.selectExpr("v", "CAST(day AS date) AS day")
+    materialize_table(rows, f"{tmp_dir}/t", "day")
+    materialize_table(rows.filter("v = 2"), f"{tmp_dir}/t", "day", days=["2024-01-01", "2024-01-02"], laid_out=True)
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [2, 3]
+    materialize_table(rows.filter("v > 9"), f"{tmp_dir}/t", "day", days=["2024-01-03"])
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [2]

@@ -4,6 +4,7 @@ from ridelake.plans.models import flatten_status
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
 from ridelake.sources.files import parse_status_messages
+from ridelake.sinks.writers import publish_version, read_version
 from ridelake.streaming.status import (latest_status_state, start_latest_status_stream,
                                        start_status_stream)
 
@@ -35,7 +36,7 @@ def test_latest_state_matches_batch(spark, tmp_dir):
     q = start_latest_status_stream(spark, f"{tmp_dir}/landing", f"{tmp_dir}/latest", f"{tmp_dir}/ckpt",
                                    available_now=True)
     q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_dir}/latest")
+    got = read_version(spark, f"{tmp_dir}/latest")
     assert got.count() == events.select("user_id").distinct().count()
     flat = A.station_status(spark, SF)
     by_state = latest_status_state(flat).select("station_id", "ingestion_at")
@@ -86,3 +87,13 @@ def test_quarantine_stream_keeps_malformed_documents(spark, tmp_dir):
     bad = spark.read.parquet(f"{tmp_dir}/quarantine").collect()
     assert len(bad) == 2
     assert any(r.raw == "this is not json" for r in bad)
+
+
+def test_published_versions_stay_whole(spark, tmp_dir):
+    import os
+    for n in range(1, 5):
+        publish_version(spark.range(n), f"{tmp_dir}/t")
+        assert read_version(spark, f"{tmp_dir}/t").count() == n
+    assert len(os.listdir(f"{tmp_dir}/t")) == 2
+    os.makedirs(f"{tmp_dir}/t/version=99")  # an unfinished write is not read, and is written anew in time
+    assert read_version(spark, f"{tmp_dir}/t").count() == 4
