@@ -1,22 +1,27 @@
-"""Operator 2: line dedup by content-defined chunks.
+"""Operator 2: line dedup by rolling windows of lines.
 
-A document's lines are hashed, a rolling hash over ``WINDOW`` line hashes chooses
-the chunk ends (every ``DIVISOR``-th on average, no chunk below ``MIN_LINES``
-lines), so an inserted or lost line moves the ends near it and no others. Chunks
-of several lines that occur more than once in the corpus are removed, but for
-the earliest occurrence by (doc_id, key of the row, place).
+A window of ``min_lines`` lines rolls over a document's lines, one window from
+every line, and each is compared with those of the whole corpus. A window that
+occurs more than once is removed, but for the earliest occurrence by (doc_id,
+key of the row, place); overlapping windows are removed as one. A window holds
+nothing but its own lines, so a repeated run of ``min_lines`` lines or more goes
+whole, whatever stands before and after it. (``chunks_of`` parts a text at ends
+chosen by a rolling hash. Chunks miss a run unless both ends of one fall inside
+it, so they no longer decide what is repeated.)
 
 Digests find the candidates; bytes decide. Candidates' texts are grouped by
-digest and bytes, and the earliest of each such group is kept, so chunks that
+digest and bytes, and the earliest of each such group is kept, so windows that
 merely share a digest all stay. In both rounds only the keepers go back to
 their documents (a candidate that is no keeper is a repeat), so a group of any
 size is only ever aggregated.
 
-Defined results: null text stays null; empty texts, single lines and chunks of
-blank lines alone are left as they are; rows repeated as a whole are one
-document, so they keep the same chunks; a row without id ranks after all ids;
-an empty table gives no rows. ``n_chars``, where it is a column, is set to the
-new length of texts that lost a chunk.
+Defined results: null text stays null; empty texts, single lines and runs of
+blank lines alone are left as they are, and a line feed at a text's end starts no
+line; the first occurrence of every line stays; where an earlier run ends inside
+a later one, only the lines of a repeated window go; rows repeated as a whole are
+one document, so they keep the same windows; a row without id ranks after all
+ids; an empty table gives no rows. ``n_removed`` counts repeated windows.
+``n_chars``, where it is a column, is set to the new length of texts that lost one.
 """
 
 from __future__ import annotations
@@ -59,12 +64,34 @@ def chunks_of(text: bytes, window: int = WINDOW, divisor: int = DIVISOR,
 
 
 def repeatable(text: bytes, window: int, divisor: int, min_lines: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(place, start, end, bytes) of the chunks that may be removed: several lines, not all blank.
-    The bytes leave out the last line feed, so a chunk at a text's end equals one inside."""
-    for place, (a, b, n) in enumerate(chunks_of(text, window, divisor, min_lines)):
-        raw = text[a:b].removesuffix(b"\n")
-        if n >= 2 and raw.strip():
-            yield place, a, b, raw
+    """(place, start, end, bytes) of the windows that may be removed: ``min_lines`` lines
+    from every line on, not all blank; neither starts nor ends ever decrease. Of the
+    blank windows between two lines the first reaches to the next line, so long blank
+    gaps inside a run are covered too. The bytes leave out the last line feed, so a
+    window at a text's end equals one inside. ``window`` and ``divisor`` shape
+    ``chunks_of`` and play no part here."""
+    size = max(2, min_lines)
+    parts = text.removesuffix(b"\n").split(b"\n")
+    starts, filled, at = [], [], 0
+    for place, part in enumerate(parts):
+        starts.append(at)
+        at += len(part) + 1
+        if part.strip():
+            filled.append(place)
+    starts.append(at)
+    nth = 0  # of the first filled line at or after a window's start
+    for place in range(len(parts) - size + 1):
+        while nth < len(filled) and filled[nth] < place:
+            nth += 1
+        if nth == len(filled):
+            break
+        last = place + size - 1
+        if filled[nth] > last:  # blank throughout
+            if place and filled[nth - 1] != place - 1:
+                continue
+            last = filled[nth]
+        a, b = starts[place], min(len(text), starts[last + 1])
+        yield place, a, b, text[a:starts[last + 1] - 1]
 
 
 def _digests(shape: tuple[int, int, int]):
@@ -82,7 +109,7 @@ def _digests(shape: tuple[int, int, int]):
 
 
 def _candidates(shape: tuple[int, int, int]):
-    """The chunks whose digest occurs more than once, with their bytes."""
+    """The windows whose digest occurs more than once, with their bytes."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("place", pa.int64()), ("raw", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +134,7 @@ def _apply(shape: tuple[int, int, int]):
             return text.decode(), 0
         left, at = [], 0
         for a, b in gone:
-            left.append(text[at:a])
+            left.append(text[at:a])  # nothing where windows overlap
             at = b
         left.append(text[at:])
         new = b"".join(left)
@@ -135,22 +162,23 @@ def _mark(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFra
     digests = map_arrow(keyed.select("doc_id", "key", "text"), _digests(shape),
                         "doc_id long, key binary, place long, digest binary")
     groups = digests.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-    # chunks that occur once, by document; every other chunk is a candidate
+    # windows that occur once, by document; every other window is a candidate
     alone = materialize(groups.filter("n = 1").groupBy("first.key").agg(
-        F.collect_list("first.place").alias("alone")), "lone-chunks")
-    joined = keyed.join(alone, "key", "left").select("doc_id", "key", "text", "row", "alone")
-    bytes_equal = map_arrow(joined, _candidates(shape), "doc_id long, key binary, place long, raw binary")
+        F.collect_list("first.place").alias("alone")), "lone-windows")
+    searched = keyed.select("doc_id", "key", "text").join(alone, "key", "left").select("doc_id", "key", "text", "alone")
+    bytes_equal = map_arrow(searched, _candidates(shape), "doc_id long, key binary, place long, raw binary")
     kept = materialize(
         bytes_equal.groupBy(F.xxhash64("raw").alias("hash"), "raw").agg(F.min(rank).alias("first"))
-        .groupBy("first.key").agg(F.collect_list("first.place").alias("keeps")), "chunk-keepers")
-    both = joined.join(kept, "key", "left")
-    return map_arrow(both.select("row", "text", "alone", "keeps"), _apply(shape),
-                     carrying(both, "text string, n_removed long"))
+        .groupBy("first.key").agg(F.collect_list("first.place").alias("keeps")), "window-keepers")
+    # the text travels inside its row, once
+    both = keyed.select("key", "row").join(alone, "key", "left").join(kept, "key", "left").select(
+        "row", F.col("row.text").cast("string").alias("text"), "alone", "keeps")
+    return map_arrow(both, _apply(shape), carrying(both, "text string, n_removed long"))
 
 
 def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
                            min_lines: int = MIN_LINES) -> DataFrame:
-    """The documents without repeated chunks, columns as given."""
+    """The documents without repeated runs of lines, columns as given."""
     done = _mark(docs, window, divisor, min_lines)
     lost = F.col("n_removed") > 0
 
@@ -166,7 +194,7 @@ def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int =
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, text left and number of chunks removed, of every document."""
+    """doc_id, text left and number of repeated windows, of every document."""
     shape = {"window": WINDOW, "divisor": DIVISOR, "min_lines": MIN_LINES} | options
     done = _mark(docs.select("doc_id", "text"), **shape)
     return done.select(F.col("row.doc_id").cast("long").alias("doc_id"), "text", "n_removed")
