@@ -10,14 +10,15 @@ error bound, ``EPSILON`` standard deviations, gives a lower and an upper bound.
 Only vectors whose upper bound reaches the k-th best lower bound are reranked by
 exact cosine in double precision.
 
-Every row is indexed and every stated query meets every row: vectors are dealt
-into groups of about ``GROUP_VECTORS``; the queries, a stated fraction of the
-rows, go to every group as a stream, so a task holds one group and one batch of
-queries. Each group answers with its k best, which are merged per query.
-
-Defined results: rows with a null id, a null vector, an empty one, a zero one,
-one with null or non-finite components or of another length than the first
-query-independent choice (the commonest length) take no part; equal scores go
+Every row is indexed and every stated query meets every row of its length:
+vectors are dealt, each length by itself, into groups of about
+``GROUP_VECTORS``; the queries, a stated fraction of the rows, go to every group
+of their length as a stream, so a task holds one group and one batch of queries.
+Each group answers with its k best, which are merged per query.
+
+Defined results: rows with a null id, a null vector, an empty one, a zero one or
+one with null or non-finite components take no part; vectors of different
+lengths are no neighbours, so each length is searched by itself; equal scores go
 to the smaller id; exactly repeated query rows are answered once, repeated
 candidates are candidates each; an empty table gives no rows.
 """
@@ -112,17 +113,18 @@ def _search(k: int, bits: int, epsilon: float, seed: int):
             groups = batch.column(0).to_numpy()
             asks = batch.column(1).to_numpy(zero_copy_only=False)
             vec_ids = batch.column(2).to_numpy()
-            flat = batch.column(3)
-            rows = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)
+            embeddings = batch.column(3)
             edge = np.flatnonzero((np.diff(groups) != 0) | (np.diff(asks) != 0)) + 1
             out: list[tuple] = []
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(groups)], strict=True):
                 if b == a:
                     continue
+                # of one group, so of one length
+                rows = embeddings.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b - a, -1)
                 if groups[a] != group:
                     group, held, codes = groups[a], [], None
                 if not asks[a]:
-                    held.append((vec_ids[a:b], rows[a:b]))
+                    held.append((vec_ids[a:b], rows))
                     continue
                 if codes is None and held:
                     ids = np.concatenate([h[0] for h in held])
@@ -130,7 +132,7 @@ def _search(k: int, bits: int, epsilon: float, seed: int):
                     held, codes = [], Codes(vectors, bits, seed)
                 if codes is not None:
                     for q in range(a, b):
-                        near, score = search_group(codes, ids, vectors, int(vec_ids[q]), rows[q], k, epsilon)
+                        near, score = search_group(codes, ids, vectors, int(vec_ids[q]), rows[q - a], k, epsilon)
                         out += [(int(vec_ids[q]), int(i), float(s)) for i, s in zip(near, score, strict=True)]
             if out:
                 cols = list(zip(*out, strict=True))
@@ -145,23 +147,25 @@ def usable(vectors: DataFrame) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
+    return rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
                        & F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))
-    common = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("embedding") == (common["n"] if common else 0))
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, group_vectors: int = GROUP_VECTORS,
             bits: int = CODE_BITS, epsilon: float = EPSILON, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest other rows of every
     row for which ``is_query`` (a condition on vec_id) holds."""
-    rows = usable(vectors)
-    groups = max(1, -(-rows.count() // group_vectors))
+    rows = usable(vectors).withColumn("length", F.size("embedding"))
+    # one row a length: how many groups its vectors are dealt into
+    parts = [(r["length"], -(-r["count"] // group_vectors)) for r in rows.groupBy("length").count().collect()]
+    groups = max(1, sum(n for _, n in parts))
+    rows = rows.join(F.broadcast(rows.sparkSession.createDataFrame(parts, "length int, parts long")), "length")
+    of_length = F.shiftleft(F.col("length").cast("long"), 32)
     # by a hash of the id and the vector, so equal vectors or ids do not meet in one group
-    base = rows.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(groups)).cast("int").alias("group"),
+    base = rows.select((of_length + F.pmod(F.xxhash64("vec_id", "embedding"), "parts")).alias("group"),
                        F.lit(False).alias("asks"), "vec_id", "embedding")
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "embedding"])
-    queries = queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
+    queries = queries.select(F.explode(F.sequence(of_length, of_length + F.col("parts") - 1)).alias("group"),
                              F.lit(True).alias("asks"), "vec_id", "embedding")
     dealt = base.unionByName(queries).repartition(groups, "group").sortWithinPartitions("group", "asks")
     found = map_arrow(dealt, _search(k, bits, epsilon, seed), "query_id long, vec_id long, score double")
