@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -95,3 +95,29 @@ def partition_id() -> int:
 
     ctx = TaskContext.get()
     return ctx.partitionId() if ctx else 0
+
+
+def in_slices(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` written in the order of its columns ``order``, dealt by range: a slice
+    (new column ``slice``) holds what lies between two sampled bounds, so a value on
+    many rows is parted by the columns after it, and slice numbers follow the order."""
+    return materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("slice", F.spark_partition_id()), name)
+
+
+def running_total(df: DataFrame, order: list[str], value: str, name: str, within: list[str] | None = None) -> DataFrame:
+    """``df`` with ``before`` (and ``slice``): the sum of ``value`` over the rows that come
+    before a row by ``order``, inside its group of equal ``within`` columns (no nulls;
+    they must lead ``order``).
+
+    Slices are summed alone; only one sum a slice and group is carried over, so no task
+    holds a group and a group of any size is spread over slices."""
+    within = within or []
+    rows = in_slices(df, order, name)
+    sums = rows.groupBy(*within, "slice").agg(F.sum(value).alias("own"))
+    earlier = Window.partitionBy(*within).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    first = sums.select(*within, "slice", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("slice", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("inner", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .join(first, [*within, "slice"])
+            .withColumn("before", F.col("first") + F.col("inner")).drop("first", "inner"))

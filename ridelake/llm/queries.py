@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import decontamination, lines, neighbours, packing, quality, secrets, sharding, simhash, toxicity, units
+from ridelake.llm import (curriculum, decontamination, lines, neighbours, packing, phrases, quality, secrets, sharding, simhash,
+                          toxicity, units, whitening)
 from ridelake.llm.common import table
 from ridelake.llm.oracle import ORACLE
 
@@ -63,9 +64,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_harmonic_packing, op2_line_dedup, op3_one_bit_neighbours, op4_substring_dedup, op5_quality_classifier,
-           op6_toxicity, op7_simhash_near_dedup, op8_sharding, op9_secret_scan, op10_decontamination)
+           op6_toxicity, op7_simhash_near_dedup, op8_sharding, op9_secret_scan, op10_decontamination, op11_phrase_mining, op12_source_mixing, op13_whitening)
     return {f.__name__: f for f in own}
 
 
