@@ -15,7 +15,7 @@ prefix that was extended have their counts from the partitioning.
 Phrases are then scored with the counts of their parts, by joins on the nodes of at
 least ``min_count`` occurrences (no part of a candidate has fewer).
 
-Memory: a scanning task holds at most ``FLUSH`` words and one text; a building task one
+Memory: a scanning task holds at most ``FLUSH`` bytes of texts or one text; a building task one
 group, which has at most twice ``budget`` occurrences, except for a single path of full
 depth, which the scans have already counted into one row each. ``budget`` is all
 that should be raised for a larger corpus: groups are tasks.
@@ -44,56 +44,47 @@ MIN_COUNT = 10
 INSIDE_PERCENT = 50
 TOP = 2000
 BUDGET = 1 << 21  # occurrences to a group, and of the most frequent prefix that is not extended
-FLUSH = 1 << 20  # words
+FLUSH = 8 << 20  # bytes
+MERGE = 2 << 20  # paths that a building task gathers before it merges them
 NO_LANG = "und"
 
-END, BREAK = 0, 1
+END = 0
 # A-Z become a-z, piece ends line feeds, tabs blanks
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-_PART = 1 << 20  # bytes of a text that are split at once
 
 
 class Words:
-    """Numbers for words, and by lang the numbers of the texts read so far, parted by ``BREAK``."""
-
-    def __init__(self):
-        self.number: dict[bytes, int] = defaultdict(count().__next__)
-        assert (self.number[b""], self.number[b"\n"]) == (END, BREAK)
-        self.read: dict[bytes, list[np.ndarray]] = {}
-        self.held = 0
-
-    def add(self, lang: bytes, text: bytes) -> None:
-        folded = text.translate(_FOLD)
-        of = self.number.__getitem__
-        at, parts = 0, self.read.setdefault(lang, [])
-        while at < len(folded):
-            end = at + _PART
-            if end < len(folded):
-                end = folded.find(b" ", end) + 1 or len(folded)
-            tokens = folded[at:end].replace(b"\n", b" \n ").split(b" ")
-            ids = np.fromiter(map(of, tokens), np.int32, len(tokens))
-            parts.append(ids[ids != END])
-            self.held += len(tokens)
-            at = end
-        parts.append(np.full(1, BREAK, np.int32))
-
-    def suffixes(self, depth: int) -> Iterator[tuple[bytes, list[np.ndarray]]]:
-        """By lang: for every word its suffix, a column a depth; ``END`` after the piece's last."""
-        for lang, parts in self.read.items():
-            ids = np.concatenate([*parts, np.full(depth, BREAK, np.int32)])
-            starts = np.flatnonzero(ids != BREAK)
-            columns, on = [ids[starts]], np.ones(len(starts), bool)
-            for d in range(1, depth):
-                after = ids[starts + d]
-                on &= after != BREAK
-                columns.append(np.where(on, after, END))
-            if len(starts):
-                yield lang, columns
+    """The words of some texts as numbers from 1 on into ``names``."""
+
+    def __init__(self, joined: bytes):
+        raw = np.frombuffer(joined.translate(_FOLD), np.uint8)
+        inside = (raw != 32) & (raw != 10)
+        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+        starts, ends = edges[::2], edges[1::2]
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+        coded = words.dictionary_encode()
+        self.found = coded.dictionary
+        self.ids = coded.indices.to_numpy().astype(np.int64) + 1
+        self.piece = np.searchsorted(np.flatnonzero(raw == 10), starts)
+
+    def names(self) -> list[bytes]:
+        return [b"", *self.found.to_pylist()]
+
+    def suffixes(self, depth: int) -> list[np.ndarray]:
+        """For every word its suffix, a column a depth; ``END`` after the piece's last."""
+        columns = [self.ids]
+        for d in range(1, depth):
+            after = np.zeros(len(self.ids), np.int64)
+            if len(after) > d:
+                after[:-d] = np.where(self.piece[d:] == self.piece[:-d], self.ids[d:], END)
+            columns.append(after)
+        return columns
 
 
 def leaves_of(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(first row, number of each row) of the distinct paths of equal columns, in order."""
-    node = columns[0].astype(np.int64)
+    node = columns[0]
     if len(columns) == 1:
         return np.unique(node, return_index=True, return_inverse=True)[1:]
     for c in columns[1:]:
@@ -112,57 +103,85 @@ def totals(columns: list[np.ndarray], weights: np.ndarray | None = None) -> tupl
     return [c[first] for c in columns], sums
 
 
-def _words_of(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[Words]:
-    """Texts of (lang, text) batches, in portions of ``flush`` words or one text."""
-    words = Words()
+def _words_of(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[tuple[bytes, Words]]:
+    """Texts of (lang, text) batches by lang, in portions of ``flush`` bytes or one text."""
+    waiting: dict[bytes, list[bytes]] = defaultdict(list)
+    held = 0
     for batch in batches:
         for lang, text in zip(texts(batch, "lang"), texts(batch), strict=True):
             if text:
-                words.add(lang, text)
-                if words.held >= flush:
-                    yield words
-                    words = Words()
-    if words.held:
-        yield words
+                waiting[lang].append(text)
+                held += len(text)
+                if held >= flush:
+                    for one, found in waiting.items():
+                        yield one, Words(b"\n".join(found))
+                    waiting.clear()
+                    held = 0
+    for one, found in waiting.items():
+        yield one, Words(b"\n".join(found))
 
 
-def _prefixes(level: int, heavy: set[tuple[bytes, bytes]], flush: int):
-    """Counted prefixes of ``level`` words (or fewer, where the piece ends) below heavy ones."""
+def _phrase(names: list[bytes], columns: list[np.ndarray], i: int) -> bytes:
+    return b" ".join([names[c[i]] for c in columns if c[i] != END])
+
+
+_PREFIX = pa.schema([("lang", pa.binary()), ("phrase", pa.binary()), ("whole", pa.bool_()), ("n", pa.int64())])
+
+
+def _single_words(flush: int):
+    """The words with their counts, portion by portion."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _words_of(batches, flush):
-            names, rows = list(words.number), []
-            for lang, columns in words.suffixes(level):
-                if level > 1:
-                    first, node = leaves_of(columns[:-1])
-                    chosen = np.array([(lang, _phrase(names, columns[:-1], i)) in heavy for i in first.tolist()], bool)
-                    below = chosen[node] & (columns[level - 2] != END)
-                    columns = [c[below] for c in columns]
-                paths, n = totals(columns)
-                whole = (paths[-1] != END).tolist()
-                rows += [(lang, _phrase(names, paths, i), full, k) for i, (full, k) in enumerate(zip(whole, n.tolist(), strict=True))]
-            if rows:
+        for lang, words in _words_of(batches, flush):
+            n = len(words.found)
+            if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.binary(), pa.bool_(), pa.int64()), strict=True)],
-                    names=["lang", "phrase", "whole", "n"])
+                    [pa.array([lang], pa.binary()).take(pa.array(np.zeros(n, np.int32))), words.found, pa.array([True] * n),
+                     pa.array(np.bincount(words.ids, minlength=n + 1)[1:], pa.int64())], schema=_PREFIX)
     return run
 
 
-def _phrase(names: list[bytes], columns: list[np.ndarray], i: int) -> bytes:
-    return b" ".join([names[c[i]] for c in columns if c[i] != END])
+def _extensions(level: int, heavy: set[tuple[bytes, bytes]], flush: int):
+    """Counted prefixes of ``level`` words (or one fewer, where the piece ends) below heavy ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words in _words_of(batches, flush):
+            names, columns = words.names(), words.suffixes(level)
+            own = {phrase for one, phrase in heavy if one == lang}
+            leading = {phrase.split(b" ")[0] for phrase in own}
+            some = np.array([w in leading for w in names], bool)[columns[0]]
+            columns = [c[some] for c in columns]
+            if not len(columns[0]):
+                continue
+            first, node = leaves_of(columns[:-1])
+            below = np.array([_phrase(names, columns[:-1], i) in own for i in first.tolist()], bool)[node]
+            below &= columns[level - 2] != END
+            paths, n = totals([c[below] for c in columns])
+            phrases = [_phrase(names, paths, i) for i in range(len(n))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(n), pa.binary()), pa.array(phrases, pa.binary()), pa.array(paths[-1] != END),
+                 pa.array(n, pa.int64())], schema=_PREFIX)
+    return run
 
 
 def prefix_key(lang: bytes, phrase: bytes) -> bytes:
     return lang + b"\0" + phrase
 
 
+_BLOCK = pa.schema([("group", pa.int32()), ("lang", pa.binary()), ("words", pa.binary()), ("paths", pa.binary())])
+
+
 def _blocks(depth: int, bounds: list[bytes], heavy: list[set], flush: int):
     """Counted suffixes, a block for each group and lang: its words, then a column a depth
     of their numbers, then the counts."""
 
     def groups_of(lang: bytes, columns: list[np.ndarray], names: list[bytes]) -> np.ndarray:
-        group = np.full(len(columns[0]), -1, np.int32)
-        for level in range(1, depth + 1):
+        # one word decides, unless it is a prefix that was extended
+        extended = {phrase for many in heavy for one, phrase in many if one == lang}
+        head = prefix_key(lang, b"")
+        by_word = np.array([-1 if w in extended and depth > 1 else bisect_right(bounds, head + w) - 1 for w in names], np.int32)
+        group = by_word[columns[0]]
+        for level in range(2, depth + 1):
             open_ = np.flatnonzero(group < 0)
             if not len(open_):
                 break
@@ -171,32 +190,32 @@ def _blocks(depth: int, bounds: list[bytes], heavy: list[set], flush: int):
             own = np.empty(len(first), np.int32)
             for j, i in enumerate(first.tolist()):
                 phrase = _phrase(names, part, i)
-                extended = level < depth and part[-1][i] != END and (lang, phrase) in heavy[level - 1]
-                own[j] = -1 if extended else bisect_right(bounds, prefix_key(lang, phrase)) - 1
+                longer = level < depth and part[-1][i] != END and phrase in extended
+                own[j] = -1 if longer else bisect_right(bounds, head + phrase) - 1
             group[open_] = own[node]
         return group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _words_of(batches, flush):
-            names = list(words.number)
-            for lang, columns in words.suffixes(depth):
-                paths, n = totals(columns)
-                group = groups_of(lang, paths, names)
-                order = np.argsort(group, kind="stable")
-                ends = np.flatnonzero(np.diff(group[order], append=-2)) + 1
-                rows, at = [], 0
-                for end in ends.tolist():
-                    here = order[at:end]
-                    used, local = np.unique(np.stack([c[here] for c in paths]), return_inverse=True)
-                    table = np.concatenate([local.reshape(depth, -1), n[here][None]])  # all below 2**31
-                    rows.append((int(group[order[at]]), lang, b" ".join([names[u] for u in used.tolist()]),
-                                 table.astype("<i4").tobytes()))
-                    at = end
-                    if len(rows) == 64 or at == len(order):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
-                            names=["group", "lang", "words", "paths"])
-                        rows = []
+        for lang, words in _words_of(batches, flush):
+            if not len(words.ids):
+                continue
+            names = words.names()
+            paths, n = totals(words.suffixes(depth))
+            group = groups_of(lang, paths, names)
+            order = np.argsort(group, kind="stable")
+            ends = np.flatnonzero(np.diff(group[order], append=-2)) + 1
+            rows, at = [], 0
+            for end in ends.tolist():
+                here = order[at:end]
+                used, local = np.unique(np.stack([c[here] for c in paths]), return_inverse=True)
+                table = np.concatenate([local.reshape(depth, -1), n[here][None]])  # all below 2**31
+                rows.append((int(group[order[at]]), lang, b" ".join([names[u] for u in used.tolist()]),
+                             table.astype("<i4").tobytes()))
+                at = end
+                if len(rows) == 64 or at == len(order):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BLOCK, strict=True)], schema=_BLOCK)
+                    rows = []
     return run
 
 
@@ -260,7 +279,8 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
         if level > 1 and not above:
             heavy.append(set())
             continue
-        found = map_arrow(own, _prefixes(level, above, flush), "lang binary, phrase binary, whole boolean, n long")
+        scan = _extensions(level, above, flush) if level > 1 else _single_words(flush)
+        found = map_arrow(own, scan, "lang binary, phrase binary, whole boolean, n long")
         found = materialize(found.groupBy("lang", "phrase", "whole").agg(F.sum("n").alias("n")), "phrase-prefixes")
         counted.append(found.withColumn("level", F.lit(level)))
         # at most occurrences / budget of them
@@ -287,7 +307,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     if bounds and max_words > 1:
         blocks = map_arrow(own, _blocks(max_words, bounds, heavy, flush), "group int, lang binary, words binary, paths binary")
         nodes = map_arrow(blocks.repartitionById(len(bounds), F.col("group")).select("lang", "words", "paths"),
-                          _subtrees(max_words, min_count, heavy, 2 * flush), "lang binary, phrase binary, n_words int, n long")
+                          _subtrees(max_words, min_count, heavy, MERGE), "lang binary, phrase binary, n_words int, n long")
         parts.append(nodes.select(F.col("lang").cast("string").alias("lang"), text.alias("phrase"), "n_words", "n"))
     every = parts[0]
     for p in parts[1:]:
