@@ -77,6 +77,18 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.substring(F.unhex(F.sha2(named, 256)), 1, 16)
 
 
+RANK_BYTES = 21
+
+
+def document_rank(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """``RANK_BYTES`` bytes that identify a document row and order rows by id (none last),
+    then by the key of the row."""
+    doc = F.col(id_col).cast("long")
+    return F.concat(F.when(doc.isNull(), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))),
+                    F.unhex(F.lpad(F.hex(F.coalesce(doc, F.lit(0)).bitwiseXOR(F.lit(-2 ** 63))), 16, "0")),
+                    F.substring(row_key(id_col, text_col), 1, 12))
+
+
 def fresh(taken: Iterable[str], base: str) -> str:
     """A column name that no column in ``taken`` has (ignoring case)."""
     names = {c.lower() for c in taken}

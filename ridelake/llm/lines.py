@@ -1,26 +1,27 @@
-"""Operator 2: line dedup by rolling windows of lines.
-
-A window of ``min_lines`` lines rolls over a document's lines, one window from
-every line, and each is compared with those of the whole corpus. A window that
-occurs more than once is removed, but for the earliest occurrence by (doc_id,
-key of the row, place); overlapping windows are removed as one. A window holds
-nothing but its own lines, so a repeated run of ``min_lines`` lines or more goes
-whole, whatever stands before and after it. (``chunks_of`` parts a text at ends
-chosen by a rolling hash. Chunks miss a run unless both ends of one fall inside
-it, so they no longer decide what is repeated.)
-
-Digests find the candidates; bytes decide. Candidates' texts are grouped by
-digest and bytes, and the earliest of each such group is kept, so windows that
-merely share a digest all stay. In both rounds only the keepers go back to
-their documents (a candidate that is no keeper is a repeat), so a group of any
-size is only ever aggregated.
-
-Defined results: null text stays null; empty texts, single lines and runs of
-blank lines alone are left as they are, and a line feed at a text's end starts no
-line; the first occurrence of every line stays; where an earlier run ends inside
-a later one, only the lines of a repeated window go; rows repeated as a whole are
-one document, so they keep the same windows; a row without id ranks after all
-ids; an empty table gives no rows. ``n_removed`` counts repeated windows.
+"""Operator 2: line dedup by content-defined chunks of lines.
+
+A rolling hash over the hashes of the last ``window`` lines chooses lines; a chunk ends
+before and after each chosen line (and every ``longest`` lines where none is chosen). With
+a window of one line a chunk within a repeated passage hangs on the passage's own lines
+alone, whatever has been put before or after it. At a passage's borders the lines
+that aren't chosen share a chunk with strange ones, so every text is chunked under
+``seeds`` independent choices: a line is lost only where no choice parts it from the
+strangers. All chunks' digests are grouped over the corpus; those that occur once go
+back to their documents, and every line of another chunk is a candidate.
+
+Neighbouring candidate chunks are joined. Of the joined runs of two and more lines,
+each pair of neighbouring filled lines, with what stands between them, is compared with
+those of the whole corpus byte by byte (grouped by hash and bytes). Of equal pairs the
+earliest by (doc_id, key of the row, place) is kept, the others go; overlapping pairs go
+as one run. So nothing goes that isn't repeated, and equal digests alone never remove
+anything. In both rounds only what is single or kept goes back to documents, so a group
+of any size is only ever aggregated.
+
+Defined results: null text stays null; empty texts, single lines (with blank lines
+around them too) and runs of blank lines are left as they are, and a line feed at a text's
+end starts no line; the first occurrence of every line stays; rows repeated as a
+whole are one document, so they keep the same pairs; a row without id ranks after all
+ids; an empty table gives no rows. ``n_removed`` counts the pairs of lines that went.
 ``n_chars``, where it is a column, is set to the new length of texts that lost one.
 """
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,106 +37,127 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import carrying, map_arrow, materialize, row_key, texts, whole_row
+from ridelake.llm.common import RANK_BYTES, carrying, document_rank, map_arrow, materialize, texts, whole_row
 
-WINDOW = 2
-DIVISOR = 2
-MIN_LINES = 2
+_BATCH_BYTES = 4 << 20
 
 
-def chunks_of(text: bytes, window: int = WINDOW, divisor: int = DIVISOR,
-              min_lines: int = MIN_LINES) -> list[tuple[int, int, int]]:
-    """(start, end, lines) in bytes of the chunks of a text; an end is past the line feed."""
-    lines = text.split(b"\n")
-    hashes = np.fromiter((xxhash.xxh64_intdigest(x) for x in lines), np.uint64, len(lines))
-    rolled = np.zeros(len(lines), np.uint64)
-    weight = np.ones(1, np.uint64)  # an array: its products wrap around
-    for back in range(window):  # the window that ends with each line
-        rolled[back:] += hashes[:len(lines) - back] * weight
-        weight *= np.uint64(0x9E3779B97F4A7C15)
-    ends = ((rolled >> np.uint64(32)) % np.uint64(divisor) == 0).tolist()
-    out, at, start, n = [], 0, 0, 0
-    for i, line in enumerate(lines):
-        at = min(len(text), at + len(line) + 1)
-        n += 1
-        if n >= min_lines and ends[i] or i == len(lines) - 1:
-            out.append((start, at, n))
-            start, n = at, 0
-    return out
-
-
-def repeatable(text: bytes, window: int, divisor: int, min_lines: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(place, start, end, bytes) of the windows that may be removed: ``min_lines`` lines
-    from every line on, not all blank; neither starts nor ends ever decrease. Of the
-    blank windows between two lines the first reaches to the next line, so long blank
-    gaps inside a run are covered too. The bytes leave out the last line feed, so a
-    window at a text's end equals one inside. ``window`` and ``divisor`` shape
-    ``chunks_of`` and play no part here."""
-    size = max(2, min_lines)
+@dataclass(frozen=True)
+class Chunking:
+    window: int = 1
+    divisor: int = 2  # of so many lines one is chosen
+    seeds: int = 6  # at most 8
+    longest: int = 64
+
+    def __post_init__(self):
+        if self.window < 1 or not 1 <= self.seeds <= 8 or not 1 <= self.divisor <= 128 or self.longest < 1:
+            raise ValueError("window and longest from 1, seeds from 1 to 8, divisor from 1 to 128")
+
+
+def lines_of(text: bytes) -> tuple[list[bytes], list[int]]:
+    """The lines, and where each starts in bytes (one more: past the last line feed)."""
     parts = text.removesuffix(b"\n").split(b"\n")
-    starts, filled, at = [], [], 0
-    for place, part in enumerate(parts):
-        starts.append(at)
-        at += len(part) + 1
-        if part.strip():
-            filled.append(place)
-    starts.append(at)
-    nth = 0  # of the first filled line at or after a window's start
-    for place in range(len(parts) - size + 1):
-        while nth < len(filled) and filled[nth] < place:
-            nth += 1
-        if nth == len(filled):
-            break
-        last = place + size - 1
-        if filled[nth] > last:  # blank throughout
-            if place and filled[nth - 1] != place - 1:
-                continue
-            last = filled[nth]
-        a, b = starts[place], min(len(text), starts[last + 1])
-        yield place, a, b, text[a:starts[last + 1] - 1]
-
-
-def _digests(shape: tuple[int, int, int]):
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("place", pa.int64()), ("digest", pa.binary())])
+    starts = [0]
+    for part in parts:
+        starts.append(starts[-1] + len(part) + 1)
+    return parts, starts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def chunks_of(parts: list[bytes], how: Chunking) -> list[tuple[int, int]]:
+    """(first, last) line of the distinct chunks under all seeds, without those of blank lines only."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
+    rolled = np.zeros(len(parts), np.uint64)
+    weight = np.ones(1, np.uint64)  # an array: its products wrap around
+    for back in range(how.window):  # the window that ends with each line
+        rolled[back:] += hashes[:len(parts) - back] * weight
+        weight *= np.uint64(0x9E3779B97F4A7C15)
+    found = set()
+    for seed in range(how.seeds):  # each has eight bits of its own
+        chosen = (rolled >> np.uint64(8 * seed) & np.uint64(255)) % np.uint64(how.divisor) == 0
+        start = 0
+        for i in [*np.flatnonzero(chosen).tolist(), len(parts)]:
+            found.update((a, min(a + how.longest, i) - 1) for a in range(start, i, how.longest))
+            if i < len(parts):
+                found.add((i, i))
+            start = i + 1
+    return sorted((a, b) for a, b in found if any(p.strip() for p in parts[a:b + 1]))
+
+
+def pairs_in(parts: list[bytes], starts: list[int], length: int, among: set[int] | None = None) -> list[tuple[int, int, int]]:
+    """(place, start, end) of the pairs of neighbouring filled lines, places from 0 over all of
+    them; with ``among`` only pairs of those lines. An end is past the second line's feed."""
+    filled = [i for i, p in enumerate(parts) if p.strip()]
+    return [(k, starts[a], min(length, starts[b + 1])) for k, (a, b) in enumerate(zip(filled, filled[1:]))
+            if among is None or a in among and b in among]
+
+
+def _emit(rows: list[tuple[bytes, bytes]], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows, strict=True)], schema=schema)
+
+
+def _in_batches(found: Iterator[tuple[bytes, bytes]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([(n, pa.binary()) for n in names])
+    rows, held = [], 0
+    for row in found:
+        rows.append(row)
+        held += 64 + len(row[1])
+        if held >= _BATCH_BYTES:
+            yield _emit(rows, schema)
+            rows, held = [], 0
+    if rows:
+        yield _emit(rows, schema)
+
+
+def _digests(how: Chunking):
+    """Every chunk: its rank (document, then place) and digest."""
+
+    def rows(batches):
         for batch in batches:
-            rows = [(doc, key, place, hashlib.blake2b(raw, digest_size=16).digest())
-                    for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch), strict=True)
-                    for place, _, _, raw in repeatable(text or b"", *shape)]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-    return run
+            for doc, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                if text and b"\n" in text:  # else there are no two lines
+                    parts, _ = lines_of(text)
+                    for place, (a, b) in enumerate(chunks_of(parts, how)):
+                        yield doc + place.to_bytes(4, "big"), hashlib.blake2b(b"\n".join(parts[a:b + 1]), digest_size=16).digest()
 
+    return lambda batches: _in_batches(rows(batches), ["rank", "digest"])
 
-def _candidates(shape: tuple[int, int, int]):
-    """The windows whose digest occurs more than once, with their bytes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("place", pa.int64()), ("raw", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(found: list[bytes] | None) -> set[int]:
+    return {int.from_bytes(f, "big") for f in found or ()}
+
+
+def candidates_in(text: bytes, single: set[int], how: Chunking) -> list[tuple[int, int, int]]:
+    """The pairs of neighbouring lines in the joined chunks that aren't single."""
+    parts, starts = lines_of(text)
+    among = {i for place, (a, b) in enumerate(chunks_of(parts, how)) if place not in single for i in range(a, b + 1)}
+    return pairs_in(parts, starts, len(text), among)
+
+
+def _candidates(how: Chunking):
+    """Every candidate pair: its rank and bytes, without the last line feed, so that a
+    pair at a text's end equals one inside."""
+
+    def rows(batches):
         for batch in batches:
-            rows = []
-            for doc, key, text, alone in zip(*(batch.column(i).to_pylist() for i in (0, 1)), texts(batch),
-                                             batch.column(batch.schema.get_field_index("alone")).to_pylist(), strict=True):
-                single = set(alone or ())
-                rows += [(doc, key, place, raw) for place, _, _, raw in repeatable(text or b"", *shape) if place not in single]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-    return run
+            for doc, text, alone in zip(batch.column(0).to_pylist(), texts(batch), batch.column(2).to_pylist(), strict=True):
+                if text and b"\n" in text:
+                    for place, a, b in candidates_in(text, _places(alone), how):
+                        yield doc + place.to_bytes(4, "big"), text[a:b].removesuffix(b"\n")
+
+    return lambda batches: _in_batches(rows(batches), ["rank", "raw"])
 
 
-def _apply(shape: tuple[int, int, int]):
-    def one(text: bytes | None, stays: set) -> tuple[str | None, int]:
-        if text is None:
-            return None, 0
-        gone = [(a, b) for place, a, b, _ in repeatable(text, *shape) if place not in stays]
+def _apply(how: Chunking):
+    def one(text: bytes | None, alone: list[bytes] | None, keeps: list[bytes] | None) -> tuple[str | None, int]:
+        if text is None or b"\n" not in text:
+            return text if text is None else text.decode(), 0
+        kept = _places(keeps)
+        gone = [(a, b) for place, a, b in candidates_in(text, _places(alone), how) if place not in kept]
         if not gone:
             return text.decode(), 0
         left, at = [], 0
         for a, b in gone:
-            left.append(text[at:a])  # nothing where windows overlap
+            left.append(text[at:a])  # nothing where pairs overlap
             at = b
         left.append(text[at:])
         new = b"".join(left)
@@ -145,41 +168,38 @@ def _apply(shape: tuple[int, int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alone, keeps = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("alone", "keeps"))
-            done = [one(t, {*(a or ()), *(k or ())}) for t, a, k in zip(texts(batch), alone, keeps, strict=True)]
+            done = [one(*row) for row in zip(texts(batch), alone, keeps, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("row")), pa.array([d[0] for d in done], pa.string()),
                  pa.array([d[1] for d in done], pa.int64())], names=["row", "text", "n_removed"])
     return run
 
 
-def _mark(docs: DataFrame, window: int, divisor: int, min_lines: int) -> DataFrame:
+def _by_document(ranks: DataFrame, name: str) -> DataFrame:
+    """The places of (rank) rows, gathered by document."""
+    return ranks.groupBy(F.substring("rank", 1, RANK_BYTES).alias("doc")).agg(
+        F.collect_list(F.substring("rank", RANK_BYTES + 1, 4)).alias(name))
+
+
+def _mark(docs: DataFrame, how: Chunking) -> DataFrame:
     """row (struct of all columns), text (what is left), n_removed."""
-    shape = (window, divisor, min_lines)
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text"),
-        whole_row(docs))
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "place")
-    digests = map_arrow(keyed.select("doc_id", "key", "text"), _digests(shape),
-                        "doc_id long, key binary, place long, digest binary")
-    groups = digests.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-    # windows that occur once, by document; every other window is a candidate
-    alone = materialize(groups.filter("n = 1").groupBy("first.key").agg(
-        F.collect_list("first.place").alias("alone")), "lone-windows")
-    searched = keyed.select("doc_id", "key", "text").join(alone, "key", "left").select("doc_id", "key", "text", "alone")
-    bytes_equal = map_arrow(searched, _candidates(shape), "doc_id long, key binary, place long, raw binary")
-    kept = materialize(
-        bytes_equal.groupBy(F.xxhash64("raw").alias("hash"), "raw").agg(F.min(rank).alias("first"))
-        .groupBy("first.key").agg(F.collect_list("first.place").alias("keeps")), "window-keepers")
+    keyed = docs.select(document_rank().alias("doc"), F.col("text").cast("string").alias("text"), whole_row(docs))
+    chunks = map_arrow(keyed.select("doc", "text"), _digests(how), "rank binary, digest binary")
+    groups = chunks.groupBy("digest").agg(F.min("rank").alias("rank"), F.count("*").alias("n"))
+    alone = materialize(_by_document(groups.filter("n = 1"), "alone"), "lone-chunks")
+    searched = keyed.select("doc", "text").join(alone, "doc", "left").select("doc", "text", "alone")
+    pairs = map_arrow(searched, _candidates(how), "rank binary, raw binary")
+    first = pairs.groupBy(F.xxhash64("raw").alias("hash"), "raw").agg(F.min("rank").alias("rank"))
+    kept = materialize(_by_document(first, "keeps"), "pair-keepers")
     # the text travels inside its row, once
-    both = keyed.select("key", "row").join(alone, "key", "left").join(kept, "key", "left").select(
+    both = keyed.select("doc", "row").join(alone, "doc", "left").join(kept, "doc", "left").select(
         "row", F.col("row.text").cast("string").alias("text"), "alone", "keeps")
-    return map_arrow(both, _apply(shape), carrying(both, "text string, n_removed long"))
+    return map_arrow(both, _apply(how), carrying(both, "text string, n_removed long"))
 
 
-def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
-                           min_lines: int = MIN_LINES) -> DataFrame:
-    """The documents without repeated runs of lines, columns as given."""
-    done = _mark(docs, window, divisor, min_lines)
+def remove_repeated_chunks(docs: DataFrame, **options) -> DataFrame:
+    """The documents without repeated runs of lines, columns as given. Options: those of ``Chunking``."""
+    done = _mark(docs, Chunking(**options))
     lost = F.col("n_removed") > 0
 
     def column(c: str):
@@ -194,7 +214,6 @@ def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int =
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, text left and number of repeated windows, of every document."""
-    shape = {"window": WINDOW, "divisor": DIVISOR, "min_lines": MIN_LINES} | options
-    done = _mark(docs.select("doc_id", "text"), **shape)
+    """doc_id, text left and number of removed pairs of lines, of every document."""
+    done = _mark(docs.select("doc_id", "text"), Chunking(**options))
     return done.select(F.col("row.doc_id").cast("long").alias("doc_id"), "text", "n_removed")

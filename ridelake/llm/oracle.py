@@ -6,28 +6,41 @@ components), sharding (a heap) and the secret scan (span positions and window
 counts would be quadratic there).
 """
 
-# Every line's place and normal form; the earliest of equal ones is kept.
+# Every clause's place and normal form; all but the earliest of equal ones are repeats, and
+# runs of them with 30 words or more go.
 SUBSTRING = r"""
 WITH parted AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
-), numbered AS (
-  SELECT doc_id, i AS place, parts[i] AS line,
-         coalesce(list_sum(list_transform(parts[1:i - 1], lambda p: length(p) + 1)), 0)::BIGINT AS start_at,
-         trim(regexp_replace(translate(parts[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT doc_id, text, regexp_extract_all(text,
+    '[^\n.,;:!?。，、；：！？]+([\n.,;:!?。，、；：！？][\n.,;:!?。，、；：！？\x20\x09-\x0D]*)?|[\n.,;:!?。，、；：！？][\n.,;:!?。，、；：！？\x20\x09-\x0D]*') AS parts
+  FROM documents
+), placed AS (
+  SELECT doc_id, i AS place, part, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS end_at,
+         trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
-  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM parted)
+  FROM (SELECT doc_id, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM parted)
 ), counted AS (
-  SELECT *, norm <> '' AND len(string_split(norm, ' ')) >= 5 AS counts FROM numbered
-), ranked AS (
-  SELECT *, counts AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, place) > 1 AS gone FROM counted
+  SELECT *, end_at - length(part) AS start_at, greatest(len(string_split(norm, ' ')), length(norm) // 6) AS words,
+         row_number() OVER (PARTITION BY norm ORDER BY doc_id, place) > 1 AS repeat
+  FROM placed WHERE norm <> ''
+), runs AS (
+  SELECT *, count(*) FILTER (NOT repeat) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM counted
+), gone AS (
+  SELECT doc_id, min(start_at)::BIGINT AS a, max(end_at)::BIGINT AS b, count(*) AS n
+  FROM runs WHERE repeat GROUP BY doc_id, run HAVING sum(words) >= 30
+), totals AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (repeat) AS n_repeated FROM counted GROUP BY doc_id
+), cut AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_removed, string_agg(a || ':' || b, ',' ORDER BY a) AS removed FROM gone GROUP BY doc_id
+), left_over AS (
+  SELECT p.doc_id, string_agg(part, '' ORDER BY place) AS text
+  FROM placed p WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = p.doc_id AND p.end_at > g.a AND p.end_at <= g.b)
+  GROUP BY p.doc_id
 )
-SELECT d.doc_id,
-       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(r.line, chr(10) ORDER BY r.place) FILTER (NOT r.gone), '') END AS text,
-       count(*) FILTER (r.counts) AS n_units,
-       count(*) FILTER (r.gone) AS n_removed,
-       coalesce(string_agg(r.start_at || ':' || (r.start_at + length(r.line)), ',' ORDER BY r.place) FILTER (r.gone), '') AS removed
-FROM documents d LEFT JOIN ranked r ON r.doc_id = d.doc_id
-GROUP BY d.doc_id, d.text
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text,
+       coalesce(t.n_units, 0) AS n_units, coalesce(t.n_repeated, 0) AS n_repeated, coalesce(c.n_removed, 0) AS n_removed,
+       coalesce(c.removed, '') AS removed
+FROM documents d LEFT JOIN totals t ON t.doc_id = d.doc_id LEFT JOIN cut c ON c.doc_id = d.doc_id
+     LEFT JOIN left_over l ON l.doc_id = d.doc_id
 """
 
 # Exact search: the operator's error bounds must lose nothing of it.

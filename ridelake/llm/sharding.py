@@ -1,21 +1,19 @@
 """Operator 8: shards of near-equal bytes by longest-processing-time scheduling.
 
-Rows of equal text are a group that stays together. Groups, largest first, go
-to the least-loaded shard through a heap. Only a bounded number of items ever
-meets that heap:
-
-* a group of at least ``1 / heavy_parts`` of all bytes is an item of its own;
-  there can be at most ``heavy_parts`` of those;
-* all other groups are gathered, whole, into ``bundles`` items by the hash of
-  their text, each a small share of the bytes.
-
-Slots (a row's place in its shard) come from counts of small cells: the rows of
-a shard are dealt into ``cells`` cells by a hash of the row; the running sum
-over the (bounded) table of cell counts gives each cell its first slot, and a
-row's rank inside its cell the rest. No task ever holds a shard.
+Rows of equal text are a group that stays together. Groups, largest first, go to the
+least-loaded shard through a heap. Groups of one size are interchangeable, so the heap
+is fed with (size, number of groups) and gives back how many groups of that size each
+shard gets; a group's rank within its size says which shard it is. The schedule is
+that of one heap over all groups, whatever their number: what reaches the driver is one
+row for each distinct size, and as distinct sizes add up to no more than all bytes, there
+are at most ``sqrt(2 * all bytes)`` of them (14 million for 100 TB; texts have far fewer).
+
+Ranks and slots (a row's place in its shard) are running counts over range-dealt slices
+(:func:`~ridelake.llm.common.running_total`), so neither a size that a third of all groups
+have nor a shard is ever in one task.
 
 Defined results: null text is in one group with empty text (size 1); repeated
-rows are separate rows of one group; rows that tie in a cell are equal in
+rows are separate rows of one group; rows that tie in order are equal in
 every column, so which takes which slot cannot be seen; an empty table gives
 no rows. A group heavier than a shard's fair share fills a shard alone.
 """
@@ -23,15 +21,12 @@ no rows. A group heavier than a shard's fair share fills a shard alone.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import materialize
-
-HEAVY_PARTS = 4096
-BUNDLES = 16384
-CELLS = 512
+from ridelake.llm.common import materialize, running_total
 
 
 def longest_first(items: list[tuple[int, object]], shards: int) -> dict[object, int]:
@@ -45,13 +40,34 @@ def longest_first(items: list[tuple[int, object]], shards: int) -> dict[object,
     return placed
 
 
-def _spread(n: int) -> Column:
-    """A cell from the whole of a sized row, so that no id or text is alone in one."""
-    return F.pmod(F.xxhash64("doc_id", "group", F.lit(17)), F.lit(n)).cast("int")
-
-
-def shard_documents(docs: DataFrame, shards: int = 16, heavy_parts: int = HEAVY_PARTS,
-                    bundles: int = BUNDLES, cells: int = CELLS) -> DataFrame:
+def longest_first_counts(sizes: Iterable[tuple[int, int]], shards: int) -> Iterator[tuple[int, list[int]]]:
+    """For (size, number of items) by falling size: how many of them each shard gets when one
+    after the other goes to the least-loaded shard (of equal ones the first)."""
+    heap = [(0, s) for s in range(shards)]
+    for size, left in sizes:
+        given = [0] * shards
+        while left:
+            load, shard = heapq.heappop(heap)
+            if max(heap, default=(load, shard))[0] - load < size:
+                # all within one size: every round gives each shard one
+                rounds = left // shards
+                if rounds:
+                    given = [g + rounds for g in given]
+                    heap = [(x + rounds * size, s) for x, s in [*heap, (load, shard)]]
+                    heapq.heapify(heap)
+                    left -= rounds * shards
+                    continue
+                n = 1
+            else:  # the least-loaded one takes items until another is less loaded
+                other, first = heap[0]
+                n = min(left, max(1, -(-(other - load + (shard < first)) // size)))
+            given[shard] += n
+            left -= n
+            heapq.heappush(heap, (load + n * size, shard))
+        yield size, given
+
+
+def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -61,31 +77,23 @@ def shard_documents(docs: DataFrame, shards: int = 16, heavy_parts: int = HEAVY_
         F.crc32(text).alias("text_crc32"),
         F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("group"))
     sized = materialize(sized, "shard-sizes")
-    # the item of a light group; negative numbers are left for heavy groups
-    bundle = F.pmod(F.xxhash64("group"), F.lit(bundles)).cast("long")
-
-    groups = sized.groupBy("group").agg(F.sum("size").alias("bytes"))
-    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    least = max(1, -(-total // heavy_parts))
-    # at most heavy_parts rows, since their bytes sum to no more than all
-    heavy = groups.filter(F.col("bytes") >= least).orderBy("group").collect()
-    heavy_rows = [(bytes(r["group"]), -1 - i, r["bytes"]) for i, r in enumerate(heavy)]
-    heavy_df = spark.createDataFrame([r[:2] for r in heavy_rows], "group binary, own long")
-    with_item = (sized.join(F.broadcast(heavy_df), "group", "left")
-                 .withColumn("item", F.coalesce("own", bundle)))
-    light = with_item.filter("own is null").groupBy("item").agg(F.sum("size").alias("bytes")).collect()
-    items = [(b, i) for _, i, b in heavy_rows] + [(r["bytes"], r["item"]) for r in light]
-    placed = longest_first(items, shards)
-    places = spark.createDataFrame(list(placed.items()), "item long, shard int")
-    dealt = (with_item.join(F.broadcast(places), "item")
-             .withColumn("cell", _spread(cells)))
-
-    counts = dealt.groupBy("shard", "cell").agg(F.count("*").alias("n"))  # shards * cells rows at most
-    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    in_cell = Window.partitionBy("shard", "cell").orderBy("doc_id", "group")
-    return (dealt.withColumn("rank", F.row_number().over(in_cell))
-            .join(F.broadcast(firsts), ["shard", "cell"])
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("first") + F.col("rank") - 1).alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+    groups = sized.groupBy("group").agg(F.sum("size").alias("bytes")).withColumn("one", F.lit(1))
+    ranked = running_total(groups, ["bytes", "group"], "one", "shard-groups", ["bytes"])
+
+    # one row a distinct size, largest first
+    sizes = ranked.groupBy("bytes").agg(F.count("*").alias("n")).orderBy(F.desc("bytes")).toLocalIterator()
+    cuts = []
+    for size, given in longest_first_counts(((r["bytes"], r["n"]) for r in sizes), shards):
+        upto = 0
+        for shard, n in enumerate(given):
+            if n:
+                cuts.append((size, upto, upto + n, shard))
+                upto += n
+    places = spark.createDataFrame(cuts, "bytes long, low long, high long, shard int").groupBy("bytes").agg(
+        F.array_sort(F.collect_list(F.struct("high", "low", "shard"))).alias("cuts"))  # a size has at most ``shards``
+    own = F.filter("cuts", lambda c: (c["low"] <= F.col("before")) & (F.col("before") < c["high"]))[0]["shard"]
+    placed = ranked.join(places, "bytes").select("group", own.alias("shard"))
+    dealt = sized.join(placed, "group").withColumn("one", F.lit(1))
+    numbered = running_total(dealt, ["shard", "doc_id", "group"], "one", "shard-slots", ["shard"])
+    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                           F.col("before").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -89,73 +89,125 @@ def test_cut_covers_and_fills():
 
 # ------------------------------------------------------------------ 2, 4
 
-def brute_lines(rows):
-    seen, out = set(), {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        raw = (text or "").encode()
-        gone = []
-        for _, a, b, chunk in lines.repeatable(raw, 2, 2, 2):
-            (gone.append((a, b)) if chunk in seen else seen.add(chunk))
-        left, at = b"", 0
-        for a, b in gone:
-            left, at = left + raw[at:a], b
-        left += raw[at:]
-        if gone and at == len(raw) and not raw.endswith(b"\n"):
-            left = left.removesuffix(b"\n")
-        out[doc, text] = (None if text is None else left.decode(), len(gone))
-    return out
-
-
-def test_line_dedup_against_brute_force(docs, odd, empty):
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    want = brute_lines(rows)
-    got = {r.doc_id: (r.text, r.n_removed) for r in lines.line_report(docs).collect()}
-    assert got == {doc: v for (doc, _), v in want.items()} and sum(v[1] for v in got.values()) > 0
+def test_line_dedup_on_odd_rows(docs, odd, empty):
     left = lines.remove_repeated_chunks(odd)
     assert left.schema.simpleString() == odd.schema.simpleString() and left.count() == len(ODD)
     assert {r.text for r in left.filter("doc_id = 2").collect()} == {None}
+    # the two rows of id 1 are one document, whose second half repeats its first
+    assert [r.text for r in left.filter("doc_id = 1").collect()] == ["a b c d e f\nx y z u v w\nlast line here it is\n"] * 2
+    assert [r.text for r in left.filter("doc_id = 7").collect()] == [""]
     assert lines.line_report(empty).count() == 0
 
 
 def test_chunk_ends_resist_shifts():
-    text = "\n".join(f"line {hashlib.md5(str(i).encode()).hexdigest()}" for i in range(200)).encode()
-    one = {text[a:b] for a, b, _ in lines.chunks_of(text)}
-    moved = b"something new\n" + text
-    two = {moved[a:b] for a, b, _ in lines.chunks_of(moved)}
-    assert len(one & two) > 0.9 * len(one)
-    assert b"".join(text[a:b] for a, b, _ in lines.chunks_of(text)) == text
-
-
-def test_equal_digests_alone_do_not_remove(spark, monkeypatch):
-    class Same:
-        def digest(self):
-            return b"0" * 16
+    text = [f"line {hashlib.md5(str(i).encode()).hexdigest()}".encode() for i in range(200)]
+    for window in (1, 3):
+        how = lines.Chunking(window=window, seeds=1)
+        one = {tuple(text[a:b + 1]) for a, b in lines.chunks_of(text, how)}
+        moved = [b"something", b"new", *text]
+        two = {tuple(moved[a:b + 1]) for a, b in lines.chunks_of(moved, how)}
+        assert len(one & two) > 0.9 * len(one)
+        assert sorted(x for c in one for x in c) == sorted(text)  # one choice parts a text without a gap
+    long = lines.chunks_of([b"x"] * 1000, lines.Chunking(longest=64))
+    assert max(b - a for a, b in long) < 64 and {i for a, b in long for i in range(a, b + 1)} == set(range(1000))
+
+
+def test_equal_digests_alone_do_not_remove(spark):
     rows = [(i, f"first {i}\nsecond {i}") for i in range(4)] + [(9, "first 0\nsecond 0")]
-    out = []
-    for doc, text in rows:
-        out += [(doc, raw) for _, _, _, raw in lines.repeatable(text.encode(), 2, 2, 2)]
-    assert len({raw for _, raw in out}) == 4  # bytes differ, whatever their digests
+    # all chunks repeat, so each pair is a candidate; only equal bytes go
+    rows += [(10, "first 1\nsecond 2"), (11, "second 3\nfirst 3")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: r.n_removed for r in lines.line_report(df).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 9: 1}
-
-
-@pytest.mark.parametrize("unit", ["line", "paragraph"])
-def test_units_keep_the_earliest_and_their_places(odd, empty, unit):
-    got = units.remove_repeated_units(odd, unit=unit, min_words=3)
-    name = got.columns[-1]
-    assert name == "_units" and got.columns[:-1] == odd.columns
-    for r in got.collect():
-        found = r[name]
-        if r.text is None:
-            assert found.text is None
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.line_report(df).collect()}
+    assert got.pop(9) == ("", 1) and got == {i: (t, 0) for i, t in rows if i != 9}
+
+
+def plain_units(rows, unit, least):
+    """(text left, units, repeats, removed, removed spans) of (id, text) rows, one by one."""
+    seen, out = {}, {}
+    for doc, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
+        if text is None:
+            out[doc, text] = (None, 0, 0, 0, [])
             continue
-        joint = "\n" if unit == "line" else "\n\n"
-        kept = [r.text[s.start:s.end] for s in found.kept]
-        assert found.text == (joint.join(kept) if found.removed else r.text)
-        assert all(r.text[s.start:s.end].strip() for s in found.removed)
-    by_id = {r.doc_id: r[name] for r in got.collect()}
-    assert by_id[7].text == "" and len(by_id[1].removed) == (3 if unit == "line" else 0) or unit == "paragraph"
-    assert units.unit_report(empty).count() == 0
+        if unit == "line":
+            parts = text.splitlines(keepends=True) if not re.search("[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", text) else re.findall("[^\n]*\n|[^\n]+", text)
+        elif unit == "paragraph":
+            breaks = [m.end() for m in re.finditer(r"\n(?:[ \t\r]*\n)+", text)]
+            parts = [text[a:b] for a, b in zip([0, *breaks], [*breaks, len(text)])]
+        else:
+            parts, at = [], 0
+            ends = set("\n" + units.CLAUSE_ENDS)
+            while at < len(text):
+                end = at
+                while end < len(text) and text[end] not in ends:
+                    end += 1
+                while end < len(text) and (text[end] in ends or text[end] in " \t\n\x0b\x0c\r"):
+                    end += 1
+                parts.append(text[at:end])
+                at = end
+        left, at, counted, repeats, run, spans, gone = "", 0, 0, 0, [], [], 0
+
+        def close():
+            nonlocal gone
+            size = sum(max(len(n.split(" ")), len(n) // 6) for _, _, n in run)
+            if run and size >= least:
+                spans.append((run[0][0], run[-1][1]))
+                gone += len(run)
+            run.clear()
+
+        for part in parts:
+            norm = " ".join(re.findall("[^ \t-\r]+", fold(part)))
+            start, at = at, at + len(part)
+            if not norm:
+                continue
+            counted += 1
+            if norm in seen:
+                repeats += 1
+                run.append((start, at, norm))
+            else:
+                seen[norm] = doc
+                close()
+        close()
+        last = 0
+        for a, b in spans:
+            left, last = left + text[last:a], b
+        out[doc, text] = (left + text[last:], counted, repeats, gone, spans)
+    return out
+
+
+UNSPACED = "一二三四五六七八九十" * 60
+EXTRA = [(20, UNSPACED + "。終"), (21, "別" + "。" + UNSPACED + "。"), (22, "short. Short.  SHORT. other"), (23, "short. tie"),
+         (24, "Own words first, then " + "shared words of a passage that goes on and on, " * 5 + "with an end."),
+         (25, "Quite another start; shared words of a passage that goes on and on, and on. " + "x1 " * 40 + "."), (26, "...\n\n.. a")]
+
+
+@pytest.mark.parametrize("unit", ["line", "paragraph", "clause"])
+@pytest.mark.parametrize("least", [1, units.LEAST_WORDS])
+def test_units_against_a_plain_search(spark, docs, odd, empty, unit, least):
+    rows = [r for r in ODD if r[0] is not None] + EXTRA
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sample = docs.limit(60).select("doc_id", "text")
+    for df, own in ((frame, rows), (sample, [tuple(r) for r in sample.collect()])):
+        want = plain_units(own, unit, least)
+        done = units.remove_repeated_units(df, unit=unit, least_words=least).collect()
+        assert len(done) == len(own)
+        for r in done:
+            u = r.units
+            assert (u.text, u.n_units, u.n_repeated, u.n_removed, [(s.start, s.end) for s in u.removed]) == want[r.doc_id, r.text]
+            assert r.text is None or u.text == "".join(r.text[s.start:s.end] for s in u.kept)
+    got = units.remove_repeated_units(odd, unit=unit, least_words=least)
+    assert got.columns[-1] == "_units" and got.columns[:-1] == odd.columns and got.count() == len(ODD)
+    assert units.unit_report(empty, unit=unit, least_words=least).count() == 0
+
+
+def test_units_at_their_defaults(spark):
+    passage = " ".join(f"word{i}" + (", " if i % 7 == 0 else "") for i in range(60))
+    rows = [(3, "a start of its own and " + passage + " and an end. last"), (1, "x. " + passage + " y"), (2, "All rights reserved.\nmore"),
+            (4, "All rights reserved.\nother"), (5, UNSPACED), (6, "前。" + UNSPACED), (7, "前。" + UNSPACED), (7, "前。" + UNSPACED)]
+    got = {r.doc_id: r for r in units.unit_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == 0 and got[3].n_removed > 0 and "word30" not in got[3].text and got[3].text.startswith("a start of its own")
+    assert (got[2].n_removed, got[4].n_removed, got[4].n_repeated) == (0, 0, 1)  # a short line is counted, and stays
+    assert got[5].n_removed == 0 and got[6].text == "前。" and got[7].text == ""  # ties go to the smaller id; 6's "前。" came first
+    assert got[7].n_removed == 2
 
 
 # ------------------------------------------------------------------ 3
@@ -330,7 +382,7 @@ def test_components_of_a_long_chain(spark):
 
 def test_shards(spark, docs, odd, empty):
     for frame in (docs, odd):
-        rows = sharding.shard_documents(frame, 4, bundles=256, cells=8).collect()
+        rows = sharding.shard_documents(frame, 4).collect()
         texts = sorted((len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in frame.collect())
         assert sorted((r.size, r.text_crc32) for r in rows) == texts
         slots, of_text = {}, {}
@@ -340,11 +392,49 @@ def test_shards(spark, docs, odd, empty):
         assert all(sorted(s) == list(range(len(s))) for s in slots.values())
         assert all(len(s) == 1 for s in of_text.values())
     loads = sharding.shard_documents(docs, 4).groupBy("shard").agg(F.sum("size").alias("b")).collect()
-    sizes = [r.b for r in loads]
-    assert len(sizes) == 4 and max(sizes) < 1.02 * min(sizes)
+    groups = {}
+    for r in docs.collect():
+        groups[r.text or ""] = groups.get(r.text or "", 0) + len((r.text or "").encode()) + 1
+    want = [0] * 4
+    for size in sorted(groups.values(), reverse=True):  # the plain schedule
+        k = min(range(4), key=lambda k: (want[k], k))
+        want[k] += size
+    assert sorted(r.b for r in loads) == sorted(want) and max(want) < 1.001 * min(want)
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_many_tiny_groups_and_a_hot_one(spark):
+    rows = [(i, f"{i:03d}") for i in range(997)] + [(i, "hot text") for i in range(1000, 1600)] + [(None, "hot text"), (3, None), (4, "")]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 16).collect()
+    loads, slots = {}, {}
+    for r in got:
+        loads[r.shard] = loads.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    light = sorted(loads.values())[:-1]
+    assert max(loads.values()) == 601 * 9 and max(light) - min(light) <= 4  # the hot group fills a shard alone
+
+
+def test_counted_schedule_is_the_plain_one():
+    rng = np.random.default_rng(4)
+    for shards in (1, 2, 3, 7, 16):
+        for _ in range(40):
+            sizes = sorted(set(rng.integers(1, [5, 40, 3000][rng.integers(3)], rng.integers(1, 12)).tolist()), reverse=True)
+            counts = [int(rng.integers(1, [3, 60, 400][rng.integers(3)])) for _ in sizes]
+            loads = [0] * shards
+            want = []
+            for size, n in zip(sizes, counts, strict=True):
+                given = [0] * shards
+                for _ in range(n):
+                    k = min(range(shards), key=lambda k: (loads[k], k))
+                    loads[k] += size
+                    given[k] += 1
+                want.append((size, given))
+            got = list(sharding.longest_first_counts(zip(sizes, counts, strict=True), shards))
+            mine = [sum(s * g[k] for s, g in got) for k in range(shards)]
+            assert [sum(g) for _, g in got] == counts and sorted(mine) == sorted(loads)
+
+
 def test_longest_first():
     placed = sharding.longest_first([(7, "a"), (6, "b"), (5, "c"), (4, "d"), (3, "e"), (3, "f")], 2)
     load = [sum(s for s, n in [(7, "a"), (6, "b"), (5, "c"), (4, "d"), (3, "e"), (3, "f")] if placed[n] == k) for k in (0, 1)]
