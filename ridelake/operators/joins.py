@@ -31,11 +31,12 @@ def _hinted(dim: DataFrame, strategy: str) -> DataFrame:
 
 
 def _spread(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-            guard: Column | None, name: str) -> tuple[DataFrame, DataFrame, Column]:
-    """Both sides with a struct join key ``name`` + l/r, and their equality.
+            guard: Column | None, name: str, spread_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, Column, list[str]]:
+    """Both sides with join keys, their equality, and the names of the key columns.
 
     Rows that can never match (NULL key or guard false) get a NULL key plus a
-    salt spreading them over ``SALT_BUCKETS`` partitions; matchable rows use
+    salt (a hash of ``spread_by``, all columns unless given, taken of those rows only)
+    spreading them over ``SALT_BUCKETS`` partitions; matchable rows use
     salt 0, which is the only salt on the dimension side. A *matchable* hot
     key (one station with a large share of trips) is split at runtime by
     AQE's skew-join handling (``spark.sql.adaptive.skewJoin.enabled``, set
@@ -46,30 +47,34 @@ def _spread(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     for lk, _ in on:
         can = can & F.col(lk).isNotNull()
     can = F.coalesce(can, F.lit(False))
-    salt = F.when(can, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALT_BUCKETS)) + 1)
-    # the salt travels inside a struct join key: a bare "salt = 0" condition
-    # against a constant would be folded into a residual filter and drop out
-    # of the hash partitioning
-    lkey = F.struct(*[F.when(can, F.col(lk)).alias(f"k{i}") for i, (lk, _) in enumerate(on)],
-                    salt.alias("s"))
-    rkey = F.struct(*[F.col(rk).alias(f"k{i}") for i, (_, rk) in enumerate(on)],
-                    F.lit(0).cast("long").alias("s"))
-    l2, r2 = left.withColumn(name + "l", lkey), right.withColumn(name + "r", rkey)
-    return l2, r2, l2[name + "l"] == r2[name + "r"]
+    salt = F.when(can, F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in spread_by or left.columns]), F.lit(SALT_BUCKETS)) + 1)
+    # the dimension's salt is always 0, but not a constant: "salt = 0" would be
+    # folded into a residual filter and drop out of the hash partitioning
+    zero = F.pmod(F.xxhash64(on[0][1]), F.lit(1).cast("long"))
+    l2, r2, names, same = left, right, [name + "ls", name + "rs"], None
+    for i, (lk, rk) in enumerate(on):
+        ln, rn = f"{name}l{i}", f"{name}r{i}"
+        l2, r2 = l2.withColumn(ln, F.when(can, F.col(lk))), r2.withColumn(rn, F.col(rk))
+        names += [ln, rn]
+    l2, r2 = l2.withColumn(name + "ls", salt), r2.withColumn(name + "rs", zero)
+    for i in range(len(on)):
+        own = l2[f"{name}l{i}"] == r2[f"{name}r{i}"]
+        same = own if same is None else same & own
+    return l2, r2, same & (l2[name + "ls"] == r2[name + "rs"]), names
 
 
 def lookup(left: DataFrame, dim: DataFrame, on: Mapping[str, str],
            take: Mapping[str, str], guard: Column | None = None,
-           strategy: str = "auto", prefix: str = "__d_") -> DataFrame:
+           strategy: str = "auto", prefix: str = "__d_", spread_by: Sequence[str] = ()) -> DataFrame:
     """LEFT lookup of ``take`` columns (dim column -> output name) on
     ``left[k] = dim[v]`` for each ``k: v`` in ``on``; ``guard`` (a predicate on
     the left row) restricts which rows may match at all."""
     right = dim.selectExpr(*[f"`{v}` AS `{prefix}k_{v}`" for v in on.values()],
                            *[f"`{src}` AS `{dst}`" for src, dst in take.items()])
-    l2, r2, same = _spread(left, right, [(k, f"{prefix}k_{v}") for k, v in on.items()], guard, prefix + "key_")
+    l2, r2, same, names = _spread(left, right, [(k, f"{prefix}k_{v}") for k, v in on.items()], guard, prefix + "key_", spread_by)
     out = l2.join(_hinted(r2, strategy), same, "left")
-    return out.drop(*[f"{prefix}k_{v}" for v in on.values()], prefix + "key_l", prefix + "key_r")
+    return out.drop(*[f"{prefix}k_{v}" for v in on.values()], *names)
 
 
 def current_versions(dim: DataFrame, columns: Sequence[str],
@@ -112,7 +117,7 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
         take = {"short_name": f"__{end}_m_code", "station_name": f"__{end}_m_name",
                 "lat": f"__{end}_m_lat", "lon": f"__{end}_m_lon"}
         out = lookup(out, table, {f"__{end}_lk": "__lk"}, take, strategy=strategy,
-                     prefix=f"__{end}_")
+                     prefix=f"__{end}_", spread_by=[c for c in ("ride_id",) if c in trips.columns])
         for own, suffix in ((f"{end}_station_id", "code"), (f"{end}_station_name", "name"),
                             (f"{end}_lat", "lat"), (f"{end}_lng", "lon")):
             fills[own] = f"coalesce(`{own}`, `__{end}_m_{suffix}`) AS `{own}`"
@@ -122,7 +127,8 @@ def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                  ts: str, take: Mapping[str, str], valid_from: str = "valid_from",
                  valid_to: str = "valid_to", strategy: str = "auto",
-                 time_bucket: str | None = None, span: DataFrame | None = None) -> DataFrame:
+                 time_bucket: str | None = None, span: DataFrame | None = None,
+                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """Point-in-time LEFT join: the dimension version whose half-open validity
     ``[valid_from, valid_to)`` contains the fact's ``ts`` (a boundary instant
     matches exactly one version).
@@ -133,16 +139,16 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     *within the facts' time span*, so a fact only meets the versions of its own
     bucket instead of a key's whole history. The span is a scalar subquery, part
     of the one plan; ``span`` names a cheaper frame with a ``ts`` column to take
-    it from (the raw scan), which must cover the facts.
+    it from (the raw scan), which must cover the facts (for "sorted": their keys too).
 
     ``strategy="sorted"`` takes the sort-based as-of join
     (:mod:`ridelake.operators.asof`) instead, for keys with very many versions
     inside one bucket. All plans give the same rows.
     """
     from ridelake.operators.asof import asof_join_sorted, one_line
-    dim = one_line(dim, dim_key, valid_from, valid_to)  # all plans below see the same line
+    dim = one_line(dim, dim_key, valid_from, valid_to, tiebreak)  # all plans below see the same line
     if strategy == "sorted":
-        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to)
+        return asof_join_sorted(facts, dim, fact_key, ts, dim_key, take, valid_from, valid_to, span)
     right = dim.select(F.col(dim_key).alias("__pit_k"), F.col(valid_from).alias("__pit_from"),
                        F.col(valid_to).alias("__pit_to"),
                        *[F.col(s).alias(d) for s, d in take.items()])
@@ -161,10 +167,10 @@ def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
         right = bounded.withColumn("__pit_b", F.explode(F.sequence(first, last, step))).drop("__lo", "__hi")
         left = facts.withColumn("__pit_fb", bucket(F.col(ts)))
         on = [*on, ("__pit_fb", "__pit_b")]
-    l2, r2, same = _spread(left, right, on, F.col(ts).isNotNull(), "__pit_key_")
+    l2, r2, same, names = _spread(left, right, on, F.col(ts).isNotNull(), "__pit_key_")
     inside = (l2[ts] >= r2["__pit_from"]) & (l2[ts] < r2["__pit_to"])
     return l2.join(_hinted(r2, strategy), same & inside, "left").drop(
-        "__pit_k", "__pit_from", "__pit_to", "__pit_b", "__pit_fb", "__pit_key_l", "__pit_key_r")
+        "__pit_k", "__pit_from", "__pit_to", "__pit_b", "__pit_fb", *names)
 
 
 def orphans(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:

@@ -113,15 +113,12 @@ def _versions_chunked(base: DataFrame, key: str, tracked: Sequence[str], valid_f
     return ver.select(*base.columns, valid_to.alias("__valid_to"))
 
 
-ROW_BYTES = 16
-
-
 def _may_be_hot(base: DataFrame, hot_key_rows: int) -> bool:
-    """False when the planner's size estimate of the whole history leaves no
-    room for more than ``hot_key_rows`` rows, so that no key needs counting
-    (both plans give the same rows)."""
+    """False when the whole history has no more than ``hot_key_rows`` rows, so that no key
+    needs counting by itself (both plans give the same rows). The rows are counted
+    without reading a column; a history of fewer bytes than that isn't even counted."""
     size = base._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) // ROW_BYTES > hot_key_rows
+    return int(str(size)) > hot_key_rows and base.count() > hot_key_rows
 
 
 def _hot_stats(hot_counts: DataFrame) -> tuple[int, int]:
@@ -130,6 +127,38 @@ def _hot_stats(hot_counts: DataFrame) -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
+def with_order(snapshots: DataFrame, ts: str, valid_from: str, tiebreak: Sequence[str] | None = None
+               ) -> tuple[DataFrame, list[Column]]:
+    """The snapshots with ``ts`` named ``valid_from`` and a final tiebreak ``__tb``, and
+    the order of a key's snapshots. The tiebreak is a real column, so lag and lead see
+    the same sort key and Spark sorts once for both windows."""
+    renamed = snapshots.withColumnRenamed(ts, valid_from)
+    base = renamed.withColumn(
+        "__tb", F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in renamed.columns) + ")"))
+    return base, [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])] + [F.col("__tb")]
+
+
+def versions_of(base: DataFrame, key: str, tracked: Sequence[str], valid_from: str, order: list[Column],
+                hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS, max_chunks: int | None = None) -> DataFrame:
+    """The rows of ``base`` that open a version, with ``__valid_to`` (NULL: open)."""
+    if hot_key_rows is None or not _may_be_hot(base, hot_key_rows):
+        return _versions_one_window(base, key, tracked, valid_from, order)
+    counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot_counts = counts.filter(F.col("__n") > hot_key_rows)
+    n_hot, hot_rows = _hot_stats(hot_counts)
+    if n_hot == 0:
+        return _versions_one_window(base, key, tracked, valid_from, order)
+    hot = hot_counts.select(F.col(key).alias("__hk"))
+    is_hot = base[key].eqNullSafe(hot["__hk"])  # a NULL key can be hot too
+    n_chunks = int(max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1))
+    n_chunks = n_chunks if max_chunks is None else min(max_chunks, n_chunks)
+    cold = _versions_one_window(base.join(hot, is_hot, "left_anti"), key, tracked,
+                                valid_from, order)
+    hot_v = _versions_chunked(base.join(hot, is_hot, "left_semi"), key, tracked,
+                              valid_from, order, n_chunks)
+    return cold.unionByName(hot_v)
+
+
 def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
          valid_from: str = "valid_from", sk_name: str = "sk",
          tiebreak: Sequence[str] | None = None,
@@ -141,33 +170,10 @@ def scd2(snapshots: DataFrame, key: str, tracked: Sequence[str], ts: str,
     use when the history per key is known to be small). Otherwise keys with
     more snapshots than that are split as described in the module doc into
     about hot_rows / hot_key_rows chunks (at most ``max_chunks``, where given).
-    Detection runs one aggregate job when called, but only for a history whose
-    estimated size leaves room for a hot key; when no key is hot the plan is
-    exactly the single-window one.
+    Detection counts the rows, and the rows by key only where there are more than that;
+    when no key is hot the plan is exactly the single-window one.
     """
     payload = [c for c in snapshots.columns if c != ts]
-    renamed = snapshots.withColumnRenamed(ts, valid_from)
-    # the final tiebreak is a real column, so lag and lead see the same sort
-    # key and Spark sorts once for both windows
-    base = renamed.withColumn(
-        "__tb", F.expr("xxhash64(" + ", ".join(f"`{c}`" for c in renamed.columns) + ")"))
-    order = [F.col(valid_from)] + [F.col(c) for c in (tiebreak or [])] + [F.col("__tb")]
-    if hot_key_rows is None or not _may_be_hot(base, hot_key_rows):
-        versions = _versions_one_window(base, key, tracked, valid_from, order)
-    else:
-        counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        hot_counts = counts.filter(F.col("__n") > hot_key_rows)
-        n_hot, hot_rows = _hot_stats(hot_counts)
-        if n_hot == 0:
-            versions = _versions_one_window(base, key, tracked, valid_from, order)
-        else:
-            hot = hot_counts.select(F.col(key).alias("__hk"))
-            is_hot = base[key].eqNullSafe(hot["__hk"])  # a NULL key can be hot too
-            n_chunks = int(max(2, -(-hot_rows // max(hot_key_rows, 1)) + 1))
-            n_chunks = n_chunks if max_chunks is None else min(max_chunks, n_chunks)
-            cold = _versions_one_window(base.join(hot, is_hot, "left_anti"), key, tracked,
-                                        valid_from, order)
-            hot_v = _versions_chunked(base.join(hot, is_hot, "left_semi"), key, tracked,
-                                      valid_from, order, n_chunks)
-            versions = cold.unionByName(hot_v)
+    base, order = with_order(snapshots, ts, valid_from, tiebreak)
+    versions = versions_of(base, key, tracked, valid_from, order, hot_key_rows, max_chunks)
     return finish_versions(versions, key, valid_from, sk_name, payload)

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.functions import scalars as S
 from ridelake.operators.joins import fanout_keys
 from ridelake.operators.quality import ModelChecks, accepted_values, run_model_checks
 from ridelake.operators.rollup import cardinality, duplicates
+from ridelake.plans import jobs as J
 from ridelake.plans import models as M
 from ridelake.plans import oracle as O
 from ridelake.plans.checks import TRIP_KEY, model_checks
@@ -22,7 +23,8 @@ from ridelake.session import scratch_path
 from ridelake.sinks.writers import add_run_timestamp, as_view, materialize_table
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
-from ridelake.sources.files import parse_status_messages, read_multi_part_csv, split_malformed
+from ridelake.sources.files import (parse_status_messages, read_multi_part_csv, read_station_snapshot_json, read_trip_months,
+                                    split_malformed)
 
 LOADED_AT = "2024-02-01 00:00:00"
 
@@ -135,6 +137,64 @@ def session_view(t: Tables) -> DataFrame:
     return t.spark.sql("SELECT run_at, member_casual, count(*) AS n FROM ridelake_run_trips GROUP BY ALL")
 
 
+def padded_names(t: Tables) -> DataFrame:
+    """Trip files whose station names are padded with blanks, read and typed."""
+    root = scratch_path(t.spark, "landing", "padded")
+    pad = lambda c: F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias(c)
+    names = ("start_station_name", "end_station_name")
+    (L.trip_csv_columns(t.trips_raw).withColumns({c: pad(c) for c in names}).write.partitionBy("month")
+     .option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(root))
+    raw = read_trip_months(t.spark, root)
+    typed = M.transform_trips(raw, F.col("month"), LOADED_AT)
+    counts = typed.groupBy("source_month", *names).agg(F.count(F.lit(1)).alias("n_rows"))
+    padded = raw.agg(F.count_if(F.col("start_station_name").startswith("  ")).alias("n_padded")).scalar()
+    return counts.withColumn("n_padded", padded)
+
+
+def flag_ranks(t: Tables) -> DataFrame:
+    """The quality flags in the order of their distribution, with their places in it."""
+    found = M.flag_distribution(t.trips_enriched)
+    # a row for each flag: a handful
+    return found.withColumn("place", F.row_number().over(Window.orderBy(F.desc("trip_count"), "data_quality_flag")).cast("long"))
+
+
+def chosen_days(t: Tables) -> DataFrame:
+    """Every third day of a loaded table, by its folders: the scan has the days as partition filters."""
+    warehouse = scratch_path(t.spark, "days")
+    days = J.load_trips_raw(t.trips_raw, warehouse, mode="overwrite_days")
+    chosen = [d for d in days if int(d) % 3 == 0]
+    read = J.read_bronze_trips(t.spark, warehouse, chosen)
+    pruned = "PartitionFilters: [date_str" in read._jdf.queryExecution().executedPlan().toString()
+    return read.groupBy("date_str").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("pruned", F.lit(pruned))
+
+
+def run_instant(t: Tables) -> DataFrame:
+    """The run's instant on every row: one value, and later than all documents."""
+    stamped = add_run_timestamp(t.stg_status, "run_at")
+    return stamped.agg(F.count_distinct("run_at").alias("n_instants"), F.count(F.lit(1)).alias("n_rows"),
+                       F.count_if(F.col("run_at") > F.col("feed_last_updated")).alias("n_later"),
+                       (F.max("run_at") <= S.utc_now() + F.expr("INTERVAL 1 SECOND")).alias("not_ahead"))
+
+
+def stations_over_lines(t: Tables) -> DataFrame:
+    """Station documents of many lines each, several to a file: a thousand orders a document, fifty
+    documents a file."""
+    root = scratch_path(t.spark, "landing", "stations")
+    numbered = A.station_snapshots_from_orders(A.table(t.spark, t.sf_dir, "orders"), ("o_orderkey",))
+    st = F.struct("station_id", F.concat(F.lit(" "), F.col("station_name")).alias("name"), "short_name", F.col("lon").cast("string").alias("lon"),
+                  F.col("lat").cast("string").alias("lat"), "region_id", F.col("capacity").cast("string").alias("capacity"))
+    docs = numbered.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("doc")).agg(
+        F.max(S.ts_to_epoch_seconds("extracted_at")).alias("last_updated"), F.collect_list(st).alias("stations"))
+    texts = docs.select(F.to_json(F.struct("last_updated", F.struct("stations").alias("data")), {"pretty": "true"}).alias("value"),
+                        F.floor(F.col("doc") / 50).alias("file"))
+    files = texts.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
+    last = files.agg(F.coalesce(F.max("file"), F.lit(0))).first()[0]
+    files.repartitionById(int(last) + 1, F.col("file").cast("int")).select("value").write.text(root)
+    read = M.transform_stations(read_station_snapshot_json(t.spark, root), extracted_at="document")
+    return read.select("station_id", "station_name", "short_name", "lon", "lat", "region_id", F.col("capacity").cast("double").alias("capacity"), "extracted_at")
+
+
 _SECOND = "date_trunc('second', ts)"
 
 FOUND = {
@@ -152,6 +212,19 @@ UNION ALL SELECT 'documents set apart', count(DISTINCT event_id // 100) FROM eve
     "multi_part_csv": (multi_part_csv, O.CSV_TRIPS),
     "rebuilt_table": (rebuilt_table, O.with_(*O.TRIPS_CHAIN)
                       + "SELECT started_date, count(*) AS n_rows FROM int_trips GROUP BY started_date"),
+    "padded_names": (padded_names, O.with_(O.TRIP_ROWS, O.TRIPS_RAW) + """
+SELECT source_month, start_station_name, end_station_name, count(*) AS n_rows,
+  (SELECT count(start_station_name) FROM trips_raw) AS n_padded FROM trips_raw GROUP BY 1, 2, 3"""),
+    "flag_ranks": (flag_ranks, O.with_(*O.ENRICHED_CHAIN) + """
+SELECT data_quality_flag, count(*) AS trip_count, round(count(*) * 100.0e0 / sum(count(*)) OVER (), 2) AS pct_of_total,
+  row_number() OVER (ORDER BY count(*) DESC, data_quality_flag) AS place FROM trips_enriched GROUP BY data_quality_flag"""),
+    "chosen_days": (chosen_days, O.with_(O.TRIP_ROWS, O.TRIPS_RAW) + """
+SELECT strftime(started_at, '%Y%m%d') AS date_str, count(*) AS n_rows, true AS pruned FROM trips_raw
+WHERE CAST(strftime(started_at, '%Y%m%d') AS INTEGER) % 3 = 0 GROUP BY 1"""),
+    "run_instant": (run_instant, """SELECT 1 AS n_instants, count(*) AS n_rows, count(*) AS n_later, true AS not_ahead FROM events"""),
+    "stations_over_lines": (stations_over_lines, O.with_(O.SNAPSHOTS.replace("SELECT 'uuid-'", "SELECT o_orderkey, 'uuid-'")) + """
+SELECT station_id, station_name, short_name, lon, lat, region_id, CAST(capacity AS DOUBLE) AS capacity,
+  max(extracted_at) OVER (PARTITION BY o_orderkey // 1000) AS extracted_at FROM snapshots"""),
     "session_view": (session_view, O.with_(*O.TRIPS_CHAIN) + f"""SELECT TIMESTAMP '{LOADED_AT}' AS run_at, member_casual,
   count(*) AS n FROM int_trips GROUP BY member_casual"""),
 }

@@ -1,11 +1,11 @@
-"""Layered batch jobs: ingest -> staging -> intermediate -> warehouse, each
-layer checked before the next one is built.
-
-Every materialized layer is written as a table under ``warehouse`` and read
-back by the next layer, which cuts the lineage (a lost executor recomputes
-from the last written layer, never from the raw files) and lets each layer's
-checks scan the table instead of recomputing the chain. Only the check
-results (one small row per check) reach the driver.
+"""Layered batch jobs: ingest -> staging -> intermediate -> warehouse: write, check, publish.
+
+Every materialized layer is written to a staging folder, its checks scan that table,
+and only when they pass is it renamed into its place under ``warehouse``; a table that
+fails stays staged for inspection, readers keep the former one and no later layer
+is built. The next layer reads the published table, which cuts the lineage (a lost
+executor recomputes from the last written layer, never from the raw files).
+Only the check results (one small row per check) reach the driver.
 """
 
 from __future__ import annotations
@@ -16,16 +16,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.quality import ERROR, RESULT_SCHEMA, run_model_checks
+from ridelake.operators.quality import ERROR, RESULT_SCHEMA, QualityGateError, gate, run_model_checks
 from ridelake.functions.scalars import day_key
 from ridelake.plans import models as M
 from ridelake.plans.checks import model_checks
 from ridelake.schemas import TRIPS_BRONZE
-from ridelake.session import path_exists, scratch_path
-from ridelake.sinks.writers import (append_snapshot, materialize_table, write_day_partitioned)
+from ridelake.session import list_names, path_exists, remove_path, scratch_path
+from ridelake.sinks.writers import append_snapshot, materialize_table, promote, write_day_partitioned
 from ridelake.sources.files import read_station_snapshot_json, read_table, read_trip_months
 
 BRONZE, STAGING, SILVER, GOLD, QUARANTINE = "bronze", "staging", "intermediate", "warehouse", "quarantine"
+STAGED = "_staged"
 TRIP_CLUSTER = ["start_station_id", "member_casual"]
 
 
@@ -49,25 +50,42 @@ class RunReport:
 
 def _check(report: RunReport, df: DataFrame, model: str, parents: dict[str, DataFrame],
            on_error: str) -> bool:
-    """Run the model's checks; return False when the run must stop.
+    """Run the model's checks and its gate; return False when the run must stop.
     The results are one small row per check, so they are collected once and
     kept as a tiny local frame."""
     res = run_model_checks(df, model_checks()[model], parents)
     if res is None:
         return True
     rows = res.collect()
-    report.results.append(df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
+    local = df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+    report.results.append(local)
     failing = [r.asDict() for r in rows if r["failures"] > 0]
     report.warnings += [r for r in failing if r["severity"] != ERROR]
-    errors = [r for r in failing if r["severity"] == ERROR]
-    if errors:
-        report.errors += errors
+    report.errors += [r for r in failing if r["severity"] == ERROR]
+    try:
+        gate(local)
+    except QualityGateError:
         if on_error == "stop":
             report.stopped_at = model
             return False
     return True
 
 
+def _publish(report: RunReport, df: DataFrame, warehouse: str, layer: str, name: str, parents: dict[str, DataFrame],
+             on_error: str, days: list[str] | None = None, day_col: str | None = None, **layout_options) -> DataFrame | None:
+    """Write a layer aside, check it there, and put it in place; None if its gate stops the run.
+    ``days`` (yyyyMMdd): the table holds only those, and only those are replaced."""
+    spark = df.sparkSession
+    staged, target = f"{warehouse}/{STAGED}/{layer}/{name}", f"{warehouse}/{layer}/{name}"
+    remove_path(spark, staged)
+    materialize_table(df, staged, day_col, **layout_options)
+    # the layer's own columns, so that an empty table and its day folders read back alike
+    if not _check(report, spark.read.schema(df.schema).parquet(staged), name, parents, on_error):
+        return None
+    promote(spark, staged, target, day_col, None if days is None else [_iso(d) for d in days])
+    return _day_slice(spark.read.schema(df.schema).parquet(target), days)
+
+
 def _days(df: DataFrame) -> list[str]:
     """Day keys present in a load (one small distinct; at most one row per
     day reaches the driver)."""
@@ -95,7 +113,60 @@ def load_trip_files(spark: SparkSession, landing_root: str, warehouse: str,
     rejects = (rejects.mode("append") if mode == "append"
                else rejects.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
     rejects.parquet(f"{warehouse}/{QUARANTINE}/trips_raw")
-    return _days(ok)
+    # one short row a delivery and day
+    pairs = {(r[0], r[1]) for r in ok.select("source_month", "date_str").distinct().collect()}
+    if mode == "overwrite_days":  # days that a delivery brought before and no longer has
+        bronze = f"{warehouse}/{BRONZE}/trips_raw"
+        for month in {m for m, _ in pairs} | set(months or ()):
+            for folder in list_names(spark, f"{bronze}/source_month={month}"):
+                if folder.startswith("date_str=") and (month, folder.split("=")[1]) not in pairs:
+                    remove_path(spark, f"{bronze}/source_month={month}/{folder}")
+    return sorted({d for _, d in pairs if d is not None})
+
+
+MANIFEST = "manifest"
+ENTRY = "path string, length long, modified timestamp, delivery string"
+
+
+def landed_files(spark: SparkSession, landing_root: str) -> DataFrame:
+    """(path, length, modified, delivery) of the trip files under ``landing_root``; only listed."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+             .load(landing_root).select("path", "length", F.col("modificationTime").alias("modified")))
+    return files.filter(~F.col("path").contains("/__MACOSX/")).withColumn(
+        "delivery", F.regexp_extract("path", r"month=([0-9]{6})", 1))
+
+
+def loaded_files(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The files that are loaded, with the run that loaded them: a delivery's newest run counts."""
+    path = f"{warehouse}/{MANIFEST}/trips_raw"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ENTRY + ", run int")
+    found = spark.read.schema(ENTRY + ", run int").parquet(path)
+    newest = found.groupBy("delivery").agg(F.max("run").alias("run"))
+    return found.join(newest, ["delivery", "run"], "left_semi")
+
+
+def load_new_deliveries(spark: SparkSession, landing_root: str, warehouse: str,
+                        ingestion_at: datetime | str | None = None) -> list[str]:
+    """Load the deliveries of which a file is new, changed (by size or time) or gone since they
+    were loaded, whole; returns them. The manifest is written after the rows, so a
+    run that fails is repeated, and a reload replaces what the delivery brought before."""
+    landed, loaded = landed_files(spark, landing_root), loaded_files(spark, warehouse)
+    same = ["path", "length", "modified", "delivery"]
+    new = landed.join(loaded, same, "left_anti").select("delivery")
+    gone = loaded.join(landed, same, "left_anti").select("delivery")
+    present = landed.select("delivery").distinct()
+    # one short row a delivery
+    due = sorted(r[0] for r in new.unionByName(gone.join(present, "delivery", "left_semi")).distinct().collect())
+    if not due:
+        return []
+    runs = [int(n.split("=")[1]) for n in list_names(spark, f"{warehouse}/{MANIFEST}/trips_raw") if n.startswith("run=")]
+    run = max(runs, default=-1) + 1
+    scratch = scratch_path(spark, "manifest")
+    landed.filter(F.col("delivery").isin(due)).write.parquet(scratch)  # as listed before the load, whatever lands meanwhile
+    load_trip_files(spark, landing_root, warehouse, due, ingestion_at, mode="overwrite_days")
+    spark.read.schema(ENTRY).parquet(scratch).write.mode("overwrite").parquet(f"{warehouse}/{MANIFEST}/trips_raw/run={run}")
+    return due
 
 
 def load_trips_raw(df: DataFrame, warehouse: str, mode: str = "append") -> list[str]:
@@ -130,9 +201,7 @@ def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "s
     stg = M.stg_stations(snaps)
     if not _check(report, stg, "stg_stations", {}, on_error):
         return report
-    materialize_table(M.dim_station(stg), f"{warehouse}/{GOLD}/dim_station")
-    dim = read_table(spark, warehouse, GOLD, "dim_station")
-    _check(report, dim, "dim_station", {}, on_error)
+    _publish(report, M.dim_station(stg), warehouse, GOLD, "dim_station", {}, on_error)
     return report
 
 
@@ -149,33 +218,25 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     day folders are read and only those output day folders are replaced (or
     removed, where a day has no rows any more)."""
     report = report or RunReport()
-    dates = None if days is None else [_iso(d) for d in days]
+    laid = {"day_col": "started_date", "cluster_cols": TRIP_CLUSTER, "days": days}
     # the priority dedup is the one full shuffle of the trip history: run it
     # once, write the staging model as a day-partitioned table, and let its
     # checks and the next layer read that table
-    deduped = M.stg_trips(read_bronze_trips(spark, warehouse, days))
-    materialize_table(deduped.withColumn("started_date", F.to_date("started_at")),
-                      f"{warehouse}/{STAGING}/stg_trips", "started_date", TRIP_CLUSTER,
-                      days=dates)
-    stg = _day_slice(read_table(spark, warehouse, STAGING, "stg_trips"), days).drop("started_date")
-    if not _check(report, stg, "stg_trips", {}, on_error):
+    deduped = M.stg_trips(read_bronze_trips(spark, warehouse, days)).withColumn("started_date", F.to_date("started_at"))
+    stg = _publish(report, deduped, warehouse, STAGING, "stg_trips", {}, on_error, **laid)
+    if stg is None:
         return report
     # a projection of the table just laid out: written as it lies
-    materialize_table(M.int_trips(stg), f"{warehouse}/{SILVER}/int_trips", "started_date",
-                      TRIP_CLUSTER, days=dates, laid_out=True)
-    it = _day_slice(read_table(spark, warehouse, SILVER, "int_trips"), days)
-    if not _check(report, it, "int_trips", {}, on_error):
+    trips = M.int_trips(stg.drop("started_date"))
+    it = _publish(report, trips, warehouse, SILVER, "int_trips", {}, on_error, laid_out=True, **laid)
+    if it is None:
         return report
     dim = read_table(spark, warehouse, GOLD, "dim_station")
-    materialize_table(M.trips_enriched(it, dim, strategy), f"{warehouse}/{GOLD}/trips_enriched",
-                      "started_date", TRIP_CLUSTER, days=dates)
-    enr = _day_slice(read_table(spark, warehouse, GOLD, "trips_enriched"), days)
-    if not _check(report, enr, "trips_enriched", {"dim_station": dim}, on_error):
+    enriched = M.trips_enriched(it, dim, strategy)
+    enr = _publish(report, enriched, warehouse, GOLD, "trips_enriched", {"dim_station": dim}, on_error, **laid)
+    if enr is None:
         return report
-    materialize_table(M.hourly_traffic(enr), f"{warehouse}/{GOLD}/hourly_traffic", "started_date",
-                      TRIP_CLUSTER, days=dates)
-    hourly = _day_slice(read_table(spark, warehouse, GOLD, "hourly_traffic"), days)
-    _check(report, hourly, "hourly_traffic", {"dim_station": dim}, on_error)
+    _publish(report, M.hourly_traffic(enr), warehouse, GOLD, "hourly_traffic", {"dim_station": dim}, on_error, **laid)
     return report
 
 
@@ -201,15 +262,13 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
     if not _check(report, stg, "stg_status", {}, on_error):
         return report
     dim = read_table(spark, warehouse, GOLD, "dim_station")
-    materialize_table(M.status_current(stg, dim, strategy), f"{warehouse}/{GOLD}/status_current")
-    cur = read_table(spark, warehouse, GOLD, "status_current")
-    if not _check(report, cur, "status_current", {"dim_station": dim}, on_error):
+    cur = _publish(report, M.status_current(stg, dim, strategy), warehouse, GOLD, "status_current",
+                   {"dim_station": dim}, on_error)
+    if cur is None:
         return report
     hourly = read_table(spark, warehouse, GOLD, "hourly_traffic")
-    materialize_table(M.demand_vs_supply(cur, hourly, dim, as_of, strategy, tz),
-                      f"{warehouse}/{GOLD}/demand_vs_supply")
-    dvs = read_table(spark, warehouse, GOLD, "demand_vs_supply")
-    _check(report, dvs, "demand_vs_supply", {}, on_error)
+    _publish(report, M.demand_vs_supply(cur, hourly, dim, as_of, strategy, tz), warehouse, GOLD, "demand_vs_supply",
+             {}, on_error)
     return report
 
 

@@ -10,6 +10,7 @@ whole plan and prunes/pushes across layers):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -93,6 +94,26 @@ def transform_stations(raw: DataFrame, extracted_at=None) -> DataFrame:
     )
 
 
+def flatten_open_status(docs: DataFrame, known: Sequence[str]) -> DataFrame:
+    """One row per station of VARIANT documents (``doc``): the ``known`` fields by their names, as
+    whole numbers (flags true and false as 1 and 0), and every other field of the station
+    as one JSON text ``extras`` (NULL without any), so that a feed version with new
+    fields loses nothing."""
+    station = docs.select(
+        F.try_variant_get("doc", "$.last_updated", "bigint").alias("feed_last_updated"),
+        F.explode(F.try_variant_get("doc", "$.data.stations", "array<variant>")).alias("s"))
+
+    def number(c: str) -> Column:
+        as_flag = F.try_variant_get("s", f"$.{c}", "boolean").cast("bigint")
+        return F.coalesce(F.try_variant_get("s", f"$.{c}", "bigint"), as_flag).alias(c)
+
+    fields = F.from_json(F.to_json("s"), "map<string,string>")
+    extras = F.map_filter(fields, lambda k, v: ~k.isin("station_id", *known))
+    return station.select("feed_last_updated", F.try_variant_get("s", "$.station_id", "string").alias("station_id"),
+                          *[number(c) for c in known],
+                          F.when(F.size(extras) > 0, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(extras))))).alias("extras"))
+
+
 def flatten_status(raw: DataFrame, ingestion_at=None) -> DataFrame:
     """One row per station per status document; works unchanged on a
     streaming DataFrame (stateless: explode + projection)."""
@@ -208,7 +229,8 @@ def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") ->
 
 def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
                         ts: str = "started_at", strategy: str = "auto",
-                        time_bucket: str | None = "month", span: DataFrame | None = None) -> DataFrame:
+                        time_bucket: str | None = "month", span: DataFrame | None = None,
+                        tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """Point-in-time variant: attach the station version that was valid at
     the trip's start (by station code). ``span``: raw trips, from whose times
     the months to cover are taken."""
@@ -216,7 +238,7 @@ def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
             "lat": f"{end}_version_lat", "lon": f"{end}_version_lng",
             "valid_from": f"{end}_version_valid_from"}
     return enrich_as_of(trips, dim, f"{end}_station_id", "short_name", ts, take,
-                        strategy=strategy, time_bucket=time_bucket, span=span)
+                        strategy=strategy, time_bucket=time_bucket, span=span, tiebreak=tiebreak)
 
 
 def hourly_traffic(enriched: DataFrame) -> DataFrame:

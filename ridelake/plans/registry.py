@@ -17,7 +17,7 @@ from ridelake.operators.dedup import latest_per_key
 from ridelake.operators.joins import fanout_keys
 from ridelake.operators.quality import only, run_model_checks, summarize
 from ridelake.operators.rollup import distinct_values
-from ridelake.plans import faults
+from ridelake.plans import faults, growth, streams
 from ridelake.plans import jobs as J
 from ridelake.plans import models as M
 from ridelake.plans import oracle as O
@@ -147,7 +147,7 @@ def q_enrich_as_of(t: Tables) -> DataFrame:
 def q_enrich_as_of_sorted(t: Tables) -> DataFrame:
     """Same point-in-time join through the sort-based, skew-safe as-of plan
     (what large version histories use)."""
-    pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy="sorted")
+    pit = M.trips_station_as_of(t.int_trips, t.dim_station, strategy="sorted", span=t.trips_raw)
     return pit.select("ride_id", "started_at", "ended_at", "start_station_id", "start_station_sk",
                       "start_version_name", "start_version_lat", "start_version_lng",
                       "start_version_valid_from")
@@ -403,7 +403,7 @@ def q_layered_run(t: Tables) -> DataFrame:
     return report.all_results()
 
 
-for _name, (_fn, _sql) in faults.FOUND.items():
+for _name, (_fn, _sql) in (faults.FOUND | growth.FOUND | streams.FOUND).items():
     register(_name, _sql)(_fn)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -151,6 +152,41 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder (its parent is made); fails if ``target`` is there."""
+    fs, src = _file_system(spark, source)
+    _, dst = _file_system(spark, target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, there as a whole or not at all (written aside, then renamed)."""
+    fs, target = _file_system(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(aside, target):
+        fs.delete(aside, False)
+        raise OSError(f"could not put {path} in place")
+
+
+def order_files(spark: SparkSession, path: str) -> int:
+    """Give the files below ``path`` modification times a second apart, in the order of their
+    names, so that a file stream takes them in that order; returns their number."""
+    fs, p = _file_system(spark, path)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", ".")))
+    newest = int(time.time()) - 1
+    for i, name in enumerate(names):
+        at = (newest - len(names) + i) * 1000
+        fs.setTimes(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name), at, at)
+    return len(names)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint root (never a local tmp dir
     when the cluster names one)."""

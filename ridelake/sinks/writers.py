@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.functions.scalars import ntz_literal, utc_now
-from ridelake.session import list_names, path_exists, remove_path
+from ridelake.session import list_names, move_path, path_exists, remove_path
 
 
 def add_run_timestamp(df: DataFrame, col: str, ts: datetime | str | None = None) -> DataFrame:
@@ -106,14 +106,21 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{root}/{n}/_SUCCESS"))
 
 
-def publish_version(df: DataFrame, root: str) -> None:
-    """Write ``df`` as the next version of the table at ``root``. Readers
+def published_version(spark: SparkSession, root: str) -> int | None:
+    """The number of the newest complete version of a table, None before the first."""
+    done = _versions(spark, root)
+    return done[-1] if done else None
+
+
+def publish_version(df: DataFrame, root: str, number: int | None = None) -> None:
+    """Write ``df`` as the next version (or as version ``number``) of the table at ``root``. Readers
     (:func:`read_version`) see the version before until this one is complete, and
     a failed write leaves that one in place. The last two versions are kept, so
     a reader that has just chosen the older one can finish."""
     spark = df.sparkSession
     done = _versions(spark, root)
-    df.write.mode("overwrite").parquet(f"{root}/version={done[-1] + 1 if done else 0}")
+    number = number if number is not None else done[-1] + 1 if done else 0
+    df.write.mode("overwrite").parquet(f"{root}/version={number}")
     for old in done[:-1]:
         remove_path(spark, f"{root}/version={old}")
 
@@ -126,6 +133,49 @@ def read_version(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/version={done[-1]}")
 
 
+def promote(spark: SparkSession, staged: str, target: str, day_col: str | None = None,
+            days: Sequence[str] | None = None) -> None:
+    """Put a checked table in the place of the published one, by renames. With ``days`` only
+    those day folders are replaced (or, where the staged table has none, removed). What
+    was published before is moved aside first and removed last; a run that ends in
+    between is repeated from the staged table's layer."""
+    aside = f"{staged}.before"
+    remove_path(spark, aside)
+    if days is None:
+        if path_exists(spark, target):
+            move_path(spark, target, aside)
+        move_path(spark, staged, target)
+    else:
+        for day in days:
+            folder = f"{day_col}={day}"
+            if path_exists(spark, f"{target}/{folder}"):
+                move_path(spark, f"{target}/{folder}", f"{aside}/{folder}")
+            if path_exists(spark, f"{staged}/{folder}"):
+                move_path(spark, f"{staged}/{folder}", f"{target}/{folder}")
+    remove_path(spark, aside)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, by: Sequence[str], buckets: int,
+                   sort: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as table ``name`` at ``path`` in ``buckets`` buckets of the columns ``by``,
+    one file each (the rows are dealt by the same hash first). Aggregations and joins on
+    those columns, or more, then need no exchange. ``by`` should be fine enough for
+    no single value to fill a bucket."""
+    spark = df.sparkSession
+    (df.repartition(buckets, *by).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *by).sortBy(*(sort or by)).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, schema, by: Sequence[str], buckets: int,
+                  sort: Sequence[str] = ()) -> DataFrame:
+    """A table that ``write_bucketed`` has written, made known to this session's catalog."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema.fields)}) "
+              f"USING parquet LOCATION '{path}' CLUSTERED BY ({', '.join(by)}) SORTED BY ({', '.join(sort or by)}) "
+              f"INTO {buckets} BUCKETS")
+    return spark.table(name)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Lazy, session-scoped view of a model."""
     df.createOrReplaceTempView(name)

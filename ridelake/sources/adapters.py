@@ -75,10 +75,12 @@ def trips_raw_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def station_snapshots_from_orders(orders: DataFrame) -> DataFrame:
+def station_snapshots_from_orders(orders: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Station-information snapshots: one per order, the customer is the
-    station; the order date (shifted into 2020..2026) is the extraction time."""
+    station; the order date (shifted into 2020..2026) is the extraction time.
+    ``keep`` names columns of the order that stay."""
     return orders.selectExpr(
+        *keep,
         "concat('uuid-', CAST(o_custkey AS STRING)) AS station_id",
         "concat('Station ', CAST(o_custkey AS STRING)) AS station_name",
         f"{_code_sql('o_custkey')} AS short_name",

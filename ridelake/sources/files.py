@@ -60,6 +60,19 @@ def read_station_snapshot_json(spark: SparkSession, path: str, multi_line: bool
     return spark.read.schema(STATION_INFO_DOC).option("multiLine", multi_line).json(path)
 
 
+def parse_open_messages(df: DataFrame, col: str = "value") -> DataFrame:
+    """JSON payloads as VARIANT documents (``doc``): nothing that they hold is lost to a
+    schema; NULL for texts that are no JSON."""
+    return df.withColumn("doc", F.try_parse_json(F.col(col)))
+
+
+def read_open_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed JSON documents as VARIANT (``doc``), whatever their fields; with ``multi_line``
+    a file is one document, or an array of them, over any number of lines."""
+    files = spark.read.option("singleVariantColumn", "doc").option("multiLine", multi_line).json(path)
+    return files.select(F.explode(F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))).alias("doc"))
+
+
 def parse_status_messages(df: DataFrame, col: str = "value") -> DataFrame:
     """Parse JSON payload strings into the status document structure."""
     return df.select(F.from_json(F.col(col), STATUS_DOC).alias("doc")).select("doc.*")

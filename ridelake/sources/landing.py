@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.scalars import ts_to_epoch_seconds
 from ridelake.schemas import STATUS_COUNTERS
+from ridelake.session import order_files
 
 STATUS_BLOCK = 100
 STATION_BLOCK = 500
@@ -66,6 +67,13 @@ def write_json_lines(docs: DataFrame, path: str) -> None:
     docs.select("value").write.mode("overwrite").text(path)
 
 
+def land_in_order(docs: DataFrame, path: str, files: int) -> int:
+    """(value, file) rows as one text file for each ``file`` number below ``files``, with
+    modification times in the order of the numbers; returns how many files there are."""
+    docs.repartitionById(files, F.col("file").cast("int")).select("value").write.mode("overwrite").text(path)
+    return order_files(docs.sparkSession, path)
+
+
 def trip_csv_columns(trips_raw: DataFrame) -> DataFrame:
     """The published CSV columns (all text) plus the month folder."""
     cols = ["ride_id", "rideable_type", "started_at", "ended_at", "start_station_name",

@@ -129,22 +129,33 @@ def start_latest_status_stream(spark: SparkSession, landing_dir: str, target_pat
 
 def run_with_restarts(start: Callable[[], StreamingQuery], max_restarts: int = 3,
                       backoff_seconds: float = 30.0,
-                      log: Callable[[str], None] = print) -> int:
-    """Run a streaming query until it ends; when it fails, report and start
-    it again from its checkpoint (committed offsets make the restart resume
-    exactly where the failed batch began), up to ``max_restarts`` times.
-    Returns the number of restarts used."""
-    restarts = 0
+                      log: Callable[[str], None] = print, within_seconds: float = 3600.0) -> int:
+    """Run a streaming query until it ends; when it fails for a reason that may pass
+    (:func:`ridelake.streaming.report.is_transient`), report and start it again from its
+    checkpoint (committed offsets make the restart resume exactly where the failed
+    batch began). A failure that won't pass ends the run, and so do more than
+    ``max_restarts`` restarts within ``within_seconds``; a stream that has run well for
+    that long has all of them again. Returns the number of restarts used."""
+    from ridelake.streaming.report import is_transient
+
+    restarts, recent = 0, []
     while True:
         query = start()
         try:
             query.awaitTermination()
             return restarts
         except Exception as exc:  # noqa: BLE001 - any query failure is reported
-            restarts += 1
-            log(f"stream failed: {exc!s:.300}; restart {restarts}/{max_restarts} from checkpoint")
-            if restarts > max_restarts:
+            if not is_transient(exc):
+                log(f"stream failed for good: {exc!s:.300}")
+                raise
+            now = time.monotonic()
+            recent = [t for t in recent if now - t < within_seconds]
+            if len(recent) == max_restarts:
+                log(f"stream failed: {exc!s:.300}; {max_restarts} attempts used up")
                 raise
+            recent.append(now)
+            restarts += 1
+            log(f"stream failed: {exc!s:.300}; restart {len(recent)}/{max_restarts} from checkpoint")
             time.sleep(backoff_seconds)
 
 

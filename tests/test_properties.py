@@ -158,21 +158,22 @@ def test_enrich_current_brute_force(spark, cur, trips, strategy):
                 max_size=8, unique_by=lambda r: r),
        st.lists(st.tuples(st.sampled_from(["A", "B", None]), maybe(st.integers(-5, 100))),
                 min_size=1, max_size=25),
-       st.sampled_from([1, 3, 7]))
-def test_sorted_as_of_brute_force(spark, versions, facts, slices):
+       st.sampled_from([24, 1, 7]))
+def test_sorted_as_of_brute_force(spark, versions, facts, hours):
+    """``hours``: how many hours apart versions and facts are, so that several meet in one or none do."""
     from ridelake.operators.asof import asof_join_sorted
     open_end = datetime(9999, 12, 31, 23, 59, 59)
     vrows = []
     for k in {v[0] for v in versions}:
         starts = sorted(d for kk, d in versions if kk == k)
         for i, d in enumerate(starts):
-            end = T0 + timedelta(days=starts[i + 1]) if i + 1 < len(starts) else open_end
-            vrows.append((k, f"{k}{d}", T0 + timedelta(days=d), end))
+            end = T0 + timedelta(minutes=hours * 60 * starts[i + 1] // 7) if i + 1 < len(starts) else open_end
+            vrows.append((k, f"{k}{d}", T0 + timedelta(minutes=hours * 60 * d // 7), end))
     dim = spark.createDataFrame(vrows, "code string, label string, valid_from timestamp_ntz, valid_to timestamp_ntz")
-    frows = [(i, k, None if d is None else T0 + timedelta(days=d, hours=(i % 3) * 12))
+    frows = [(i, k, None if d is None else T0 + timedelta(minutes=hours * 60 * d // 7 + (i % 3) * 20))
              for i, (k, d) in enumerate(facts)]
     fdf = spark.createDataFrame(frows, "id int, code string, ts timestamp_ntz")
-    out = asof_join_sorted(fdf, dim, "code", "ts", "code", {"label": "label"}, slices=slices).collect()
+    out = asof_join_sorted(fdf, dim, "code", "ts", "code", {"label": "label"}).collect()
     got = {r.id: r.label for r in out}
     assert len(out) == len(frows)
     want = {}
