@@ -17,6 +17,7 @@ import zipfile
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,6 +110,35 @@ def partition_id() -> int:
     return ctx.partitionId() if ctx else 0
 
 
+PARTIALS = 256  # task results that the driver adds up; more are first added up in tasks
+
+
+def summed(df: DataFrame, of: Callable[[Iterable[pa.RecordBatch]], np.ndarray | None], tasks: int) -> np.ndarray | None:
+    """The sum of what ``of`` gives for the batches of each task (an array of doubles of one shape,
+    or None), always added up in one order. ``tasks``: about how many tasks ``df`` has."""
+    schema = "part binary, shape array<int>"
+
+    def row(total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary()),
+                                           pa.array([list(total.shape)], pa.list_(pa.int32()))], names=["part", "shape"])
+
+    def run(batches):
+        total = of(batches)
+        if total is not None:
+            yield row(total)
+
+    def add(batches):
+        found = sorted((p, tuple(s)) for b in batches for p, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        if found:
+            yield row(sum(np.frombuffer(p, "<f8").reshape(s) for p, s in found))
+
+    parts = map_arrow(df, run, schema)
+    if tasks > PARTIALS:
+        parts = map_arrow(parts.repartition(int(tasks ** 0.5), F.xxhash64("part")), add, schema)
+    found = sorted((bytes(r["part"]), tuple(r["shape"])) for r in parts.collect())
+    return sum(np.frombuffer(p, "<f8").reshape(s) for p, s in found) if found else None
+
+
 def in_slices(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """``df`` written in the order of its columns ``order``, dealt by range: a slice
     (new column ``slice``) holds what lies between two sampled bounds, so a value on

@@ -30,8 +30,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from ridelake.llm.common import RANK_BYTES, carrying, document_rank, map_arrow, materialize, texts, whole_row
 
 _BATCH_BYTES = 4 << 20
+_WEIGHT = 0x9E3779B97F4A7C15  # odd: of the rolling hash
 
 
 @dataclass(frozen=True)
@@ -65,22 +66,23 @@ def lines_of(text: bytes) -> tuple[list[bytes], list[int]]:
 
 def chunks_of(parts: list[bytes], how: Chunking) -> list[tuple[int, int]]:
     """(first, last) line of the distinct chunks under all seeds, without those of blank lines only."""
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
-    rolled = np.zeros(len(parts), np.uint64)
-    weight = np.ones(1, np.uint64)  # an array: its products wrap around
-    for back in range(how.window):  # the window that ends with each line
-        rolled[back:] += hashes[:len(parts) - back] * weight
-        weight *= np.uint64(0x9E3779B97F4A7C15)
-    found = set()
-    for seed in range(how.seeds):  # each has eight bits of its own
-        chosen = (rolled >> np.uint64(8 * seed) & np.uint64(255)) % np.uint64(how.divisor) == 0
+    rolled = [xxhash.xxh64_intdigest(p) for p in parts]
+    if how.window > 1:  # over the window that ends with each line
+        rolled = [sum(h * _WEIGHT ** back for back, h in enumerate(reversed(rolled[max(0, i + 1 - how.window):i + 1]))) % 2 ** 64
+                  for i in range(len(rolled))]
+    divisor, longest, found = how.divisor, how.longest, set()
+    for shift in range(0, 8 * how.seeds, 8):  # each choice has eight bits of its own
         start = 0
-        for i in [*np.flatnonzero(chosen).tolist(), len(parts)]:
-            found.update((a, min(a + how.longest, i) - 1) for a in range(start, i, how.longest))
-            if i < len(parts):
+        for i, h in enumerate(rolled):
+            if not (h >> shift & 255) % divisor:
+                if start < i:
+                    found.update((a, min(a + longest, i) - 1) for a in range(start, i, longest))
                 found.add((i, i))
-            start = i + 1
-    return sorted((a, b) for a, b in found if any(p.strip() for p in parts[a:b + 1]))
+                start = i + 1
+        if start < len(parts):
+            found.update((a, min(a + longest, len(parts)) - 1) for a in range(start, len(parts), longest))
+    before = list(accumulate((1 if p.strip() else 0 for p in parts), initial=0))  # filled lines
+    return sorted(c for c in found if before[c[1] + 1] > before[c[0]])
 
 
 def pairs_in(parts: list[bytes], starts: list[int], length: int, among: set[int] | None = None) -> list[tuple[int, int, int]]:
