@@ -8,11 +8,13 @@ over all documents. Documents join on those prefix tokens only. A match puts the
 window at one place in the document (positional bound), which must lie inside
 it (length bound); there the window's words are compared one by one.
 
-Words are numbers while this runs: each word of the benchmark has one, every
-other word is 0, so a document's shingles are rolling numbers over an array and
-equal numbers mean equal words. The benchmark is read in blocks of at most
-``block_windows`` windows, each small enough to send to every task; documents
-meet one block after the other, and their hits are merged by text.
+Windows, tokens, counts and prefixes are tables; nothing of an item passes through
+the driver. The one thing sent to the scan of the documents is a bit filter of
+``FILTER_BITS`` bits, whatever the benchmark's size, that says which tokens it may hold:
+a document gives out, for every place whose token passes, the token's hash and the words
+around it (all that any window there could cover). The filter lets too much through and
+nothing too little, and hashes only pair rows up: what counts is the comparison of the
+words. Documents are scanned twice, once for the candidates and once for the answer.
 
 Defined results: null, empty or wordless texts have no words and no hits;
 wordless items have no window; equal items each count (by ``item_id``; an item
@@ -23,12 +25,11 @@ alike; empty tables give zero hits or no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,14 @@ from ridelake.llm.common import carrying, fresh, map_arrow, materialize, texts,
 
 WINDOW = 10
 SHINGLE = 5
-BLOCK_WINDOWS = 200_000
+FILTER_BITS = 1 << 26
+PORTION = 8 << 20  # bytes of texts that a task looks at together
 
 # A-Z become a-z; 0-9, a-z and all bytes of other characters stay; the rest parts words
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256))
+_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd: of the rolling hash
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
@@ -50,223 +53,181 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
-class Block:
-    """Windows of one block of the benchmark."""
-
-    def __init__(self, items: list[tuple[int | None, bytes | None]], window: int, shingle: int):
-        self.window, self.shingle = window, shingle
-        self.number: dict[bytes, int] = {}
-        self.windows: dict[tuple, set] = defaultdict(set)
-        for item, text in items:
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                self.windows[tuple(ids[at:at + window])].add(item)
-        # tokens by shingle length: windows shorter than a shingle are one shorter token
-        self.tokens: dict[int, np.ndarray] = {}
-        by_length: dict[int, set] = defaultdict(set)
-        for w in self.windows:
-            for token in self._tokens(w):
-                by_length[len(token)].add(token)
-        self.token_rows = {n: np.array(sorted(ts), np.int64) for n, ts in by_length.items()}
-
-    def _tokens(self, w: tuple) -> list[tuple]:
-        n = min(self.shingle, len(w))
-        return [w[i:i + n] for i in range(len(w) - n + 1)]
-
-    def number_words(self, words: list[bytes]) -> np.ndarray:
-        get = self.number.get
-        return np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
-
-    def _rolled(self, ids: np.ndarray, n: int) -> np.ndarray:
-        """A number for each run of ``n`` words; compared runs are verified word by word."""
-        out = np.zeros(max(0, len(ids) - n + 1), np.uint64)
-        for i in range(n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[i:len(ids) - n + 1 + i].astype(np.uint64)
-        return out
-
-    def token_index(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """By length: sorted rolled numbers of the tokens and their rows."""
-        out = {}
-        for n, rows in self.token_rows.items():
-            rolled = np.zeros(len(rows), np.uint64)
-            for i in range(n):
-                rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + rows[:, i].astype(np.uint64)
-            order = np.argsort(rolled, kind="stable")
-            out[n] = rolled[order], order
-        return out
-
-    def holding(self, ids: np.ndarray, index: dict) -> dict[int, np.ndarray]:
-        """By token length: places in a document where the run is likely a token."""
-        known = ids > 0
-        out = {}
-        for n, (rolled, _) in index.items():
-            if len(ids) < n:
-                continue
-            run = known[:len(ids) - n + 1].copy()
-            for i in range(1, n):
-                run &= known[i:len(ids) - n + 1 + i]
-            at = np.flatnonzero(run)
-            if len(at):
-                mine = self._rolled(ids, n)[at]
-                found = np.minimum(np.searchsorted(rolled, mine), len(rolled) - 1)
-                out[n] = at[rolled[found] == mine]
-        return out
-
-    def prefixes(self, documents_with: dict[tuple, int]) -> dict[tuple, list[tuple[tuple, int]]]:
-        """token -> (window, place in it), for the rarest token of each window."""
-        out = defaultdict(list)
-        for w in self.windows:
-            tokens = self._tokens(w)
-            _, token, at = min((documents_with.get(t, 0), t, i) for i, t in enumerate(tokens))
-            out[token].append((w, at))
-        return dict(out)
-
-    def hits(self, ids: np.ndarray, index: dict, prefixes: dict) -> tuple[list[tuple[int, int]], set]:
-        """Places (start, end) of windows in a document, and the items they come from."""
-        spans, items = set(), set()
-        for n, places in self.holding(ids, index).items():
-            for p in places.tolist():
-                for w, at in prefixes.get(tuple(ids[p:p + n].tolist()), ()):
-                    start, end = p - at, p - at + len(w)
-                    if start >= 0 and end <= len(ids) and tuple(ids[start:end].tolist()) == w:
-                        spans.add((start, end))
-                        items |= self.windows[w]
-        return sorted(spans), items
-
-
-def _token_counts(block: Block, docs: DataFrame) -> dict[tuple, int]:
-    """Number of documents that hold each token of the block."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
-    schema = pa.schema([("length", pa.int32()), ("token", pa.int64()), ("n", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = sent.value
-        index = block.token_index()
-        rows = {n: np.zeros(len(order), np.int64) for n, (_, order) in index.items()}
+def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of ``n`` of the words' hashes."""
+    out = np.full(max(0, len(hashes) - n + 1), n, np.uint64)
+    for i in range(n):
+        out = (out + hashes[i:len(hashes) - n + 1 + i]) * _STEP
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def filter_places(tokens: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each token in a filter of ``n_bits`` (a power of two)."""
+    mask = np.uint64(n_bits - 1)
+    return tokens & mask, (tokens >> np.uint64(32)) & mask
+
+
+def _item_windows(window: int, shingle: int):
+    """An item's windows: their words, their tokens' hashes, the item's name."""
+    schema = pa.schema([("window", pa.binary()), ("words", pa.int32()), ("tokens", pa.list_(pa.int64())), ("item", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in texts(batch):
-                ids = block.number_words(words_of(text))
-                for n, at in block.holding(ids, index).items():
-                    if len(at):
-                        rolled, order = index[n]
-                        mine = np.unique(block._rolled(ids, n)[at])
-                        rows[n][order[np.searchsorted(rolled, mine)]] += 1
-        for n, counts in rows.items():
-            some = np.flatnonzero(counts)
-            if len(some):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), n, np.int32)), pa.array(some), pa.array(counts[some])], schema=schema)
-
-    counted = (map_arrow(docs.select("text"), count, "length int, token long, n long")
-               .groupBy("length", "token").agg(F.sum("n").alias("n")))
-    # at most as many rows as the block has tokens
-    return {tuple(block.token_rows[r["length"]][r["token"]].tolist()): r["n"] for r in counted.collect()}
-
-
-def _summary(n_words: int, spans: list[tuple[int, int]], items: set) -> tuple:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                words = words_of(text)
+                n = min(window, len(words))
+                size = min(shingle, n)
+                tokens = rolled(_hashes(words), size).view(np.int64) if words else ()
+                for at in range(len(words) - n + 1 if words else 0):
+                    rows.append((b" ".join(words[at:at + n]), n, tokens[at:at + n - size + 1].tolist(), item))
+                    if len(rows) == 1 << 14:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    return run
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+    """(documents, texts) of ``PORTION`` bytes, or one text."""
+    docs, found, held = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+            if text:
+                docs.append(doc)
+                found.append(text)
+                held += len(text)
+                if held >= PORTION:
+                    yield docs, found
+                    docs, found, held = [], [], 0
+    if docs:
+        yield docs, found
+
+
+def _candidates(bits: np.ndarray, sizes: list[int], window: int):
+    """Every place of a document whose token may be one of the benchmark's: the token, how many words
+    stand before the place, the words around it, and whether the document had it before."""
+    schema = pa.schema([("doc", pa.binary()), ("token", pa.int64()), ("place", pa.int32()), ("around", pa.binary()),
+                        ("own", pa.int32()), ("first", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs, found in _portions(batches):
+            raw = np.frombuffer(b"\n".join(t.translate(_FOLD) for t in found), np.uint8)
+            inside = (raw != 32) & (raw != 10)
+            edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+            starts, ends = edges[::2], edges[1::2]
+            if not len(starts):
+                continue
+            offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+            coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]).dictionary_encode()
+            names, ids = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            hashes = _hashes(names)[ids]
+            doc = np.searchsorted(np.flatnonzero(raw == 10), starts)
+            begin = np.searchsorted(doc, np.arange(len(docs) + 1))  # first word of each document
+            rows: list[tuple] = []
+            for size in sizes:
+                if len(ids) < size:
+                    continue
+                tokens = rolled(hashes, size)
+                one, two = filter_places(tokens, 8 * len(bits))
+                hit = (bits[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8)) & (
+                    bits[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8)) & 1
+                places = np.flatnonzero(hit.astype(bool) & (doc[:len(tokens)] == doc[size - 1:]))
+                seen = set()
+                for p in places.tolist():
+                    d, token = int(doc[p]), int(tokens[p].view(np.int64))
+                    low, high = max(int(begin[d]), p - window + 1), min(int(begin[d + 1]), p + window)
+                    rows.append((docs[d], token, p - int(begin[d]), b" ".join([names[i] for i in ids[low:high].tolist()]),
+                                 p - low, int((d, token) not in seen)))
+                    seen.add((d, token))
+                    if len(rows) == 1 << 14:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    return run
+
+
+def _summary(n_words: int, spans: list[tuple[int, int]], names: list[str]) -> tuple:
     hit, end = 0, 0
     for a, b in sorted(spans):
         hit += max(0, b - max(a, end))
         end = max(end, b)
-    names = sorted(str(i) for i in items if i is not None)
-    return (n_words, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0)
-
-
-def _blocks(benchmark: DataFrame, window: int, shingle: int, block_windows: int) -> Iterator[Block]:
-    """The benchmark in blocks of bounded size; one is held at a time."""
-    items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
-    held, size = [], 0
-    for row in items.toLocalIterator():
-        text = None if row["text"] is None else row["text"].encode()
-        n = max(1, len(words_of(text)) - window + 1)
-        if held and size + n > block_windows:
-            yield Block(held, window, shingle)
-            held, size = [], 0
-        held.append((row["item_id"], text))
-        size += n
-    yield Block(held, window, shingle)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
-                  block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    return (n_words, hit, len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), hit > 0)
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+    for batch in batches:
+        rows = [_summary(len(words_of(t)), [(x["a"], x["b"]) for x in s or ()], i or []) for t, s, i in zip(
+            texts(batch), *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("spans", "items")), strict=True)]
+        cols = list(zip(*rows, strict=True)) or [[]] * 5
+        result = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                            names=[x.split()[0] for x in RESULT.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column(0), result], names=["row", "result"])
+
+
+def token_filter(tokens: DataFrame) -> np.ndarray:
+    """The bit filter of (token) rows, as bytes; at most ``FILTER_BITS`` / 64 words are gathered."""
+    mask = FILTER_BITS - 1
+    places = tokens.select(F.explode(F.array(F.col("token").bitwiseAND(F.lit(mask)),
+                                             F.shiftrightunsigned("token", 32).bitwiseAND(F.lit(mask)))).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    if words.num_rows:
+        out[np.asarray(words["slot"])] = np.asarray(words["bits"])
+    return out.astype("<i8").view(np.uint8)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the columns of ``RESULT`` added (as one struct column
     ``hits``, or a longer name where that is taken)."""
-    sc = docs.sparkSession.sparkContext
     name = fresh(docs.columns, "hits")
-    base = docs.select(whole_row(docs), F.col("text").cast("string").alias("text"))
-    blocks = _blocks(benchmark, window, shingle, block_windows)
-    first, second = next(blocks), next(blocks, None)
-
-    def scanner(block: Block, sparse: bool):
-        sent = sc.broadcast((block, block.prefixes(_token_counts(block, base))))
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block, prefixes = sent.value
-            tokens = defaultdict(set)
-            for t in prefixes:
-                tokens[len(t)].add(t)
-            block.token_rows = {n: np.array(sorted(ts), np.int64) for n, ts in tokens.items()}
-            index = block.token_index()
-            for batch in batches:
-                found = []
-                for text in texts(batch):
-                    words = words_of(text)
-                    spans, items = block.hits(block.number_words(words), index, prefixes)
-                    found.append((text, len(words), spans, items))
-                if sparse:
-                    some = [f for f in found if f[2]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([hashlib.sha256(t).digest() for t, *_ in some], pa.binary()),
-                        pa.array([[{"a": a, "b": b} for a, b in s] for _, _, s, _ in some], SPANS),
-                        pa.array([sorted(str(i) for i in x if i is not None) for *_, x in some], pa.list_(pa.string()))],
-                        names=["digest", "spans", "items"])
-                else:
-                    cols = list(zip(*[_summary(n, s, x) for _, n, s, x in found], strict=True)) or [[]] * 5
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-                    result = pa.StructArray.from_arrays(
-                        [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                        names=[x.split()[0] for x in RESULT.split(", ")])
-                    yield pa.RecordBatch.from_arrays([batch.column(0), result], names=["row", "result"])
-        return scan
-
-    SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-    if second is None:
-        flagged = map_arrow(base, scanner(first, False), carrying(base, f"result struct<{_struct(RESULT)}>"))
-        return flagged.select("row.*", F.col("result").alias(name))
-
-    # more blocks than one: the hits of each, merged by text
-    hits = None
-    block = first
-    while block is not None:
-        part = materialize(map_arrow(
-            base, scanner(block, True), "digest binary, spans array<struct<a:long,b:long>>, items array<string>")
-            .dropDuplicates(["digest"]), "benchmark-hits")
-        hits = part if hits is None else hits.unionByName(part)
-        block, second = second, next(blocks, None)
-    merged = hits.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"),
-                                        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ns = [len(words_of(t)) for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), batch.column(2)],
-                                             names=["row", "n_words", "digest"])
-
-    keyed = map_arrow(
-        base.withColumn("digest", F.unhex(F.sha2("text", 256))), count, carrying(base, "n_words long, digest binary"))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_summary(n, [(x["a"], x["b"]) for x in s or ()], set(i or ())) for n, s, i in zip(
-                *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            result = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                                names=[x.split()[0] for x in RESULT.split(", ")])
-            yield pa.RecordBatch.from_arrays([batch.column(0), result], names=["row", "result"])
-
-    joined = keyed.join(merged, "digest", "left").select("row", "n_words", "spans", "items")
-    return (map_arrow(joined, finish, carrying(base, f"result struct<{_struct(RESULT)}>"))
+    # a hit depends on the text alone, so equal texts are one document here
+    base = docs.select(whole_row(docs), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("doc"),
+                       F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    listed = materialize(map_arrow(items, _item_windows(window, shingle), "window binary, words int, tokens array<bigint>, item string"),
+                         "item-windows")
+    windows = listed.groupBy("window", "words").agg(F.any_value("tokens").alias("tokens"))
+    tokens = windows.select("window", "words", F.posexplode("tokens").alias("at", "token"))
+    # at most ``shingle`` of them
+    sizes = sorted(r[0] for r in listed.select(F.least("words", F.lit(shingle))).distinct().collect())
+    sent = docs.sparkSession.sparkContext.broadcast(token_filter(tokens.select("token")))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _candidates(sent.value, sizes, window)(batches)
+
+    found = map_arrow(base.select("doc", "text"), scan, "doc binary, token long, place int, around binary, own int, first int")
+    # copies of a text are one from here on, and count as many as they are
+    found = materialize(found.groupBy("doc", "token", "place", "around", "own").agg(F.sum("first").alias("first")), "token-places")
+    documents_with = found.groupBy("token").agg(F.sum("first").alias("n"))
+    prefixes = (tokens.join(documents_with, "token").groupBy("window", "words")
+                .agg(F.count("*").alias("met"), F.min(F.struct("n", "token", "at")).alias("rarest"))
+                # a window of which any token is in no document is in none
+                .filter(F.col("met") == F.col("words") - F.least("words", F.lit(shingle)) + 1)
+                .select("window", "words", "rarest.token", "rarest.at"))
+    start = F.col("own") - F.col("at")
+    around = F.split(F.col("around").cast("string"), " ")
+    held = F.array_join(F.slice(around, F.greatest(start, F.lit(0)) + 1, F.col("words")), " ")
+    hits = (found.join(prefixes, "token").filter(start >= 0)
+            .filter(held == F.col("window").cast("string"))
+            .select("doc", "window", (F.col("place") - F.col("at")).cast("long").alias("a"),
+                    (F.col("place") - F.col("at") + F.col("words")).cast("long").alias("b")))
+    hits = materialize(hits, "window-hits")
+    spans = hits.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    named = (hits.select("doc", "window").distinct().join(listed.filter("item IS NOT NULL").select("window", "item").distinct(), "window")
+             .groupBy("doc").agg(F.collect_set("item").alias("items")))
+    per_document = materialize(spans.join(named, "doc", "left"), "document-hits")
+    joined = base.join(per_document, "doc", "left").select("row", "text", "spans", "items")
+    return (map_arrow(joined, _finish, carrying(joined, f"result struct<{_struct(RESULT)}>"))
             .select("row.*", F.col("result").alias(name)))
 
 

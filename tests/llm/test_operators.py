@@ -476,8 +476,10 @@ def test_secrets_against_brute_force(spark, docs, odd, empty):
 
 # ------------------------------------------------------------------ 10
 
-@pytest.mark.parametrize("block_windows", [200_000, 5])
-def test_decontamination_against_brute_force(spark, block_windows):
+@pytest.mark.parametrize("bits", [decontamination.FILTER_BITS, 64])
+def test_decontamination_against_brute_force(spark, monkeypatch, bits):
+    """Also with a filter so small that it lets every token through."""
+    monkeypatch.setattr(decontamination, "FILTER_BITS", bits)
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     w = [f"w{i}" for i in range(60)]
     items = [(1, " ".join(w[:15])), (2, "Kurz und GUT"), (3, None), (4, "!!"), (5, " ".join(w[5:17])), (6, "a a a a a a a a a a a a"), (None, "no name item"), (2, "Kurz und GUT"), (10, "einzig")]
@@ -500,9 +502,9 @@ def test_decontamination_against_brute_force(spark, block_windows):
         names = sorted(str(i) for i in found if i is not None)
         return len(ws), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)
 
-    got = sorted(tuple(r) for r in decontamination.contamination_report(docs, bench, block_windows=block_windows).collect())
+    got = sorted(tuple(r) for r in decontamination.contamination_report(docs, bench).collect())
     assert got == sorted((r.doc_id, *brute(r.text)) for r in docs.collect())
-    clean = decontamination.clean_documents(docs, bench, block_windows=block_windows)
+    clean = decontamination.clean_documents(docs, bench)
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4, 7, 9]
     assert decontamination.contamination_report(docs, bench.limit(0)).filter("contaminated").count() == 0
     assert decontamination.contamination_report(docs.limit(0), bench).count() == 0
