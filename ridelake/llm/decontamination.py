@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import carrying, fresh, map_arrow, materialize, texts, whole_row
+from ridelake.llm.common import fresh, map_arrow, materialize, texts, whole_row
 
 WINDOW = 10
 SHINGLE = 5
@@ -46,7 +46,7 @@ _FOLD = bytes(
     for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd: of the rolling hash
 
-RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lowered
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -154,23 +154,22 @@ def _candidates(bits: np.ndarray, sizes: list[int], window: int):
     return run
 
 
-def _summary(n_words: int, spans: list[tuple[int, int]], names: list[str]) -> tuple:
+def _summary(spans: list[tuple[int, int]], names: list[str]) -> tuple[int, int, str]:
+    """Words hit, items, and the digest of the items' names."""
     hit, end = 0, 0
     for a, b in sorted(spans):
         hit += max(0, b - max(a, end))
         end = max(end, b)
-    return (n_words, hit, len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), hit > 0)
+    return hit, len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
     for batch in batches:
-        rows = [_summary(len(words_of(t)), [(x["a"], x["b"]) for x in s or ()], i or []) for t, s, i in zip(
-            texts(batch), *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("spans", "items")), strict=True)]
-        cols = list(zip(*rows, strict=True)) or [[]] * 5
-        result = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                            names=[x.split()[0] for x in RESULT.split(", ")])
-        yield pa.RecordBatch.from_arrays([batch.column(0), result], names=["row", "result"])
+        rows = [_summary([(x["a"], x["b"]) for x in s], i or []) for s, i in zip(
+            *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("spans", "items")), strict=True)]
+        cols = list(zip(*rows, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                                          pa.array(cols[2], pa.string())], names=["doc", "n_hit", "n_items", "items_sha256"])
 
 
 def token_filter(tokens: DataFrame) -> np.ndarray:
@@ -187,11 +186,16 @@ def token_filter(tokens: DataFrame) -> np.ndarray:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with the columns of ``RESULT`` added (as one struct column
-    ``hits``, or a longer name where that is taken)."""
-    name = fresh(docs.columns, "hits")
+    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated added (as one struct
+    column ``hits``, or a longer name where that is taken)."""
+    return _flag(docs, docs, benchmark, window, shingle)
+
+
+def _flag(docs: DataFrame, kept: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
+    """``decontaminate``, with only the columns of ``kept`` (of ``docs``) beside the hits."""
+    name = fresh(kept.columns, "hits")
     # a hit depends on the text alone, so equal texts are one document here
-    base = docs.select(whole_row(docs), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("doc"),
+    base = docs.select(whole_row(kept), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("doc"),
                        F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     listed = materialize(map_arrow(items, _item_windows(window, shingle), "window binary, words int, tokens array<bigint>, item string"),
@@ -225,19 +229,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     spans = hits.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     named = (hits.select("doc", "window").distinct().join(listed.filter("item IS NOT NULL").select("window", "item").distinct(), "window")
              .groupBy("doc").agg(F.collect_set("item").alias("items")))
-    per_document = materialize(spans.join(named, "doc", "left"), "document-hits")
-    joined = base.join(per_document, "doc", "left").select("row", "text", "spans", "items")
-    return (map_arrow(joined, _finish, carrying(joined, f"result struct<{_struct(RESULT)}>"))
-            .select("row.*", F.col("result").alias(name)))
-
-
-def _struct(ddl: str) -> str:
-    return ",".join(f"{n}:{t}" for n, t in (x.split() for x in ddl.split(", ")))
-
-
-def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id and the columns of ``RESULT`` for every document."""
-    flagged = decontaminate(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, **options)
+    per_document = map_arrow(spans.join(named, "doc", "left").select("doc", "spans", "items"), _finish,
+                             "doc binary, n_hit long, n_items long, items_sha256 string")
+    # hits grow with the documents, so this is a merge by design, at every size alike
+    counted = base.select("row", "doc", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    joined = counted.join(materialize(per_document, "document-hits").hint("merge"), "doc", "left")
+    n_hit = F.coalesce("n_hit", F.lit(0))
+    result = F.struct("n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
+                      F.coalesce("items_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("items_sha256"),
+                      (n_hit > 0).alias("contaminated"))
+    return joined.select("row.*", result.alias(name))
+
+
+def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    flagged = _flag(own, own.select("doc_id"), benchmark, window, shingle)
     return flagged.select("doc_id", f"{flagged.columns[-1]}.*")
 
 

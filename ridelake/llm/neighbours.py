@@ -11,10 +11,14 @@ Only vectors whose upper bound reaches the k-th best lower bound are reranked by
 exact cosine in double precision.
 
 Every row is indexed and every stated query meets every row of its length:
-vectors are dealt, each length by itself, into groups of about
-``GROUP_VECTORS``; the queries, a stated fraction of the rows, go to every group
-of their length as a stream, so a task holds one group and one batch of queries.
-Each group answers with its k best, which are merged per query.
+vectors are dealt, each length by itself, into groups as large as a task may hold
+(``GROUP_BYTES``, but as many as the cluster has cores where there are vectors
+enough); each group is one task. The queries, a stated fraction of the rows, go to every
+group of their length as a stream, once for each ``GROUP_BYTES`` of vectors (that, and the
+comparison of each query with each code, grows with queries times rows, as the search
+asks for). Each group answers with its k best, which are merged per query. Distinct
+lengths, a few numbers (at most the square root of twice all entries), are all
+that reaches the driver.
 
 Defined results: rows with a null id, a null vector, an empty one, a zero one or
 one with null or non-finite components take no part; vectors of different
@@ -38,7 +42,8 @@ from ridelake.llm.common import map_arrow
 CODE_BITS = 256
 QUERY_BITS = 6
 EPSILON = 3.0
-GROUP_VECTORS = 8192
+GROUP_BYTES = 32 << 20  # of vectors, in doubles, that a task holds
+LEAST_GROUP = 4096  # vectors; smaller groups aren't made for the sake of more tasks
 SEED = 20240229
 
 
@@ -110,7 +115,7 @@ def _search(k: int, bits: int, epsilon: float, seed: int):
         group, ids, vectors, codes = None, None, None, None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            groups = batch.column(0).to_numpy()
+            groups = batch.column(0).to_numpy(zero_copy_only=False)
             asks = batch.column(1).to_numpy(zero_copy_only=False)
             vec_ids = batch.column(2).to_numpy()
             embeddings = batch.column(3)
@@ -151,23 +156,29 @@ def usable(vectors: DataFrame) -> DataFrame:
                        & F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 5, group_vectors: int = GROUP_VECTORS,
+def nearest(vectors: DataFrame, is_query, k: int = 5, group_vectors: int | None = None,
             bits: int = CODE_BITS, epsilon: float = EPSILON, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest other rows of every
-    row for which ``is_query`` (a condition on vec_id) holds."""
+    row for which ``is_query`` (a condition on vec_id) holds. ``group_vectors`` sets the
+    size of a group by itself."""
+    spark = vectors.sparkSession
     rows = usable(vectors).withColumn("length", F.size("embedding"))
-    # one row a length: how many groups its vectors are dealt into
-    parts = [(r["length"], -(-r["count"] // group_vectors)) for r in rows.groupBy("length").count().collect()]
-    groups = max(1, sum(n for _, n in parts))
-    rows = rows.join(F.broadcast(rows.sparkSession.createDataFrame(parts, "length int, parts long")), "length")
-    of_length = F.shiftleft(F.col("length").cast("long"), 32)
+    parts, first = [], 0
+    for r in rows.groupBy("length").count().orderBy("length").collect():
+        most = group_vectors or max(1, GROUP_BYTES // (8 * r["length"]))
+        n = -(-r["count"] // most)
+        if not group_vectors:
+            n = max(n, min(spark.sparkContext.defaultParallelism, -(-r["count"] // LEAST_GROUP)))
+        parts.append((r["length"], n, first))
+        first += n
+    rows = rows.join(spark.createDataFrame(parts, "length int, parts int, first int"), "length")
     # by a hash of the id and the vector, so equal vectors or ids do not meet in one group
-    base = rows.select((of_length + F.pmod(F.xxhash64("vec_id", "embedding"), "parts")).alias("group"),
+    base = rows.select((F.col("first") + F.pmod(F.xxhash64("vec_id", "embedding"), "parts")).cast("int").alias("group"),
                        F.lit(False).alias("asks"), "vec_id", "embedding")
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "embedding"])
-    queries = queries.select(F.explode(F.sequence(of_length, of_length + F.col("parts") - 1)).alias("group"),
+    queries = queries.select(F.explode(F.sequence(F.col("first"), F.col("first") + F.col("parts") - 1)).alias("group"),
                              F.lit(True).alias("asks"), "vec_id", "embedding")
-    dealt = base.unionByName(queries).repartition(groups, "group").sortWithinPartitions("group", "asks")
+    dealt = base.unionByName(queries).repartitionById(max(1, first), F.col("group")).sortWithinPartitions("group", "asks")
     found = map_arrow(dealt, _search(k, bits, epsilon, seed), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
