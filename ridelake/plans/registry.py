@@ -23,7 +23,7 @@ from ridelake.plans import models as M
 from ridelake.plans import oracle as O
 from ridelake.plans.checks import model_checks
 from ridelake.plans.tables import Tables
-from ridelake.session import ensure_checkpoint_dir, scratch_path
+from ridelake.session import scratch_path
 from ridelake.sinks.writers import append_snapshot, read_version, write_day_partitioned
 from ridelake.sources import adapters as A
 from ridelake.sources import landing as L
@@ -217,25 +217,51 @@ _CHECKED_MODELS = ["stg_trips", "stg_stations", "stg_status", "int_trips", "dim_
                    "trips_enriched", "hourly_traffic", "status_current", "demand_vs_supply"]
 
 
-def check_results(t: Tables, kinds=None, check: str | None = None,
-                  shared: tuple[str, ...] = ()) -> DataFrame:
+# what a model is built from, of the models that are worth sharing; in build order
+_BUILT_FROM = {
+    "int_trips": (), "dim_station": (), "trips_enriched": ("int_trips", "dim_station"),
+    "hourly_traffic": ("trips_enriched",), "status_current": ("dim_station",),
+    "demand_vs_supply": ("status_current", "hourly_traffic", "dim_station"),
+}
+
+
+_SHARED = ("dim_station", "trips_enriched")  # with the windows and joins; the rest are cheap projections and sums of them
+
+
+def shared_models(checked: list[str], with_parents: list[str]) -> list[str]:
+    """The models that several checks and models read, in build order; those of ``with_parents``
+    (relationship checks) read the dimension too."""
+    readers: dict[str, int] = {}
+
+    def read(name: str) -> None:
+        readers[name] = readers.get(name, 0) + 1
+        if readers[name] == 1:
+            for parent in _BUILT_FROM.get(name, ()):
+                read(parent)
+
+    for name in checked:
+        read(name)
+    for _ in with_parents:
+        read("dim_station")
+    return [n for n in _SHARED if readers.get(n, 0) > 1]
+
+
+def check_results(t: Tables, kinds=None, check: str | None = None) -> DataFrame:
     """Union of the selected checks over every model.
 
-    ``shared`` names models that several checks (and downstream models)
-    consume; each is computed once and checkpointed (reliable storage under
-    the checkpoint directory, lineage cut) instead of being recomputed by
-    every branch of the union. Upstream models must come first."""
-    if shared:
-        ensure_checkpoint_dir(t.spark)
-    for name in shared:
-        t.__dict__[name] = t.model(name).checkpoint(eager=True)
-    specs = model_checks()
+    Models that several checks and models read are written once, as the layered job
+    does with all of them, so the deduplication, the versions and the joins run once
+    whatever the number of checks; the others stay in the plan."""
+    specs = {n: model_checks()[n] if check is None else only(model_checks()[n], check) for n in _CHECKED_MODELS}
+    specs = {n: s for n, s in specs.items() if s.covers(kinds)}
+    related = kinds is None or "relationships" in kinds
+    for name in shared_models(list(specs), [n for n, s in specs.items() if s.relations and related]):
+        model, path = t.model(name), scratch_path(t.spark, "checked", name)
+        model.write.parquet(path)
+        t.__dict__[name] = t.spark.read.schema(model.schema).parquet(path)
     parts = []
-    for name in _CHECKED_MODELS:
-        spec = specs[name] if check is None else only(specs[name], check)
-        if not spec.covers(kinds):
-            continue  # the model itself isn't planned either
-        parents = {"dim_station": t.dim_station} if spec.relations else {}
+    for name, spec in specs.items():
+        parents = {"dim_station": t.dim_station} if spec.relations and related else {}
         parts.append(run_model_checks(t.model(name), spec, parents, kinds))
     out = parts[0]
     for p in parts[1:]:
@@ -243,11 +269,6 @@ def check_results(t: Tables, kinds=None, check: str | None = None,
     return out
 
 
-# models reused by many checks / downstream models, in build order; worth
-# materializing once when every check runs (the summary), not for one kind
-_ALL_SHARED = ("dim_station", "int_trips", "trips_enriched", "hourly_traffic", "status_current")
-
-
 @register("dq_not_null", O.dq_sql(O.dq_not_null_rows()))
 def q_dq_not_null(t: Tables) -> DataFrame:
     return check_results(t, ["row"], "not_null")
@@ -280,7 +301,7 @@ def q_dq_combos(t: Tables) -> DataFrame:
 
 @register("dq_gate_summary", O.dq_summary_sql())
 def q_dq_gate(t: Tables) -> DataFrame:
-    return summarize(check_results(t, shared=_ALL_SHARED))
+    return summarize(check_results(t))
 
 
 # ------------------------------------------------------------------ sources, sinks, stream
