@@ -268,5 +268,7 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")).select("first.key")
     with_key = docs.select(row_key().alias("key"), whole_row(docs))
     kept = with_key.join(keepers, "key", "left_semi")
-    # rows that are repeated as a whole share a key: one of them stays
-    return kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    # rows of one id and text share a key: the one with the smallest hash of all columns (maps,
+    # which have none, aside) stays; if that ties, they are alike
+    hashed = [F.col("row").getField(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return kept.groupBy("key").agg(F.min_by("row", F.xxhash64(*hashed)).alias("row")).select("row.*")
