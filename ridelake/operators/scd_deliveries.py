@@ -20,7 +20,7 @@ readers take nothing of later runs, and a failed run is written over by its repe
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,8 +61,10 @@ def _read_runs(spark: SparkSession, path: str, schema: StructType, last: int) ->
     return spark.read.schema(full).parquet(path).filter(F.col("run") <= last)
 
 
-def deliver(dim: Dimension, snapshots: DataFrame) -> int:
-    """Take a delivery of snapshots into the store; returns the number of the run."""
+def deliver(dim: Dimension, snapshots: DataFrame, accept: Callable[[DataFrame], bool] | None = None) -> int | None:
+    """Take a delivery of snapshots into the store; returns the number of the run. ``accept``,
+    where given, sees the versions that the run has made or changed before they become
+    visible; if it refuses them, they never do, and None is returned."""
     spark, key = snapshots.sparkSession, dim.key
     done = published_version(spark, f"{dim.root}/open")
     run = 0 if done is None else done + 1
@@ -104,6 +106,11 @@ def deliver(dim: Dimension, snapshots: DataFrame) -> int:
     closed.write.mode("overwrite").parquet(f"{dim.root}/closed/run={run}")
     untouched = _same(opened, touched, key, "left_anti")
     still = versions.filter(F.col(_END).isNull()).select(*version.names, _HEAD)
+    if accept is not None:
+        changed = spark.read.schema(StructType([*version.fields, StructField(_END, version[dim.valid_from].dataType)])).parquet(
+            f"{dim.root}/closed/run={run}").unionByName(still.drop(_HEAD).withColumn(_END, F.lit(None).cast(version[dim.valid_from].dataType)))
+        if not accept(finish_versions(changed, key, dim.valid_from, dim.sk_name, payload)):
+            return None
     publish_version(untouched.unionByName(still), f"{dim.root}/open", run)
     return run
 

@@ -16,13 +16,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.operators.scd_deliveries import Dimension, deliver, read_dimension
 from ridelake.operators.quality import ERROR, RESULT_SCHEMA, QualityGateError, gate, run_model_checks
 from ridelake.functions.scalars import day_key
 from ridelake.plans import models as M
 from ridelake.plans.checks import model_checks
 from ridelake.schemas import TRIPS_BRONZE
 from ridelake.session import list_names, path_exists, remove_path, scratch_path
-from ridelake.sinks.writers import append_snapshot, materialize_table, promote, write_day_partitioned
+from ridelake.sinks.writers import append_snapshot, materialize_table, promote, published_version, write_day_partitioned
 from ridelake.sources.files import read_station_snapshot_json, read_table, read_trip_months
 
 BRONZE, STAGING, SILVER, GOLD, QUARANTINE = "bronze", "staging", "intermediate", "warehouse", "quarantine"
@@ -188,8 +189,13 @@ def read_bronze_trips(spark: SparkSession, warehouse: str,
 
 def load_station_files(spark: SparkSession, landing: str, warehouse: str,
                        extracted_at: datetime | str | None = None, multi_line: bool = True) -> None:
-    raw = read_station_snapshot_json(spark, landing, multi_line)
-    append_snapshot(M.transform_stations(raw, extracted_at), f"{warehouse}/{BRONZE}/station_snapshots")
+    append_snapshot(read_station_files(spark, landing, extracted_at, multi_line), f"{warehouse}/{BRONZE}/station_snapshots")
+
+
+def read_station_files(spark: SparkSession, landing: str, extracted_at: datetime | str | None = None,
+                       multi_line: bool = True) -> DataFrame:
+    """Typed station snapshots of landed documents."""
+    return M.transform_stations(read_station_snapshot_json(spark, landing, multi_line), extracted_at)
 
 
 def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
@@ -205,6 +211,35 @@ def build_station_models(spark: SparkSession, warehouse: str, on_error: str = "s
     return report
 
 
+def station_store(warehouse: str) -> Dimension:
+    """Where the station dimension grows by delivery."""
+    return Dimension(f"{warehouse}/{GOLD}/dim_station_store", "station_id", M.TRACKED_STATION_ATTRS, "extracted_at", sk_name="station_sk")
+
+
+def deliver_stations(spark: SparkSession, warehouse: str, delivery: DataFrame, on_error: str = "stop",
+                     report: RunReport | None = None) -> RunReport:
+    """Take one delivery of (typed) station snapshots into the dimension, reading of its past only the
+    open versions. The delivery is checked before it is taken, and the versions it makes
+    before they become visible."""
+    report = report or RunReport()
+    stg = M.stg_stations(delivery)
+    if not _check(report, stg, "stg_stations", {}, on_error):
+        return report
+    append_snapshot(delivery, f"{warehouse}/{BRONZE}/station_snapshots")
+    deliver(station_store(warehouse), stg.select(*M.SNAPSHOT_COLUMNS),
+            lambda changed: _check(report, changed, "dim_station", {}, on_error))
+    return report
+
+
+def read_dim_station(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The station dimension, grown by delivery where it is, else as last built over all snapshots."""
+    store = station_store(warehouse)
+    if published_version(spark, f"{store.root}/open") is None:
+        return read_table(spark, warehouse, GOLD, "dim_station")
+    snapshots = M.stg_stations(read_table(spark, warehouse, BRONZE, "station_snapshots")).select(*M.SNAPSHOT_COLUMNS)
+    return read_dimension(spark, store, snapshots.schema)
+
+
 def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
                       report: RunReport | None = None, strategy: str = "auto",
                       days: list[str] | None = None) -> RunReport:
@@ -231,7 +266,7 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     it = _publish(report, trips, warehouse, SILVER, "int_trips", {}, on_error, laid_out=True, **laid)
     if it is None:
         return report
-    dim = read_table(spark, warehouse, GOLD, "dim_station")
+    dim = read_dim_station(spark, warehouse)
     enriched = M.trips_enriched(it, dim, strategy)
     enr = _publish(report, enriched, warehouse, GOLD, "trips_enriched", {"dim_station": dim}, on_error, **laid)
     if enr is None:
@@ -240,6 +275,11 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     return report
 
 
+def unfinished(spark: SparkSession, warehouse: str) -> bool:
+    """Whether a layer lies staged: its checks have failed, or its run ended before them."""
+    return any(list_names(spark, f"{warehouse}/{STAGED}/{layer}") for layer in (STAGING, SILVER, GOLD))
+
+
 def _iso(day: str) -> str:
     return f"{day[:4]}-{day[4:6]}-{day[6:]}"
 
@@ -261,7 +301,7 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
     stg = M.stg_status(read_table(spark, warehouse, BRONZE, "station_status"))
     if not _check(report, stg, "stg_status", {}, on_error):
         return report
-    dim = read_table(spark, warehouse, GOLD, "dim_station")
+    dim = read_dim_station(spark, warehouse)
     cur = _publish(report, M.status_current(stg, dim, strategy), warehouse, GOLD, "status_current",
                    {"dim_station": dim}, on_error)
     if cur is None:
@@ -289,10 +329,11 @@ def register_views(spark: SparkSession, warehouse: str) -> list[str]:
     for layer, tables in LAYER_TABLES.items():
         for name in tables:
             path = f"{warehouse}/{layer}/{name}"
-            if not path_exists(spark, path):
+            grown = name == "dim_station" and path_exists(spark, f"{station_store(warehouse).root}/open")
+            if not grown and not path_exists(spark, path):
                 continue
-            df = read_bronze_trips(spark, warehouse) if name == "trips_raw" \
-                else read_table(spark, warehouse, layer, name)
+            df = (read_bronze_trips(spark, warehouse) if name == "trips_raw" else read_dim_station(spark, warehouse) if grown
+                  else read_table(spark, warehouse, layer, name))
             df.createOrReplaceTempView(name)
             names.append(name)
     staging = {"stg_stations": ("station_snapshots", M.stg_stations),

@@ -1,7 +1,7 @@
 """Command-line runner (``spark-submit -m``-style entry point).
 
-  python -m ridelake.run stations      --landing DIR --warehouse DIR [--multi-line] [--extracted-at document]
-  python -m ridelake.run trips         --landing DIR --warehouse DIR [--months 202401,202402] [--mode append|overwrite_days] [--incremental]
+  python -m ridelake.run stations      --landing DIR --warehouse DIR [--multi-line] [--extracted-at document] [--by-delivery]
+  python -m ridelake.run trips         --landing DIR --warehouse DIR [--months 202401,202402 | --new-only] [--mode append|overwrite_days] [--incremental]
   python -m ridelake.run status-stream --landing DIR --warehouse DIR [--checkpoint DIR] [--trigger "300 seconds" | --available-now]
   python -m ridelake.run status        --warehouse DIR [--as-of "2024-01-30 12:00:00"] [--tz ZONE]
 
@@ -9,7 +9,8 @@ Each batch command loads its raw feed, builds its layers as tables and runs
 the layer checks: a failing ``error`` check stops the remaining layers and the
 command exits non-zero (``--report-only`` builds every layer and only
 reports). The master, executors and ``spark.checkpoint.dir`` come from
-spark-submit / the cluster configuration.
+spark-submit / the cluster configuration. ``status-stream`` leaves a report of its
+starts, batches, failures and restarts under ``_reports/status-stream``.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 
 from ridelake.plans import jobs as J
 from ridelake.session import apply_conf, cluster_conf, get_spark
-from ridelake.streaming.status import (DEFAULT_MAX_FILES, run_with_restarts, start_quarantine_stream,
-                                       start_status_stream)
+from ridelake.streaming.report import run_reported
+from ridelake.streaming.status import DEFAULT_MAX_FILES, start_quarantine_stream, start_status_stream
 
 
 def _report(rep: J.RunReport) -> int:
@@ -56,6 +58,10 @@ def main(argv: list[str] | None = None) -> int:
                     help="approximate input size: sizes scan/shuffle partitions (cluster_conf)")
     ap.add_argument("--incremental", action="store_true",
                     help="trips: rebuild only the days present in this load")
+    ap.add_argument("--by-delivery", action="store_true",
+                    help="stations: take the landing as one delivery into the growing dimension, instead of rebuilding it")
+    ap.add_argument("--new-only", action="store_true",
+                    help="trips: load the deliveries that are new or changed since they were loaded")
     a = ap.parse_args(argv)
     on_error = "report" if a.report_only else "stop"
     spark = get_spark(app=f"ridelake-{a.command}")
@@ -63,11 +69,19 @@ def main(argv: list[str] | None = None) -> int:
         apply_conf(spark, cluster_conf(int(a.input_gb * 2 ** 30),
                                        spark.sparkContext.defaultParallelism))
 
+    if a.command == "stations" and a.by_delivery:
+        delivery = J.read_station_files(spark, a.landing, a.extracted_at, a.multi_line)
+        return _report(J.deliver_stations(spark, a.warehouse, delivery, on_error))
     if a.command == "stations":
         J.load_station_files(spark, a.landing, a.warehouse, a.extracted_at, multi_line=a.multi_line)
         return _report(J.build_station_models(spark, a.warehouse, on_error))
     if a.command == "trips":
         months = [m for m in a.months.split(",") if m] or None
+        if a.new_only:
+            new = J.load_new_deliveries(spark, a.landing, a.warehouse)
+            if not new and not J.unfinished(spark, a.warehouse):
+                return _report(J.RunReport())  # nothing to build anew
+            return _report(J.build_trip_models(spark, a.warehouse, on_error))
         days = J.load_trip_files(spark, a.landing, a.warehouse, months, mode=a.mode)
         return _report(J.build_trip_models(spark, a.warehouse, on_error,
                                            days=days if a.incremental else None))
@@ -80,10 +94,12 @@ def main(argv: list[str] | None = None) -> int:
                                            ckpt + "-quarantine", trigger=a.trigger,
                                            available_now=a.available_now,
                                            max_files_per_trigger=a.max_files)
-        run_with_restarts(lambda: start_status_stream(
+        name = f"status-stream-{uuid.uuid4().hex[:8]}"
+        run_reported(spark, lambda: start_status_stream(
             spark, a.landing, f"{a.warehouse}/{J.BRONZE}/station_status", ckpt,
             trigger=a.trigger, available_now=a.available_now,
-            max_files_per_trigger=a.max_files), max_restarts=a.max_restarts)
+            max_files_per_trigger=a.max_files, name=name),
+            f"{a.warehouse}/_reports/status-stream", name, max_restarts=a.max_restarts)
         if side is not None:
             side.awaitTermination()
         return 0

@@ -77,7 +77,7 @@ def start_status_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
                         checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                         available_now: bool = False,
                         max_files_per_trigger: int = DEFAULT_MAX_FILES,
-                        ingestion_at: Column | str | None = None) -> StreamingQuery:
+                        ingestion_at: Column | str | None = None, name: str | None = None) -> StreamingQuery:
     """Feed files -> flattened rows -> append to the bronze parquet table.
 
     ``ingestion_at`` defaults to the micro-batch's processing time (constant
@@ -91,7 +91,7 @@ def start_status_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
     flat = flatten_status(docs, ingestion_at)
     writer = (flat.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).option("path", bronze_path))
-    return _trigger(writer, trigger, available_now).start()
+    return _trigger(writer.queryName(name) if name else writer, trigger, available_now).start()
 
 
 def latest_status_state(flat: DataFrame, key: str = "station_id",

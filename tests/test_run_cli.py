@@ -37,3 +37,36 @@ def test_cli_end_to_end(spark, tmp_dir):
     dvs = spark.read.parquet(f"{wh}/{J.GOLD}/demand_vs_supply")
     assert dvs.count() == 15
     assert {r.current_day_name for r in dvs.select("current_day_name").distinct().collect()} == {"Tuesday"}
+
+
+def test_cli_by_delivery_and_new_only(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from ridelake.streaming.report import read_report
+    t = Tables(spark, SF)
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/wh"
+    full = t.snapshots.withColumn("capacity", F.coalesce("capacity", F.lit(5)))
+    late = F.pmod(F.xxhash64("station_id"), F.lit(7)) == 0
+    for k, part in enumerate((full.filter(~late), full.filter(late))):
+        L.write_json_lines(L.station_info_documents(part), f"{land}/stations{k}")
+        assert run.main(["stations", "--landing", f"{land}/stations{k}", "--extracted-at", "document", "--warehouse", wh, "--by-delivery"]) == 0
+    # a delivery that fails its checks is not taken
+    L.write_json_lines(L.station_info_documents(full.limit(50).withColumn("capacity", F.lit(None).cast("int"))), f"{land}/bad")
+    before = J.read_dim_station(spark, wh).count()
+    assert run.main(["stations", "--landing", f"{land}/bad", "--extracted-at", "document", "--warehouse", wh, "--by-delivery"]) == 1
+    assert J.read_dim_station(spark, wh).count() == before
+    from ridelake.plans import models as M
+    whole = M.dim_station(M.stg_stations(full))
+    got = J.read_dim_station(spark, wh).select(*whole.columns)
+    assert got.exceptAll(whole).count() == 0 and whole.exceptAll(got).count() == 0
+
+    L.write_trip_csv_landing(t.trips_raw, f"{land}/trips")
+    new = ["trips", "--landing", f"{land}/trips", "--warehouse", wh, "--new-only"]
+    assert run.main(new) == 0 and run.main(new) == 0
+    assert spark.read.parquet(f"{wh}/{J.GOLD}/trips_enriched").count() == 1000
+    assert sorted(os.listdir(f"{wh}/{J.MANIFEST}/trips_raw")) == ["run=0"]
+    L.write_json_lines(L.status_documents(A.table(spark, SF, "events")), f"{land}/status")
+    assert run.main(["status-stream", "--landing", f"{land}/status", "--warehouse", wh, "--available-now"]) == 0
+    kinds = {r.kind for r in read_report(spark, f"{wh}/_reports/status-stream").collect()}
+    assert {"started", "progress", "ended"} <= kinds
+    assert "dim_station" in J.register_views(spark, wh)
