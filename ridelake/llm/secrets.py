@@ -5,15 +5,16 @@ Three base kinds are found by pattern, leftmost first and without overlap:
 ids) and ``hex`` (long hexadecimal runs). Matches that are too short are
 dropped after matching, so they still take up their place.
 
-The method adds ``entropy`` spans. Candidate strings are the runs of the
-base-64 alphabet that are long enough and hold a digit and a letter. A window
-slides over each candidate; the counts of the characters in it are kept
-incrementally (one goes up, one goes down), and with them the sum of
-``c * log2(c)``, from which the window's Shannon entropy follows in one step.
-Each character class has its window and threshold: hexadecimal candidates at
-most 4 bits a character, others up to 6. A candidate whose best window reaches
-its class's threshold is reported, unless the allow list knows it or a base
-span already covers it.
+The method adds ``entropy`` spans. Candidate strings are runs of a character class:
+hexadecimal digits, letters and digits, or the whole base-64 alphabet with its signs;
+each class has its least length, the kinds of character a run must hold, a window and
+a threshold (``CLASSES``). The window slides over a candidate; the counts of the
+characters in it are kept incrementally (one goes up, one goes down, ten of them packed
+into a number), and with them the sum of ``c * log2(c)``, from which the window's Shannon
+entropy follows in one step. A candidate of which any window reaches its class's threshold
+is reported, unless a base span already covers it. The allow list works window by
+window: a window that touches one of ``ALLOWED`` words doesn't count, the others of the
+candidate do; digests that are named as such are no candidates.
 
 Positions: the pieces between the matches of a pattern (``split``) and the
 matches themselves (``regexp_extract_all``) alternate, so their lengths, summed,
@@ -40,16 +41,17 @@ ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-WINDOW = 20
-HEX_BITS, MIXED_BITS = 3.0, 3.9
-# What is long and varied but no secret: digit runs and dates, UUIDs, named
-# digests, one character over and over. (Words joined by signs alone hold no
-# digit, so they are no candidates to begin with.)
-ALLOWED = (r"^[0-9+/_=-]+$|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-           r"|^(sha(1|224|256|384|512)|md5)[-_=]"
-           r"|(.)\4{7,}|(?i:example|placeholder|changeme)")
+# Letters and digits that a word, a UUID, a date or a named digest (sha256-...) is not made of.
+_NAMED = r"(?<!(?:sha1|sha224|sha256|sha384|sha512|md5)[-_=:])"
+# by class: pattern of a run, kinds of character it must hold, window, least bits a character
+CLASSES = {
+    "hex_run": (_NAMED + r"(?<![A-Za-z0-9])[0-9a-fA-F]{20,}(?![A-Za-z0-9])", ("[0-9]", "[a-fA-F]"), 20, 3.0),
+    "mixed_run": (_NAMED + r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}", ("[g-zG-Z]", "[0-9]|(?=.*[a-z])(?=.*[A-Z])"), 20, 3.9),
+    "signed_run": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}", ("[+/_=-]", "[0-9]", "[a-z]", "[A-Z]"), 32, 4.3),
+}
+ALLOWED = "(?i)example|placeholder|changeme"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+_PACKED, _BITS = 10, 6  # counts to a number, and bits to a count: windows of up to 63 characters
 KINDS = ("assign", "access", "hex", "entropy")
 
 
@@ -78,34 +80,43 @@ def _starts(df: DataFrame, name: str, pattern: str) -> DataFrame:
     return df.withColumn(name, spans).drop(found, other, gaps, at)
 
 
-def best_entropy(value: Column, window: int = WINDOW) -> Column:
+def best_entropy(value: Column, window: int) -> Column:
     """Largest entropy (bits a character) in a window sliding over ``value``.
 
-    The state holds a count for every character of the alphabet and the sum of
+    The state holds the counts of the alphabet's characters, packed, and the sum of
     count * log2(count); a step changes two counts and that sum. A value
     shorter than the window has minus infinity.
     """
     def term(count: Column) -> Column:
         return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
-    # the places in the alphabet, found once: a lambda's argument isn't computed again
+    def count_of(counts: Column, place: Column) -> Column:
+        packed = F.get(counts, (place / _PACKED).cast("int"))
+        return F.call_function("shiftright", packed, (place % _PACKED * _BITS).cast("int")).bitwiseAND(F.lit(2 ** _BITS - 1))
+
+    def one(j: Column, place: Column) -> Column:
+        return F.when((place / _PACKED).cast("int") == j, F.call_function(
+            "shiftleft", F.lit(1).cast("long"), (place % _PACKED * _BITS).cast("int"))).otherwise(F.lit(0).cast("long"))
+
+    # the places in the alphabet (from 0), found once: a lambda's argument isn't computed again
     def steps(places: Column) -> Column:
         return F.transform(places, lambda p, i: F.struct(
-            p.alias("enters"), F.when(i >= window, F.get(places, i - window)).otherwise(F.lit(0)).alias("leaves"),
+            p.alias("enters"), F.when(i >= window, F.get(places, i - window)).otherwise(F.lit(-1)).alias("leaves"),
             (i + 1).alias("n")))
 
-    found = F.array(F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c)))
-    start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"),
+    found = F.array(F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1))
+    numbers = -(-len(ALPHABET) // _PACKED)
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), numbers).alias("counts"), F.lit(0.0).alias("sum"),
                      F.lit(float("inf")).cast("double").alias("least"))
 
     def step(acc: Column, s: Column) -> Column:
         enters, leaves = s["enters"], s["leaves"]
-        up, down = F.get(acc["counts"], enters), F.get(acc["counts"], leaves)
+        up, down = count_of(acc["counts"], enters), count_of(acc["counts"], F.greatest(leaves, F.lit(0)))
         total = F.when(enters == leaves, acc["sum"]).otherwise(
             acc["sum"] + term(up + 1) - term(up)
-            + F.when(leaves > 0, term(down - 1) - term(down)).otherwise(F.lit(0.0)))
-        counts = F.transform(acc["counts"], lambda c, j: c + F.when(j == enters, 1).otherwise(0)
-                             - F.when((j == leaves) & (leaves > 0), 1).otherwise(0))
+            + F.when(leaves >= 0, term(down - 1) - term(down)).otherwise(F.lit(0.0)))
+        counts = F.transform(acc["counts"], lambda c, j: c + one(j, enters)
+                             - F.when(leaves >= 0, one(j, leaves)).otherwise(F.lit(0).cast("long")))
         return F.struct(counts.alias("counts"), total.alias("sum"),
                         F.when(s["n"] >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
 
@@ -113,10 +124,10 @@ def best_entropy(value: Column, window: int = WINDOW) -> Column:
         steps(places), start, step, lambda acc: F.log2(F.lit(float(window))) - acc["least"] / F.lit(float(window)))), F.lit(0))
 
 
-def _of_kind(name: str, keep: Callable[[Column], Column] | None = None) -> Column:
+def _of_kind(name: str, keep: Callable[[Column], Column] | None = None, order: int | None = None) -> Column:
     spans = F.col(name) if keep is None else F.filter(name, keep)
     return F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), F.lit(KINDS.index(name)).alias("order"), s["end"].alias("end")))
+        s["start"].alias("start"), F.lit(KINDS.index(name) if order is None else order).alias("order"), s["end"].alias("end")))
 
 
 def _written(spans: Column) -> Column:
@@ -126,23 +137,39 @@ def _written(spans: Column) -> Column:
         ":", F.get(kinds, s["order"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan_secrets(docs: DataFrame, hex_bits: float = HEX_BITS, mixed_bits: float = MIXED_BITS) -> DataFrame:
+def scan_secrets(docs: DataFrame, classes: dict[str, tuple] | None = None) -> DataFrame:
     """One row per document with its spans: ``base`` and ``all_spans`` are
     array<struct<start, order, end>>, ``order`` the place in ``KINDS``."""
+    classes = classes or CLASSES
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
-    for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("entropy", CANDIDATE)):
+    for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), *((n, c[0]) for n, c in classes.items())):
         df = _starts(df, name, pattern)
     df = df.drop("body").withColumn(
         "base", F.array_sort(F.concat(
             _of_kind("assign", lambda s: F.length(s["second"]) >= ASSIGN_LEAST), _of_kind("access"), _of_kind("hex"))))
-    # cheap tests first: the window slides over what they leave
-    df = df.withColumn("entropy", F.filter("entropy", lambda s: (
-        s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & ~s["value"].rlike(ALLOWED)
-        & ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))))
-    df = df.withColumn("entropy", F.filter("entropy", lambda s: best_entropy(s["value"]) >= F.when(
-        s["value"].rlike("^[0-9a-fA-F]+$"), F.lit(hex_bits)).otherwise(F.lit(mixed_bits))))
-    return df.select("doc_id", "base", F.array_sort(F.concat("base", _of_kind("entropy"))).alias("all_spans"))
+    for name, (_, kinds, window, bits) in classes.items():
+        # cheap tests first: the window slides over what they leave
+        df = df.withColumn(name, F.filter(name, _holds(kinds)))
+        df = df.withColumn(name, F.filter(name, _reaches(window, bits)))
+    return df.select("doc_id", "base", F.array_sort(F.array_distinct(F.concat(
+        "base", *[_of_kind(n, order=KINDS.index("entropy")) for n in classes]))).alias("all_spans"))
+
+
+def _holds(kinds: tuple[str, ...]) -> Callable[[Column], Column]:
+    """Whether a candidate has all ``kinds`` of characters and no base span covers it."""
+    def test(s: Column) -> Column:
+        found = ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
+        for kind in kinds:
+            found = s["value"].rlike(kind) & found
+        return found
+    return test
+
+
+def _reaches(window: int, bits: float) -> Callable[[Column], Column]:
+    """Whether a window of a candidate that touches no allowed word reaches ``bits``."""
+    return lambda s: F.exists(F.filter(F.split(s["value"], ALLOWED), lambda part: F.length(part) >= window),
+                              lambda part: best_entropy(part, window) >= bits)
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
