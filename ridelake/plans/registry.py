@@ -246,16 +246,16 @@ def shared_models(checked: list[str], with_parents: list[str]) -> list[str]:
     return [n for n in _SHARED if readers.get(n, 0) > 1]
 
 
-def check_results(t: Tables, kinds=None, check: str | None = None) -> DataFrame:
+def check_results(t: Tables, kinds=None, check: str | None = None, share: bool = True) -> DataFrame:
     """Union of the selected checks over every model.
 
-    Models that several checks and models read are written once, as the layered job
-    does with all of them, so the deduplication, the versions and the joins run once
-    whatever the number of checks; the others stay in the plan."""
+    With ``share``, models that several checks and models read are written once, as the
+    layered job does with all of them, so the versions and the joins run once
+    whatever the number of checks; the others stay in the plan. Without it all is one plan."""
     specs = {n: model_checks()[n] if check is None else only(model_checks()[n], check) for n in _CHECKED_MODELS}
     specs = {n: s for n, s in specs.items() if s.covers(kinds)}
     related = kinds is None or "relationships" in kinds
-    for name in shared_models(list(specs), [n for n, s in specs.items() if s.relations and related]):
+    for name in shared_models(list(specs), [n for n, s in specs.items() if s.relations and related]) if share else ():
         model, path = t.model(name), scratch_path(t.spark, "checked", name)
         model.write.parquet(path)
         t.__dict__[name] = t.spark.read.schema(model.schema).parquet(path)
@@ -291,7 +291,7 @@ def q_dq_unique(t: Tables) -> DataFrame:
 
 @register("dq_relationships", O.dq_sql(O.dq_relationship_rows()))
 def q_dq_relationships(t: Tables) -> DataFrame:
-    return check_results(t, ["relationships"])
+    return check_results(t, ["relationships"], share=False)  # few readers: sharing saves less than it writes
 
 
 @register("dq_unique_combination", O.dq_sql(O.dq_combo_rows()))
