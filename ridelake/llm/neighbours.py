@@ -43,6 +43,7 @@ CODE_BITS = 256
 QUERY_BITS = 6
 EPSILON = 3.0
 GROUP_BYTES = 32 << 20  # of vectors, in doubles, that a task holds
+MOST_LENGTHS = 1_000_000  # that are sent to every task; beyond them the planner joins by shuffle
 LEAST_GROUP = 4096  # vectors; smaller groups aren't made for the sake of more tasks
 SEED = 20240229
 
@@ -171,7 +172,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, group_vectors: int | None
             n = max(n, min(spark.sparkContext.defaultParallelism, -(-r["count"] // LEAST_GROUP)))
         parts.append((r["length"], n, first))
         first += n
-    rows = rows.join(spark.createDataFrame(parts, "length int, parts int, first int"), "length")
+    lengths = spark.createDataFrame(parts, "length int, parts int, first int")
+    # 12 bytes a length; nearly all rows may share one, so they aren't dealt by it
+    rows = rows.join(F.broadcast(lengths) if len(parts) <= MOST_LENGTHS else lengths, "length")
     # by a hash of the id and the vector, so equal vectors or ids do not meet in one group
     base = rows.select((F.col("first") + F.pmod(F.xxhash64("vec_id", "embedding"), "parts")).cast("int").alias("group"),
                        F.lit(False).alias("asks"), "vec_id", "embedding")
