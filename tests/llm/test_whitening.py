@@ -55,9 +55,9 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS x", "2 AS n", "3 AS component")
     n, deviation, white, explained = plain(rows)
     got = whitening.whitened(df).collect()
-    assert n == 44  # lengths 0, 1 and 3 are filled up; 104 equals 107, 105 equals 106
+    assert n == 43  # lengths 0, 1 and 3 are filled up; 104 equals 107, 105 equals 106
     assert {r.vec_id for r in got} == set(range(40)) | {104, 105, 106, 107, 108}
-    assert len(got) == 4 * (52 - 0)
+    assert len(got) == 4 * 52
     assert all(r.deviation == deviation[r.vec_id] and r.n == n for r in got)
     assert all(abs(abs(r.whitened) - abs(white[r.vec_id][r.component - 1])) < 1e-8 for r in got)
     assert all(abs(r.explained - explained[r.component - 1]) < 1e-10 and r.identity_error < 1e-10 for r in got)
