@@ -43,10 +43,11 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
 # Letters and digits that a word, a UUID, a date or a named digest (sha256-...) is not made of.
 _NAMED = r"(?<!(?:sha1|sha224|sha256|sha384|sha512|md5)[-_=:])"
-# by class: pattern of a run, kinds of character it must hold, window, least bits a character
+# by class: pattern of a run, kinds of character it must hold (letters alone must change case more
+# than a capitalised word does), window, least bits a character
 CLASSES = {
-    "hex_run": (_NAMED + r"(?<![A-Za-z0-9])[0-9a-fA-F]{20,}(?![A-Za-z0-9])", ("[0-9]", "[a-fA-F]"), 20, 3.0),
-    "mixed_run": (_NAMED + r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}", ("[g-zG-Z]", "[0-9]|(?=.*[a-z])(?=.*[A-Z])"), 20, 3.9),
+    "hex_run": (r"(?<![A-Za-z0-9])(?=[0-9a-fA-F]{20})" + _NAMED + r"[0-9a-fA-F]{20,}(?![A-Za-z0-9])", ("[0-9]", "[a-fA-F]"), 20, 3.0),
+    "mixed_run": (r"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{20})" + _NAMED + r"[A-Za-z0-9]{20,}", ("[g-zG-Z]", "[0-9]|[a-z][A-Z].*[A-Z]"), 20, 3.9),
     "signed_run": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}", ("[+/_=-]", "[0-9]", "[a-z]", "[A-Z]"), 32, 4.3),
 }
 ALLOWED = "(?i)example|placeholder|changeme"

@@ -456,7 +456,7 @@ def brute_secrets(text):
         v, window, least = m[0], 32 if kind == "signed" else 20, {"hex": 3.0, "mixed": 3.9, "signed": 4.3}[kind]
         has = lambda c: re.search(c, v) is not None
         holds = {"hex": has("[0-9]") and has("[a-fA-F]"),
-                 "mixed": has("[g-zG-Z]") and (has("[0-9]") or has("[a-z]") and has("[A-Z]")),
+                 "mixed": has("[g-zG-Z]") and (has("[0-9]") or has("[a-z][A-Z].*[A-Z]")),
                  "signed": all(has(c) for c in ("[+/_=-]", "[0-9]", "[a-z]", "[A-Z]"))}[kind]
         named = kind != "signed" and re.search("(sha1|sha224|sha256|sha384|sha512|md5)[-_=:]$", text[:m.start()])
         if not holds or named or any(a <= m.start() and b >= m.end() for a, _, b in out):
