@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT_BUCKETS = 1024
+MATCHES = 64  # stations in one row of the grouped lookup relation
 
 
 def _hinted(dim: DataFrame, strategy: str) -> DataFrame:
@@ -98,30 +99,61 @@ def trip_end_key_sql(station_id: str, station_name: str) -> str:
             f"ELSE concat('n:', `{station_name}`) END")
 
 
-def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
-                   ends: Sequence[str] = ("start", "end")) -> DataFrame:
-    """Fill trip-end station id/name/coordinates from the *current* station
-    versions: own value first, then a match on the station code, then (only
-    when the trip carries no code) a match on the station name.
+def grouped_matches(table: DataFrame, key: str = "__lk") -> DataFrame:
+    """The lookup relation with the rows of a key gathered as ``matches``, at most ``MATCHES`` in
+    a row, so that a key of any number of stations is held by no task whole."""
+    fields = [c for c in table.columns if c != key]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*fields)) - 1
+    return (table.filter(F.col(key).isNotNull()).withColumn("__part", F.floor(place / MATCHES))
+            .groupBy(key, "__part").agg(F.collect_list(F.struct(*fields)).alias("matches")).drop("__part"))
+
+
+_FILLS = (("station_id", "short_name"), ("station_name", "station_name"), ("lat", "lat"), ("lng", "lon"))
+
+
+def match_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
+                  ends: Sequence[str] = ("start", "end")) -> DataFrame:
+    """``trips`` with what :func:`fill_matches` needs to fill each end: ``__{end}_n``, the rows that it
+    makes of the trip, and ``__{end}_m``, their stations (NULL where the trip lacks nothing).
 
     Plan: one join per trip end against a single lookup relation, so the
     dimension is computed once and (when small) broadcast once -- the second
-    end reuses the exchange. Duplicate current codes or names fan out exactly
-    as two separate left joins would."""
-    table = station_lookup_table(
-        current_versions(dim, ["station_name", "short_name", "lat", "lon"]))
+    end reuses the exchange. A trip of many matches is still one row here, so both
+    shuffles move the trips as they came, whatever the joins make of them."""
+    table = grouped_matches(station_lookup_table(
+        current_versions(dim, ["station_name", "short_name", "lat", "lon"])))
     out = trips.selectExpr("*", *[f"{trip_end_key_sql(f'{e}_station_id', f'{e}_station_name')}"
                                   f" AS `__{e}_lk`" for e in ends])
-    fills = {}
     for end in ends:
-        take = {"short_name": f"__{end}_m_code", "station_name": f"__{end}_m_name",
-                "lat": f"__{end}_m_lat", "lon": f"__{end}_m_lon"}
-        out = lookup(out, table, {f"__{end}_lk": "__lk"}, take, strategy=strategy,
+        out = lookup(out, table, {f"__{end}_lk": "__lk"}, {"matches": f"__{end}_m"}, strategy=strategy,
                      prefix=f"__{end}_", spread_by=[c for c in ("ride_id",) if c in trips.columns])
-        for own, suffix in ((f"{end}_station_id", "code"), (f"{end}_station_name", "name"),
-                            (f"{end}_lat", "lat"), (f"{end}_lng", "lon")):
-            fills[own] = f"coalesce(`{own}`, `__{end}_m_{suffix}`) AS `{own}`"
-    return out.selectExpr(*[fills.get(c, f"`{c}`") for c in trips.columns])
+        own = [f"`{end}_{c}` IS NOT NULL" for c, _ in _FILLS if f"{end}_{c}" in trips.columns]
+        kept = [f"`{c}`" for c in out.columns if c not in (f"__{end}_lk", f"__{end}_m")]
+        out = out.selectExpr(*kept, f"CASE WHEN `__{end}_m` IS NULL THEN 1 ELSE size(`__{end}_m`) END AS `__{end}_n`",
+                             f"CASE WHEN NOT ({' AND '.join(own)}) THEN `__{end}_m` END AS `__{end}_m`")
+    return out
+
+
+def fill_matches(matched: DataFrame, ends: Sequence[str] = ("start", "end")) -> DataFrame:
+    """The filled trips of :func:`match_current`: a row for each match of either end (one, if none)."""
+    out, fills = matched, {}
+    for end in ends:
+        out = out.selectExpr("*", f"explode(sequence(0, `__{end}_n` - 1)) AS `__{end}_i`")
+        fills |= {f"{end}_{own}": f"coalesce(`{end}_{own}`, get(`__{end}_m`, `__{end}_i`).{field}) AS `{end}_{own}`"
+                  for own, field in _FILLS}
+    added = {f"__{end}_{c}" for end in ends for c in ("n", "m")}
+    return out.selectExpr(*[fills.get(c, f"`{c}`") for c in matched.columns if c not in added])
+
+
+def enrich_current(trips: DataFrame, dim: DataFrame, strategy: str = "auto",
+                   ends: Sequence[str] = ("start", "end")) -> DataFrame:
+    """Fill trip-end station id/name/coordinates from the *current* station
+    versions: own value first, then a match on the station code, then (only
+    when the trip carries no code) a match on the station name.
+
+    Duplicate current codes or names fan out exactly as two separate left joins
+    would, but only after both joins (:func:`match_current`)."""
+    return fill_matches(match_current(trips, dim, strategy, ends), ends)
 
 
 def enrich_as_of(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions import scalars as S
 from ridelake.operators.dedup import dedup_priority, latest_per_key, month_match_priority
-from ridelake.operators.joins import current_versions, enrich_as_of, enrich_current, lookup
+from ridelake.operators.joins import current_versions, enrich_as_of, fill_matches, lookup, match_current
 from ridelake.operators.rollup import count_where, distribution, rollup
 from ridelake.operators.scd import scd2
 from ridelake.schemas import SNAPSHOT_COLUMNS, STATUS_FLAGS, TRIPS_RAW_COLUMNS
@@ -217,16 +217,27 @@ ENRICHED_COLUMNS = [
 ]
 
 
-def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
-    """Trips with station gaps filled from current station versions and a
-    row-level quality flag (evaluated on the filled values)."""
-    filled = enrich_current(trips, dim, strategy=strategy).select(*ENRICHED_COLUMNS)
+def trips_matched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Trips with the current station versions that fit their ends, one row a trip: what
+    several readers of :func:`trips_enriched` share."""
+    return match_current(trips, dim, strategy=strategy)
+
+
+def enriched_from(matched: DataFrame) -> DataFrame:
+    """``trips_enriched`` of its matched trips (projections only)."""
+    filled = fill_matches(matched).select(*ENRICHED_COLUMNS)
     flag = S.data_quality_flag("start_station_id", "start_lat", "start_lng",
                                "end_station_id", "end_lat", "end_lng",
                                "trip_duration_seconds")
     return filled.withColumn("data_quality_flag", flag)
 
 
+def trips_enriched(trips: DataFrame, dim: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Trips with station gaps filled from current station versions and a
+    row-level quality flag (evaluated on the filled values)."""
+    return enriched_from(trips_matched(trips, dim, strategy))
+
+
 def trips_station_as_of(trips: DataFrame, dim: DataFrame, end: str = "start",
                         ts: str = "started_at", strategy: str = "auto",
                         time_bucket: str | None = "month", span: DataFrame | None = None,
