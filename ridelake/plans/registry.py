@@ -219,13 +219,15 @@ _CHECKED_MODELS = ["stg_trips", "stg_stations", "stg_status", "int_trips", "dim_
 
 # what a model is built from, of the models that are worth sharing; in build order
 _BUILT_FROM = {
-    "int_trips": (), "dim_station": (), "trips_enriched": ("int_trips", "dim_station"),
+    "stg_trips": (), "int_trips": ("stg_trips",), "dim_station": (), "trips_enriched": ("int_trips", "dim_station"),
     "hourly_traffic": ("trips_enriched",), "status_current": ("dim_station",),
     "demand_vs_supply": ("status_current", "hourly_traffic", "dim_station"),
 }
 
 
-_SHARED = ("dim_station", "trips_enriched")  # with the windows and joins; the rest are cheap projections and sums of them
+_SHARED = ("stg_trips", "dim_station", "trips_enriched")  # with the windows and joins; the rest are cheap projections and sums of them
+# written in their place: a trip of many matches is one row there, and many in the model
+_WRITTEN_AS = {"trips_enriched": "trips_matched"}
 
 
 def shared_models(checked: list[str], with_parents: list[str]) -> list[str]:
@@ -256,9 +258,11 @@ def check_results(t: Tables, kinds=None, check: str | None = None, share: bool =
     specs = {n: s for n, s in specs.items() if s.covers(kinds)}
     related = kinds is None or "relationships" in kinds
     for name in shared_models(list(specs), [n for n, s in specs.items() if s.relations and related]) if share else ():
-        model, path = t.model(name), scratch_path(t.spark, "checked", name)
+        written = _WRITTEN_AS.get(name, name)
+        model, path = t.model(written), scratch_path(t.spark, "checked", written)
         model.write.parquet(path)
-        t.__dict__[name] = t.spark.read.schema(model.schema).parquet(path)
+        t.__dict__.pop(name, None)
+        t.__dict__[written] = t.spark.read.schema(model.schema).parquet(path)
     parts = []
     for name, spec in specs.items():
         parents = {"dim_station": t.dim_station} if spec.relations and related else {}

@@ -58,9 +58,13 @@ class Tables:
     def dim_station(self) -> DataFrame:
         return M.dim_station(self.stg_stations)
 
+    @cached_property
+    def trips_matched(self) -> DataFrame:
+        return M.trips_matched(self.int_trips, self.dim_station, self.strategy)
+
     @cached_property
     def trips_enriched(self) -> DataFrame:
-        return M.trips_enriched(self.int_trips, self.dim_station, self.strategy)
+        return M.enriched_from(self.trips_matched)
 
     @cached_property
     def hourly_traffic(self) -> DataFrame:
