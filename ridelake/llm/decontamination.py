@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ridelake.llm.common import fresh, map_arrow, materialize, texts, whole_row
 
@@ -46,13 +47,16 @@ _FOLD = bytes(
     for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd: of the rolling hash
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lowered
-
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
+@F.arrow_udf(LongType())
+def n_words_of(text: pa.Array) -> pa.Array:
+    return pa.array([len(words_of(t)) for t in text.cast(pa.large_binary()).to_pylist()], pa.int64())
+
+
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash for each run of ``n`` of the words' hashes."""
     out = np.full(max(0, len(hashes) - n + 1), n, np.uint64)
@@ -232,7 +236,7 @@ def _flag(docs: DataFrame, kept: DataFrame, benchmark: DataFrame, window: int, s
     per_document = map_arrow(spans.join(named, "doc", "left").select("doc", "spans", "items"), _finish,
                              "doc binary, n_hit long, n_items long, items_sha256 string")
     # hits grow with the documents, so this is a merge by design, at every size alike
-    counted = base.select("row", "doc", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    counted = base.select("row", "doc", n_words_of("text").alias("n_words"))
     joined = counted.join(materialize(per_document, "document-hits").hint("merge"), "doc", "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     result = F.struct("n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
