@@ -103,14 +103,15 @@ def delivered_once(t: Tables) -> DataFrame:
 
 def gated_layer(t: Tables) -> DataFrame:
     """A faulty load after a good one: the checks stop it, readers keep the good layer, and no later
-    layer is built from it."""
+    layer is built from it. Where the first load's own rows fail a check (of the stations as of the
+    trips), it ends there too, and only the layers that are published are counted."""
     warehouse = scratch_path(t.spark, "gated")
     station = t.snapshots.withColumn("capacity", F.coalesce("capacity", F.lit(0)))
     append_snapshot(station, f"{warehouse}/{J.BRONZE}/station_snapshots")
-    J.build_station_models(t.spark, warehouse)
+    stations = J.build_station_models(t.spark, warehouse)
     J.load_trips_raw(t.trips_raw, warehouse, mode="overwrite_days")
     report = J.build_trip_models(t.spark, warehouse)
-    first = [report.stopped_at]
+    first = [stations.stopped_at or report.stopped_at]
     faulty = t.trips_raw.filter("source_month = '202401'").withColumn("member_casual", F.when(
         F.col("member_casual") == "casual", F.lit("guest")).otherwise(F.col("member_casual")))
     J.load_trips_raw(faulty, warehouse, mode="overwrite_days")
@@ -121,7 +122,7 @@ def gated_layer(t: Tables) -> DataFrame:
         F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n_rows"),
         (F.count_if(F.col("member_casual") == "guest") if name in ("stg_trips", "int_trips", "trips_enriched", "hourly_traffic")
          else F.lit(0).cast("bigint")).alias("n_faulty")) for layer, name in names]
-    found = reduce(DataFrame.unionByName, kept)
+    found = reduce(DataFrame.unionByName, kept) if kept else t.spark.createDataFrame([], "layer string, n_rows bigint, n_faulty bigint")
     return found.select("*", F.lit(str(first[0])).alias("first_stop"), F.lit(str(report.stopped_at)).alias("second_stop"))
 
 

@@ -241,11 +241,22 @@ def read_dim_station(spark: SparkSession, warehouse: str) -> DataFrame:
     return read_dimension(spark, store, snapshots.schema)
 
 
+def _lacks(report: RunReport, spark: SparkSession, warehouse: str, name: str) -> bool:
+    """Whether a published table that the next layers read isn't there, as where its checks have stopped its first
+    load. The run then stops at it, like one that is stopped by checks of its own."""
+    grown = name == "dim_station" and published_version(spark, f"{station_store(warehouse).root}/open") is not None
+    if grown or path_exists(spark, f"{warehouse}/{GOLD}/{name}"):
+        return False
+    report.stopped_at = report.stopped_at or name
+    return True
+
+
 def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop",
                       report: RunReport | None = None, strategy: str = "auto",
                       days: list[str] | None = None) -> RunReport:
     """Bronze trips -> stg (table, checked) -> int (table, checked) -> enriched
-    (table, checked) -> hourly traffic (table, checked). Needs dim_station.
+    (table, checked) -> hourly traffic (table, checked). Stops before the enriched
+    layer while no dim_station is published.
 
     ``days`` rebuilds only those days: every copy of a trip shares its start
     time, so dedup, time dimensions and the hourly rollup are day-local and
@@ -265,7 +276,7 @@ def build_trip_models(spark: SparkSession, warehouse: str, on_error: str = "stop
     # a projection of the table just laid out: written as it lies
     trips = M.int_trips(stg.drop("started_date"))
     it = _publish(report, trips, warehouse, SILVER, "int_trips", {}, on_error, laid_out=True, **laid)
-    if it is None:
+    if it is None or _lacks(report, spark, warehouse, "dim_station"):
         return report
     dim = read_dim_station(spark, warehouse)
     enriched = M.enriched_from(_laid_out_matches(M.trips_matched(it, dim, strategy)))
@@ -309,15 +320,16 @@ def build_status_models(spark: SparkSession, warehouse: str, as_of: datetime | s
                         on_error: str = "stop", report: RunReport | None = None,
                         strategy: str = "auto", tz: str | None = None) -> RunReport:
     """Bronze status -> stg (checked) -> status_current (table, checked) ->
-    demand_vs_supply at ``as_of`` (table, checked)."""
+    demand_vs_supply at ``as_of`` (table, checked). Stops where dim_station or hourly_traffic
+    isn't published yet."""
     report = report or RunReport()
     stg = M.stg_status(read_table(spark, warehouse, BRONZE, "station_status"))
-    if not _check(report, stg, "stg_status", {}, on_error):
+    if not _check(report, stg, "stg_status", {}, on_error) or _lacks(report, spark, warehouse, "dim_station"):
         return report
     dim = read_dim_station(spark, warehouse)
     cur = _publish(report, M.status_current(stg, dim, strategy), warehouse, GOLD, "status_current",
                    {"dim_station": dim}, on_error)
-    if cur is None:
+    if cur is None or _lacks(report, spark, warehouse, "hourly_traffic"):
         return report
     hourly = read_table(spark, warehouse, GOLD, "hourly_traffic")
     _publish(report, M.demand_vs_supply(cur, hourly, dim, as_of, strategy, tz), warehouse, GOLD, "demand_vs_supply",
